@@ -129,3 +129,21 @@ def no_clash(df: DataFrame, *names: str) -> DataFrame:
     """df with only the named columns; one that is missing is a null column of type string (bigint for ids)."""
     have = set(df.columns)
     return df.select(*(F.col(f"`{n}`") if n in have else F.lit(None).cast("bigint" if n.endswith("_id") else "string").alias(n) for n in names))
+
+
+def remainder(doc_id, modulus: int):
+    """crc32 of the id as text, by which rows are held out."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_rows: int, most_bytes: int = 64_000) -> list[tuple[str, int]]:
+    """(text, label) of at most most_rows labelled documents that are not held out, in an order that is the same at every
+    run. Texts beyond most_bytes are not fitted on, so the sample's size is bounded by most_rows * most_bytes."""
+    learn = (
+        labels.filter(remainder(F.col("doc_id"), 3) != 1).filter(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("_label"))
+    )
+    order = F.xxhash64("doc_id")
+    chosen = learn.orderBy(order, "doc_id").limit(most_rows)
+    texts = no_clash(docs, "doc_id", "text").filter(F.octet_length("text") <= most_bytes)
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_label").alias("_label")).collect()
+    return [(r.text, int(r["_label"])) for r in sorted(rows, key=lambda r: r.doc_id)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup, mixing, url_filter
+from . import chat_format, decontaminate, exact_dedup, mixing, quality, url_filter
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -20,10 +20,19 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op9_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
@@ -37,7 +46,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
+    "op7_decontaminate": op7_decontaminate,
     "op9_format_chat": op9_format_chat,
     "op10_url_filter": op10_url_filter,
 }
@@ -70,6 +81,21 @@ ORACLE_SQL: dict[str, str] = {
                CAST(p.whole + CASE WHEN m.middle <= p.target - p.whole * p.source_size THEN 1 ELSE 0 END AS BIGINT) AS epochs
         FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
                JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h""",
+    "op7_decontaminate": r"""
+        WITH RECURSIVE dw AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+        win AS (SELECT DISTINCT item, array_to_string(w[i:i + 12], ' ') AS k, least(len(w), 13) AS n
+                FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS i FROM bw WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM win),
+        pos AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+                FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM dw, sizes WHERE len(w) >= n)),
+        hit AS (SELECT pos.r, pos.i, pos.n, win.item FROM pos JOIN win ON pos.k = win.k AND pos.n = win.n),
+        words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY r),
+        its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM dw LEFT JOIN words USING (r) LEFT JOIN its USING (r)""".replace("__LOWER__", LOWER),
     "op9_format_chat": r"""
         WITH c AS (
             SELECT conv_id, turn, role, text FROM conversations
