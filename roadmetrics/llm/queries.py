@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, quality, toxicity, url_filter
+from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, quality, toxicity, url_filter
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
