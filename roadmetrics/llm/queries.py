@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, quality, toxicity, url_filter
+from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, quality, suffix_tree_lm, toxicity, url_filter
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -24,6 +24,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -59,6 +63,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_suffix_tree_lm": op3_suffix_tree_lm,
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
     "op6_line_dedup": op6_line_dedup,
