@@ -1,5 +1,62 @@
-"""The corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing."""
+"""The corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again as the next stage's docs.
+All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from roadmetrics.llm import common, decontaminate, line_dedup, mixing, near_dedup, quality
+
+
+def _side(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, _side(spark, sf_dir, "labels"))
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated runs of lines go from all documents but the first; every document stays, if only with empty text."""
+    return line_dedup.dedup_lines(docs)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return near_dedup.near_dedup(docs)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with benchmark passages go."""
+    return decontaminate.remove_contaminated(docs, _side(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.mix_sources(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontaminate", decontaminate_stage),
+    ("mixing", mixing_stage),
+]
+
+#: SQL cannot express the stages; tests hold each against a brute-force version.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result but the last is written to the shared folder and read again."""
+    docs = _side(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = common.materialize(docs, f"pipeline-{name}")
+    return docs
