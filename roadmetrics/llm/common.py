@@ -21,10 +21,12 @@ UPPER_TO_LOWER[65:91] += 32
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
