@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,15 @@ def _pick(before: Column, after: Column, at: Column, on: str, tolerance: float |
     return F.when(F.abs(pick[on] - at) <= tolerance, pick)
 
 
+def _both_ways(keys: list[str], on: str) -> tuple[WindowSpec, WindowSpec]:
+    """The rows before a row, and those after it as the rows before it in descending order: a frame that ends at the
+    partition's end would be evaluated anew for each row. Both share one exchange."""
+    before = (Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*keys).orderBy(on, "_tag", "_key").rowsBetween(*before)
+    back = Window.partitionBy(*keys).orderBy(F.desc(on), F.desc("_tag"), F.desc("_key")).rowsBetween(*before)
+    return ahead, back
+
+
 def align(base: DataFrame, rights: list[Right], on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id", chunk: float | None = None) -> DataFrame:
     """base plus, per right side, a struct column of its nearest row (null beyond the tolerance or if there is none).
 
@@ -52,10 +61,9 @@ def align(base: DataFrame, rights: list[Right], on: str = "t", by: tuple[str, ..
             reach = F.sequence(F.floor((F.col(on) - r.tolerance) / chunk), F.floor((F.col(on) + r.tolerance) / chunk))
             own = own.withColumn("_chunk", F.explode(reach))
         rows = rows.unionByName(own)
-    order = Window.partitionBy(*keys).orderBy(on, "_tag", "_key")
-    past, future = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    past, future = _both_ways(keys, on)
     out = rows.select("*", *[F.last(f"_{r.name}", ignorenulls=True).over(past).alias(f"_{r.name}_p") for r in rights])
-    out = out.select("*", *[F.first(f"_{r.name}", ignorenulls=True).over(future).alias(f"_{r.name}_n") for r in rights])
+    out = out.select("*", *[F.last(f"_{r.name}", ignorenulls=True).over(future).alias(f"_{r.name}_n") for r in rights])
     picks = [_pick(F.col(f"_{r.name}_p"), F.col(f"_{r.name}_n"), F.col(on), on, r.tolerance, r.tie).alias(r.name) for r in rights]
     return out.filter("_tag = 0").select("_base.*", *picks)
 
@@ -72,12 +80,8 @@ def align_both(base: DataFrame, right: Right, on: str, by: tuple[str, ...], key:
     rows = base.select(*by, on, F.col(key).alias("_key"), F.lit(0).alias("_tag"), F.struct(*base.columns).alias("_base"), F.lit(None).cast(kind).alias("_r"))
     none = F.lit(None).cast(rows.schema["_base"].dataType).alias("_base")
     rows = rows.unionByName(right.rows.select(*by, on, F.col(key).alias("_key"), F.lit(1).alias("_tag"), none, columns.alias("_r")))
-    order = Window.partitionBy(*by).orderBy(on, "_tag", "_key")
-    out = rows.select(
-        "*",
-        F.last("_r", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
-        F.first("_r", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("next"),
-    )
+    past, future = _both_ways(list(by), on)
+    out = rows.select("*", F.last("_r", ignorenulls=True).over(past).alias("prev"), F.last("_r", ignorenulls=True).over(future).alias("next"))
     return out.filter("_tag = 0").select("_base.*", "prev", "next")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes
@@ -41,13 +41,18 @@ def sessions(rows: DataFrame, value: str, gap: float) -> DataFrame:
     return found.withColumn("_k", F.row_number().over(lowest)).filter("_k <= 30").drop("_k", "island")
 
 
+def area_counts(area: str) -> dict[str, Column]:
+    """How many obstacles of a frame are in the area, standing and moving."""
+    count = lambda keep: F.size(F.filter("seen", keep))
+    return {f"{area}_total": count(lambda o: o[area]), f"{area}_static": count(lambda o: o[area] & o["still"]), f"{area}_moving": count(lambda o: o[area] & ~o["still"])}
+
+
 @program("roi")
 def roi(telemetry: Telemetry) -> Result:
     c, frames = telemetry.config, measured(telemetry)
-    count = lambda keep: F.size(F.filter("seen", keep))
     columns = {}
     for area in ("near", "mid", "far"):
-        columns |= {f"{area}_total": count(lambda o, a=area: o[a]), f"{area}_static": count(lambda o, a=area: o[a] & o["still"]), f"{area}_moving": count(lambda o, a=area: o[a] & ~o["still"])}
+        columns |= area_counts(area)
     nearest = F.array_min(F.transform("seen", lambda o, i: F.struct(o["distance"].alias("distance"), i.alias("i"), o["track_id"].alias("track_id"), o["type"].alias("type"))))
     first = F.array_min(F.transform(F.filter("seen", lambda o: o["ttc"].isNotNull()), lambda o, i: F.struct(o["ttc"].alias("ttc"), i.alias("i"), o["track_id"].alias("track_id"), o["type"].alias("type"))))
     per_frame = frames.withColumns(columns | {"nearest": nearest, "first": first})
