@@ -37,7 +37,7 @@ def moving(rows: DataFrame, least_kmh: float, least_rows: int = 10) -> DataFrame
 def rms_1s(rows: DataFrame) -> DataFrame:
     """RMS of the jerk over windows of a second that start every half second; windows with a missing jerk are left out."""
     half = F.floor((F.col("t") - F.min("t").over(Window.partitionBy("segment"))) * 2)
-    placed = rows.select("drive_id", "segment", "jerk", F.explode(F.array(half, half - 1)).alias("window")).filter("window >= 0")
+    placed = rows.withColumn("half", half).select("drive_id", "segment", "jerk", F.explode(F.array(F.col("half"), F.col("half") - 1)).alias("window")).filter("window >= 0")
     full = placed.groupBy("drive_id", "segment", "window").agg(F.sqrt(F.avg(F.col("jerk") * F.col("jerk"))).alias("rms"), F.count(F.lit(1)).alias("n"), F.count("jerk").alias("seen"))
     return full.filter("n = seen AND n > 1")
 
