@@ -133,6 +133,16 @@ def no_clash(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") if n in have else F.lit(None).cast("bigint" if n.endswith("_id") else "string").alias(n) for n in names))
 
 
+def rows_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row of docs, with all its columns, of each doc_id in ids (null is an id). The texts cross one exchange, by
+    doc_id, which the semi-join and the choice of one row share; rows without an id, which are rare, go beside it."""
+    ids = ids.select("doc_id").distinct()
+    known = docs.filter("doc_id IS NOT NULL").join(ids.filter("doc_id IS NOT NULL"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = ids.filter("doc_id IS NULL").withColumnRenamed("doc_id", "_id")
+    unknown = docs.filter("doc_id IS NULL").dropDuplicates(["doc_id"]).join(nameless, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return known.unionByName(unknown).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def remainder(doc_id, modulus: int):
     """crc32 of the id as text, by which rows are held out."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

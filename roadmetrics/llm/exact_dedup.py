@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import no_clash, steps
+from .common import no_clash, rows_of_ids, steps
 
 
 def _normalised(with_content: bool):
@@ -71,5 +71,4 @@ def duplicate_groups(docs: DataFrame, salts: int = 32) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, salts: int = 32) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    stay = duplicate_groups(docs, salts).filter("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(stay.withColumnRenamed("doc_id", "_kept_id"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return rows_of_ids(docs, duplicate_groups(docs, salts).filter("kept"))

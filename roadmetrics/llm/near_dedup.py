@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, mix, no_clash, runs, span_hashes, steps, utf8_bytes
+from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, mix, no_clash, rows_of_ids, runs, span_hashes, steps, utf8_bytes
 
 KMER, BANDS, SKETCHES_PER_BAND = 5, 20, 2
 _PLACE_BITS = np.uint64((1 << 20) - 1)
@@ -259,5 +259,4 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, t
 
 def near_dedup(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
     """One row of docs of each class, with all its columns."""
-    stay = near_classes(docs, similarity, bands, task_rows).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(stay, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return rows_of_ids(docs, near_classes(docs, similarity, bands, task_rows).filter("kept"))
