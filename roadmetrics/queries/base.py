@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-BY_TIME = Window.partitionBy("drive_id").orderBy("t", "event_id")
 SQL_BY_TIME = "(PARTITION BY drive_id ORDER BY t, event_id)"
 #: Events with their roles, as a common table expression.
 EV = """ev AS (SELECT event_id, user_id AS drive_id, event_type AS topic, value, CAST(epoch_us(ts) AS DOUBLE) / 1e6 AS t, value > 20 AS is_auto,
@@ -38,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_time() -> WindowSpec:
+    """A drive's rows in the order of time."""
+    return Window.partitionBy("drive_id").orderBy("t", "event_id")
+
+
 def seconds(ts) -> F.Column:
     return F.unix_micros(ts.cast("timestamp")).cast("double") / 1e6
 

@@ -66,10 +66,10 @@ def description_predicate(spark, sf_dir):
     SELECT drive_id, road, count(*) AS points, min(t) AS start_ts FROM i GROUP BY drive_id, road, island HAVING count(*) > 1""")
 def refline_segments(spark, sf_dir):
     from ..operators.islands import number_islands
-    from .base import BY_TIME
+    from .base import by_time
 
     road = F.when(F.col("value") < 20, "straight").when(F.col("value") < 50, "small_curve").otherwise("large_curve")
     c = events(spark, sf_dir).withColumn("road", road)
-    c = c.withColumn("_b", ~F.lag("road").over(BY_TIME).eqNullSafe(F.col("road")))
+    c = c.withColumn("_b", ~F.lag("road").over(by_time()).eqNullSafe(F.col("road")))
     rows = number_islands(c, ["drive_id"], ["t", "event_id"], F.col("_b"))
     return rows.groupBy("drive_id", "road", "island").agg(F.count(F.lit(1)).alias("points"), F.min("t").alias("start_ts")).filter("points > 1").drop("island")

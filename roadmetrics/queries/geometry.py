@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import boxes, geo
-from .base import BY_TIME, EV, OB, events, obstacles, query, table
+from .base import by_time, EV, OB, events, obstacles, query, table
 from .sequences import _STEPS
 
 _BOX = OB + """, bx AS (SELECT *, x - (length * abs(cos(heading)) + width * abs(sin(heading))) / 2 AS x0, x + (length * abs(cos(heading)) + width * abs(sin(heading))) / 2 AS x1,
@@ -20,7 +20,7 @@ def _boxed(spark, sf_dir):
 
 @query(f"WITH {EV}, {_STEPS} SELECT event_id, round(d, 4) AS d FROM st WHERE d IS NOT NULL")
 def haversine_steps(spark, sf_dir):
-    d = geo.haversine(F.lag("lat").over(BY_TIME), F.lag("lon").over(BY_TIME), F.col("lat"), F.col("lon"))
+    d = geo.haversine(F.lag("lat").over(by_time()), F.lag("lon").over(by_time()), F.col("lat"), F.col("lon"))
     return events(spark, sf_dir).select("event_id", F.round(d, 4).alias("d")).filter("d IS NOT NULL")
 
 

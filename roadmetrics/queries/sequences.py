@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import windows as ops
 from ..operators.islands import merge_events, number_islands, runs, sparse_runs, summarise
-from .base import BY_TIME, EV, SQL_BY_TIME, events, query, table
+from .base import by_time, EV, SQL_BY_TIME, events, query, table
 
 W = f"OVER {SQL_BY_TIME}"
 HOUR, DAY = 3600.0, 86_400.0
@@ -16,8 +16,8 @@ HOUR, DAY = 3600.0, 86_400.0
 @query(f"""WITH {EV}, d AS (SELECT event_id, t, value, t - lag(t) {W} AS dt, value - lag(value) {W} AS dv FROM ev)
     SELECT event_id, dv / dt AS rate, t - dt / 2 AS mid FROM d WHERE dt > 0 AND dt <= 86400""")
 def derivative_mid(spark, sf_dir):
-    rate, _ = ops.derivative(BY_TIME, "value", max_dt=DAY)
-    dt = ops.gap(BY_TIME)
+    rate, _ = ops.derivative(by_time(), "value", max_dt=DAY)
+    dt = ops.gap(by_time())
     return events(spark, sf_dir).select("event_id", rate.alias("rate"), (F.col("t") - dt / 2).alias("mid")).filter("rate IS NOT NULL")
 
 
@@ -27,7 +27,7 @@ def derivative_mid(spark, sf_dir):
 def central_diff(spark, sf_dir):
     ev = events(spark, sf_dir)
     both = ev.join(ops.median_step(ev, ["drive_id"]).select("drive_id", "dt"), "drive_id")
-    return both.select("event_id", ops.central_difference(BY_TIME, "value", F.col("dt")).alias("slope"))
+    return both.select("event_id", ops.central_difference(by_time(), "value", F.col("dt")).alias("slope"))
 
 
 @query(f"""WITH {EV}, s AS (SELECT drive_id, t - lag(t) {W} AS dt FROM ev) SELECT drive_id, median(dt) AS dt, least(greatest(1 / median(dt), 1.0), 100.0) AS rate FROM s WHERE dt > 0 GROUP BY drive_id""")
@@ -37,7 +37,7 @@ def sampling_rate_median(spark, sf_dir):
 
 @query(f"""WITH {EV}, g AS (SELECT drive_id, t AS from_t, lead(t) {W} AS to_t FROM ev) SELECT drive_id, from_t, to_t, to_t - from_t AS gap, to_t - from_t > 86400 AS flagged FROM g WHERE to_t - from_t > 3600""")
 def time_gaps(spark, sf_dir):
-    g = events(spark, sf_dir).select("drive_id", F.col("t").alias("from_t"), F.lead("t").over(BY_TIME).alias("to_t"))
+    g = events(spark, sf_dir).select("drive_id", F.col("t").alias("from_t"), F.lead("t").over(by_time()).alias("to_t"))
     return g.withColumn("gap", F.col("to_t") - F.col("from_t")).filter(f"gap > {HOUR}").withColumn("flagged", F.col("gap") > DAY)
 
 
@@ -107,7 +107,7 @@ def union_merge_events(spark, sf_dir):
     SELECT drive_id, start_ts, end_ts, least, n FROM s ORDER BY least, drive_id, start_ts LIMIT 30""")
 def session_by_track_topk(spark, sf_dir):
     ev = events(spark, sf_dir).withColumn("ts", F.timestamp_micros((F.col("t") * 1e6).cast("bigint")))
-    gap = F.coalesce(F.col("t") - F.lag("t").over(BY_TIME) > DAY, F.lit(True))
+    gap = F.coalesce(F.col("t") - F.lag("t").over(by_time()) > DAY, F.lit(True))
     rows = number_islands(ev.withColumn("_b", gap), ["drive_id"], ["t", "event_id"], F.col("_b"))
     out = rows.groupBy("drive_id", "island").agg(F.min("t").alias("start_ts"), F.max("t").alias("end_ts"), F.min("value").alias("least"), F.count(F.lit(1)).alias("n")).drop("island")
     return out.orderBy("least", "drive_id", "start_ts").limit(30)
@@ -123,43 +123,43 @@ def session_window_by_track(spark, sf_dir):
 @query(f"""WITH {EV}, d AS (SELECT event_id, value, sqrt(avg(value * value) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) AS rms,
     count(*) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS n FROM ev) SELECT event_id, round(rms, 6) AS rms FROM d WHERE n = 5""")
 def sliding_rms_rows(spark, sf_dir):
-    return events(spark, sf_dir).select("event_id", F.round(ops.sliding_rms(BY_TIME, "value", 5), 6).alias("rms")).filter("rms IS NOT NULL")
+    return events(spark, sf_dir).select("event_id", F.round(ops.sliding_rms(by_time(), "value", 5), 6).alias("rms")).filter("rms IS NOT NULL")
 
 
 @query(f"""WITH {EV}, d AS (SELECT event_id, drive_id, row_number() {W} AS rn, sqrt(avg(value * value) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)) AS rms,
     count(*) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS n, nth_value(t, 6) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS centre FROM ev)
     SELECT event_id, centre, round(rms, 6) AS rms FROM d WHERE n = 10 AND (rn - 1) % 5 = 0""")
 def sliding_rms_step(spark, sf_dir):
-    d = events(spark, sf_dir).select("event_id", F.row_number().over(BY_TIME).alias("rn"), F.lead("t", 5).over(BY_TIME).alias("centre"), F.round(ops.sliding_rms(BY_TIME, "value", 10), 6).alias("rms"))
+    d = events(spark, sf_dir).select("event_id", F.row_number().over(by_time()).alias("rn"), F.lead("t", 5).over(by_time()).alias("centre"), F.round(ops.sliding_rms(by_time(), "value", 10), 6).alias("rms"))
     return d.filter("rms IS NOT NULL AND (rn - 1) % 5 = 0").drop("rn")
 
 
 @query(f"""WITH {EV}, d AS (SELECT event_id, row_number() {W} AS rn, avg(value) OVER f AS mean, max(value) OVER f - min(value) OVER f AS span, avg(CASE WHEN value >= 10 THEN 1.0 ELSE 0 END) OVER f AS share
     FROM ev WINDOW f AS (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)) SELECT event_id, mean >= 40 AND share >= 0.8 AND span >= 50 AS flagged FROM d WHERE rn > 10""")
 def trailing_window_flags(spark, sf_dir):
-    f = BY_TIME.rowsBetween(-10, -1)
+    f = by_time().rowsBetween(-10, -1)
     v = F.col("value")
     flagged = (F.avg(v).over(f) >= 40) & (F.avg(F.when(v >= 10, 1.0).otherwise(0.0)).over(f) >= 0.8) & (F.max(v).over(f) - F.min(v).over(f) >= 50)
-    return events(spark, sf_dir).select("event_id", flagged.alias("flagged"), F.row_number().over(BY_TIME).alias("rn")).filter("rn > 10").drop("rn")
+    return events(spark, sf_dir).select("event_id", flagged.alias("flagged"), F.row_number().over(by_time()).alias("rn")).filter("rn > 10").drop("rn")
 
 
 @query(f"""WITH {EV} SELECT event_id, round(sum(value) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5, 6) AS smooth FROM ev""")
 def moving_average(spark, sf_dir):
-    return events(spark, sf_dir).select("event_id", F.round(ops.moving_average(BY_TIME, "value", 5), 6).alias("smooth"))
+    return events(spark, sf_dir).select("event_id", F.round(ops.moving_average(by_time(), "value", 5), 6).alias("smooth"))
 
 
 @query(f"""WITH {EV}, c AS (SELECT *, CASE WHEN abs(value - 40) < 5 THEN 0 ELSE value - 40 END AS x FROM ev)
     SELECT event_id, CAST(coalesce(last_value(CASE WHEN x <> 0 THEN sign(x) END IGNORE NULLS) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING), 0) AS DOUBLE) AS sgn FROM c""")
 def sign_ffill(spark, sf_dir):
     x = F.when(F.abs(F.col("value") - 40) < 5, 0.0).otherwise(F.col("value") - 40)
-    return events(spark, sf_dir).withColumn("x", x).select("event_id", ops.sign_filled(BY_TIME, "x").alias("sgn"))
+    return events(spark, sf_dir).withColumn("x", x).select("event_id", ops.sign_filled(by_time(), "x").alias("sgn"))
 
 
 @query(f"""WITH {EV}, c AS (SELECT *, value - 40 AS x FROM ev WHERE abs(value - 40) >= 10), d AS (SELECT drive_id, t, CASE WHEN sign(x) <> lag(sign(x)) {W} THEN 1 ELSE 0 END AS flip FROM c)
     SELECT drive_id, round(sum(flip) / (max(t) - min(t)) * 86400, 6) AS flips_per_day FROM d GROUP BY drive_id HAVING max(t) > min(t)""")
 def sign_flip_rate(spark, sf_dir):
     c = events(spark, sf_dir).withColumn("x", F.col("value") - 40).filter("abs(x) >= 10")
-    flips = c.select("drive_id", "t", F.when(F.signum("x") != F.lag(F.signum("x")).over(BY_TIME), 1).otherwise(0).alias("flip"))
+    flips = c.select("drive_id", "t", F.when(F.signum("x") != F.lag(F.signum("x")).over(by_time()), 1).otherwise(0).alias("flip"))
     out = flips.groupBy("drive_id").agg(F.sum("flip").alias("n"), (F.max("t") - F.min("t")).alias("span")).filter("span > 0")
     return out.select("drive_id", F.round(F.col("n") / F.col("span") * DAY, 6).alias("flips_per_day"))
 
@@ -169,22 +169,22 @@ def sign_flip_rate(spark, sf_dir):
     SELECT event_id, pb, pa FROM d WHERE flip AND pb >= 15 AND pa >= 15""")
 def effective_crossings(spark, sf_dir):
     c = events(spark, sf_dir).withColumn("x", F.col("value") - 40)
-    flip = F.signum("x") != F.lag(F.signum("x")).over(BY_TIME)
-    d = c.select("event_id", flip.alias("flip"), F.max(F.abs("x")).over(BY_TIME.rowsBetween(-5, -1)).alias("pb"), F.max(F.abs("x")).over(BY_TIME.rowsBetween(0, 4)).alias("pa"))
+    flip = F.signum("x") != F.lag(F.signum("x")).over(by_time())
+    d = c.select("event_id", flip.alias("flip"), F.max(F.abs("x")).over(by_time().rowsBetween(-5, -1)).alias("pb"), F.max(F.abs("x")).over(by_time().rowsBetween(0, 4)).alias("pa"))
     return d.filter("flip AND pb >= 15 AND pa >= 15").drop("flip")
 
 
 @query(f"""WITH {EV}, j AS (SELECT *, coalesce(abs(value - lag(value) {W}) > 30, false) AS jump FROM ev)
     SELECT event_id, last_value(CASE WHEN NOT jump THEN value END IGNORE NULLS) OVER (PARTITION BY drive_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS repaired FROM j""")
 def jump_repair(spark, sf_dir):
-    return events(spark, sf_dir).select("event_id", ops.carried_over_jumps(BY_TIME, "value", 30.0).alias("repaired"))
+    return events(spark, sf_dir).select("event_id", ops.carried_over_jumps(by_time(), "value", 30.0).alias("repaired"))
 
 
 @query(f"""WITH {EV}, d AS (SELECT event_id, drive_id, t, row_number() {W} AS rn, count(*) OVER (PARTITION BY drive_id) AS n, max(value) OVER f - min(value) OVER f AS span
     FROM ev WINDOW f AS (PARTITION BY drive_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)) SELECT event_id, span FROM d WHERE rn <= n - 8 AND span > 80""")
 def oscillation_windows(spark, sf_dir):
-    f, v = BY_TIME.rowsBetween(0, 7), F.col("value")
-    d = events(spark, sf_dir).select("event_id", F.row_number().over(BY_TIME).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("drive_id")).alias("n"), (F.max(v).over(f) - F.min(v).over(f)).alias("span"))
+    f, v = by_time().rowsBetween(0, 7), F.col("value")
+    d = events(spark, sf_dir).select("event_id", F.row_number().over(by_time()).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("drive_id")).alias("n"), (F.max(v).over(f) - F.min(v).over(f)).alias("span"))
     return d.filter("rn <= n - 8 AND span > 80").select("event_id", "span")
 
 
@@ -219,7 +219,7 @@ def takeover_interval(spark, sf_dir):
 
 @query(f"""WITH {EV}, d AS (SELECT drive_id, t - lag(t) {W} AS dt, lag(is_auto) {W} AS was FROM ev) SELECT drive_id, round(sum(dt), 6) AS auto_s FROM d WHERE was AND dt > 0 AND dt <= 86400 GROUP BY drive_id""")
 def auto_time_prev_state(spark, sf_dir):
-    d = events(spark, sf_dir).select("drive_id", ops.gap(BY_TIME).alias("dt"), F.lag("is_auto").over(BY_TIME).alias("was"))
+    d = events(spark, sf_dir).select("drive_id", ops.gap(by_time()).alias("dt"), F.lag("is_auto").over(by_time()).alias("was"))
     return d.filter(f"was AND dt > 0 AND dt <= {DAY}").groupBy("drive_id").agg(F.round(F.sum("dt"), 6).alias("auto_s"))
 
 
