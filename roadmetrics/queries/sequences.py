@@ -197,7 +197,7 @@ def ema(spark, sf_dir):
 
 _MODE = f"""b AS (SELECT *, coalesce(is_auto <> lag(is_auto) {W} OR t - lag(t) {W} > 86400, true) AS brk, lead(is_auto) {W} AS next_auto, lead(t) {W} AS next_t FROM ev), {_ISLANDS},
     r AS (SELECT drive_id, island, is_auto, min(t) AS start_ts, max(t) AS end_ts, arg_max(next_auto, (t, event_id)) AS next_auto, arg_max(next_t, (t, event_id)) AS next_t FROM i GROUP BY drive_id, island, is_auto),
-    e AS (SELECT drive_id, next_t AS at, end_ts - start_ts AS prior, end_ts - start_ts >= 3600 AS valid FROM r WHERE is_auto AND NOT next_auto AND next_t - end_ts <= 86400)"""
+    e AS (SELECT drive_id, next_t AS "at", end_ts - start_ts AS prior, end_ts - start_ts >= 3600 AS valid FROM r WHERE is_auto AND NOT next_auto AND next_t - end_ts <= 86400)"""
 
 
 def _takeovers(spark, sf_dir):
@@ -206,12 +206,12 @@ def _takeovers(spark, sf_dir):
     return edges(events(spark, sf_dir), max_gap=DAY, min_prior=HOUR, order=("t", "event_id"))
 
 
-@query(f"WITH {EV}, {_MODE} SELECT drive_id, at, prior, valid FROM e")
+@query(f'WITH {EV}, {_MODE} SELECT drive_id, "at", prior, valid FROM e')
 def takeover_edges(spark, sf_dir):
     return _takeovers(spark, sf_dir).select("drive_id", "at", "prior", "valid")
 
 
-@query(f"""WITH {EV}, {_MODE}, v AS (SELECT drive_id, at - lag(at) OVER (PARTITION BY drive_id ORDER BY at) AS d FROM e WHERE valid) SELECT drive_id, round(avg(d), 6) AS mean_interval FROM v WHERE d <= 864000 GROUP BY drive_id""")
+@query(f"""WITH {EV}, {_MODE}, v AS (SELECT drive_id, "at" - lag("at") OVER (PARTITION BY drive_id ORDER BY "at") AS d FROM e WHERE valid) SELECT drive_id, round(avg(d), 6) AS mean_interval FROM v WHERE d <= 864000 GROUP BY drive_id""")
 def takeover_interval(spark, sf_dir):
     step = F.col("at") - F.lag("at").over(Window.partitionBy("drive_id").orderBy("at"))
     return _takeovers(spark, sf_dir).filter("valid").withColumn("d", step).filter(f"d <= {10 * DAY}").groupBy("drive_id").agg(F.round(F.avg("d"), 6).alias("mean_interval"))
