@@ -86,10 +86,10 @@ def occurrences(block: TestBlock, words: np.ndarray, of_row: np.ndarray) -> tupl
     place[place == len(block.vocabulary)] = 0
     numbers = np.where(block.vocabulary[place] == words, place + 1, 0).astype(np.uint32)
     n, shortest = len(numbers), int(block.lengths.min())
-    # How many test words follow from each place on, up to the row's end.
+    # How many test words follow from each place on, up to the row's end (a row's first place is the end of the row before).
     stop = np.unique(np.concatenate([np.flatnonzero(numbers == 0), of_row[1:]]))
     starts = np.arange(n)
-    known = stop[np.searchsorted(stop, starts)] - starts if n else starts
+    known = np.where(numbers == 0, 0, stop[np.searchsorted(stop, starts, "right")] - starts) if n else starts
     starts = starts[known >= shortest]
     known = known[starts]
     if not len(starts):
