@@ -1,19 +1,26 @@
 """LM scoring with a probabilistic suffix tree over words.
 
 A text is its words (lower-cased A-Z) and one end; the symbol before a text is the end. Contexts are the last one to
-three symbols. A context is retained if it makes up at least ``least_share`` of the training tokens and if its
-next-symbol distribution diverges from its suffix's: the leave-one-out log likelihood gain over the suffix, added up
-over the blocks of the corpus, must reach ``divergence`` nats. The shares bound the tree at 3 / least_share contexts at any corpus size,
-and each keeps the successors that make up at least ``least_next`` of it and ``least_pair_share`` of the training tokens,
-which bounds what is sent out at 3 / least_pair_share successors. Counts are smoothed by absolute discounting, and what
-is discounted goes, with the mass of the successors that are not kept, to the suffix's distribution, the root's (words alone, never cut) into one symbol for
-all unknown words, as the base has it; the discount is estimated from the words that occur once and twice. Each symbol
-is predicted by the longest suffix of its history that is retained.
-
-Word counts exceed any one machine: texts are read in blocks, each block sends its distinct words (64-bit hashes) by
-hash bucket with their training counts; a bucket adds up the blocks' counts and answers each block, and the block
-scores its documents. The number of buckets follows the corpus size, so no task receives more than a bounded share, and
-a word that makes up a third of all tokens is one entry per block.
+three symbols. A context is retained if its next-symbol distribution over all training rows diverges from its suffix's:
+the leave-one-out log likelihood gain of its counts over the suffix's must reach ``divergence`` nats (so a context seen
+once, of which nothing is left, is not). Nothing else is cut: the tree grows with the corpus. Counts are smoothed by
+absolute discounting, and what is discounted goes to the suffix's distribution, the root's (words alone) into one symbol
+for all unknown words, as the base has it; the discount is estimated from the words that occur once and twice. Each
+symbol is predicted by the longest suffix of its history that is retained.
+
+Neither word counts nor the tree fit on one machine, so both are exchanged, never collected or broadcast:
+
+1. texts are read in blocks; each sends its distinct words (64-bit hashes) by hash bucket with their training counts; a
+   bucket adds up the blocks' counts and answers each block;
+2. each block sends its distinct (context of three, symbol) with their training counts and the words' counts, by the
+   hash of the last word and the symbol: what a bucket adds up are the counts of the pairs of all three depths, and no
+   frequent word or context fills a bucket;
+3. buckets send each context's part of size and distinct successors by the context's hash, where they are added up and
+   sent back; then, in the same way, its part of the gain, for which the verdict comes back;
+4. buckets work out the probability of each (context, symbol), answer each block, and the block scores its documents.
+
+The number of buckets follows the corpus size, so no task receives more than a bounded share, and a word that makes up
+a third of all tokens is one entry per block and neighbouring word.
 
 Edge cases: null text is empty, and an empty text is one end token; with no training rows every symbol is unknown and
 scores 0; rows that repeat are scored alike; null doc_ids are never held out; an empty table gives an empty result;
@@ -27,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +44,19 @@ DEPTH = 3
 END = np.uint64(0x5851F42D4C957F2D)
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 64 << 20
-LOCAL_DISCOUNT = 0.7
-#: 48 bits: among 10^9 pairs some two thousand share their hash with another.
-PAIR_BYTES = 6
-WORDS, DOCS, CONTEXTS = 0, 1, 2
-BLOCKS = "block string, kind int, bucket int, a binary, b binary, c binary, ids array<bigint>, tokens array<bigint>"
+GRAM_BUCKET_BYTES = 8 << 20
+TEST_DISCOUNT = 0.7
+#: 48 bits: among 10^9 keys some two thousand share their hash with another.
+KEY_BYTES = 6
+WORDS, DOCS, FACTS, GRAMS = 0, 1, 2, 3
+TREE, PLACES, SIZES, VERDICTS = 4, 5, 6, 7
+BLOCKS = "block string, kind int, bucket int, a binary, b binary, ids array<bigint>, tokens array<bigint>"
 _BLOCKS = pa.schema(
-    [("block", pa.string()), ("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]
+    [("block", pa.string()), ("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]
 )
+#: Rows of the exchanges: of a bucket, from or to a block, or from or to a bucket of contexts (place).
+PARTS = "kind int, bucket int, block string, place int, " + ", ".join(f"{c} binary" for c in "abcdefgh")
+_PARTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.string()), ("place", pa.int32()), *((c, pa.binary()) for c in "abcdefgh")])
 
 
 def is_held(ids: list) -> np.ndarray:
@@ -85,18 +98,27 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def pair_of(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """A hash of PAIR_BYTES bytes for a context and its next symbol."""
-    return mix(context * np.uint64(5) + symbol) >> np.uint64(64 - 8 * PAIR_BYTES)
+def small_to_bytes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, most of them small, as compressed planes, and how many they are."""
+    return len(numbers).to_bytes(8, "little") + packed(numbers)
 
 
-def pairs_to_bytes(pairs: np.ndarray) -> bytes:
-    return np.ascontiguousarray(pairs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PAIR_BYTES]).tobytes()
+def small_from_bytes(data) -> np.ndarray:
+    data = memoryview(data)
+    return unpacked(data[8:], int.from_bytes(data[:8], "little"))
 
 
-def pairs_from_bytes(data) -> np.ndarray:
-    out = np.zeros((len(data) // PAIR_BYTES, 8), np.uint8)
-    out[:, :PAIR_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, PAIR_BYTES)
+def short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - 8 * KEY_BYTES)
+
+
+def keys_to_bytes(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def keys_from_bytes(data) -> np.ndarray:
+    out = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
     return out.view("<u8").ravel()
 
 
@@ -108,34 +130,42 @@ def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(c[order], first) if len(first) else c for c in counts)
 
 
-def local_gains(symbols: np.ndarray, offsets: np.ndarray, least_share: float, least_count: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts of one block with a positive leave-one-out gain over their suffix: hashes, counts, gains in nats."""
-    found = [(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))]
-    n = len(symbols)
-    if n < 2:
-        return found[0]
-    _, word, times = np.unique(symbols, return_inverse=True, return_counts=True)
-    types = len(times)
-    p = (np.maximum(times[word] - 1 - LOCAL_DISCOUNT, 0) + LOCAL_DISCOUNT * types / n) / (n - 1)
-    least = max(least_count, least_share * n)
-    for context in contexts_of(symbols, offsets):
-        keys, inverse, size = np.unique(context, return_inverse=True, return_counts=True)
-        often = (size >= least) & (keys != 0)
-        at = np.flatnonzero(often[inverse])
-        if not len(at):
-            break
-        pairs, pair, count = np.unique(pair_of(context[at], symbols[at]), return_inverse=True, return_counts=True)
-        group = inverse[at]
-        first = np.zeros(len(pairs), np.int64)
-        first[pair] = group
-        kinds = np.bincount(first, minlength=len(keys))
-        own = (np.maximum(count[pair] - 1 - LOCAL_DISCOUNT, 0) + LOCAL_DISCOUNT * kinds[group] * p[at]) / (size[group] - 1)
-        gain = np.bincount(group, np.log(np.maximum(own, 1e-300) / p[at]), minlength=len(keys))
-        keep = often & (gain > 0)
-        found.append((keys[keep], size[keep].astype(float), gain[keep]))
-        better = keep[group]
-        p[at[better]] = own[better]
-    return tuple(np.concatenate(x) for x in zip(*found))
+class Grams:
+    """The distinct (context of three, symbol) of a block in the order of their buckets, within these of the last word
+    and the symbol, and of the context of two. Level 0 are (last word, symbol), 1 and 2 add a word before them each."""
+
+    def __init__(self, symbols: np.ndarray, offsets: np.ndarray, buckets: int):
+        contexts = [short(c) for c in contexts_of(symbols, offsets)]
+        pair = short(mix(contexts[0] * np.uint64(5) + symbols))
+        two = mix(pair * np.uint64(3) + contexts[1])
+        three = mix(two * np.uint64(3) + contexts[2])
+        _, at, self.of_token = np.unique(three, return_index=True, return_inverse=True)
+        bucket = (pair[at] % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((two[at], pair[at], bucket))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.of_token, at = rank[self.of_token], at[order]
+        self.edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        self.symbol, self.keys, self.contexts = at, (pair[at], two[at]), [c[at] for c in contexts]
+
+    def rows(self, block: str, trained: np.ndarray, words: np.ndarray) -> Iterator[dict]:
+        """Per bucket: of each level the contexts and how many of the next level follow each; pairs, counts of their
+        symbols in the corpus, and the training counts of the last level."""
+        for b in range(len(self.edges) - 1):
+            lo, hi = int(self.edges[b]), int(self.edges[b + 1])
+            if lo == hi:
+                continue
+            pair, two = (k[lo:hi] for k in self.keys)
+            new = np.concatenate([[True], pair[1:] != pair[:-1]])
+            first = np.flatnonzero(new)
+            second = np.flatnonzero(new | np.concatenate([[True], two[1:] != two[:-1]]))
+            twos = np.diff(np.append(np.searchsorted(second, first), len(second)))
+            threes = np.diff(np.append(second, hi - lo))
+            one, other, third = (c[lo:hi] for c in self.contexts)
+            yield {
+                "kind": GRAMS, "bucket": b, "block": block, "a": keys_to_bytes(pair[first]), "b": keys_to_bytes(one[first]), "c": words[lo:hi][first].astype(np.float32).tobytes(),
+                "d": small_to_bytes(twos), "e": keys_to_bytes(other[second]), "f": small_to_bytes(threes), "g": keys_to_bytes(third), "h": small_to_bytes(trained[lo:hi]),
+            }
 
 
 class _Block:
@@ -151,7 +181,7 @@ class _Block:
         self.lengths.append(np.diff(offsets))
         self.bytes += batch.column("text").nbytes
 
-    def close(self, buckets: int, least_share: float) -> Iterator[dict]:
+    def close(self, buckets: int) -> Iterator[dict]:
         symbols, lengths, held = (np.concatenate(x) for x in (self.symbols, self.lengths, self.held))
         learn = np.repeat(~held, lengths)
         vocabulary, word, times = np.unique(symbols, return_inverse=True, return_counts=True)
@@ -168,12 +198,6 @@ class _Block:
                 own = order[edges[b] : edges[b + 1]]
                 yield {"kind": WORDS, "bucket": b, "a": vocabulary[own].tobytes(), "b": trained[own].tobytes()}
         yield {"kind": DOCS, "bucket": -1, "a": packed(word), "b": vocabulary.tobytes(), "ids": self.ids, "tokens": lengths.tolist()}
-        if learn.any():
-            keys, sizes, gains = local_gains(symbols[learn], np.concatenate([[0], np.cumsum(lengths[~held])]), least_share)
-            bucket = (keys % np.uint64(buckets)).astype(np.int64)
-            for b in np.unique(bucket).tolist():
-                own = bucket == b
-                yield {"kind": CONTEXTS, "bucket": b, "a": keys[own].tobytes(), "b": sizes[own].tobytes(), "c": gains[own].tobytes()}
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
@@ -193,10 +217,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
         yield block
 
 
-def _read_blocks(buckets: int, least_share: float):
+def _read_blocks(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            for row in block.close(buckets, least_share):
+            for row in block.close(buckets):
                 yield pa.RecordBatch.from_pylist([row | {"block": block.name}], schema=_BLOCKS)
 
     return run
@@ -216,127 +240,176 @@ def _answer_words(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": pa.array([*blocks, None], pa.string()),
-            "kind": pa.array([WORDS] * len(blocks) + [CONTEXTS], pa.int32()),
+            "kind": pa.array([WORDS] * len(blocks) + [FACTS], pa.int32()),
             "bucket": pa.array([table["bucket"][0].as_py()] * (len(blocks) + 1), pa.int32()),
             "a": pa.array([*answers, facts.tobytes()], pa.binary()),
         }
     )
 
 
-def _retained(least: float, divergence: float):
+def _parts(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=_PARTS)
+
+
+def _block_of(table: pa.Table, buckets: int) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's documents, vocabulary, words (numbers in it), training counts of the vocabulary, offsets."""
+    answers, docs = table.filter(pc.equal(table["kind"], WORDS)), table.filter(pc.equal(table["kind"], DOCS)).to_pylist()[0]
+    lengths, vocabulary = np.array(docs["tokens"], np.int64), np.frombuffer(docs["b"], np.uint64)
+    bucket = (mix(vocabulary) % np.uint64(buckets)).astype(np.int64)
+    count = np.zeros(len(vocabulary))
+    for b, part in zip(answers["bucket"].to_pylist(), _numbers(answers["a"], np.uint64)):
+        count[bucket == b] = part
+    return docs, vocabulary, unpacked(docs["a"], int(lengths.sum())), count, np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _send_grams(buckets: int, gram_buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        keys, sizes, gains = summed(*(np.concatenate(_numbers(table[c], k)) for c, k in (("a", np.uint64), ("b", np.float64), ("c", np.float64))))
-        keep = (sizes >= least) & (gains >= divergence)
-        return pa.table({"a": pa.array([keys[keep].tobytes()], pa.binary()), "b": pa.array([sizes[keep].tobytes()], pa.binary())})
+        docs, vocabulary, word, count, offsets = _block_of(table, buckets)
+        grams = Grams(vocabulary[word], offsets, gram_buckets)
+        learn = np.repeat(~is_held(docs["ids"]), np.diff(offsets))
+        trained = np.bincount(grams.of_token[learn], minlength=len(grams.symbol))
+        return _parts(list(grams.rows(docs["block"], trained, count[word[grams.symbol]])))
 
     return run
 
 
-def _count_next(broadcast, buckets: int):
-    """(context, symbol) counts of the retained contexts in each block, by the pair's hash bucket, which no frequent
-    context can fill: a are the numbers of the contexts, b how many pairs of each follow in c, d the pairs' counts."""
-    schema = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in "abcd")])
+def _merge_grams(buckets: int):
+    """Per bucket: one row with the counts of all levels, their parents and contexts (TREE), one per block with the
+    places of its grams (PLACES), one per bucket of contexts with these and their sizes and successors (SIZES)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        retained = broadcast.value
-        for block in _blocks(batches):
-            symbols, lengths, held = (np.concatenate(x) for x in (block.symbols, block.lengths, block.held))
-            symbols, lengths = symbols[np.repeat(~held, lengths)], lengths[~held]
-            found = []
-            for context in contexts_of(symbols, np.concatenate([[0], np.cumsum(lengths)])):
-                at = np.searchsorted(retained, context)
-                at[at == len(retained)] = 0
-                inside = retained[at] == context
-                pairs, first, count = np.unique(pair_of(context[inside], symbols[inside]), return_index=True, return_counts=True)
-                found.append((at[inside][first], pairs, count))
-            contexts, pairs, counts = (np.concatenate(x) for x in zip(*found))
-            bucket = (pairs % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((contexts, bucket))
-            contexts, pairs, counts = contexts[order], pairs[order], counts[order]
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in range(buckets):
-                own = slice(edges[b], edges[b + 1])
-                if edges[b] < edges[b + 1]:
-                    numbers, length = np.unique(contexts[own], return_counts=True)
-                    columns = (numbers.astype(np.uint32).tobytes(), length.astype(np.uint32).tobytes(), pairs_to_bytes(pairs[own]), counts[own].astype(np.uint32).tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)], schema=schema)
+    def run(table: pa.Table) -> pa.Table:
+        keys = lambda c: np.concatenate([keys_from_bytes(x.as_buffer()) for x in table[c]])
+        small = lambda c: [small_from_bytes(x.as_buffer()) for x in table[c]]
+        trained = small("h")
+        pair, others, thirds = keys("a"), keys("e"), keys("g")
+        up_two = np.repeat(np.arange(len(pair)), np.concatenate(small("d")))
+        up_three = np.repeat(np.arange(len(others)), np.concatenate(small("f")))
+        two = mix(pair[up_two] * np.uint64(3) + others)
+        _, at, of_pair = np.unique(pair, return_index=True, return_inverse=True)
+        contexts, words = [keys("b")[at]], np.concatenate(_numbers(table["c"], np.float32))[at]
+        _, at, of_two = np.unique(two, return_index=True, return_inverse=True)
+        contexts.append(others[at])
+        parent_two = of_pair[up_two[at]]
+        _, at, of_three = np.unique(mix(two[up_three] * np.uint64(3) + thirds), return_index=True, return_inverse=True)
+        contexts.append(thirds[at])
+        parent_three = of_two[up_three[at]]
+        counts = [np.bincount(of_three, np.concatenate(trained), minlength=len(at))]
+        counts.insert(0, np.bincount(parent_three, counts[0], minlength=len(parent_two)))
+        counts.insert(0, np.bincount(parent_two, counts[0], minlength=len(words)))
+        count = np.concatenate(counts)
+        known, of_context = np.unique(np.concatenate(contexts), return_inverse=True)
+        place = (known % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        known, of_context = known[order], rank[of_context]
+        edges = np.searchsorted(place[order], np.arange(buckets + 1))
+        size, kinds = np.bincount(of_context, count).astype(np.uint32), np.bincount(of_context, count > 0).astype(np.uint32)
+        bucket = table["bucket"][0].as_py()
+        rows = [{"kind": TREE, "bucket": bucket, "a": words.tobytes(), "b": small_to_bytes(parent_two), "c": small_to_bytes(parent_three), "d": small_to_bytes(count), "e": small_to_bytes(of_context), "f": keys_to_bytes(known)}]
+        lengths = np.cumsum([len(x) for x in trained])
+        rows += [{"kind": PLACES, "bucket": bucket, "block": b, "a": small_to_bytes(p)} for b, p in zip(table["block"].to_pylist(), np.split(of_three, lengths[:-1]))]
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            own = slice(edges[b], edges[b + 1])
+            rows.append({"kind": SIZES, "bucket": bucket, "place": b, "a": keys_to_bytes(known[own]), "b": small_to_bytes(size[own]), "c": small_to_bytes(kinds[own])})
+        return _parts(rows)
+
+    return run
+
+
+def _add_sizes(table: pa.Table) -> pa.Table:
+    """The contexts' sizes and distinct successors over all buckets, sent back to each."""
+    asked = [keys_from_bytes(x.as_buffer()) for x in table["a"]]
+    keys, size, kinds = summed(np.concatenate(asked), *(np.concatenate([small_from_bytes(x.as_buffer()) for x in table[c]]).astype(np.uint64) for c in "bc"))
+    rows = []
+    for bucket, own in zip(table["bucket"].to_pylist(), asked):
+        at = np.searchsorted(keys, own)
+        rows.append({"kind": SIZES, "bucket": bucket, "place": table["place"][0].as_py(), "a": small_to_bytes(size[at]), "b": small_to_bytes(kinds[at])})
+    return _parts(rows)
+
+
+def _add_gains(divergence: float):
+    def run(table: pa.Table) -> pa.Table:
+        asked = [keys_from_bytes(x.as_buffer()) for x in table["a"]]
+        keys, gain = summed(np.concatenate(asked), np.concatenate(_numbers(table["b"], np.float64)))
+        keep, place = gain >= divergence, table["place"][0].as_py()
+        return _parts([{"kind": VERDICTS, "bucket": b, "place": place, "a": np.packbits(keep[np.searchsorted(keys, own)]).tobytes()} for b, own in zip(table["bucket"].to_pylist(), asked)])
+
+    return run
+
+
+class _Tree:
+    """A bucket's part of the tree: per level counts, contexts (numbers) and parents; sizes and successors of contexts."""
+
+    def __init__(self, table: pa.Table, buckets: int):
+        tree = table.filter(pc.equal(table["kind"], TREE)).to_pylist()[0]
+        read = lambda c: small_from_bytes(tree[c])
+        self.bucket, self.words, self.contexts = tree["bucket"], np.frombuffer(tree["a"], np.float32).astype(float), keys_from_bytes(tree["f"])
+        self.parents = [read("b").astype(np.int64), read("c").astype(np.int64)]
+        cuts = np.cumsum([len(self.words), len(self.parents[0])])
+        self.counts, self.of_context = np.split(read("d").astype(float), cuts), np.split(read("e").astype(np.int64), cuts)
+        sizes = table.filter(pc.equal(table["kind"], SIZES)).sort_by("place")
+        self.size, self.kinds = (np.concatenate([small_from_bytes(x.as_buffer()) for x in sizes[c]]).astype(float) for c in "ab")
+        self.tested = (self.size > 1) & (self.contexts != 0)
+        self.place = (self.contexts % np.uint64(buckets)).astype(np.int64)
+
+    def levels(self):
+        """Per level: its counts, the numbers of its contexts, and the parents of its entries (none for the first)."""
+        return zip(self.counts, self.of_context, [slice(None), *self.parents])
+
+
+def _gains(total: int, distinct: int, buckets: int):
+    """Each bucket's part of the contexts' leave-one-out gains over their suffixes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tree = _Tree(table, buckets)
+        gain = np.zeros(len(tree.contexts))
+        p = (np.maximum(tree.words - 1 - TEST_DISCOUNT, 0) + TEST_DISCOUNT * distinct / total) / max(total - 1, 1) if total else np.ones(len(tree.words))
+        for count, context, parent in tree.levels():
+            p = p[parent]
+            own = (np.maximum(count - 1 - TEST_DISCOUNT, 0) + TEST_DISCOUNT * tree.kinds[context] * p) / np.maximum(tree.size[context] - 1, 1)
+            own = np.where(tree.tested[context] & (count > 0), own, p)
+            gain += np.bincount(context, count * np.log(np.maximum(own, 1e-300) / p), minlength=len(gain))
+            p = own
+        rows = []
+        for b in np.unique(tree.place[tree.tested]).tolist():
+            own = tree.tested & (tree.place == b)
+            rows.append({"kind": VERDICTS, "bucket": tree.bucket, "place": b, "a": keys_to_bytes(tree.contexts[own]), "b": gain[own].tobytes()})
+        return _parts(rows)
 
     return run
 
 
-def _distributions(least_next: float, least_count: float, sizes: np.ndarray):
-    """Per bucket: each context's counted symbols, those of the kept successors and their number, and the kept pairs."""
+def _answer_grams(total: int, distinct: int, discount: float, buckets: int):
+    """To each block the log10 probabilities of its grams: each by the longest suffix of its context that is retained."""
 
     def run(table: pa.Table) -> pa.Table:
-        contexts = np.concatenate([np.repeat(n, k) for n, k in zip(_numbers(table["a"], np.uint32), _numbers(table["b"], np.uint32))])
-        pairs, counts = np.concatenate([pairs_from_bytes(x.as_buffer()) for x in table["c"]]), np.concatenate(_numbers(table["d"], np.uint32)).astype(np.uint64)
-        order = np.argsort(pairs, kind="stable")
-        contexts, pairs, counts = contexts[order], pairs[order], counts[order]
-        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-        contexts, pairs, counts = contexts[first], pairs[first], np.add.reduceat(counts, first)
-        keep = counts >= np.maximum(least_next * sizes[contexts], least_count)
-        keys, size, kept_size, kept_kinds = summed(contexts, counts, counts * keep, keep.astype(np.uint64))
-        columns = {"a": keys, "b": size, "c": kept_size, "d": kept_kinds, "e": pairs[keep], "f": counts[keep].astype(np.uint32)}
-        return pa.table({c: pa.array([x.tobytes()], pa.binary()) for c, x in columns.items()})
+        tree = _Tree(table, buckets)
+        retained = np.zeros(len(tree.contexts), bool)
+        for verdict in table.filter(pc.equal(table["kind"], VERDICTS)).to_pylist():
+            own = np.flatnonzero(tree.tested & (tree.place == verdict["place"]))
+            retained[own] = np.unpackbits(np.frombuffer(verdict["a"], np.uint8), count=len(own)).astype(bool)
+        p = np.where(tree.words > 0, (tree.words - discount) / max(total, 1), discount * distinct / total if total else 1.0)
+        for count, context, parent in tree.levels():
+            p = p[parent]
+            p = np.where(retained[context], (np.maximum(count - discount, 0) + discount * tree.kinds[context] * p) / np.maximum(tree.size[context], 1), p)
+        score = np.log10(p).astype(np.float32)
+        places = table.filter(pc.equal(table["kind"], PLACES))
+        return _parts([{"kind": GRAMS, "bucket": tree.bucket, "block": b, "a": score[p].tobytes()} for b, p in zip(places["block"].to_pylist(), (small_from_bytes(x.as_buffer()) for x in places["a"]))])
 
     return run
 
 
-class SuffixTree:
-    """The retained contexts with their sizes, and the counts of the kept successors."""
-
-    def __init__(self, contexts: np.ndarray):
-        self.contexts = contexts
-        self.size, self.kept_size, self.kept_kinds = (np.zeros(len(contexts)) for _ in range(3))
-        self.pairs, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-
-    def add_up(self, parts: Iterator[tuple[np.ndarray, ...]]) -> SuffixTree:
-        pairs, counts = [self.pairs], [self.counts]
-        for numbers, size, kept_size, kept_kinds, pair, count in parts:
-            self.size[numbers] += size
-            self.kept_size[numbers] += kept_size
-            self.kept_kinds[numbers] += kept_kinds
-            pairs.append(pair)
-            counts.append(count)
-        pairs, counts = np.concatenate(pairs), np.concatenate(counts)
-        order = np.argsort(pairs)
-        self.pairs, self.counts = pairs[order], counts[order]
-        return self
-
-    def log10(self, symbols: np.ndarray, offsets: np.ndarray, root: np.ndarray, discount: float) -> np.ndarray:
-        """log10 probability of each symbol, given the root's probability of it."""
-        p = root.copy()
-        if len(self.contexts):
-            for context in contexts_of(symbols, offsets):
-                at = np.searchsorted(self.contexts, context)
-                at[at == len(self.contexts)] = 0
-                inside = np.flatnonzero(self.contexts[at] == context)
-                at = at[inside]
-                pair = pair_of(context[inside], symbols[inside])
-                where = np.searchsorted(self.pairs, pair)
-                where[where == len(self.pairs)] = 0
-                count = np.where(self.pairs[where] == pair, self.counts[where], 0).astype(float) if len(self.pairs) else np.zeros(len(pair))
-                spare = self.size[at] - self.kept_size[at] + discount * self.kept_kinds[at]
-                p[inside] = (np.maximum(count - discount, 0) + spare * p[inside]) / self.size[at]
-        return np.log10(p)
-
-
-def _score_block(broadcast, total: int, distinct: int, discount: float, buckets: int):
+def _score_block(total: int, distinct: int, buckets: int, gram_buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        kinds = np.array(table["kind"].to_pylist())
-        answers = table.filter(pa.array(kinds == WORDS))
-        docs = table.filter(pa.array(kinds == DOCS)).to_pylist()[0]
-        lengths, vocabulary = np.array(docs["tokens"]), np.frombuffer(docs["b"], np.uint64)
-        word = unpacked(docs["a"], int(lengths.sum()))
-        bucket = (mix(vocabulary) % np.uint64(buckets)).astype(np.int64)
-        count = np.zeros(len(vocabulary))
-        for b, part in zip(answers["bucket"].to_pylist(), _numbers(answers["a"], np.uint64)):
-            count[bucket == b] = part
-        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        docs, vocabulary, word, count, offsets = _block_of(table, buckets)
+        grams = Grams(vocabulary[word], offsets, gram_buckets)
+        known = np.zeros(len(grams.symbol))
+        answers = table.filter(pc.equal(table["kind"], GRAMS))
+        for b, part in zip(answers["bucket"].to_pylist(), _numbers(answers["a"], np.float32)):
+            known[grams.edges[b] : grams.edges[b + 1]] = part
         base = np.log10(count + 1) - np.log10(total + distinct + 1)
-        unknown = discount * distinct / total if total else 1.0
-        root = np.where(count > 0, (count - discount) / max(total, 1), unknown)
-        score = broadcast.value.log10(vocabulary[word], offsets, root[word], discount)
+        lengths = np.diff(offsets)
         add = lambda x: np.add.reduceat(x, offsets[:-1])
         return pa.table(
             {
@@ -346,43 +419,34 @@ def _score_block(broadcast, total: int, distinct: int, discount: float, buckets:
                 "n_known": pa.array(add((count > 0)[word].astype(np.int64))),
                 "train_tokens": pa.array(np.full(len(lengths), total, np.int64)),
                 "base_score": pa.array(add(base[word])),
-                "score": pa.array(add(score)),
+                "score": pa.array(add(known[grams.of_token])),
             }
         )
 
     return run
 
 
-def fit_tree(text: DataFrame, blocks: DataFrame, total: int, buckets: int, least_share: float, least_next: float, least_pair_share: float, divergence: float) -> SuffixTree:
-    gains = blocks.filter(F.col("kind") == CONTEXTS).groupBy("bucket").applyInArrow(_retained(least_share * total, divergence), "a binary, b binary")
-    rows = [(np.frombuffer(r.a, np.uint64), np.frombuffer(r.b, np.float64)) for r in gains.toLocalIterator()]
-    retained, sizes = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.uint64), np.zeros(0))
-    order = np.argsort(retained)
-    retained, sizes = retained[order], sizes[order]
-    tree = SuffixTree(retained)
-    if not len(retained):
-        return tree
-    sent = text.sparkSession.sparkContext.broadcast(retained)
-    counted = text.mapInArrow(_count_next(sent, buckets), "bucket int, a binary, b binary, c binary, d binary")
-    found = counted.groupBy("bucket").applyInArrow(_distributions(least_next, least_pair_share * total, sizes), "a binary, b binary, c binary, d binary, e binary, f binary")
-    kinds = dict(a=np.uint32, b=np.uint64, c=np.uint64, d=np.uint64, e=np.uint64, f=np.uint32)
-    return tree.add_up(tuple(np.frombuffer(r[c], k) for c, k in kinds.items()) for r in found.toLocalIterator())
-
-
-def score_documents(docs: DataFrame, least_share: float = 2e-6, least_next: float = 1e-3, least_pair_share: float = 2e-7, divergence: float = 20.0) -> DataFrame:
+def score_documents(docs: DataFrame, divergence: float = 20.0) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    context = docs.sparkSession.sparkContext
     text = no_clash(docs, "doc_id", "text")
-    size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(max(8, -(-size // BUCKET_BYTES)))
-    blocks = materialize(text.mapInArrow(_read_blocks(buckets, least_share), BLOCKS), "lm-blocks")
+    bytes_ = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets, gram_buckets = (int(max(8, -(-bytes_ // b))) for b in (BUCKET_BYTES, GRAM_BUCKET_BYTES))
+    blocks = materialize(text.mapInArrow(_read_blocks(buckets), BLOCKS), "lm-blocks")
     words = blocks.filter(F.col("kind") == WORDS).select("block", "bucket", "a", "b")
     answers = materialize(words.groupBy("bucket").applyInArrow(_answer_words, "block string, kind int, bucket int, a binary"), "lm-answers")
-    facts = [np.frombuffer(r.a, np.uint64) for r in answers.filter(F.col("kind") == CONTEXTS).select("a").toLocalIterator()]
+    facts = [np.frombuffer(r.a, np.uint64) for r in answers.filter(F.col("kind") == FACTS).select("a").toLocalIterator()]
     total, distinct, once, twice = (int(sum(int(f[i]) for f in facts)) for i in range(4))
     discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
-    tree = context.broadcast(fit_tree(text, blocks, total, buckets, least_share, least_next, least_pair_share, divergence))
     own = blocks.filter(F.col("kind") == DOCS).select("block", "kind", "bucket", "a", "b", "ids", "tokens")
     together = own.unionByName(answers.filter(F.col("kind") == WORDS), allowMissingColumns=True)
+    grams = together.groupBy("block").applyInArrow(_send_grams(buckets, gram_buckets), PARTS)
+    tree = materialize(grams.groupBy("bucket").applyInArrow(_merge_grams(gram_buckets), PARTS), "lm-tree")
+    sizes = materialize(tree.filter(F.col("kind") == SIZES).groupBy("place").applyInArrow(_add_sizes, PARTS), "lm-sizes")
+    sized = tree.filter(F.col("kind") == TREE).unionByName(sizes)
+    gains = sized.groupBy("bucket").applyInArrow(_gains(total, distinct, gram_buckets), PARTS)
+    verdicts = gains.groupBy("place").applyInArrow(_add_gains(divergence), PARTS)
+    judged = tree.filter(F.col("kind").isin(TREE, PLACES)).unionByName(sizes).unionByName(verdicts)
+    scores = judged.groupBy("bucket").applyInArrow(_answer_grams(total, distinct, discount, gram_buckets), PARTS)
+    together = together.unionByName(scores.select("block", "kind", "bucket", "a"), allowMissingColumns=True)
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return together.groupBy("block").applyInArrow(_score_block(tree, total, distinct, discount, buckets), schema)
+    return together.groupBy("block").applyInArrow(_score_block(total, distinct, buckets, gram_buckets), schema)

@@ -128,6 +128,56 @@ def test_suffix_tree_base_and_gain(spark):
     assert long and all(r.score > 0.5 * r.base_score for r in long)
 
 
+def tree_by_brute_force(texts, held, divergence, test=0.7):
+    """Scores by dictionaries over the pooled counts of all training texts."""
+    rows = [[None, *t.split(), None] for t in texts]
+    ends = lambda ts, i: [tuple(ts[i - d : i]) for d in (1, 2, 3) if d <= i]
+    words, pairs, succ = Counter(), Counter(), {}
+    for r, ts in enumerate(rows):
+        for i in range(1, len(ts)):
+            if not held(r):
+                words[ts[i]] += 1
+                for c in ends(ts, i):
+                    pairs[c, ts[i]] += 1
+                    succ.setdefault(c, set()).add(ts[i])
+    total, size = sum(words.values()), Counter()
+    for (c, _), n in pairs.items():
+        size[c] += n
+    gain, seen = Counter(), list(words.values())
+    once, twice = seen.count(1), seen.count(2)
+    discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    for r, ts in enumerate(rows):
+        for i in range(1, len(ts)):
+            if not held(r):
+                p = (max(words[ts[i]] - 1 - test, 0) + test * len(words) / total) / (total - 1)
+                for c in ends(ts, i):
+                    if size[c] > 1:
+                        own = (max(pairs[c, ts[i]] - 1 - test, 0) + test * len(succ[c]) * p) / (size[c] - 1)
+                        gain[c] += math.log(own / p)
+                        p = own
+    out = []
+    for ts in rows:
+        out.append(0.0)
+        for i in range(1, len(ts)):
+            p = (words[ts[i]] - discount) / total if words[ts[i]] else discount * len(words) / total
+            for c in ends(ts, i):
+                if size[c] > 1 and gain[c] >= divergence:
+                    p = (max(pairs[c, ts[i]] - discount, 0) + discount * len(succ[c]) * p) / size[c]
+            out[-1] += math.log10(p)
+    return out
+
+
+@pytest.mark.parametrize("divergence", [20.0, 3.0])
+def test_suffix_tree_against_brute_force(spark, divergence):
+    """One document a partition, so that contexts are frequent in all but rare, or without gain, in each block."""
+    r = random.Random(5)
+    texts = [" ".join(w for _ in range(4) for w in (*r.choice((("lot", "of", "salt"), ("pot", "of", "soup"))), *r.sample(WORDS, 3))) for _ in range(90)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    want = tree_by_brute_force(texts, held, divergence)
+    got = suffix_tree_lm.score_documents(docs(spark, texts).repartition(90, "doc_id"), divergence=divergence).collect()
+    assert [round(x.score, 3) for x in sorted(got, key=lambda x: x.doc_id)] == [round(x, 3) for x in want]
+
+
 @pytest.mark.parametrize("score,label,least", [(quality.score_quality, "quality", 0.8), (toxicity.score_toxicity, "toxic", 0.8)])
 def test_held_out_accuracy(spark, score, label, least):
     read = lambda t: spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet")
