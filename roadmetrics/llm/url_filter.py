@@ -1,8 +1,10 @@
 """URL judging: explicit host/path rules first, then host word segmentation and multinomial naive Bayes.
 
-Concatenated host names are split into words by unigram Viterbi. The unigram counts come from the letter runs of all
-urls; words below a share of ``least_share`` of all runs are left to the model of unknown words, so that at most
-1 / least_share words exist at any corpus size, which bounds what is sent to the executors. A multinomial naive Bayes
+Concatenated host names are split into words by unigram Viterbi. A word's count is the number of distinct hosts that
+have it, in the host or in a path, so it does not depend on how many pages a host has; a path does not count for the
+words of its own host, and a run of a host that splits into known words is no word itself. Words below a share of
+``least_share`` of all counts are left to the model of unknown words, so that at most 1 / least_share words exist at any
+corpus size, which bounds what is sent to the executors. A multinomial naive Bayes
 over the segmented host tokens and the path tokens, fitted on the seed words below, gives the verdict where no rule
 fits.
 
@@ -68,24 +70,45 @@ def rule_verdict(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def word_counts(urls: DataFrame, least_share: float = 1e-5) -> dict[str, int]:
-    """Counts of the letter runs of all hosts and paths, without those below the share: 1 / least_share words at most."""
-    lower = F.lower(F.concat_ws("/", "host", "path"))
-    counts = urls.select(F.explode(F.regexp_extract_all(lower, F.lit(f"({LETTERS})"), 1)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def word_counts(urls: DataFrame, least_share: float = 1e-5) -> tuple[dict[str, int], dict[str, int]]:
+    """On how many distinct hosts each letter run stands in a path of another name, and in the host itself, without those
+    below the share: 1 / least_share words at most."""
+    of_host, of_path = (F.array_distinct(F.regexp_extract_all(x, F.lit(f"({LETTERS})"), 1)) for x in (F.col("host"), F.lower("path")))
+    word = F.explode(F.concat(F.transform(of_host, lambda w: F.struct(w.alias("word"), F.lit(True).alias("own"))), F.transform(F.array_except(of_path, of_host), lambda w: F.struct(w.alias("word"), F.lit(False).alias("own")))))
+    counts = urls.select("host", word.alias("w")).distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return {r.word: r.n for r in counts.filter(F.col("n") >= max(2.0, least_share * total)).toLocalIterator()}
+    words: dict[str, int] = {}
+    labels: dict[str, int] = {}
+    for r in counts.filter(F.col("n") >= max(2.0, least_share * total)).toLocalIterator():
+        (labels if r.w.own else words)[r.w.word] = r.n
+    return words, labels
+
+
+def splits(label: str, known: dict[str, int], longest: int) -> bool:
+    """Whether the label is two known words or more in a row."""
+    reached = [True]
+    for end in range(1, len(label) + 1):
+        reached.append(any(reached[start] and label[start:end] in known for start in range(max(0, end - longest), end) if end - start < len(label)))
+    return reached[-1]
 
 
 class Segmenter:
-    """Unigram Viterbi. A word that is not known costs a factor of ten for each of its letters."""
+    """Unigram Viterbi. A word that is not known costs a factor of ten for each of its letters. Runs of host names
+    (labels) are words only if they do not split into others; seed words add a share of all counts."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[str, int], labels: dict[str, int] | None = None, seed_share: float = 1e-3):
         counts = {w: n for w, n in counts.items() if len(w) > 1}
+        seed = max(50, int(seed_share * (sum(counts.values()) + sum((labels or {}).values()))))
         for w in (*BLOCK_WORDS, *ALLOW_WORDS):
-            counts[w] = counts.get(w, 0) + 50
+            counts[w] = counts.get(w, 0) + seed
+        longest = max(map(len, counts))
+        for w, n in sorted((labels or {}).items(), key=lambda x: (len(x[0]), x[0])):
+            if w in counts or not splits(w, counts, longest):
+                counts[w] = counts.get(w, 0) + n
+                longest = max(longest, len(w))
         self.total = sum(counts.values())
         self.cost = {w: math.log10(self.total / n) for w, n in counts.items()}
-        self.longest = max(map(len, counts))
+        self.longest = longest
         self.unknown = math.log10(self.total)
         self.split = lru_cache(200_000)(self._split)
 
@@ -118,17 +141,17 @@ class NaiveBayes:
         return 1 / (1 + math.exp(-self.prior - sum(self.odds.get(t, 0.0) for t in tokens)))
 
 
-def _judge(counts: dict[str, int]):
+def _judge(path_words: dict[str, int], host_words: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter, bayes = Segmenter(counts), NaiveBayes()
+        segmenter, bayes = Segmenter(path_words, host_words), NaiveBayes()
         for batch in batches:
-            words, scores = [], []
+            split, scores = [], []
             for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):
                 labels = [x for x in re.findall(LETTERS, host) if x not in PLAIN_LABELS]
                 tokens = [w for label in labels for w in segmenter.split(label)]
-                words.append(" ".join(tokens))
+                split.append(" ".join(tokens))
                 scores.append(bayes.score(tokens + [x for x in re.findall(LETTERS, path.lower()) if x not in PLAIN_LABELS]))
-            new = {"host_words": pa.array(words, pa.string()), "block_score": pa.array(scores, pa.float64())}
+            new = {"host_words": pa.array(split, pa.string()), "block_score": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in batch.schema.names} | new)
 
     return run
@@ -138,8 +161,7 @@ def judge_urls(pages: DataFrame, rules=RULES, least_share: float = 1e-5) -> Data
     """Per row: page_id, host, path, rule, verdict (allow or block), host_words, block_score."""
     url = F.col("url")
     urls = no_clash(pages, "page_id", "url").select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
-    counts = word_counts(urls, least_share)
-    judged = urls.mapInArrow(_judge(counts), "page_id bigint, host string, path string, host_words string, block_score double")
+    judged = urls.mapInArrow(_judge(*word_counts(urls, least_share)), "page_id bigint, host string, path string, host_words string, block_score double")
     rule, verdict = rule_verdict(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("block_score") > 0.5, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"), "host_words", "block_score")

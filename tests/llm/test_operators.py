@@ -213,6 +213,14 @@ def test_url_rules_and_segmentation(spark):
     assert url_filter.Segmenter({"garden": 9, "school": 9}).split("gardenschool") == ("garden", "school")
 
 
+def test_url_on_many_pages_is_judged_as_on_one(spark):
+    judge = lambda urls: {(r.verdict, r.host_words) for r in url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).filter("host LIKE '%casinobonus%'").collect()}
+    others = [f"http://site{w}.net/{w}/{v}" for w, v in zip(WORDS, WORDS[1:])]
+    spam = ["http://casinobonus.net/casinobonus", "http://www.casinobonus.net/", "http://a.casinobonus.info/x"]
+    assert judge(spam[:1]) == judge(spam[:1] * 2) == judge(spam[:1] * 500 + others) == {("block", "casino bonus")}
+    assert judge(spam * 50 + others) == {("block", "casino bonus")}
+
+
 def test_empty_tables(spark):
     none = docs(spark, ODD).limit(0)
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
