@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step holds; a longer text is a step of its own.
@@ -133,14 +133,15 @@ def no_clash(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") if n in have else F.lit(None).cast("bigint" if n.endswith("_id") else "string").alias(n) for n in names))
 
 
-def rows_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of docs, with all its columns, of each doc_id in ids (null is an id). The texts cross one exchange, by
-    doc_id, which the semi-join and the choice of one row share; rows without an id, which are rare, go beside it."""
-    ids = ids.select("doc_id").distinct()
-    known = docs.filter("doc_id IS NOT NULL").join(ids.filter("doc_id IS NOT NULL"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = ids.filter("doc_id IS NULL").withColumnRenamed("doc_id", "_id")
-    unknown = docs.filter("doc_id IS NULL").dropDuplicates(["doc_id"]).join(nameless, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return known.unionByName(unknown).select(*[F.col(f"`{c}`") for c in docs.columns])
+def rows_of_texts(docs: DataFrame, chosen: DataFrame, text_hash: Column) -> DataFrame:
+    """One row of docs, with all its columns, of each (doc_id, text_hash) in chosen; null is an id. text_hash is never
+    null and is worked out in the same way for chosen. The texts cross one exchange, which the semi-join and the choice
+    of one row share."""
+    keys = ["_row_hash", "_row_id", "_row_nameless"]
+    keyed = lambda df, h: df.withColumns({"_row_hash": h, "_row_id": F.coalesce("doc_id", F.lit(0)), "_row_nameless": F.col("doc_id").isNull()})
+    wanted = keyed(chosen.select("doc_id", "text_hash"), F.col("text_hash")).select(keys).distinct()
+    rows = keyed(docs, text_hash).join(wanted, keys, "left_semi").dropDuplicates(keys)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remainder(doc_id, modulus: int):

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import no_clash, rows_of_ids, steps
+from .common import no_clash, rows_of_texts, steps
 
 
 def _normalised(with_content: bool):
@@ -70,5 +70,7 @@ def duplicate_groups(docs: DataFrame, salts: int = 32) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, salts: int = 32) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    return rows_of_ids(docs, duplicate_groups(docs, salts).filter("kept"))
+    """One row of docs of each text, with all its columns."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    kept = duplicate_groups(docs, salts).filter("kept").select("doc_id", F.col("text_sha256").alias("text_hash"))
+    return rows_of_texts(docs, kept, F.sha2(F.translate(F.coalesce("text", F.lit("")), upper, upper.lower()), 256))

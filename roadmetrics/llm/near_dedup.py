@@ -32,11 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, mix, no_clash, rows_of_ids, runs, span_hashes, steps, utf8_bytes
+from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, mix, no_clash, rows_of_texts, runs, span_hashes, steps, utf8_bytes
 
 KMER, BANDS, SKETCHES_PER_BAND = 5, 20, 2
 _PLACE_BITS = np.uint64((1 << 20) - 1)
-_NODES = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("kmers", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_NODES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.binary()), ("kmers", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def kmer_labels(words: np.ndarray, of_row: np.ndarray, k: int = KMER) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +105,7 @@ def _nodes(bands: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array(node, pa.binary()),
                     pa.array([short[where[i] : where[i + 1]].tobytes() if s else None for i, s in enumerate(sent)], pa.binary()),
                     pa.array([keys[i] if s else None for i, s in enumerate(sent)], pa.list_(pa.int64())),
@@ -238,20 +239,29 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
-    """Per row: doc_id, class_id (least doc_id of the class), class_size (documents), copies (documents with the same
-    words), kept (whether it is the one of its class that stays)."""
-    table = materialize(no_clash(docs, "doc_id", "text").mapInArrow(_nodes(bands), "doc_id bigint, node binary, kmers binary, bands array<bigint>"), "near-nodes")
+def _classes(docs: DataFrame, similarity: float, bands: int, task_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Per row its node; per node its class, and of that the doc_id and text_hash of the row that stays (the least id,
+    null last)."""
+    text = no_clash(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    table = materialize(text.mapInArrow(_nodes(bands), "doc_id bigint, text_hash bigint, node binary, kmers binary, bands array<bigint>"), "near-nodes")
     nodes = table.filter("bands IS NOT NULL")
     tasks = candidate_tasks(nodes.select("node", "bands").dropDuplicates(["node"]), task_rows)
     kmers = nodes.select("node", "kmers").dropDuplicates(["node"])
     rows = tasks.join(kmers, "node").repartition("task").sortWithinPartitions("task", "node")
     links = materialize(rows.mapInArrow(_verify(similarity), "a binary, b binary"), "near-links")
     roots = components(links)
-    own = table.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    own = table.groupBy("node").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
     placed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = placed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_node = placed.join(classes, "root").select("node", "copies", "class_id", "class_size")
+    classes = placed.groupBy("root").agg(F.min("first").alias("stays"), F.sum("copies").alias("class_size"))
+    return table, placed.join(classes, "root").select("root", "node", "copies", "stays", "class_size")
+
+
+def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
+    """Per row: doc_id, class_id (least doc_id of the class), class_size (documents), copies (documents with the same
+    words), kept (whether it is the one of its class that stays)."""
+    table, of_node = _classes(docs, similarity, bands, task_rows)
+    of_node = of_node.select("node", "copies", F.col("stays.doc_id").alias("class_id"), "class_size")
     return table.select("doc_id", "node").join(of_node, "node").select(
         "doc_id", "class_id", "class_size", "copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
     )
@@ -259,4 +269,5 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, t
 
 def near_dedup(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
     """One row of docs of each class, with all its columns."""
-    return rows_of_ids(docs, near_classes(docs, similarity, bands, task_rows).filter("kept"))
+    _, of_node = _classes(docs, similarity, bands, task_rows)
+    return rows_of_texts(docs, of_node.select("stays.doc_id", "stays.text_hash"), F.xxhash64("text"))

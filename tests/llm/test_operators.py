@@ -76,6 +76,15 @@ def test_near_dedup_against_brute_force(spark):
     assert stay.columns == rows.columns and stay.count() == len(set(root))
 
 
+@pytest.mark.parametrize("dedup", [exact_dedup.exact_dedup, near_dedup.near_dedup])
+def test_one_row_of_each_text_stays_whatever_its_id(spark, dedup):
+    a, b, c, d, e = (" ".join(prose(500 + i, 60)) for i in range(5))
+    rows = docs(spark, [(None, a), (None, b), (None, a), (7, c), (7, d), (7, c), (6, c), (8, c), (9, e), (9, e), (None, None), (None, "")])
+    got = dedup(rows).collect()
+    assert sorted(r.text or "" for r in got) == sorted([a, b, c, d, e, ""])
+    assert sorted(str(r.doc_id) for r in got if r.text in (a, b, d, e)) == ["7", "9", "None", "None"]
+
+
 def test_line_dedup(spark):
     passage = [" ".join(prose(1000 + i, 12)) for i in range(6)]
     unique = lambda s: [" ".join(prose(s * 10 + i, 9)) for i in range(8)]
