@@ -5,8 +5,8 @@ A shingle is the shortest run of lines from a line on with ``shingle_words`` wor
 least ``run_words`` words two documents share, they share the fingerprint of the run's first window. Fingerprint
 positions are joined with the first position of the same fingerprint, matches are extended line by line both ways (as
 far as the next fingerprint can be), and a run of at least ``run_words`` words is deleted where it stands later. Where
-the first position gives a shorter run, the windows themselves are joined with their first position, so that no shared
-run of ``run_words`` words is missed.
+the first position gives a shorter run, or one that does not hold all windows of the fingerprint, these windows
+themselves are joined with their first position, so that no shared run of ``run_words`` words is missed.
 
 Order is (doc_id, text hash, line); the first copy of every line stays. Joins are with one first position per key, so a
 run that a third of all documents share costs one row per document.
@@ -140,9 +140,10 @@ def repeated_runs(docs: DataFrame, shingle_words: int = 25, run_words: int = 50)
     windows = lambda df: df.select("doc_id", "text_hash", F.explode("windows").alias("w")).select("doc_id", "text_hash", "w.*")
     window_place = F.struct("doc_id", "text_hash", "first")
     first_windows = windows(shared).groupBy("hash").agg(F.min(window_place).alias("origin"), F.max(window_place).alias("latest")).filter("origin != latest")
-    short = windows(extended.filter(F.col("total") < run_words)).join(first_windows, "hash").filter(~window_place.eqNullSafe(F.col("origin")))
+    outside = extended.withColumn("windows", F.when(F.col("total") < run_words, F.col("windows")).otherwise(F.filter("windows", lambda w: (w["first"] < F.col("first")) | (w["last"] > F.col("last")))))
+    other = windows(outside.filter(F.size("windows") > 0)).join(first_windows, "hash").filter(~window_place.eqNullSafe(F.col("origin")))
     cut = ["doc_id", "text_hash", "first", "last"]
-    return extended.filter(F.col("total") >= run_words).select(*cut).unionByName(short.select(*cut)).distinct()
+    return extended.filter(F.col("total") >= run_words).select(*cut).unionByName(other.select(*cut)).distinct()
 
 
 def dedup_lines(docs: DataFrame, shingle_words: int = 25, run_words: int = 50, counts: bool = False) -> DataFrame:

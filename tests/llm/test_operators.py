@@ -97,6 +97,25 @@ def test_line_dedup(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in line_dedup.dedup_lines(odd).collect()) == sorted((str(r.doc_id), str(r.text)) for r in odd.collect())
 
 
+def test_line_dedup_against_all_repeated_windows(spark):
+    """Three parts of 30 words, of which each two documents share two; which of the shingles is least differs by k."""
+    part = lambda k, i: [" ".join(prose(7000 + 100 * k + 10 * i + j, 10)) for j in range(3)]
+    texts = [x for k in range(12) for one, two, three in [[part(k, i) for i in range(3)]] for x in (one + two, two + three, one + two + three)]
+    seen, want = set(), []
+    for lines in texts:
+        cut, own = set(), []
+        for i in range(len(lines)):
+            ends = [j for j in range(i, len(lines)) if sum(len(x.split()) for x in lines[i : j + 1]) >= 50]
+            if ends:
+                own.append(tuple(lines[i : ends[0] + 1]))
+                if own[-1] in seen:
+                    cut |= set(range(i, ends[0] + 1))
+        seen |= set(own)
+        want.append("\n".join(x for i, x in enumerate(lines) if i not in cut))
+    got = sorted(line_dedup.dedup_lines(docs(spark, ["\n".join(x) for x in texts])).collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in got] == want and want[2::3] == [""] * 12
+
+
 def test_decontamination_blocks_agree(spark):
     item = prose(7, 30)
     texts = [" ".join(prose(8, 20) + item[4:20] + prose(9, 20)), " ".join(prose(10, 50)), "short One", " ".join(prose(11, 2000) + item[:13]), *ODD]
