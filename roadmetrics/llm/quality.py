@@ -4,6 +4,8 @@ Bytes are embedded; learned filters of eight bytes run with a stride of two over
 filter's reach and together cover the whole document. Each chunk's activations are max-pooled; a document's chunks are
 combined by maximum and mean, and one logistic unit turns that into a probability. The network is fitted on the driver
 on a bounded sample of labelled rows (``sample_rows`` of at most 64 kB each) and sent to the executors (about 40 kB).
+The two classes weigh the same in the loss, so that a rare class is not outvoted, and a small sample is read as often as
+it takes for ``least_steps`` steps.
 
 Edge cases: null text is empty; an empty text is one chunk of padding and gets a score like any other; ties and
 repeated rows are scored alike; without labelled rows every score is 0.5; an empty table gives an empty result; columns
@@ -70,7 +72,7 @@ class ByteConvNet:
         logit = self.features(self.pooled(codes), first).astype(np.float64) @ self.out + self.prior[0]
         return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
-    def fit(self, texts: list[str], labels: list[int], epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 7) -> ByteConvNet:
+    def fit(self, texts: list[str], labels: list[int], epochs: int = 12, batch: int = 64, rate: float = 0.01, least_steps: int = 200, seed: int = 7) -> ByteConvNet:
         docs = []
         for text in texts:
             raw = np.frombuffer(text.encode(), np.uint8)
@@ -79,14 +81,18 @@ class ByteConvNet:
         if not len(docs):
             return self
         rng = np.random.default_rng(seed)
+        classes = [np.flatnonzero(y == c) for c in (0, 1)]
+        weight = np.array([len(y) / (2 * max(1, len(c))) for c in classes], np.float32)[y.astype(int)]
         params = [self.embed, self.filters, self.bias, self.out, self.prior]
         mean, square, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-        total = epochs * (-(-len(docs) // batch))
+        batches = -(-len(docs) // batch)
+        epochs = max(epochs, -(-least_steps // batches))
+        total = epochs * batches
         for _ in range(epochs):
             order = rng.permutation(len(docs))
             for lo in range(0, len(order), batch):
                 pick = order[lo : lo + batch]
-                grads = self._gradients([docs[i] for i in pick], y[pick])
+                grads = self._gradients([docs[i] for i in pick], y[pick], weight[pick])
                 step += 1
                 lr = rate * (1 - step / (total + 1))
                 for p, g, m, v in zip(params, grads, mean, square):
@@ -96,7 +102,7 @@ class ByteConvNet:
                 self.embed[0] = 0
         return self
 
-    def _gradients(self, docs: list[np.ndarray], y: np.ndarray) -> list[np.ndarray]:
+    def _gradients(self, docs: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
         codes = np.concatenate(docs)
         counts = np.array([len(d) for d in docs])
         first = np.cumsum(counts) - counts
@@ -108,7 +114,7 @@ class ByteConvNet:
         pooled = np.maximum(top + self.bias, 0)
         feats = self.features(pooled, first)
         p = 1 / (1 + np.exp(-np.clip(feats @ self.out + self.prior[0], -30, 30)))
-        err = (p - y) / len(y)
+        err = weight * (p - y) / len(y)
         g_out, g_prior = feats.T @ err + 1e-4 * self.out, np.array([err.sum()], np.float32)
         g_feat = err[:, None] * self.out
         doc = np.repeat(np.arange(len(docs)), counts)
