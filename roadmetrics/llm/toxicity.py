@@ -1,17 +1,25 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A first set of transducers reads words and writes symbols: insult (with a weight), threat, target, negation, reported
-speech; all other words only pass time. A second machine reads a clause's symbols, with the state (words that the last
-negation still reaches, speech is reported, a target was named), and writes the clause's score: insults count by their
-weight, less if negated or reported, more next to a target; a threat counts only with a target in its clause. Only
-clauses that hold an insult or a threat are run. A logistic unit turns a document's clause scores into a probability.
+A clause is read by five transducers in a row (``transducer.py``), composed into one machine:
+
+* the lexicon reads words and writes symbols: insult (of some severity), threat, target, negation, reported speech, any
+  other word. A word that is in several lists has several arcs;
+* negation marks the insults and threats among the next ``NEGATION_REACH`` words after a negation;
+* reported speech marks those after a verb of saying in the clause;
+* the target transducer marks insults right after a target;
+* the scorer's arcs weigh what they read: an insult by its severity, less if negated or reported, more if marked by a
+  target; a threat may be passed over, or weighs if a target stands in its clause, before or after. A path that counts a
+  threat and never meets a target does not end in a final state.
+
+A clause's score is the weight of its best path. Only clauses that hold an insult or a threat are run. A logistic unit
+turns a document's clause scores into a probability.
 
 Insult words and word beginnings are learned from labelled rows: those much more frequent among toxic documents than
 among the others of a bounded sample (``sample_rows`` of at most 64 kB each). The logistic weights are fitted on each
 half of it as read with the lexicon of the other half. What is sent to the executors is bounded by the sample.
 
 Edge cases: null text is empty; texts without a match get the base probability; very long clauses are read once, symbol
-by symbol; repeated rows are scored alike; without labelled rows only the seed words count; an empty table gives an
+by symbol, from the first listed word to the last; repeated rows are scored alike; without labelled rows only the seed words count; an empty table gives an
 empty result; columns of other names are ignored.
 """
 
@@ -21,6 +29,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import UPPER_TO_LOWER, WORD_BYTE, labelled_sample, no_clash, remainder, runs, span_hashes, steps, utf8_bytes
+from .transducer import Transducer, best, compose
 
 #: The seed words of the transducers.
 INSULTS = "bastard clown coward creep disgusting dumb fool garbage idiot imbecile jerk liar loser moron pathetic pig scum stupid trash ugly vermin worthless".split()
@@ -35,34 +45,100 @@ THREATS = "attack beat burn crush destroy die hang harm hurt kill murder punch s
 TARGETS = "you your yours yourself u ur they them their he him his she her".split()
 NEGATIONS = "not no never isn arent aren don doesn didn won cannot neither nor without".split()
 REPORTS = "said says saying told wrote writes called calls quoted quotes quote claimed claims reported reports alleged".split()
-INSULT, THREAT, TARGET, NEGATION, REPORT = 1, 2, 3, 4, 5
-SEED_WEIGHT, NEGATION_REACH = 1.5, 3
+OTHER, THREAT, TARGET, NEGATION, REPORT = "other", "threat", "target", "negation", "report"
+#: Insults have severities 1 to LEVELS, each of which weighs LEVEL.
+LEVEL, LEVELS, SEED_WEIGHT, NEGATION_REACH = 0.25, 10, 1.5, 3
 NEGATED, REPORTED, TARGETED, THREAT_WEIGHT = 0.3, 0.5, 1.25, 1.5
+HARM = [THREAT, *(("insult", level) for level in range(1, LEVELS + 1))]
 CLAUSE_END = np.zeros(256, bool)
 CLAUSE_END[[ord(c) for c in ".!?;:\n"]] = True
 PREFIX_BYTES = range(5, 11)
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def run_clause(symbols: list[int], places: list[int], weights: list[float]) -> float:
-    """The score that the clause machine writes for one clause."""
-    negated_upto, reported, target_at, waiting, score = -1, False, None, 0.0, 0.0
-    for symbol, place, weight in zip(symbols, places, weights):
-        if symbol == NEGATION:
-            negated_upto = place + NEGATION_REACH
-        elif symbol == REPORT:
-            reported = True
-        elif symbol == TARGET:
-            score, waiting, target_at = score + waiting, 0.0, place
-        else:
-            w = (weight if symbol == INSULT else THREAT_WEIGHT) * (NEGATED if place <= negated_upto else 1.0) * (REPORTED if reported else 1.0)
-            if symbol == INSULT:
-                score += w * (TARGETED if target_at is not None and place - target_at <= NEGATION_REACH else 1.0)
-            elif target_at is not None:
-                score += w
+def insult(weight: float) -> tuple[str, int]:
+    return "insult", min(LEVELS, max(1, round(weight / LEVEL)))
+
+
+def reach_machine(trigger: str, write: str, mark: str, symbols: list, marked: list) -> Transducer:
+    """Writes write for the trigger and marks the symbols of marked among the next NEGATION_REACH ones."""
+    out = Transducer(0, dict.fromkeys(range(NEGATION_REACH + 1), 0.0))
+    for left in range(NEGATION_REACH + 1):
+        out.arc(left, trigger, write, 0.0, NEGATION_REACH)
+        for symbol in symbols:
+            out.arc(left, symbol, (*symbol, mark) if left and symbol in marked else symbol, 0.0, max(0, left - 1))
+    return out
+
+
+def negation_machine() -> Transducer:
+    plain = [((x,) if isinstance(x, str) else x) for x in HARM]
+    return reach_machine((NEGATION,), (OTHER,), NEGATED, [(OTHER,), (TARGET,), (REPORT,), *plain], plain)
+
+
+def report_machine() -> Transducer:
+    out = Transducer(False, {False: 0.0, True: 0.0})
+    for said in (False, True):
+        out.arc(said, (REPORT,), (OTHER,), 0.0, True)
+        for symbol in ((OTHER,), (TARGET,)):
+            out.arc(said, symbol, symbol, 0.0, said)
+        for symbol in _harm(NEGATED):
+            out.arc(said, symbol, (*symbol, REPORTED) if said else symbol, 0.0, said)
+    return out
+
+
+def target_machine() -> Transducer:
+    harm = _harm(NEGATED, REPORTED)
+    return reach_machine((TARGET,), (TARGET,), TARGETED, [(OTHER,), *harm], [x for x in harm if x[0] == "insult"])
+
+
+def _harm(*marks: float) -> list[tuple]:
+    """The harmful symbols with any of the marks, in their order."""
+    out = [((x,) if isinstance(x, str) else x) for x in HARM]
+    for mark in marks:
+        out += [(*x, mark) for x in out]
+    return out
+
+
+def score_machine() -> Transducer:
+    """States: no target yet; no target yet but a threat that needs one; a target was named."""
+    out = Transducer("none", {"none": 0.0, "named": 0.0})
+    for state in ("none", "pending", "named"):
+        out.arc(state, (OTHER,), None, 0.0, state)
+        out.arc(state, (TARGET,), None, 0.0, "named")
+        for symbol in _harm(NEGATED, REPORTED, TARGETED):
+            if symbol[0] == THREAT:
+                weight = THREAT_WEIGHT * math.prod(symbol[1:])
+                out.arc(state, symbol, None, weight, "named" if state == "named" else "pending")
+                out.arc(state, symbol, None, 0.0, state)
             else:
-                waiting += w
-    return score
+                out.arc(state, symbol, None, LEVEL * symbol[1] * math.prod(symbol[2:]), state)
+    return out
+
+
+@lru_cache(1)
+def clause_machine() -> Transducer:
+    out = negation_machine()
+    for machine in (report_machine(), target_machine(), score_machine()):
+        out = compose(out, machine)
+    return out
+
+
+@lru_cache(100_000)
+def clause_score(readings: tuple) -> float:
+    """The weight of the best path over the symbols that the lexicon writes for a clause's words."""
+    return best(clause_machine(), readings) or 0.0
+
+
+def clause_word(places: list[int], readings: list[tuple]) -> tuple:
+    """The machine's word for the listed words of a clause at their places. Of the other words between them as many as
+    NEGATION_REACH are read: more would leave each transducer where it is."""
+    out, last = [], None
+    for place, reading in zip(places, readings):
+        if last is not None:
+            out += [((OTHER,),)] * min(place - last - 1, NEGATION_REACH)
+        out.append(reading)
+        last = place
+    return tuple(out)
 
 
 def _words(text: str) -> list[bytes]:
@@ -99,21 +175,29 @@ def learn_insults(sample: list[tuple[str, int]], least_docs: int = 4, least_odds
 
 
 class Grammar:
+    """The lexicon transducer's arcs (words and beginnings of words by hash) and the features of documents."""
+
     def __init__(self, words: dict[bytes, float], prefixes: dict[bytes, float]):
-        table: dict[int, dict[bytes, tuple[int, float]]] = {0: {}}
-        for symbol, seeds in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS)):
-            table[0] |= {w.encode(): (symbol, SEED_WEIGHT) for w in seeds}
-        table[0] |= {w: (INSULT, x) for w, x in words.items()}
+        table: dict[int, dict[bytes, set]] = {0: {}}
+        for symbol, seeds in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)):
+            for w in seeds:
+                table[0].setdefault(w.encode(), set()).add((symbol,))
+        for w, x in ({w.encode(): SEED_WEIGHT for w in INSULTS} | words).items():
+            table[0].setdefault(w, set()).add(insult(x))
         for p, x in prefixes.items():
-            table.setdefault(len(p), {})[p] = (INSULT, x)
+            table.setdefault(len(p), {})[p] = {insult(x)}
+        self.readings: list[tuple] = [((OTHER,),)]
         self.tables = []
         for length, entries in sorted(table.items(), reverse=True):
             data = np.frombuffer(b"".join(entries), np.uint8)
             ends = np.cumsum([len(w) for w in entries])
             hashes = span_hashes(data, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends.astype(np.int64))
             order = np.argsort(hashes)
-            values = list(entries.values())
-            self.tables.append((length, hashes[order], np.array([v[0] for v in values], np.int8)[order], np.array([v[1] for v in values])[order]))
+            numbers = np.arange(len(self.readings), len(self.readings) + len(entries))
+            self.readings += [tuple(sorted(x, key=str)) for x in entries.values()]
+            self.tables.append((length, hashes[order], numbers[order]))
+        self.insulting = np.array([any(x[0] == "insult" for x in r) for r in self.readings])
+        self.harmful = np.array([any(x[0] in ("insult", THREAT) for x in r) for r in self.readings])
 
     def features(self, texts: pa.Array) -> np.ndarray:
         """Per row: log of the summed clause scores, the largest, log of matched clauses and of matched distinct words, density."""
@@ -123,34 +207,34 @@ class Grammar:
         out = np.zeros((len(offsets) - 1, 5))
         if not len(starts):
             return out
-        symbol, weight = np.zeros(len(starts), np.int8), np.zeros(len(starts))
+        reading = np.zeros(len(starts), np.int64)
         # Longest beginnings first; a whole word that is listed overrules them.
-        for length, hashes, symbols, weights in self.tables:
+        for length, hashes, numbers in self.tables:
             if length:
-                some = np.flatnonzero((ends - starts > length) & (symbol == 0))
+                some = np.flatnonzero((ends - starts > length) & (reading == 0))
                 own = span_hashes(data, starts[some], starts[some] + length)
             else:
                 some, own = np.arange(len(starts)), span_hashes(data, starts, ends)
             at = np.searchsorted(hashes, own)
             at[at == len(hashes)] = 0
             found = hashes[at] == own
-            symbol[some[found]], weight[some[found]] = symbols[at[found]], weights[at[found]]
-        hits = np.flatnonzero((symbol == INSULT) | (symbol == THREAT))
+            reading[some[found]] = numbers[at[found]]
+        hits = np.flatnonzero(self.harmful[reading])
         if not len(hits):
             return out
         row = np.searchsorted(of_row, np.arange(len(starts)), "right") - 1
         clause = np.cumsum(CLAUSE_END[data])[starts] + row
-        said = np.flatnonzero(symbol)
+        said = np.flatnonzero(reading)
         edges = np.searchsorted(clause[said], np.unique(clause[hits]))
         upto = np.searchsorted(clause[said], np.unique(clause[hits]), "right")
         total: dict[int, list] = {}
         for lo, hi in zip(edges, upto):
             own = said[lo:hi]
-            score = run_clause(symbol[own].tolist(), own.tolist(), weight[own].tolist())
+            score = clause_score(clause_word(own.tolist(), [self.readings[i] for i in reading[own].tolist()]))
             if score > 0:
                 t = total.setdefault(int(row[own[0]]), [0.0, 0.0, 0, set()])
                 t[0], t[1], t[2] = t[0] + score, max(t[1], score), t[2] + 1
-                t[3].update(data[starts[i] : ends[i]].tobytes() for i in own if symbol[i] == INSULT)
+                t[3].update(data[starts[i] : ends[i]].tobytes() for i in own if self.insulting[reading[i]])
         for r, (score, largest, clauses, distinct) in total.items():
             n = of_row[r + 1] - of_row[r]
             out[r] = math.log1p(score), min(largest, 10.0), math.log1p(clauses), math.log1p(len(distinct)), min(1.0, 100 * score / n / 20)
