@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,12 +21,14 @@ UPPER_TO_LOWER[65:91] += 32
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a folder of our own in local mode
+    (tests); on a cluster, whose machines would not see it, an error."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="checkpoints-"))
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="checkpoints-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 

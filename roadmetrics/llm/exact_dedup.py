@@ -1,7 +1,8 @@
 """Exact dedup by skew-safe combining.
 
 Texts are equal when they are identical after lower-casing A-Z. Three combining stages, each of which groups by the
-digest and the full content, so that equal digests of different texts would stay apart:
+digest and the full content, so that different texts are never merged; if two share a SHA-256 digest, by which rows are
+told apart in the result, the query fails with that digest rather than mix them up:
 
 1. locally: each task combines what it has read (the map side of the salted aggregate);
 2. salted: rows of one digest are merged under up to ``salts`` salts, so a group with a third of all rows meets in

@@ -1,14 +1,14 @@
 """Mixing sources to target weights with hash-threshold histograms (DataFrame functions only).
 
-A document's hash is the first 60 bits of the MD5 of its id. Words are summed by source and hash bucket; the bucket in
+A document's hash is the first 60 bits of the MD5 of its id and text. Words are summed by source and hash bucket; the bucket in
 which a source's budget runs out is found in the histogram's running sum, only that boundary bucket is refined by the
 next bits, and the last, tiny bucket by the whole hash. The documents are then filtered by hash <= threshold: they are
 never sorted. Thresholds are nested: a larger budget takes a superset.
 
 A source whose target exceeds its size is taken whole floor(target / size) times and by threshold for the rest.
 
-Edge cases: null text has size 0; null is a source of its own, ordered last; documents with the same id and source
-share a hash and are taken or left together; a source of size 0 has target 0; an empty table gives an empty result;
+Edge cases: null text has size 0; null is a source of its own, ordered last; documents of the same source with the same id and
+text share a hash and are taken or left together; a source of size 0 has target 0; an empty table gives an empty result;
 further columns of the input are ignored.
 """
 
@@ -28,8 +28,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def id_hash(doc_id: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("bigint")
+def row_hash(doc_id: Column, text: Column) -> Column:
+    said = F.concat_ws("\n", F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(said.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_repeats: int = 3) -> DataFrame:
@@ -75,7 +76,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_repe
     """
     sized = materialize(
         no_clash(docs, "doc_id", "source", "text")
-        .select("doc_id", "source", word_count(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("hash"))
+        .select("doc_id", "source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("hash"))
         .withColumns({f"b{i}": F.shiftright("hash", HASH_BITS - bits) for i, bits in enumerate(LEVELS)}),
         "mixing-sizes",
     )

@@ -281,3 +281,20 @@ def test_pipeline_stages(spark):
         before, rows = rows.count(), out
         assert rows.count() <= before
     assert set(rows.columns) >= {"doc_id", "size", "target", "taken"}
+
+
+def test_mixing_of_rows_without_ids(spark):
+    """Rows of one source that share an id, or have none, are told apart by their texts."""
+    rows = docs(spark, [(None, " ".join(prose(i, 20))) for i in range(400)]).withColumn("source", F.when(F.rand(3) < 0.8, F.lit("b")))
+    for r in mixing.mix_sources(rows).groupBy("target", "source_size").agg(F.sum("taken").alias("taken")).collect():
+        assert abs(r.taken - r.target) <= 20
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    from roadmetrics.llm import common
+
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(SimpleNamespace(sparkContext=context))
