@@ -11,13 +11,16 @@ With two k-mers a sketch, two sketches a band and 20 bands, a pair at similarity
 chance of about 3e-5, and more similar pairs more rarely.
 
 What keeps groups bounded: texts with the same words are one node from the start, whatever their number; a bucket
-becomes a task of at most about ``task_rows`` nodes; a larger bucket is cut into chunks, and every two chunks of it meet
-in one task, so that no link is lost (such a bucket costs its size times its number of chunks in rows, never all pairs).
+becomes a task of at most about ``task_rows`` nodes. A larger bucket is cut into chunks. First each chunk meets the
+bucket's first chunk only, which links a group of near copies in as many tasks as it has chunks. Then, of what these
+links have not yet joined into one class, chunks of different classes meet, so that no link between classes is lost; a
+bucket of one class is done. (A large bucket of many classes costs its size times its number of chunks in rows.)
 Inside a task the pairs' overlaps are found by sparse counting in blocks, and only a spanning forest of verified links
 leaves it. Node tables, tasks, links and each round of the components are written to the shared folder.
 
 Edge cases: null text is empty; texts without words are one class; texts of fewer than five words are alike only if
-they have the same words; null doc_ids never name a class unless the whole class has none; repeated rows share their
+they have the same words; k-mers are compared by 32 bits in the alignment, so two unlike ones pass for equal with a chance of
+2^-32; null doc_ids never name a class unless the whole class has none; repeated rows share their
 class; an empty table gives an empty result; further columns are kept by ``near_dedup``.
 """
 
@@ -35,7 +38,6 @@ from pyspark.sql import functions as F
 from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, mix, no_clash, rows_of_texts, runs, span_hashes, steps, utf8_bytes
 
 KMER, BANDS, SKETCHES_PER_BAND = 5, 20, 2
-_PLACE_BITS = np.uint64((1 << 20) - 1)
 _NODES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.binary()), ("kmers", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
@@ -61,10 +63,15 @@ def kmer_labels(words: np.ndarray, of_row: np.ndarray, k: int = KMER) -> tuple[n
     return mix(h + occurrence * np.uint64(0x9E3779B97F4A7C15)), offsets
 
 
+def _places(v: np.ndarray, least: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Of each row the first place of its least value."""
+    at = np.flatnonzero(v == least[row])
+    return at[np.unique(row[at], return_index=True)[1]]
+
+
 def order_minhash(labels: np.ndarray, offsets: np.ndarray, bands: int = BANDS, per_band: int = SKETCHES_PER_BAND) -> np.ndarray:
     """Band keys (rows x bands) of rows that all have labels."""
-    first, counts = offsets[:-1], np.diff(offsets)
-    place = (np.arange(len(labels)) - np.repeat(first, counts)).astype(np.uint64) & _PLACE_BITS
+    first, row = offsets[:-1], np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     seeds = mix(np.arange(1, bands * per_band + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
     keys = np.zeros((len(first), bands), np.uint64)
@@ -72,12 +79,10 @@ def order_minhash(labels: np.ndarray, offsets: np.ndarray, bands: int = BANDS, p
         v = (labels ^ seed) * np.uint64(0xE7037ED1A0B428DB)
         v ^= v >> np.uint64(29)
         v *= np.uint64(0x8EBC6AF09C88C6E3)
-        v = (v & ~_PLACE_BITS) | place
-        one = np.minimum.reduceat(v, first)
-        at_one = first + (one & _PLACE_BITS).astype(np.int64)
+        at_one = _places(v, np.minimum.reduceat(v, first), row)
         v[at_one] = none
         two = np.minimum.reduceat(v, first)
-        at_two = np.where(two == none, at_one, first + (two & _PLACE_BITS).astype(np.int64))
+        at_two = np.where(two == none, at_one, _places(v, two, row))
         a, b = labels[np.minimum(at_one, at_two)], labels[np.maximum(at_one, at_two)]
         keys[:, t // per_band] = mix(keys[:, t // per_band] * np.uint64(3) + mix(a * np.uint64(5) + mix(b)) + np.uint64(t))
     return keys
@@ -203,20 +208,57 @@ def _verify(similarity: float):
     return run
 
 
-def candidate_tasks(nodes: DataFrame, task_rows: int) -> DataFrame:
-    """task, node: the buckets with two nodes or more, those with the same nodes once, cut as described above."""
+def _as_tasks(groups: DataFrame) -> DataFrame:
+    """task, node: the groups of nodes, those with the same nodes once."""
+    tasks = groups.withColumn("task", F.md5(F.concat_ws("", F.transform("nodes", F.hex)).cast("binary"))).dropDuplicates(["task"])
+    return tasks.select("task", F.explode("nodes").alias("node"))
+
+
+def _chunks(members: DataFrame, *of: str) -> DataFrame:
+    return members.groupBy("band", "key", *of).agg(F.array_sort(F.collect_list("node")).alias("nodes"))
+
+
+def first_tasks(members: DataFrame, task_rows: int) -> DataFrame:
+    """The buckets of up to task_rows nodes whole; of a larger one each chunk beside the bucket's first chunk."""
+    chunk = F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("node"), F.col("cuts").cast("bigint"))).otherwise(0).cast("int")
+    chunks = materialize(_chunks(members.withColumn("chunk", chunk), "cuts", "chunk"), "near-chunks")
+    lead = chunks.filter("cuts > 1").groupBy("band", "key").agg(F.min_by("nodes", "chunk").alias("lead"))
+    beside = F.array_sort(F.array_union("nodes", F.coalesce("lead", F.array().cast("array<binary>"))))
+    return _as_tasks(chunks.join(lead, ["band", "key"], "left").select(beside.alias("nodes")))
+
+
+def rest_tasks(large: DataFrame, roots: DataFrame, task_rows: int) -> DataFrame:
+    """Of the large buckets the chunks of different classes beside each other: whatever is already linked to the same
+    root needs no further link. A class of half a task or more has chunks of its own, the others share chunks."""
+    placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
+    own = F.col("n") * 2 >= task_rows
+    buckets = sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("classes"), F.sum(F.when(~own, F.col("n"))).alias("shared")).filter("classes > 1")
+    cut = sizes.join(buckets, ["band", "key"]).select("band", "key", "root", F.when(own, F.col("root")).alias("class"), F.ceil(F.when(own, F.col("n")).otherwise(F.col("shared")) / task_rows).alias("cuts"))
+    members = placed.join(cut, ["band", "key", "root"]).withColumn("chunk", F.pmod(F.when(F.col("class").isNotNull(), F.xxhash64("node")).otherwise(F.xxhash64("root")), "cuts"))
+    chunks = materialize(_chunks(members, "class", "chunk"), "near-chunks")
+    left, right = (chunks.select("band", "key", *[F.col(c).alias(c + e) for c in ("class", "chunk", "nodes")]) for e in "12")
+    after = F.struct(F.coalesce("class1", F.lit(b"")), "chunk1") < F.struct(F.coalesce("class2", F.lit(b"")), "chunk2")
+    other = F.col("class1").isNull() | ~F.col("class1").eqNullSafe(F.col("class2"))
+    pairs = left.join(right, ["band", "key"]).filter(after & other).select(F.concat("nodes1", "nodes2").alias("nodes"))
+    return _as_tasks(pairs.unionByName(chunks.filter("class IS NULL AND size(nodes) > 1").select("nodes")))
+
+
+def find_links(nodes: DataFrame, kmers: DataFrame, similarity: float, task_rows: int) -> DataFrame:
+    """a, b: links that connect all classes of the candidates."""
+
+    def verified(tasks: DataFrame) -> DataFrame:
+        rows = tasks.join(kmers, "node").repartition("task").sortWithinPartitions("task", "node")
+        return materialize(rows.mapInArrow(_verify(similarity), "a binary, b binary"), "near-links")
+
     bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = bands.join(sizes, ["band", "key"]).withColumn("cuts", F.ceil(F.col("n") / task_rows).cast("int"))
-    chunk = F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("node"), F.col("cuts").cast("bigint"))).otherwise(0).cast("int")
-    chunks = members.withColumn("chunk", chunk).groupBy("band", "key", "cuts", "chunk").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
-    chunks = materialize(chunks, "near-chunks")
-    whole = chunks.filter("cuts = 1").select("nodes")
-    left, right = chunks.filter("cuts > 1").select("band", "key", "chunk", "nodes"), chunks.filter("cuts > 1").select("band", "key", F.col("chunk").alias("chunk2"), F.col("nodes").alias("nodes2"))
-    pairs = left.join(right, ["band", "key"]).filter("chunk < chunk2").select(F.concat("nodes", "nodes2").alias("nodes"))
-    alone = left.join(right.select("band", "key", "chunk2"), ["band", "key"]).groupBy("band", "key").agg(F.count(F.lit(1)).alias("met"), F.first("nodes").alias("nodes")).filter("met = 1").select("nodes")
-    tasks = whole.unionByName(pairs).unionByName(alone).withColumn("task", F.md5(F.concat_ws("", F.transform("nodes", F.hex)).cast("binary"))).dropDuplicates(["task"])
-    return tasks.select("task", F.explode("nodes").alias("node"))
+    members = bands.join(sizes, ["band", "key"]).withColumn("cuts", F.ceil(F.col("n") / task_rows).cast("int")).drop("n")
+    links = verified(first_tasks(members, task_rows))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= task_rows:
+        return links
+    large = materialize(members.filter("cuts > 1").drop("cuts"), "near-large")
+    return links.unionByName(verified(rest_tasks(large, components(links), task_rows)))
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -245,10 +287,7 @@ def _classes(docs: DataFrame, similarity: float, bands: int, task_rows: int) ->
     text = no_clash(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     table = materialize(text.mapInArrow(_nodes(bands), "doc_id bigint, text_hash bigint, node binary, kmers binary, bands array<bigint>"), "near-nodes")
     nodes = table.filter("bands IS NOT NULL")
-    tasks = candidate_tasks(nodes.select("node", "bands").dropDuplicates(["node"]), task_rows)
-    kmers = nodes.select("node", "kmers").dropDuplicates(["node"])
-    rows = tasks.join(kmers, "node").repartition("task").sortWithinPartitions("task", "node")
-    links = materialize(rows.mapInArrow(_verify(similarity), "a binary, b binary"), "near-links")
+    links = find_links(nodes.select("node", "bands").dropDuplicates(["node"]), nodes.select("node", "kmers").dropDuplicates(["node"]), similarity, task_rows)
     roots = components(links)
     first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     own = table.groupBy("node").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
