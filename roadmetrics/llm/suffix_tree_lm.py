@@ -10,25 +10,27 @@ symbol is predicted by the longest suffix of its history that is retained.
 
 Neither word counts nor the tree fit on one machine, so both are exchanged, never collected or broadcast:
 
-1. texts are read in blocks; each sends its distinct words (64-bit hashes) by hash bucket with their training counts; a
-   bucket adds up the blocks' counts and answers each block;
-2. each block sends its distinct (context of three, symbol) with their training counts and the words' counts, by the
-   hash of the last word and the symbol: what a bucket adds up are the counts of the pairs of all three depths, and no
-   frequent word or context fills a bucket;
-3. buckets send each context's part of size and distinct successors by the context's hash, where they are added up and
-   sent back; then, in the same way, its part of the gain, for which the verdict comes back;
-4. buckets work out the probability of each (context, symbol), answer each block, and the block scores its documents.
-
-The number of buckets follows the corpus size, so no task receives more than a bounded share, and a word that makes up
-a third of all tokens is one entry per block and neighbouring word.
+1. texts are read in blocks, which are written to a table bucketed by block, so that they need not be shuffled again;
+   each block sends its distinct words (64-bit hashes) by hash bucket with their training counts; a bucket numbers its
+   words, adds up the counts and answers each block;
+2. each block sends its distinct word sequences (three of context, one symbol) as numbers, exactly, with their training
+   counts, to the bucket of the last word. There all successors of a context meet: the bucket adds up the counts of all
+   three depths, tests each context and works out the probability of each sequence;
+3. buckets answer each block, and the block scores its documents.
+
+A frequent last word would fill its bucket. The sequences of such a *heavy* word go to the bucket of the last two words,
+or of all three if the last two are heavy. Their shorter contexts, whose successors are then in many buckets, are counted
+and tested beforehand by plain aggregation over (context, symbol), which is spread evenly; the sequences carry the result
+along. So no task receives more than a bounded share, and a word that makes up a third of all tokens is no exception.
 
 Edge cases: null text is empty, and an empty text is one end token; with no training rows every symbol is unknown and
 scores 0; rows that repeat are scored alike; null doc_ids are never held out; an empty table gives an empty result;
-columns of other names are ignored.
+columns of other names are ignored; a text of any length is read whole (one that exceeds a block is a block).
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -38,25 +40,27 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER_TO_LOWER, VISIBLE_BYTE, materialize, mix, no_clash, runs, span_hashes, steps, utf8_bytes
+from .common import UPPER_TO_LOWER, VISIBLE_BYTE, bounded_broadcast, materialize, mix, no_clash, runs, shared_folder, span_hashes, steps, utf8_bytes
 
 DEPTH = 3
 END = np.uint64(0x5851F42D4C957F2D)
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 64 << 20
-GRAM_BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+WORD_BUCKET_BYTES = 64 << 20
+GRAM_BUCKET_BYTES = 16 << 20
+#: A word is heavy from this share of the text's bytes on, but not below or above these numbers of occurrences.
+HEAVY_BYTES, HEAVY_LEAST, HEAVY_MOST = 1 << 10, 1 << 20, 1 << 23
 TEST_DISCOUNT = 0.7
-#: 48 bits: among 10^9 keys some two thousand share their hash with another.
-KEY_BYTES = 6
-WORDS, DOCS, FACTS, GRAMS = 0, 1, 2, 3
-TREE, PLACES, SIZES, VERDICTS = 4, 5, 6, 7
-BLOCKS = "block string, kind int, bucket int, a binary, b binary, ids array<bigint>, tokens array<bigint>"
-_BLOCKS = pa.schema(
-    [("block", pa.string()), ("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]
-)
-#: Rows of the exchanges: of a bucket, from or to a block, or from or to a bucket of contexts (place).
-PARTS = "kind int, bucket int, block string, place int, " + ", ".join(f"{c} binary" for c in "abcdefgh")
-_PARTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.string()), ("place", pa.int32()), *((c, pa.binary()) for c in "abcdefgh")])
+#: Scores travel as fixed-point numbers of three bytes.
+SCORE_UNIT = 1 << 20
+BLOCKS = "block bigint, vocabulary binary, words binary, ids array<bigint>, tokens array<bigint>"
+_BLOCKS = pa.schema([("block", pa.int64()), ("vocabulary", pa.binary()), ("words", pa.binary()), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+WORDS, FACTS, HEAVY, SCORES = 0, 1, 2, 3
+#: Answers to a block: of words (numbers, training counts, heavy ones), of heavy contexts (test and final probability), of sequences.
+ANSWERS = "kind int, block bigint, bucket int, a binary, b binary, c binary, w1 bigint, w2 bigint, s bigint, q double, p double"
+_GRAMS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("depth", pa.int32()), *((c, pa.binary()) for c in ("w1", "s", "w2", "w3", "n", "times", "q", "p"))])
+GRAMS = "bucket int, block bigint, depth int, w1 binary, s binary, w2 binary, w3 binary, n binary, times binary, q binary, p binary"
+_ASKED = pa.schema([("block", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("s", pa.int64()), ("n", pa.int64()), ("times", pa.int64())])
+ASKED = "block bigint, w1 bigint, w2 bigint, s bigint, n bigint, times bigint"
 
 
 def is_held(ids: list) -> np.ndarray:
@@ -74,351 +78,317 @@ def symbols_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, of_row + np.arange(rows + 1)
 
 
-def contexts_of(symbols: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Per depth the hash of the context of each symbol; before a row's first symbol stands END, and nothing before that (0)."""
-    place = np.arange(len(symbols)) - np.repeat(offsets[:-1], np.diff(offsets))
-    before = np.concatenate([[END], symbols[:-1]]) if len(symbols) else symbols
-    before = np.where(place == 0, END, before)
-    out, key = [], np.zeros(len(symbols), np.uint64)
-    for depth in range(1, DEPTH + 1):
-        shifted = np.concatenate([np.zeros(depth - 1, np.uint64), before])[: len(before)]
-        key = mix(key * np.uint64(3) + shifted + np.uint64(depth))
-        out.append(np.where(place >= depth - 1, key, np.uint64(0)))
-    return out
-
-
-def packed(ids: np.ndarray) -> bytes:
-    """Word numbers (frequent words have small ones) as compressed planes of their three or four bytes."""
-    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
-
-
-def unpacked(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
+def to_bytes(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes, as many as the largest takes, and how many numbers they are."""
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return len(numbers).to_bytes(7, "little") + bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-def small_to_bytes(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^32, most of them small, as compressed planes, and how many they are."""
-    return len(numbers).to_bytes(8, "little") + packed(numbers)
 
-
-def small_from_bytes(data) -> np.ndarray:
+def from_bytes(data) -> np.ndarray:
     data = memoryview(data)
-    return unpacked(data[8:], int.from_bytes(data[:8], "little"))
-
-
-def short(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - 8 * KEY_BYTES)
+    n, width = int.from_bytes(data[:7], "little"), data[7]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(data[8:], decompressed_size=n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel().astype(np.uint64)
 
 
-def keys_to_bytes(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+def steps_of(numbers: np.ndarray) -> np.ndarray:
+    """Each number less the one before it (modulo 2^64)."""
+    return np.diff(numbers.astype(np.uint64), prepend=np.uint64(0))
 
 
-def keys_from_bytes(data) -> np.ndarray:
-    out = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
-    out[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
-    return out.view("<u8").ravel()
+def sums_of(numbers: np.ndarray) -> np.ndarray:
+    return np.cumsum(numbers, dtype=np.uint64)
 
 
-def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys in order with their summed counts."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], *(np.add.reduceat(c[order], first) if len(first) else c for c in counts)
+def floats(numbers: np.ndarray) -> bytes:
+    return numbers.astype("<f4").tobytes()
 
 
-class Grams:
-    """The distinct (context of three, symbol) of a block in the order of their buckets, within these of the last word
-    and the symbol, and of the context of two. Level 0 are (last word, symbol), 1 and 2 add a word before them each."""
-
-    def __init__(self, symbols: np.ndarray, offsets: np.ndarray, buckets: int):
-        contexts = [short(c) for c in contexts_of(symbols, offsets)]
-        pair = short(mix(contexts[0] * np.uint64(5) + symbols))
-        two = mix(pair * np.uint64(3) + contexts[1])
-        three = mix(two * np.uint64(3) + contexts[2])
-        _, at, self.of_token = np.unique(three, return_index=True, return_inverse=True)
-        bucket = (pair[at] % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((two[at], pair[at], bucket))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.of_token, at = rank[self.of_token], at[order]
-        self.edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        self.symbol, self.keys, self.contexts = at, (pair[at], two[at]), [c[at] for c in contexts]
-
-    def rows(self, block: str, trained: np.ndarray, words: np.ndarray) -> Iterator[dict]:
-        """Per bucket: of each level the contexts and how many of the next level follow each; pairs, counts of their
-        symbols in the corpus, and the training counts of the last level."""
-        for b in range(len(self.edges) - 1):
-            lo, hi = int(self.edges[b]), int(self.edges[b + 1])
-            if lo == hi:
-                continue
-            pair, two = (k[lo:hi] for k in self.keys)
-            new = np.concatenate([[True], pair[1:] != pair[:-1]])
-            first = np.flatnonzero(new)
-            second = np.flatnonzero(new | np.concatenate([[True], two[1:] != two[:-1]]))
-            twos = np.diff(np.append(np.searchsorted(second, first), len(second)))
-            threes = np.diff(np.append(second, hi - lo))
-            one, other, third = (c[lo:hi] for c in self.contexts)
-            yield {
-                "kind": GRAMS, "bucket": b, "block": block, "a": keys_to_bytes(pair[first]), "b": keys_to_bytes(one[first]), "c": words[lo:hi][first].astype(np.float32).tobytes(),
-                "d": small_to_bytes(twos), "e": keys_to_bytes(other[second]), "f": small_to_bytes(threes), "g": keys_to_bytes(third), "h": small_to_bytes(trained[lo:hi]),
-            }
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns differs from the row before."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = False
+        for c in columns:
+            out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 class _Block:
-    def __init__(self, name: str):
-        self.name, self.bytes, self.ids, self.symbols, self.lengths, self.held = name, 0, [], [], [], []
+    def __init__(self, number: int):
+        self.number, self.bytes, self.ids, self.symbols, self.lengths = number, 0, [], [], []
 
     def add(self, batch: pa.RecordBatch):
         symbols, offsets = symbols_of(batch.column("text"))
-        ids = batch.column("doc_id").to_pylist()
-        self.ids += ids
-        self.held.append(is_held(ids))
+        self.ids += batch.column("doc_id").to_pylist()
         self.symbols.append(symbols)
         self.lengths.append(np.diff(offsets))
         self.bytes += batch.column("text").nbytes
 
-    def close(self, buckets: int) -> Iterator[dict]:
-        symbols, lengths, held = (np.concatenate(x) for x in (self.symbols, self.lengths, self.held))
-        learn = np.repeat(~held, lengths)
-        vocabulary, word, times = np.unique(symbols, return_inverse=True, return_counts=True)
-        rank = np.empty(len(times), np.int64)
-        frequent = np.argsort(-times, kind="stable")
-        rank[frequent] = np.arange(len(times))
-        vocabulary, word = vocabulary[frequent], rank[word]
-        trained = np.bincount(word[learn], minlength=len(vocabulary)).astype(np.uint32)
-        bucket = (mix(vocabulary) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            if edges[b] < edges[b + 1]:
-                own = order[edges[b] : edges[b + 1]]
-                yield {"kind": WORDS, "bucket": b, "a": vocabulary[own].tobytes(), "b": trained[own].tobytes()}
-        yield {"kind": DOCS, "bucket": -1, "a": packed(word), "b": vocabulary.tobytes(), "ids": self.ids, "tokens": lengths.tolist()}
+    def close(self) -> pa.RecordBatch:
+        """Words are numbered by falling frequency in the block, equally frequent ones by hash."""
+        hashes, word, times = np.unique(np.concatenate(self.symbols), return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        row = {"block": self.number, "vocabulary": to_bytes(steps_of(hashes[order])), "words": to_bytes(rank[word]), "ids": self.ids, "tokens": np.concatenate(self.lengths).tolist()}
+        return pa.RecordBatch.from_pylist([row], schema=_BLOCKS)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of BLOCK_BYTES of text, within a task."""
     from pyspark import TaskContext
 
-    part, block, number = TaskContext.get().partitionId(), None, 0
+    number = TaskContext.get().partitionId() << 24
+    block = None
     for batch in steps(batches):
-        if block is None:
-            block = _Block(f"{part}-{number}")
-            number += 1
+        block = block or _Block(number)
         block.add(batch)
         if block.bytes >= BLOCK_BYTES:
-            yield block
-            block = None
-    if block is not None:
-        yield block
-
-
-def _read_blocks(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            for row in block.close(buckets):
-                yield pa.RecordBatch.from_pylist([row | {"block": block.name}], schema=_BLOCKS)
-
-    return run
-
+            yield block.close()
+            block, number = None, number + 1
+    if block:
+        yield block.close()
 
-def _numbers(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
+class Tokens:
+    """A block's documents and words; with the answers also the words' numbers, training counts and which are heavy."""
 
-def _answer_words(table: pa.Table) -> pa.Table:
-    hashes, counts = _numbers(table["a"], np.uint64), _numbers(table["b"], np.uint32)
-    keys, total = summed(np.concatenate(hashes), np.concatenate(counts).astype(np.uint64))
-    answers = [total[np.searchsorted(keys, h)].tobytes() for h in hashes]
-    # One more row: the bucket's training tokens, distinct ones, those that occur once and twice.
-    facts = np.array([total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()], np.uint64)
-    blocks = table["block"].to_pylist()
-    return pa.table(
-        {
-            "block": pa.array([*blocks, None], pa.string()),
-            "kind": pa.array([WORDS] * len(blocks) + [FACTS], pa.int32()),
-            "bucket": pa.array([table["bucket"][0].as_py()] * (len(blocks) + 1), pa.int32()),
-            "a": pa.array([*answers, facts.tobytes()], pa.binary()),
-        }
-    )
+    def __init__(self, row: dict):
+        self.block, self.ids, self.lengths = row["block"], row["ids"], np.array(row["tokens"], np.int64)
+        self.vocabulary, self.word = sums_of(from_bytes(row["vocabulary"])), from_bytes(row["words"]).astype(np.int64)
+        self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
+        self.learn = np.repeat(~is_held(self.ids), self.lengths)
 
-
-def _parts(rows: list[dict]) -> pa.Table:
-    return pa.Table.from_pylist(rows, schema=_PARTS)
-
-
-def _block_of(table: pa.Table, buckets: int) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's documents, vocabulary, words (numbers in it), training counts of the vocabulary, offsets."""
-    answers, docs = table.filter(pc.equal(table["kind"], WORDS)), table.filter(pc.equal(table["kind"], DOCS)).to_pylist()[0]
-    lengths, vocabulary = np.array(docs["tokens"], np.int64), np.frombuffer(docs["b"], np.uint64)
-    bucket = (mix(vocabulary) % np.uint64(buckets)).astype(np.int64)
-    count = np.zeros(len(vocabulary))
-    for b, part in zip(answers["bucket"].to_pylist(), _numbers(answers["a"], np.uint64)):
-        count[bucket == b] = part
-    return docs, vocabulary, unpacked(docs["a"], int(lengths.sum())), count, np.concatenate([[0], np.cumsum(lengths)])
+    def buckets(self, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+        bucket = (mix(self.vocabulary) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            yield b, order[edges[b] : edges[b + 1]]
+
+    def answered(self, answers: pa.Table, buckets: int) -> Tokens:
+        rows = {r["bucket"]: r for r in answers.filter(pc.equal(answers["kind"], WORDS)).select(["bucket", "a", "b", "c"]).to_pylist()}
+        self.number, self.count, self.heavy = np.zeros(len(self.vocabulary), np.uint64), np.zeros(len(self.vocabulary), np.int64), np.zeros(len(self.vocabulary), bool)
+        for b, own in self.buckets(buckets):
+            self.number[own], self.count[own] = from_bytes(rows[b]["a"]), from_bytes(rows[b]["b"])
+            self.heavy[own] = np.unpackbits(np.frombuffer(rows[b]["c"], np.uint8), count=len(own)).astype(bool)
+        return self
+
+    def history(self) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """The number of each symbol, and of the one, two, three symbols before it (0: nothing) their numbers and weights."""
+        end = np.flatnonzero(self.vocabulary == END)
+        before, words, heavy = self.word, [], []
+        place = np.arange(len(self.word)) - np.repeat(self.offsets[:-1], self.lengths)
+        for back in range(DEPTH):
+            before = np.concatenate([end, before[:-1]])
+            before = np.where(place == back, end[0], before)
+            words.append(np.where(place >= back, self.number[before], np.uint64(0)))
+            heavy.append(self.heavy[before] & (place >= back))
+        return self.number[self.word], words, heavy
 
 
-def _send_grams(buckets: int, gram_buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        docs, vocabulary, word, count, offsets = _block_of(table, buckets)
-        grams = Grams(vocabulary[word], offsets, gram_buckets)
-        learn = np.repeat(~is_held(docs["ids"]), np.diff(offsets))
-        trained = np.bincount(grams.of_token[learn], minlength=len(grams.symbol))
-        return _parts(list(grams.rows(docs["block"], trained, count[word[grams.symbol]])))
+class Grams:
+    """The distinct sequences of a block (context of three, symbol) in the order of their buckets, and within a bucket of
+    depth (of the bucket's contexts), last word, symbol, the word before and the one before that."""
+
+    def __init__(self, tokens: Tokens, buckets: int):
+        s, (w1, w2, w3), (h1, h2, _) = tokens.history()
+        depth = 1 + h1.astype(np.uint64) + (h1 & h2)
+        route = mix(w1 + np.where(depth > 1, mix(w2 + np.uint64(1)), np.uint64(0)) + np.where(depth > 2, mix(w3 * np.uint64(3) + np.uint64(2)), np.uint64(0)))
+        cell = (route % np.uint64(buckets)) * np.uint64(4) + depth
+        keys = (cell << np.uint64(32)) | w1, (s << np.uint64(32)) | w2, w3
+        order = np.lexsort(keys[::-1])
+        first = changes(*(k[order] for k in keys))
+        self.of_token = np.empty(len(order), np.int64)
+        self.of_token[order] = np.cumsum(first) - 1
+        at = order[first]
+        self.w1, self.s, self.w2, self.w3, self.depth, self.cell = w1[at], s[at], w2[at], w3[at], depth[at], cell[at]
+        self.n = np.bincount(self.of_token[tokens.learn], minlength=len(at))
+        self.times = tokens.count[tokens.word[at]]
+
+    def cells(self) -> Iterator[tuple[int, int, slice]]:
+        """Bucket, depth and the sequences of each bucket and depth."""
+        first = np.flatnonzero(changes(self.cell))
+        for lo, hi in zip(first.tolist(), np.append(first[1:], len(self.cell)).tolist()):
+            yield int(self.cell[lo]) // 4, int(self.cell[lo]) % 4, slice(lo, hi)
+
+
+def _send_words(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                tokens = Tokens(row)
+                trained, held = (np.bincount(tokens.word[x], minlength=len(tokens.vocabulary)) for x in (tokens.learn, ~tokens.learn))
+                rows = [(tokens.block, b, to_bytes(steps_of(tokens.vocabulary[own])), to_bytes(trained[own]), to_bytes(held[own])) for b, own in tokens.buckets(buckets)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), *[pa.binary()] * 3))], names=["block", "bucket", "a", "b", "c"])
 
     return run
 
 
-def _merge_grams(buckets: int):
-    """Per bucket: one row with the counts of all levels, their parents and contexts (TREE), one per block with the
-    places of its grams (PLACES), one per bucket of contexts with these and their sizes and successors (SIZES)."""
-
+def _answer_words(buckets: int, heavy_from: int):
     def run(table: pa.Table) -> pa.Table:
-        keys = lambda c: np.concatenate([keys_from_bytes(x.as_buffer()) for x in table[c]])
-        small = lambda c: [small_from_bytes(x.as_buffer()) for x in table[c]]
-        trained = small("h")
-        pair, others, thirds = keys("a"), keys("e"), keys("g")
-        up_two = np.repeat(np.arange(len(pair)), np.concatenate(small("d")))
-        up_three = np.repeat(np.arange(len(others)), np.concatenate(small("f")))
-        two = mix(pair[up_two] * np.uint64(3) + others)
-        _, at, of_pair = np.unique(pair, return_index=True, return_inverse=True)
-        contexts, words = [keys("b")[at]], np.concatenate(_numbers(table["c"], np.float32))[at]
-        _, at, of_two = np.unique(two, return_index=True, return_inverse=True)
-        contexts.append(others[at])
-        parent_two = of_pair[up_two[at]]
-        _, at, of_three = np.unique(mix(two[up_three] * np.uint64(3) + thirds), return_index=True, return_inverse=True)
-        contexts.append(thirds[at])
-        parent_three = of_two[up_three[at]]
-        counts = [np.bincount(of_three, np.concatenate(trained), minlength=len(at))]
-        counts.insert(0, np.bincount(parent_three, counts[0], minlength=len(parent_two)))
-        counts.insert(0, np.bincount(parent_two, counts[0], minlength=len(words)))
-        count = np.concatenate(counts)
-        known, of_context = np.unique(np.concatenate(contexts), return_inverse=True)
-        place = (known % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(place, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        known, of_context = known[order], rank[of_context]
-        edges = np.searchsorted(place[order], np.arange(buckets + 1))
-        size, kinds = np.bincount(of_context, count).astype(np.uint32), np.bincount(of_context, count > 0).astype(np.uint32)
-        bucket = table["bucket"][0].as_py()
-        rows = [{"kind": TREE, "bucket": bucket, "a": words.tobytes(), "b": small_to_bytes(parent_two), "c": small_to_bytes(parent_three), "d": small_to_bytes(count), "e": small_to_bytes(of_context), "f": keys_to_bytes(known)}]
-        lengths = np.cumsum([len(x) for x in trained])
-        rows += [{"kind": PLACES, "bucket": bucket, "block": b, "a": small_to_bytes(p)} for b, p in zip(table["block"].to_pylist(), np.split(of_three, lengths[:-1]))]
-        for b in np.flatnonzero(np.diff(edges)).tolist():
-            own = slice(edges[b], edges[b + 1])
-            rows.append({"kind": SIZES, "bucket": bucket, "place": b, "a": keys_to_bytes(known[own]), "b": small_to_bytes(size[own]), "c": small_to_bytes(kinds[own])})
-        return _parts(rows)
+        hashes, trained, held = ([f(from_bytes(x.as_buffer())) for x in table[c]] for c, f in (("a", sums_of), ("b", np.asarray), ("c", np.asarray)))
+        keys, of_word = np.unique(np.concatenate(hashes), return_inverse=True)
+        count = np.bincount(of_word, np.concatenate(trained)).astype(np.int64)
+        total = count + np.bincount(of_word, np.concatenate(held)).astype(np.int64)
+        number, bucket = np.empty(len(keys), np.int64), table["bucket"][0].as_py()
+        number[np.lexsort((keys, -total))] = np.arange(len(keys)) * buckets + bucket + 1
+        heavy = total >= heavy_from
+        # One more row: the bucket's training tokens, distinct ones, those that occur once and twice, heavy words.
+        facts = np.array([count.sum(), (count > 0).sum(), (count == 1).sum(), (count == 2).sum(), heavy.sum()], np.int64)
+        rows = [(WORDS, b, bucket, to_bytes(number[at]), to_bytes(count[at]), np.packbits(heavy[at]).tobytes()) for b, at in zip(table["block"].to_pylist(), np.split(of_word, np.cumsum([len(h) for h in hashes])[:-1]))]
+        rows.append((FACTS, None, bucket, facts.tobytes(), None, None))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3))], names=["kind", "block", "bucket", "a", "b", "c"])
 
     return run
 
 
-def _add_sizes(table: pa.Table) -> pa.Table:
-    """The contexts' sizes and distinct successors over all buckets, sent back to each."""
-    asked = [keys_from_bytes(x.as_buffer()) for x in table["a"]]
-    keys, size, kinds = summed(np.concatenate(asked), *(np.concatenate([small_from_bytes(x.as_buffer()) for x in table[c]]).astype(np.uint64) for c in "bc"))
-    rows = []
-    for bucket, own in zip(table["bucket"].to_pylist(), asked):
-        at = np.searchsorted(keys, own)
-        rows.append({"kind": SIZES, "bucket": bucket, "place": table["place"][0].as_py(), "a": small_to_bytes(size[at]), "b": small_to_bytes(kinds[at])})
-    return _parts(rows)
+def heavy_sequences(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (heavy last word, symbol) and (heavy last two words, symbol) of a block: last word, the one before (0
+    in the former), symbol, training count, and a token that has it."""
+    s, (w1, w2, _), (h1, h2, _) = tokens.history()
+    one, two = np.flatnonzero(h1), np.flatnonzero(h1 & h2)
+    at = np.concatenate([one, two])
+    before = np.concatenate([np.zeros(len(one), np.uint64), w2[two]])
+    order = np.lexsort((s[at], before, w1[at]))
+    at, before = at[order], before[order]
+    first = changes(w1[at], before, s[at])
+    n = np.bincount(np.cumsum(first) - 1, tokens.learn[at], minlength=int(first.sum())).astype(np.int64)
+    return w1[at][first], before[first], s[at][first], n, at[first]
 
 
-def _add_gains(divergence: float):
-    def run(table: pa.Table) -> pa.Table:
-        asked = [keys_from_bytes(x.as_buffer()) for x in table["a"]]
-        keys, gain = summed(np.concatenate(asked), np.concatenate(_numbers(table["b"], np.float64)))
-        keep, place = gain >= divergence, table["place"][0].as_py()
-        return _parts([{"kind": VERDICTS, "bucket": b, "place": place, "a": np.packbits(keep[np.searchsorted(keys, own)]).tobytes()} for b, own in zip(table["bucket"].to_pylist(), asked)])
+def _ask_heavy(buckets: int):
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens = Tokens(blocks.to_pylist()[0]).answered(answers, buckets)
+        w1, w2, s, n, at = heavy_sequences(tokens)
+        columns = [np.full(len(n), tokens.block), *(x.astype(np.int64) for x in (w1, w2, s)), n, tokens.count[tokens.word[at]]]
+        return pa.table([pa.array(c) for c in columns], schema=_ASKED)
 
     return run
 
 
-class _Tree:
-    """A bucket's part of the tree: per level counts, contexts (numbers) and parents; sizes and successors of contexts."""
+def _send_grams(buckets: int, gram_buckets: int):
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens = Tokens(blocks.to_pylist()[0]).answered(answers, buckets)
+        grams = Grams(tokens, gram_buckets)
+        heavy = answers.filter(pc.equal(answers["kind"], HEAVY))
+        key = lambda w1, w2, s: mix(mix(w1.astype(np.uint64) + np.uint64(7)) + w2.astype(np.uint64)) * np.uint64(5) + s.astype(np.uint64)
+        known = key(*(heavy[c].to_numpy() for c in ("w1", "w2", "s")))
+        order = np.argsort(known)
+        q, p = (heavy[c].to_numpy()[order] for c in "qp")
+        rows = []
+        for bucket, depth, own in grams.cells():
+            row = {"bucket": bucket, "block": tokens.block, "depth": depth, "n": to_bytes(grams.n[own])}
+            w1, s = grams.w1[own], grams.s[own]
+            pair = changes(w1, s)
+            row |= {"w1": to_bytes(steps_of(w1)), "s": to_bytes(np.where(changes(w1), s, steps_of(s))), "w2": to_bytes(grams.w2[own]), "w3": to_bytes(grams.w3[own])}
+            if depth == 1:
+                row["times"] = to_bytes(grams.times[own][pair])
+            else:
+                at = np.searchsorted(known[order], key(w1, grams.w2[own] * np.uint64(depth > 2), s))
+                row |= {"q": floats(q[at]), "p": floats(p[at])}
+            rows.append(row)
+        return pa.Table.from_pylist(rows, schema=_GRAMS)
 
-    def __init__(self, table: pa.Table, buckets: int):
-        tree = table.filter(pc.equal(table["kind"], TREE)).to_pylist()[0]
-        read = lambda c: small_from_bytes(tree[c])
-        self.bucket, self.words, self.contexts = tree["bucket"], np.frombuffer(tree["a"], np.float32).astype(float), keys_from_bytes(tree["f"])
-        self.parents = [read("b").astype(np.int64), read("c").astype(np.int64)]
-        cuts = np.cumsum([len(self.words), len(self.parents[0])])
-        self.counts, self.of_context = np.split(read("d").astype(float), cuts), np.split(read("e").astype(np.int64), cuts)
-        sizes = table.filter(pc.equal(table["kind"], SIZES)).sort_by("place")
-        self.size, self.kinds = (np.concatenate([small_from_bytes(x.as_buffer()) for x in sizes[c]]).astype(float) for c in "ab")
-        self.tested = (self.size > 1) & (self.contexts != 0)
-        self.place = (self.contexts % np.uint64(buckets)).astype(np.int64)
+    return run
 
-    def levels(self):
-        """Per level: its counts, the numbers of its contexts, and the parents of its entries (none for the first)."""
-        return zip(self.counts, self.of_context, [slice(None), *self.parents])
 
+class Model:
+    """What all steps know: the training tokens, distinct words, and the discount."""
 
-def _gains(total: int, distinct: int, buckets: int):
-    """Each bucket's part of the contexts' leave-one-out gains over their suffixes."""
+    def __init__(self, total: int, distinct: int, once: int, twice: int, divergence: float):
+        self.total, self.distinct, self.divergence = total, distinct, divergence
+        self.discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
-    def run(table: pa.Table) -> pa.Table:
-        tree = _Tree(table, buckets)
-        gain = np.zeros(len(tree.contexts))
-        p = (np.maximum(tree.words - 1 - TEST_DISCOUNT, 0) + TEST_DISCOUNT * distinct / total) / max(total - 1, 1) if total else np.ones(len(tree.words))
-        for count, context, parent in tree.levels():
-            p = p[parent]
-            own = (np.maximum(count - 1 - TEST_DISCOUNT, 0) + TEST_DISCOUNT * tree.kinds[context] * p) / np.maximum(tree.size[context] - 1, 1)
-            own = np.where(tree.tested[context] & (count > 0), own, p)
-            gain += np.bincount(context, count * np.log(np.maximum(own, 1e-300) / p), minlength=len(gain))
-            p = own
-        rows = []
-        for b in np.unique(tree.place[tree.tested]).tolist():
-            own = tree.tested & (tree.place == b)
-            rows.append({"kind": VERDICTS, "bucket": tree.bucket, "place": b, "a": keys_to_bytes(tree.contexts[own]), "b": gain[own].tobytes()})
-        return _parts(rows)
+    def root(self, times):
+        """Test (leave-one-out) and final probability of symbols by their training counts."""
+        if not self.total:
+            return np.ones(len(times)), np.ones(len(times))
+        q = (np.maximum(times - 1 - TEST_DISCOUNT, 0) + TEST_DISCOUNT * self.distinct / self.total) / max(self.total - 1, 1)
+        return q, np.where(times > 0, (times - self.discount) / self.total, self.discount * self.distinct / self.total)
 
-    return run
+    def next_level(self, q, p, n, context, real):
+        """The probabilities one word deeper. q, p: those of the suffix; n: counts; context: number of each entry's
+        context, of which all entries are here; real: whether that is a context at all (not before the text)."""
+        size, kinds = np.bincount(context, n), np.bincount(context, n > 0)
+        tested = real & (size[context] > 1)
+        own = (np.maximum(n - 1 - TEST_DISCOUNT, 0) + TEST_DISCOUNT * kinds[context] * q) / np.maximum(size[context] - 1, 1)
+        own = np.where(tested & (n > 0), own, q)
+        gain = np.bincount(context, n * np.log(np.maximum(own, 1e-300) / q))
+        kept = tested & (gain[context] >= self.divergence)
+        return own, np.where(kept, (np.maximum(n - self.discount, 0) + self.discount * kinds[context] * p) / np.maximum(size[context], 1), p)
 
 
-def _answer_grams(total: int, distinct: int, discount: float, buckets: int):
-    """To each block the log10 probabilities of its grams: each by the longest suffix of its context that is retained."""
+def _answer_grams(model: Model):
+    """Adds up the sequences of a bucket and depth, tests their contexts, and answers each block."""
 
     def run(table: pa.Table) -> pa.Table:
-        tree = _Tree(table, buckets)
-        retained = np.zeros(len(tree.contexts), bool)
-        for verdict in table.filter(pc.equal(table["kind"], VERDICTS)).to_pylist():
-            own = np.flatnonzero(tree.tested & (tree.place == verdict["place"]))
-            retained[own] = np.unpackbits(np.frombuffer(verdict["a"], np.uint8), count=len(own)).astype(bool)
-        p = np.where(tree.words > 0, (tree.words - discount) / max(total, 1), discount * distinct / total if total else 1.0)
-        for count, context, parent in tree.levels():
-            p = p[parent]
-            p = np.where(retained[context], (np.maximum(count - discount, 0) + discount * tree.kinds[context] * p) / np.maximum(tree.size[context], 1), p)
-        score = np.log10(p).astype(np.float32)
-        places = table.filter(pc.equal(table["kind"], PLACES))
-        return _parts([{"kind": GRAMS, "bucket": tree.bucket, "block": b, "a": score[p].tobytes()} for b, p in zip(places["block"].to_pylist(), (small_from_bytes(x.as_buffer()) for x in places["a"]))])
+        parts, depth = table.to_pylist(), table["depth"][0].as_py()
+        columns: dict[str, list] = {c: [] for c in ("w1", "s", "w2", "w3", "n", "q", "p")}
+        for part in parts:
+            w1, s = sums_of(from_bytes(part["w1"])), from_bytes(part["s"])
+            start = np.flatnonzero(changes(w1))
+            s = sums_of(s)
+            s -= np.repeat(s[start] - from_bytes(part["s"])[start], np.diff(np.append(start, len(s))))
+            n = from_bytes(part["n"]).astype(np.int64)
+            if depth == 1:
+                q, p = (x[np.cumsum(changes(w1, s)) - 1] for x in model.root(from_bytes(part["times"]).astype(np.int64)))
+            else:
+                q, p = (np.frombuffer(part[c], "<f4").astype(float) for c in "qp")
+            for c, x in zip(columns, (w1, s, from_bytes(part["w2"]), from_bytes(part["w3"]), n, q, p)):
+                columns[c].append(x)
+        lengths = [len(x) for x in columns["n"]]
+        w1, s, w2, w3, n, q, p = (np.concatenate(x) for x in columns.values())
+        order = np.lexsort((w3, (s << np.uint64(32)) | w2, w1))
+        w1, s, w2, w3 = w1[order], s[order], w2[order], w3[order]
+        row = changes(w1, s, w2, w3)
+        of_row = np.empty(len(order), np.int64)
+        of_row[order] = np.cumsum(row) - 1
+        n = np.bincount(of_row, n).astype(np.int64)
+        q, p, w1, s, w2, w3 = q[order][row], p[order][row], w1[row], s[row], w2[row], w3[row]
+        # Entries of each level are runs of rows: (w1, s), (w1, s, w2), (w1, s, w2, w3).
+        contexts = [np.cumsum(changes(w1)) - 1]
+        contexts.append(np.unique((w1 << np.uint64(32)) | w2, return_inverse=True)[1])
+        contexts.append(np.unique((contexts[1].astype(np.uint64) << np.uint64(32)) | w3, return_inverse=True)[1])
+        entries = [changes(w1, s), changes(w1, s, w2), np.ones(len(n), bool)]
+        for level in range(depth - 1, DEPTH):
+            first = np.flatnonzero(entries[level])
+            of_entry = np.cumsum(entries[level]) - 1
+            count = np.add.reduceat(n, first)
+            real = (None, w2, w3)[level][first] != 0 if level else np.ones(len(first), bool)
+            q, p = (x[of_entry] for x in model.next_level(q[first], p[first], count, contexts[level][first], real))
+        score = to_score(p)
+        rows = [(SCORES, x["block"], x["bucket"] * 4 + depth, to_bytes(score[at])) for x, at in zip(parts, np.split(of_row, np.cumsum(lengths)[:-1]))]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))], names=["kind", "block", "bucket", "a"])
 
     return run
 
 
+def to_score(p: np.ndarray) -> np.ndarray:
+    return np.round(-np.log10(np.clip(p, 1e-15, 1)) * SCORE_UNIT).astype(np.int64)
+
+
 def _score_block(total: int, distinct: int, buckets: int, gram_buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        docs, vocabulary, word, count, offsets = _block_of(table, buckets)
-        grams = Grams(vocabulary[word], offsets, gram_buckets)
-        known = np.zeros(len(grams.symbol))
-        answers = table.filter(pc.equal(table["kind"], GRAMS))
-        for b, part in zip(answers["bucket"].to_pylist(), _numbers(answers["a"], np.float32)):
-            known[grams.edges[b] : grams.edges[b + 1]] = part
-        base = np.log10(count + 1) - np.log10(total + distinct + 1)
-        lengths = np.diff(offsets)
-        add = lambda x: np.add.reduceat(x, offsets[:-1])
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens = Tokens(blocks.to_pylist()[0]).answered(answers, buckets)
+        grams = Grams(tokens, gram_buckets)
+        scores = {r["bucket"]: r["a"] for r in answers.filter(pc.equal(answers["kind"], SCORES)).select(["bucket", "a"]).to_pylist()}
+        known = np.zeros(len(grams.n))
+        for bucket, depth, own in grams.cells():
+            known[own] = -from_bytes(scores[bucket * 4 + depth]).astype(float) / SCORE_UNIT
+        base = np.log10(tokens.count + 1) - np.log10(total + distinct + 1)
+        add = lambda x: np.add.reduceat(x, tokens.offsets[:-1])
         return pa.table(
             {
-                "doc_id": pa.array(docs["ids"], pa.int64()),
-                "held_out": pa.array(is_held(docs["ids"])),
-                "n_tokens": pa.array(lengths.astype(np.int64)),
-                "n_known": pa.array(add((count > 0)[word].astype(np.int64))),
-                "train_tokens": pa.array(np.full(len(lengths), total, np.int64)),
-                "base_score": pa.array(add(base[word])),
+                "doc_id": pa.array(tokens.ids, pa.int64()),
+                "held_out": pa.array(is_held(tokens.ids)),
+                "n_tokens": pa.array(tokens.lengths),
+                "n_known": pa.array(add((tokens.count > 0)[tokens.word].astype(np.int64))),
+                "train_tokens": pa.array(np.full(len(tokens.ids), total, np.int64)),
+                "base_score": pa.array(add(base[tokens.word])),
                 "score": pa.array(add(known[grams.of_token])),
             }
         )
@@ -426,27 +396,58 @@ def _score_block(total: int, distinct: int, buckets: int, gram_buckets: int):
     return run
 
 
-def score_documents(docs: DataFrame, divergence: float = 20.0) -> DataFrame:
+def heavy_contexts(asked: DataFrame, model: Model) -> DataFrame:
+    """w1, w2, s, q, p: test and final probability of each symbol after a heavy word (w2 is 0) or two."""
+    counts = asked.groupBy("w1", "w2", "s").agg(F.sum("n").alias("n"), F.max("times").alias("times"))
+    counts = materialize(counts, "lm-heavy")
+    total, distinct, d = float(max(model.total, 1)), float(model.distinct), model.discount
+    t = F.col("times")
+    q0 = (F.greatest(t - 1 - TEST_DISCOUNT, F.lit(0.0)) + TEST_DISCOUNT * distinct / total) / max(total - 1, 1)
+    p0 = F.when(t > 0, (t - d) / total).otherwise(d * distinct / total)
+    level = counts.filter("w2 = 0").withColumns({"sq": q0, "sp": p0})
+    done = None
+    for deeper in (False, True):
+        contexts = bounded_broadcast(level.groupBy("w1", "w2").agg(F.sum("n").alias("size"), F.sum((F.col("n") > 0).cast("bigint")).alias("kinds")), 200_000)
+        left = (F.greatest(F.col("n") - 1 - TEST_DISCOUNT, F.lit(0.0)) + TEST_DISCOUNT * F.col("kinds") * F.col("sq")) / F.greatest(F.col("size") - 1, F.lit(1))
+        tested = level.join(contexts, ["w1", "w2"]).withColumn("q", F.when((F.col("size") > 1) & (F.col("n") > 0), left).otherwise(F.col("sq")))
+        gains = bounded_broadcast(tested.groupBy("w1", "w2").agg(F.sum(F.col("n") * F.log(F.greatest("q", F.lit(1e-300)) / F.col("sq"))).alias("gain")), 200_000)
+        kept = (F.col("size") > 1) & (F.col("gain") >= model.divergence)
+        p = F.when(kept, (F.greatest(F.col("n") - d, F.lit(0.0)) + d * F.col("kinds") * F.col("sp")) / F.col("size")).otherwise(F.col("sp"))
+        out = materialize(tested.join(gains, ["w1", "w2"]).select("w1", "w2", "s", "q", p.alias("p")), "lm-heavy")
+        if deeper:
+            return done.unionByName(out)
+        done = out
+        level = counts.filter("w2 > 0").join(out.select("w1", "s", F.col("q").alias("sq"), F.col("p").alias("sp")), ["w1", "s"])
+
+
+def _bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
+    """df written as a table in the shared folder that is bucketed by a column: grouping by it needs no exchange."""
+    spark, name = df.sparkSession, f"lm_blocks_{uuid.uuid4().hex}"
+    df.write.option("path", f"{shared_folder(spark)}/{name}").option("compression", "zstd").format("parquet").bucketBy(buckets, by).saveAsTable(name)
+    return spark.table(name)
+
+
+def score_documents(docs: DataFrame, divergence: float = 6.0) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     text = no_clash(docs, "doc_id", "text")
     bytes_ = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets, gram_buckets = (int(max(8, -(-bytes_ // b))) for b in (BUCKET_BYTES, GRAM_BUCKET_BYTES))
-    blocks = materialize(text.mapInArrow(_read_blocks(buckets), BLOCKS), "lm-blocks")
-    words = blocks.filter(F.col("kind") == WORDS).select("block", "bucket", "a", "b")
-    answers = materialize(words.groupBy("bucket").applyInArrow(_answer_words, "block string, kind int, bucket int, a binary"), "lm-answers")
-    facts = [np.frombuffer(r.a, np.uint64) for r in answers.filter(F.col("kind") == FACTS).select("a").toLocalIterator()]
-    total, distinct, once, twice = (int(sum(int(f[i]) for f in facts)) for i in range(4))
-    discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
-    own = blocks.filter(F.col("kind") == DOCS).select("block", "kind", "bucket", "a", "b", "ids", "tokens")
-    together = own.unionByName(answers.filter(F.col("kind") == WORDS), allowMissingColumns=True)
-    grams = together.groupBy("block").applyInArrow(_send_grams(buckets, gram_buckets), PARTS)
-    tree = materialize(grams.groupBy("bucket").applyInArrow(_merge_grams(gram_buckets), PARTS), "lm-tree")
-    sizes = materialize(tree.filter(F.col("kind") == SIZES).groupBy("place").applyInArrow(_add_sizes, PARTS), "lm-sizes")
-    sized = tree.filter(F.col("kind") == TREE).unionByName(sizes)
-    gains = sized.groupBy("bucket").applyInArrow(_gains(total, distinct, gram_buckets), PARTS)
-    verdicts = gains.groupBy("place").applyInArrow(_add_gains(divergence), PARTS)
-    judged = tree.filter(F.col("kind").isin(TREE, PLACES)).unionByName(sizes).unionByName(verdicts)
-    scores = judged.groupBy("bucket").applyInArrow(_answer_grams(total, distinct, discount, gram_buckets), PARTS)
-    together = together.unionByName(scores.select("block", "kind", "bucket", "a"), allowMissingColumns=True)
+    buckets, gram_buckets = (int(max(8, -(-bytes_ // b))) for b in (WORD_BUCKET_BYTES, GRAM_BUCKET_BYTES))
+    heavy_from = int(min(HEAVY_MOST, max(HEAVY_LEAST, bytes_ // HEAVY_BYTES)))
+    parts = max(gram_buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    blocks = _bucketed(text.mapInArrow(_read_blocks, BLOCKS), "block", parts)
+    sent = blocks.mapInArrow(_send_words(buckets), "block bigint, bucket int, a binary, b binary, c binary")
+    answers = materialize(sent.groupBy("bucket").applyInArrow(_answer_words(buckets, heavy_from), "kind int, block bigint, bucket int, a binary, b binary, c binary"), "lm-words")
+    facts = [np.frombuffer(r.a, np.int64) for r in answers.filter(F.col("kind") == FACTS).select("a").toLocalIterator()]
+    total, distinct, once, twice, heavy = (int(sum(int(f[i]) for f in facts)) for i in range(5))
+    model = Model(total, distinct, once, twice, divergence)
+    words = answers.filter(F.col("kind") == WORDS)
+    with_blocks = lambda right, function, schema: blocks.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(function, schema)
+    known = words.unionByName(words.sparkSession.createDataFrame([], ANSWERS), allowMissingColumns=True)
+    if heavy:
+        asked = materialize(with_blocks(words, _ask_heavy(buckets), ASKED), "lm-heavy")
+        told = asked.select("block", "w1", "w2", "s").join(heavy_contexts(asked, model), ["w1", "w2", "s"]).withColumn("kind", F.lit(HEAVY))
+        known = known.unionByName(told, allowMissingColumns=True)
+    grams = with_blocks(known, _send_grams(buckets, gram_buckets), GRAMS)
+    scores = grams.groupBy("bucket", "depth").applyInArrow(_answer_grams(model), "kind int, block bigint, bucket int, a binary")
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return together.groupBy("block").applyInArrow(_score_block(total, distinct, buckets, gram_buckets), schema)
+    return with_blocks(words.unionByName(scores, allowMissingColumns=True), _score_block(total, distinct, buckets, gram_buckets), schema)

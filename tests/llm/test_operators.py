@@ -195,14 +195,17 @@ def tree_by_brute_force(texts, held, divergence, test=0.7):
     return out
 
 
-@pytest.mark.parametrize("divergence", [20.0, 3.0])
-def test_suffix_tree_against_brute_force(spark, divergence):
-    """One document a partition, so that contexts are frequent in all but rare, or without gain, in each block."""
+@pytest.mark.parametrize("divergence,heavy,parts", [(20.0, 1 << 20, 90), (3.0, 1 << 20, 7), (3.0, 60, 90), (6.0, 5, 3)])
+def test_suffix_tree_against_brute_force(spark, monkeypatch, divergence, heavy, parts):
+    """Down to one document a partition, so that contexts are frequent in all but rare, or without gain, in each block;
+    with no, some and nearly all words heavy."""
+    monkeypatch.setattr(suffix_tree_lm, "HEAVY_LEAST", heavy)
+    monkeypatch.setattr(suffix_tree_lm, "HEAVY_MOST", heavy)
     r = random.Random(5)
     texts = [" ".join(w for _ in range(4) for w in (*r.choice((("lot", "of", "salt"), ("pot", "of", "soup"))), *r.sample(WORDS, 3))) for _ in range(90)]
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
     want = tree_by_brute_force(texts, held, divergence)
-    got = suffix_tree_lm.score_documents(docs(spark, texts).repartition(90, "doc_id"), divergence=divergence).collect()
+    got = suffix_tree_lm.score_documents(docs(spark, texts).repartition(parts, "doc_id"), divergence=divergence).collect()
     assert [round(x.score, 3) for x in sorted(got, key=lambda x: x.doc_id)] == [round(x, 3) for x in want]
 
 
