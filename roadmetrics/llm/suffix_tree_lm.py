@@ -47,8 +47,8 @@ END = np.uint64(0x5851F42D4C957F2D)
 BLOCK_BYTES = 16 << 20
 WORD_BUCKET_BYTES = 64 << 20
 GRAM_BUCKET_BYTES = 16 << 20
-#: A word is heavy from this share of the text's bytes on, but not below or above these numbers of occurrences.
-HEAVY_BYTES, HEAVY_LEAST, HEAVY_MOST = 1 << 10, 1 << 20, 1 << 23
+#: A word is heavy from so many occurrences on: as many sequences a task holds at most besides its bucket's share.
+HEAVY_FROM = 1 << 22
 TEST_DISCOUNT = 0.7
 #: Scores travel as fixed-point numbers of three bytes.
 SCORE_UNIT = 1 << 20
@@ -158,7 +158,7 @@ class Tokens:
 
     def __init__(self, row: dict):
         self.block, self.ids, self.lengths = row["block"], row["ids"], np.array(row["tokens"], np.int64)
-        self.vocabulary, self.word = sums_of(from_bytes(row["vocabulary"])), from_bytes(row["words"]).astype(np.int64)
+        self.vocabulary, self.word = sums_of(from_bytes(row["vocabulary"])), from_bytes(row["words"]).astype(np.int32)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
         self.learn = np.repeat(~is_held(self.ids), self.lengths)
 
@@ -171,7 +171,7 @@ class Tokens:
 
     def answered(self, answers: pa.Table, buckets: int) -> Tokens:
         rows = {r["bucket"]: r for r in answers.filter(pc.equal(answers["kind"], WORDS)).select(["bucket", "a", "b", "c"]).to_pylist()}
-        self.number, self.count, self.heavy = np.zeros(len(self.vocabulary), np.uint64), np.zeros(len(self.vocabulary), np.int64), np.zeros(len(self.vocabulary), bool)
+        self.number, self.count, self.heavy = np.zeros(len(self.vocabulary), np.uint32), np.zeros(len(self.vocabulary), np.int64), np.zeros(len(self.vocabulary), bool)
         for b, own in self.buckets(buckets):
             self.number[own], self.count[own] = from_bytes(rows[b]["a"]), from_bytes(rows[b]["b"])
             self.heavy[own] = np.unpackbits(np.frombuffer(rows[b]["c"], np.uint8), count=len(own)).astype(bool)
@@ -181,11 +181,12 @@ class Tokens:
         """The number of each symbol, and of the one, two, three symbols before it (0: nothing) their numbers and weights."""
         end = np.flatnonzero(self.vocabulary == END)
         before, words, heavy = self.word, [], []
-        place = np.arange(len(self.word)) - np.repeat(self.offsets[:-1], self.lengths)
+        end = end.astype(np.int32)
+        place = np.minimum(np.arange(len(self.word)) - np.repeat(self.offsets[:-1], self.lengths), DEPTH).astype(np.int8)
         for back in range(DEPTH):
             before = np.concatenate([end, before[:-1]])
-            before = np.where(place == back, end[0], before)
-            words.append(np.where(place >= back, self.number[before], np.uint64(0)))
+            before[place == back] = end[0]
+            words.append(np.where(place >= back, self.number[before], np.uint32(0)))
             heavy.append(self.heavy[before] & (place >= back))
         return self.number[self.word], words, heavy
 
@@ -196,16 +197,22 @@ class Grams:
 
     def __init__(self, tokens: Tokens, buckets: int):
         s, (w1, w2, w3), (h1, h2, _) = tokens.history()
-        depth = 1 + h1.astype(np.uint64) + (h1 & h2)
-        route = mix(w1 + np.where(depth > 1, mix(w2 + np.uint64(1)), np.uint64(0)) + np.where(depth > 2, mix(w3 * np.uint64(3) + np.uint64(2)), np.uint64(0)))
-        cell = (route % np.uint64(buckets)) * np.uint64(4) + depth
-        keys = (cell << np.uint64(32)) | w1, (s << np.uint64(32)) | w2, w3
-        order = np.lexsort(keys[::-1])
-        first = changes(*(k[order] for k in keys))
-        self.of_token = np.empty(len(order), np.int64)
+        depth = 1 + h1.astype(np.uint32) + (h1 & h2)
+        route, wide = w1.astype(np.uint64), np.uint64
+        for least, words in ((2, w2), (3, w3)):
+            at = np.flatnonzero(depth >= least)
+            route[at] = mix(route[at] * wide(3) + wide(least)) + words[at]
+        cell = (mix(route) % wide(buckets)).astype(np.uint32) * np.uint32(4) + depth
+        keys = (cell.astype(wide) << wide(32)) | w1, (s.astype(wide) << wide(32)) | w2
+        del route
+        order = np.lexsort((w3, keys[1], keys[0]))
+        first = changes(*(k[order] for k in (*keys, w3)))
+        del keys
+        self.of_token = np.empty(len(order), np.int32)
         self.of_token[order] = np.cumsum(first) - 1
         at = order[first]
-        self.w1, self.s, self.w2, self.w3, self.depth, self.cell = w1[at], s[at], w2[at], w3[at], depth[at], cell[at]
+        del order, first
+        self.w1, self.s, self.w2, self.w3, self.cell = w1[at], s[at], w2[at], w3[at], cell[at]
         self.n = np.bincount(self.of_token[tokens.learn], minlength=len(at))
         self.times = tokens.count[tokens.word[at]]
 
@@ -252,7 +259,7 @@ def heavy_sequences(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     s, (w1, w2, _), (h1, h2, _) = tokens.history()
     one, two = np.flatnonzero(h1), np.flatnonzero(h1 & h2)
     at = np.concatenate([one, two])
-    before = np.concatenate([np.zeros(len(one), np.uint64), w2[two]])
+    before = np.concatenate([np.zeros(len(one), np.uint32), w2[two]])
     order = np.lexsort((s[at], before, w1[at]))
     at, before = at[order], before[order]
     first = changes(w1[at], before, s[at])
@@ -288,7 +295,7 @@ def _send_grams(buckets: int, gram_buckets: int):
             if depth == 1:
                 row["times"] = to_bytes(grams.times[own][pair])
             else:
-                at = np.searchsorted(known[order], key(w1, grams.w2[own] * np.uint64(depth > 2), s))
+                at = np.searchsorted(known[order], key(w1, grams.w2[own] * np.uint32(depth > 2), s))
                 row |= {"q": floats(q[at]), "p": floats(p[at])}
             rows.append(row)
         return pa.Table.from_pylist(rows, schema=_GRAMS)
@@ -327,38 +334,46 @@ def _answer_grams(model: Model):
 
     def run(table: pa.Table) -> pa.Table:
         parts, depth = table.to_pylist(), table["depth"][0].as_py()
-        columns: dict[str, list] = {c: [] for c in ("w1", "s", "w2", "w3", "n", "q", "p")}
+        columns: dict[str, list] = {c: [] for c in ("front", "back", "n", "q", "p")}
         for part in parts:
             w1, s = sums_of(from_bytes(part["w1"])), from_bytes(part["s"])
-            start = np.flatnonzero(changes(w1))
+            start, coded = np.flatnonzero(changes(w1)), s
             s = sums_of(s)
-            s -= np.repeat(s[start] - from_bytes(part["s"])[start], np.diff(np.append(start, len(s))))
-            n = from_bytes(part["n"]).astype(np.int64)
+            s -= np.repeat(s[start] - coded[start], np.diff(np.append(start, len(s))))
             if depth == 1:
                 q, p = (x[np.cumsum(changes(w1, s)) - 1] for x in model.root(from_bytes(part["times"]).astype(np.int64)))
             else:
-                q, p = (np.frombuffer(part[c], "<f4").astype(float) for c in "qp")
-            for c, x in zip(columns, (w1, s, from_bytes(part["w2"]), from_bytes(part["w3"]), n, q, p)):
+                q, p = (np.frombuffer(part[c], "<f4") for c in "qp")
+            values = (w1 << np.uint64(32)) | s, (from_bytes(part["w2"]) << np.uint64(32)) | from_bytes(part["w3"]), from_bytes(part["n"]).astype(np.int32), q.astype(np.float32), p.astype(np.float32)
+            for c, x in zip(columns, values):
                 columns[c].append(x)
+            for c in ("w1", "s", "w2", "w3", "n", "times", "q", "p"):
+                part[c] = None
         lengths = [len(x) for x in columns["n"]]
-        w1, s, w2, w3, n, q, p = (np.concatenate(x) for x in columns.values())
-        order = np.lexsort((w3, (s << np.uint64(32)) | w2, w1))
-        w1, s, w2, w3 = w1[order], s[order], w2[order], w3[order]
-        row = changes(w1, s, w2, w3)
-        of_row = np.empty(len(order), np.int64)
+        front, back = (np.concatenate(columns.pop(c)) for c in ("front", "back"))
+        order = np.lexsort((back, front))
+        front, back = front[order], back[order]
+        row = changes(front, back)
+        of_row = np.empty(len(order), np.int32)
         of_row[order] = np.cumsum(row) - 1
-        n = np.bincount(of_row, n).astype(np.int64)
-        q, p, w1, s, w2, w3 = q[order][row], p[order][row], w1[row], s[row], w2[row], w3[row]
+        n = np.bincount(of_row, np.concatenate(columns.pop("n"))).astype(np.int32)
+        at = order[row]
+        q, p = (np.concatenate(columns.pop(c))[at].astype(float) for c in "qp")
+        front, back = front[row], back[row]
+        del order, row, at
+        low = np.uint64(0xFFFFFFFF)
+        w1, s, w2, w3 = ((front >> np.uint64(32)).astype(np.uint32), (front & low).astype(np.uint32), (back >> np.uint64(32)).astype(np.uint32), (back & low).astype(np.uint32))
         # Entries of each level are runs of rows: (w1, s), (w1, s, w2), (w1, s, w2, w3).
-        contexts = [np.cumsum(changes(w1)) - 1]
-        contexts.append(np.unique((w1 << np.uint64(32)) | w2, return_inverse=True)[1])
-        contexts.append(np.unique((contexts[1].astype(np.uint64) << np.uint64(32)) | w3, return_inverse=True)[1])
-        entries = [changes(w1, s), changes(w1, s, w2), np.ones(len(n), bool)]
+        two = np.unique((w1.astype(np.uint64) << np.uint64(32)) | w2, return_inverse=True)[1].astype(np.int32)
+        three = np.unique((two.astype(np.uint64) << np.uint64(32)) | w3, return_inverse=True)[1].astype(np.int32)
+        contexts = [(np.cumsum(changes(w1)) - 1).astype(np.int32), two, three]
+        entries = [changes(front), changes(front, w2), np.ones(len(n), bool)]
+        del front, back, w1, s
         for level in range(depth - 1, DEPTH):
             first = np.flatnonzero(entries[level])
             of_entry = np.cumsum(entries[level]) - 1
             count = np.add.reduceat(n, first)
-            real = (None, w2, w3)[level][first] != 0 if level else np.ones(len(first), bool)
+            real = (w2, w3)[level - 1][first] != 0 if level else np.ones(len(first), bool)
             q, p = (x[of_entry] for x in model.next_level(q[first], p[first], count, contexts[level][first], real))
         score = to_score(p)
         rows = [(SCORES, x["block"], x["bucket"] * 4 + depth, to_bytes(score[at])) for x, at in zip(parts, np.split(of_row, np.cumsum(lengths)[:-1]))]
@@ -432,11 +447,10 @@ def score_documents(docs: DataFrame, divergence: float = 6.0) -> DataFrame:
     text = no_clash(docs, "doc_id", "text")
     bytes_ = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, gram_buckets = (int(max(8, -(-bytes_ // b))) for b in (WORD_BUCKET_BYTES, GRAM_BUCKET_BYTES))
-    heavy_from = int(min(HEAVY_MOST, max(HEAVY_LEAST, bytes_ // HEAVY_BYTES)))
     parts = max(gram_buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = _bucketed(text.mapInArrow(_read_blocks, BLOCKS), "block", parts)
     sent = blocks.mapInArrow(_send_words(buckets), "block bigint, bucket int, a binary, b binary, c binary")
-    answers = materialize(sent.groupBy("bucket").applyInArrow(_answer_words(buckets, heavy_from), "kind int, block bigint, bucket int, a binary, b binary, c binary"), "lm-words")
+    answers = materialize(sent.groupBy("bucket").applyInArrow(_answer_words(buckets, HEAVY_FROM), "kind int, block bigint, bucket int, a binary, b binary, c binary"), "lm-words")
     facts = [np.frombuffer(r.a, np.int64) for r in answers.filter(F.col("kind") == FACTS).select("a").toLocalIterator()]
     total, distinct, once, twice, heavy = (int(sum(int(f[i]) for f in facts)) for i in range(5))
     model = Model(total, distinct, once, twice, divergence)

@@ -199,8 +199,7 @@ def tree_by_brute_force(texts, held, divergence, test=0.7):
 def test_suffix_tree_against_brute_force(spark, monkeypatch, divergence, heavy, parts):
     """Down to one document a partition, so that contexts are frequent in all but rare, or without gain, in each block;
     with no, some and nearly all words heavy."""
-    monkeypatch.setattr(suffix_tree_lm, "HEAVY_LEAST", heavy)
-    monkeypatch.setattr(suffix_tree_lm, "HEAVY_MOST", heavy)
+    monkeypatch.setattr(suffix_tree_lm, "HEAVY_FROM", heavy)
     r = random.Random(5)
     texts = [" ".join(w for _ in range(4) for w in (*r.choice((("lot", "of", "salt"), ("pot", "of", "soup"))), *r.sample(WORDS, 3))) for _ in range(90)]
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
