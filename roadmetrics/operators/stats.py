@@ -56,3 +56,9 @@ def merge_results(results: DataFrame, order: str = "ord") -> DataFrame:
     for k in ways:
         pick = F.when(F.col("strategy") == k, F.col(f"_{k}")).otherwise(pick)
     return merged.select("metric", "strategy", "n", F.when(F.col("n") == 1, F.col("_only")).otherwise(F.round(pick, 4)).alias("value"))
+
+
+def concat_results(results: DataFrame, order: str = "ord") -> DataFrame:
+    """Partial lists (metric, items) of several recordings joined to one list per metric, in the recordings' order."""
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), "items")))
+    return results.filter("items IS NOT NULL").groupBy("metric").agg(F.flatten(F.transform(parts, lambda p: p["items"])).alias("items"))

@@ -3,59 +3,81 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Config
 from ..operators.asof import Right, align
+from ..sources.shared import written
 
 SYNC_TOLERANCE = 0.3
 
 
+class MissingTopic(KeyError):
+    """These recordings lack a topic that a program needs."""
+
+
 @dataclass
 class Telemetry:
     """Tables by topic name (see schemas.TOPICS), and the configuration."""
 
     tables: dict[str, DataFrame]
     config: Config = field(default_factory=Config)
+    keep: bool = False
     _made: dict[str, DataFrame] = field(default_factory=dict)
 
     def topic(self, name: str) -> DataFrame:
+        if name not in self.tables:
+            raise MissingTopic(name)
         return self.tables[name]
 
+    def shared(self) -> Telemetry:
+        """The same telemetry whose aligned tables are written to the shared folder when first asked for, so that several
+        programs read them instead of aligning again."""
+        return replace(self, keep=True, _made={})
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = written(build(), name) if self.keep else build()
+        return self._made[name]
+
     def frames(self) -> DataFrame:
         """One row per function message with the nearest message of the other topics (structs), within 0.3 s; one exchange."""
-        if "frames" not in self._made:
-            base = self.topic("function_manager").select("drive_id", "t", "operator_type").withColumn("key", F.monotonically_increasing_id())
+
+        def build():
+            base = self.topic("function_manager").select("drive_id", "t", "operator_type").withColumn("key", F.lit(0).cast("bigint"))
             rights = []
             for name in ("localization", "chassis", "trajectory", "obstacles"):
                 if name in self.tables:
-                    rights.append(Right(self.topic(name).drop("bag").withColumn("key", F.lit(0).cast("bigint")), name, SYNC_TOLERANCE))
+                    rights.append(Right(by_content(self.topic(name).drop("bag")), name, SYNC_TOLERANCE))
             if "control_debug" in self.tables:
-                rights.append(Right(self.topic("control_debug").drop("bag").withColumn("key", F.lit(0).cast("bigint")), "control_debug", 0.05))
+                rights.append(Right(by_content(self.topic("control_debug").drop("bag")), "control_debug", 0.05))
             joined = align(base, rights, key="key").drop("key")
-            self._made["frames"] = joined.withColumn("is_auto", F.col("operator_type") == self.config.auto_operator)
-        return self._made["frames"]
+            return joined.withColumn("is_auto", F.col("operator_type") == self.config.auto_operator)
+
+        return self._once("frames", build)
 
     def _with_state(self, name: str, columns: list[str]) -> DataFrame:
         """High-frequency rows with the driving mode of the nearest function message, however far (ties: the later)."""
-        rows = self.topic(name).select("drive_id", "t", *columns).withColumn("key", F.monotonically_increasing_id())
-        state = self.topic("function_manager").select("drive_id", "t", "operator_type").withColumn("key", F.lit(0).cast("bigint"))
+        rows = self.topic(name).select("drive_id", "t", *columns).withColumn("key", F.lit(0).cast("bigint"))
+        state = by_content(self.topic("function_manager").select("drive_id", "t", "operator_type"))
         joined = align(rows, [Right(state, "fm", None, "later")], key="key")
         auto = F.coalesce(F.col("fm.operator_type") == self.config.auto_operator, F.lit(False))
         return joined.withColumn("is_auto", auto).drop("key", "fm")
 
     def chassis_hf(self) -> DataFrame:
-        if "chassis_hf" not in self._made:
-            self._made["chassis_hf"] = self._with_state("chassis", ["steering_angle", "steering_rate", "speed", "lat_acc"])
-        return self._made["chassis_hf"]
+        return self._once("chassis_hf", lambda: self._with_state("chassis", ["steering_angle", "steering_rate", "speed", "lat_acc"]))
 
     def control_hf(self) -> DataFrame:
-        if "control_hf" not in self._made:
-            self._made["control_hf"] = self._with_state("control", ["target_lon_acc"])
-        return self._made["control_hf"]
+        return self._once("control_hf", lambda: self._with_state("control", ["target_lon_acc"]))
+
+
+def by_content(rows: DataFrame) -> DataFrame:
+    """rows with a key by which rows of equal time come in the same order however the files are laid out."""
+    return rows.withColumn("key", F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]))
 
 
 @dataclass
@@ -108,11 +130,11 @@ def closure(names: list[str]) -> list[str]:
 
 def run(telemetry: Telemetry, names: list[str] | None = None) -> tuple[DataFrame, DataFrame | None, dict[str, str]]:
     """Metrics and events of the programs as two DataFrames, and what failed to build (name: reason)."""
-    metrics, events, failed = [], [], {}
+    metrics, events, failed, telemetry = [], [], {}, telemetry.shared()
     for name in closure(names or list(PROGRAMS)):
         try:
             result = PROGRAMS[name][0](telemetry)
-        except KeyError as missing:  # a topic that these recordings lack
+        except MissingTopic as missing:
             failed[name] = f"no topic {missing}"
             continue
         metrics.append(result.metrics.withColumn("program", F.lit(name)))

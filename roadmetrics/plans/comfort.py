@@ -17,7 +17,7 @@ from .base import Result, Telemetry, event_rows, metric_rows, program
 
 def accelerations(telemetry: Telemetry) -> DataFrame:
     """Autonomous control rows (drive_id, t, acc) with the chassis speed interpolated to their times."""
-    control = telemetry.control_hf().filter("is_auto AND target_lon_acc IS NOT NULL").select("drive_id", "t", F.col("target_lon_acc").alias("acc")).withColumn("key", F.monotonically_increasing_id())
+    control = telemetry.control_hf().filter("is_auto AND target_lon_acc IS NOT NULL").select("drive_id", "t", F.col("target_lon_acc").alias("acc")).withColumn("key", F.lit(0).cast("bigint"))
     chassis = telemetry.topic("chassis").select("drive_id", "t", "speed").withColumn("key", F.lit(0).cast("bigint"))
     return interpolate(control, chassis, "speed", "speed", key="key").drop("key").fillna(0.0, ["speed"])
 
@@ -50,7 +50,7 @@ def comfort(telemetry: Telemetry) -> Result:
     peak = by_band(v, limits.JERK_PEAK, 3.0)
     up, down = F.when(acc > 0, acc), F.when(acc < 0, -acc)
     per = rows.groupBy("drive_id").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(jerk).alias("mean"), F.percentile(jerk, F.lit(0.95)).alias("p95"), F.avg(F.when(jerk.isNotNull(), F.when(jerk > peak, 100.0).otherwise(0.0))).alias("over"),
+        F.count(F.lit(1)).alias("n"), F.avg(jerk).alias("mean"), F.percentile(jerk, F.lit(0.95)).alias("p95"), F.percentile(jerk, F.lit(0.99)).alias("p99"), F.avg(v).alias("v"), F.avg(F.when(jerk.isNotNull(), F.when(jerk > peak, 100.0).otherwise(0.0))).alias("over"),
         F.max(up).alias("acc"), F.avg(F.when(up.isNotNull(), F.when(up > by_band(v, limits.ACC_WARN, 3.0), 100.0).otherwise(0.0))).alias("acc_over"),
         F.max(down).alias("dec"), F.avg(F.when(down.isNotNull(), F.when(down > by_band(v, limits.DEC_WARN, 3.0), 100.0).otherwise(0.0))).alias("dec_over"),
     ).filter("n >= 10")
@@ -62,11 +62,17 @@ def comfort(telemetry: Telemetry) -> Result:
     }
     counts = events.groupBy("drive_id").agg(F.count(F.lit(1)).alias("jerk_events"))
     joined = per.join(windows, "drive_id", "left").join(counts, "drive_id", "left").fillna(0, ["jerk_events"])
-    rows_out = metric_rows(joined, {k: (F.col(x), u) for k, (x, u) in metrics.items()} | {"jerk_events": (F.col("jerk_events"), "")})
+    points, grade = score(F.col("rms_max"), F.col("p99"), F.col("mean"), F.col("v"))
+    more = {"jerk_events": (F.col("jerk_events"), ""), "comfort_score": (points, "")}
+    rows_out = metric_rows(joined, {k: (F.col(x), u) for k, (x, u) in metrics.items()} | more, {"comfort_score": grade})
     return Result(rows_out, event_rows(events, "jerk"))
 
 
-def score(rms: F.Column, rate_over: F.Column, dec_over: F.Column) -> tuple[F.Column, F.Column]:
-    """Comfort from 0 to 100 by deductions of at most 40, 30 and 20 points, and its grade."""
-    points = 100 - F.least(rms * 20, F.lit(40.0)) - F.least(rate_over, F.lit(30.0)) - F.least(dec_over, F.lit(20.0))
+def score(rms: F.Column, p99: F.Column, mean: F.Column, speed: F.Column) -> tuple[F.Column, F.Column]:
+    """Comfort from 0 to 100 and its grade: deductions of at most 40, 30 and 20 points for what the largest RMS, the 99th
+    percentile and the mean of the jerk exceed the limits at the mean speed by. A missing value deducts nothing."""
+    limit, peak = by_band(speed, limits.JERK_RMS, 1.5), by_band(speed, limits.JERK_PEAK, 3.0)
+    off = lambda value, most, points: F.coalesce(F.least(F.lit(points), F.greatest(F.lit(0.0), value - most)), F.lit(0.0))
+    left = 100 - off(rms * 10, limit * 10, 40.0) - off(p99 * 5, peak * 5, 30.0) - off(mean * 10, limit * 5, 20.0)
+    points = F.greatest(F.lit(0.0), F.least(F.lit(100.0), left))
     return points, F.when(points >= 90, "A").when(points >= 75, "B").when(points >= 60, "C").otherwise("D")

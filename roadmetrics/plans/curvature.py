@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import boxes, geo
 from ..functions.bands import road_class
 from ..operators import stats
+from ..sources.reports import features
+from ..sources.shared import written
 from .base import Result, Telemetry, metric_rows, program
 
 
@@ -31,3 +33,18 @@ def curvature(telemetry: Telemetry) -> Result:
     )
     metrics = {"kappa_mean": ("kappa", "1/m"), "kappa_std": ("std", "1/m"), "straight_pct": ("straight", "%"), "curve_pct": ("curve", "%"), "small_curve_pct": ("small", "%"), "large_curve_pct": ("large", "%"), "match_distance": ("distance", "m")}
     return Result(metric_rows(per, {k: (F.col(c), u) for k, (c, u) in metrics.items()}))
+
+
+def map_features(telemetry: Telemetry, zone: int, least_m: float = 0.1) -> DataFrame:
+    """GeoJSON features of the autonomous frames: the vehicle's point, the matched path point, and the line between them if
+    they are more than least_m apart. Path points are in the UTM zone given."""
+    m = written(matched(telemetry, zone).drop("x", "y"), "matched")
+    lat2, lon2 = geo.utm_inverse(F.col("path_x"), F.col("path_y"), F.lit(zone))
+    m = m.select("drive_id", "t", "road", "kappa", "distance", "lat", "lon", lat2.alias("lat2"), lon2.alias("lon2"))
+    columns = ["kind", "drive_id", "t", "road", "kappa", "distance", "lon", "lat"]
+    kind = lambda df, name: df.withColumn("kind", F.lit(name))
+    vehicle = kind(m, "vehicle").select(columns)
+    path = kind(m, "path").withColumns({"lon": F.col("lon2"), "lat": F.col("lat2")}).select(columns)
+    apart = kind(m.filter(F.col("distance") > least_m), "offset").select(*columns, "lon2", "lat2")
+    point = lambda df: features(df, "Point").select("kind", "drive_id", "t", "road", "geojson")
+    return point(vehicle).unionByName(point(path)).unionByName(features(apart, "LineString", lon2="lon2", lat2="lat2").select("kind", "drive_id", "t", "road", "geojson"))

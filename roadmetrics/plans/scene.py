@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.asof import Right, align
 from ..operators.islands import number_islands
 from ..schemas import TURNS
-from .base import Result, Telemetry, metric_rows, program
+from .base import Result, Telemetry, by_content, metric_rows, program
 
 #: Families of events that make a junction passage a failure.
 FAILURES = ("takeover", "hard_braking", "jerk_event")
@@ -23,8 +23,8 @@ def current_lane(lanes: Column) -> Column:
 
 def tagged(rows: DataFrame, telemetry: Telemetry) -> DataFrame:
     """rows (drive_id, t, key) with lane, turn and junction of the nearest trajectory and map snapshot."""
-    trajectory = telemetry.topic("trajectory").select("drive_id", "t", current_lane(F.col("lane_id")).alias("lane")).withColumn("key", F.lit(0).cast("bigint"))
-    snapshots = telemetry.topic("map").select("drive_id", "t", "lanes").withColumn("key", F.lit(0).cast("bigint"))
+    trajectory = by_content(telemetry.topic("trajectory").select("drive_id", "t", current_lane(F.col("lane_id")).alias("lane")))
+    snapshots = telemetry.topic("map").select("drive_id", "t", "lanes").withColumn("key", F.xxhash64(F.map_keys("lanes"), F.map_values("lanes")))
     out = align(rows, [Right(trajectory, "traj", None, "later"), Right(snapshots, "map", None, "earlier")], key="key")
     lane = F.try_element_at("map.lanes", F.col("traj.lane"))
     turn = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in TURNS.items() for x in kv]), lane["turn"]), F.lit("unknown"))
@@ -42,13 +42,13 @@ def occupancy(rows: DataFrame, junction: str, order: tuple[str, ...] = ("t",), *
 
 def annotate(events: DataFrame, telemetry: Telemetry) -> DataFrame:
     """Events with the scene (lane, turn, junction) of their start."""
-    keyed = events.withColumn("t", F.col("start_ts")).withColumn("key", F.monotonically_increasing_id())
+    keyed = events.withColumn("t", F.col("start_ts")).withColumn("key", F.lit(0).cast("bigint"))
     return tagged(keyed, telemetry).drop("t", "key")
 
 
 def passages(telemetry: Telemetry, events: DataFrame) -> DataFrame:
     """Junction intervals of autonomous frames with their turn and whether an event of a failing family came within them."""
-    rows = telemetry.frames().filter("is_auto").select("drive_id", "t").withColumn("key", F.monotonically_increasing_id())
+    rows = telemetry.frames().filter("is_auto").select("drive_id", "t").withColumn("key", F.lit(0).cast("bigint"))
     seen = tagged(rows, telemetry)
     turn = F.coalesce(F.max_by("turn", F.when((F.col("turn") != "straight") & (F.col("turn") != "unknown"), F.col("t"))), F.lit("straight")).alias("turn")
     intervals = occupancy(seen, "junction", ("t", "key"), turn, F.max("t").alias("last_ts")).withColumn("until", F.coalesce("exit_ts", "last_ts"))

@@ -52,7 +52,7 @@ def rms_windows(telemetry: Telemetry, rows: DataFrame) -> DataFrame:
     """
     c, w = telemetry.config, Window.partitionBy("segment").orderBy("t")
     rate = ops.median_step(rows, ["drive_id"]).select("drive_id", F.floor(F.col("rate") * c.steer_window_s).alias("size"), F.greatest(F.floor(F.col("rate") * c.steer_step_s), F.lit(1)).alias("step"))
-    running = rows.withColumns({"row": F.row_number().over(w), "upto": F.sum(F.col("rate") * F.col("rate")).over(w)}).join(F.broadcast(rate), "drive_id")
+    running = rows.withColumns({"row": F.row_number().over(w), "upto": F.sum(F.col("rate") * F.col("rate")).over(w)}).join(rate, "drive_id")
     ends = running.select("segment", (F.col("row") - F.col("size")).alias("row"), F.col("upto").alias("end_sum"))
     starts = running.select("drive_id", "segment", "size", "step", (F.col("row")).alias("row"), "upto").unionByName(running.filter("row = 1").select("drive_id", "segment", "size", "step", F.lit(0).alias("row"), F.lit(0.0).alias("upto")))
     centre = running.select("segment", (F.col("row") - 1 - F.floor(F.col("size") / 2)).alias("row"), F.col("t"), F.col("speed"))

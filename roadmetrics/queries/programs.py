@@ -27,7 +27,7 @@ def telemetry(spark, sf_dir, config: Config = Config()) -> Telemetry:
     o = _sample(table(spark, sf_dir, "orders"), "o_orderkey", 10.0)
     price, phase = F.col("o_totalprice"), F.col("t") - 1_700_000_000.0
     wave = lambda period: F.sin(2 * 3.141592653589793 * phase / period)
-    noise: Column = (F.xxhash64("o_orderkey") % 1000) / 1000.0
+    noise: Column = ((F.col("o_orderkey") * 7919) % 2000 - 1000) / 1000.0
     base = o.select("drive_id", "t", F.lit("bag").alias("bag"), "o_orderkey", price.alias("price"), phase.alias("phase"), noise.alias("noise"), wave(7.0).alias("w7"), wave(2.0).alias("w2"), (F.col("o_custkey") % 7).alias("cust"))
     lat, lon = 31.0 + F.col("phase") * 1e-4, 121.0 + F.col("phase") * 5e-5
     tables = {
@@ -54,12 +54,79 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select("drive_id", "metric", F.round("value", 5).alias("value"), "value_text", "unit")
 
 
+#: The same telemetry in SQL: every topic has one row per sample, so a frame is a row of each.
+_FRAMES = """b AS (SELECT 'd' || CAST(floor((o_orderkey - 1) / 500) AS BIGINT) AS drive_id, 1700000000.0::DOUBLE + CAST((o_orderkey - 1) % 500 AS DOUBLE) / 10 AS t,
+        CAST((o_orderkey * 7919) % 2000 - 1000 AS DOUBLE) / 1000 AS noise, o_custkey % 7 AS cust FROM orders),
+    p AS (SELECT *, t - 1700000000.0::DOUBLE AS phase FROM b),
+    f AS (SELECT drive_id, t, (floor(phase / 8) % 3) < 2 AS is_auto, 31.0::DOUBLE + phase * 1e-4 AS lat, 121.0::DOUBLE + phase * 5e-5 AS lon, abs(noise) AS sd,
+        CASE cust WHEN 0 THEN 2 WHEN 1 THEN 7 ELSE 3 END AS status, 45 + sin(2 * 3.141592653589793 * phase / 7) * 30 AS speed, CASE WHEN cust <> 3 THEN 50.0 END AS speed_limit,
+        sin(2 * 3.141592653589793 * phase / 7) * 0.3 + noise * 0.1 AS err, abs(sin(2 * 3.141592653589793 * phase / 7) * 0.01) AS kappa FROM p),
+    h AS (SELECT *, lag(t) OVER w AS t0, lag(is_auto) OVER w AS auto0, radians(lat) AS la, radians(lag(lat) OVER w) AS la0, radians(lon - lag(lon) OVER w) AS dlon, lead(is_auto) OVER w AS auto1, lead(t) OVER w AS t1
+        FROM f WINDOW w AS (PARTITION BY drive_id ORDER BY t)),
+    s AS (SELECT *, t - t0 AS dt, pow(sin((la - la0) / 2), 2) + cos(la) * cos(la0) * pow(sin(dlon / 2), 2) AS a FROM h),
+    d AS (SELECT *, 2 * 6371000.0 * atan2(sqrt(a), sqrt(1 - a)) AS m FROM s),
+    mileage AS (SELECT drive_id, coalesce(sum(m) FILTER (ok AND is_auto), 0) / 1000 AS auto_km, coalesce(sum(m) FILTER (ok AND NOT is_auto), 0) / 1000 AS manual_km,
+        coalesce(sum(dt) FILTER (ok AND is_auto), 0) AS auto_s, coalesce(sum(dt) FILTER (ok AND NOT is_auto), 0) AS manual_s
+        FROM (SELECT *, coalesce(dt > 0 AND dt <= 1 AND m / dt * 3.6 <= 200, false) AS ok FROM d) GROUP BY drive_id)"""
+
+
+def _sql(parts: str, source: str, metrics: dict[str, tuple[str, ...]]) -> str:
+    """One SELECT per metric: (value, unit) or (value, unit, text)."""
+    rows = [f"SELECT drive_id, '{name}' AS metric, round(CAST({m[0]} AS DOUBLE), 5) AS value, CAST({m[2] if len(m) > 2 else 'NULL'} AS VARCHAR) AS value_text, '{m[1]}' AS unit FROM {source}" for name, m in metrics.items()]
+    return f"WITH {_FRAMES}{', ' if parts else ''}{parts} " + " UNION ALL ".join(rows)
+
+
+_PER = ("CASE WHEN auto_km > 0 THEN n * 100.0 / auto_km ELSE 0 END", "1/100 km")
+_KM = ("CASE WHEN n > 0 THEN auto_km / n END", "km", "CASE WHEN n = 0 THEN 'inf' END")
+PROGRAM_SQL = {
+    "mileage": _sql(
+        "", "mileage",
+        {"total_km": ("auto_km + manual_km", "km"), "auto_km": ("auto_km", "km"), "manual_km": ("manual_km", "km"), "auto_min": ("auto_s / 60", "min"), "manual_min": ("manual_s / 60", "min"),
+         "auto_kmh": ("CASE WHEN auto_s > 0 THEN auto_km / (auto_s / 3600) END", "km/h"), "auto_pct": ("CASE WHEN auto_km + manual_km > 0 THEN auto_km * 100 / (auto_km + manual_km) END", "%")},
+    ),
+    "takeover": _sql(
+        """i AS (SELECT *, sum(CASE WHEN auto0 IS NULL OR auto0 <> is_auto OR dt > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY drive_id ORDER BY t) AS island FROM d),
+        g AS (SELECT drive_id, min(t) AS began, max(t) AS ended, arg_max_null(auto1, t) AS auto1, arg_max_null(t1, t) AS stop FROM i WHERE is_auto GROUP BY drive_id, island),
+        e AS (SELECT drive_id, stop, ended - began >= 1 AS valid FROM g WHERE NOT auto1 AND stop - ended <= 1),
+        v AS (SELECT drive_id, stop - lag(stop) OVER (PARTITION BY drive_id ORDER BY stop) AS apart FROM e WHERE valid),
+        k AS (SELECT *, coalesce((SELECT count(*) FROM e WHERE e.drive_id = mileage.drive_id), 0) AS every, coalesce((SELECT count(*) FROM e WHERE e.drive_id = mileage.drive_id AND valid), 0) AS n,
+              (SELECT avg(apart) FROM v WHERE v.drive_id = mileage.drive_id AND apart <= 60) AS apart FROM mileage)""",
+        "k",
+        {"takeovers": ("n", ""), "takeovers_invalid": ("every - n", ""), "takeovers_per_100km": _PER, "km_per_takeover": _KM, "takeover_interval": ("coalesce(apart, CASE WHEN n > 0 THEN auto_s / n END, auto_s) / 60", "min")},
+    ),
+    "speeding": _sql(
+        """r AS (SELECT *, coalesce(is_auto AND speed_limit > 0 AND speed > 1.15 * speed_limit AND speed > 50, false) AS fast, CASE WHEN auto0 AND m < 100 THEN m END AS step FROM d),
+        i AS (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY t) - row_number() OVER (PARTITION BY drive_id, fast ORDER BY t) AS island FROM r),
+        j AS (SELECT *, row_number() OVER (PARTITION BY drive_id, island ORDER BY t) AS rn FROM i WHERE fast),
+        e AS (SELECT drive_id, coalesce(sum(step) FILTER (rn > 1), 0) AS m, max(speed / speed_limit) AS peak FROM j GROUP BY drive_id, island HAVING max(t) - min(t) >= 1),
+        c AS (SELECT drive_id, count(*) AS n, sum(m) / 1000 AS over_km, max(peak) AS ratio FROM e GROUP BY drive_id),
+        k AS (SELECT mileage.*, coalesce(n, 0) AS n, coalesce(over_km, 0) AS over_km, ratio FROM mileage LEFT JOIN c USING (drive_id))""",
+        "k",
+        {"speeding_events": ("n", ""), "speeding_km": ("over_km", "km"), "speeding_per_100km": _PER, "km_per_speeding": _KM, "speeding_ratio": ("ratio", "")},
+    ),
+    "localization": _sql(
+        """c AS (SELECT *, CASE WHEN status = 2 THEN 'waiting' WHEN sd > 1.0 THEN 'drift' WHEN sd > 0.2 THEN 'possible' ELSE 'normal' END AS class FROM f),
+        k AS (SELECT drive_id, avg(CASE WHEN class = 'normal' THEN 100.0 ELSE 0 END) AS normal, avg(CASE WHEN class = 'drift' THEN 100.0 ELSE 0 END) AS drift, avg(CASE WHEN class = 'possible' THEN 100.0 ELSE 0 END) AS possible,
+              avg(sd) AS sd, count(*) FILTER (class = 'drift') AS high, count(*) FILTER (class = 'possible') AS mid FROM c GROUP BY drive_id)""",
+        "k",
+        {"loc_normal": ("normal", "%"), "loc_drift": ("drift", "%"), "loc_possible": ("possible", "%"), "loc_sd": ("sd", "m"), "loc_high_frames": ("high", ""), "loc_mid_frames": ("mid", "")},
+    ),
+    "lane_keeping": _sql(
+        """k AS (SELECT drive_id, avg(abs(err)) AS mean, quantile_cont(abs(err), 0.95) AS p95, max(abs(err)) AS most, avg(abs(err)) FILTER (kappa < 0.003) AS straight, avg(abs(err)) FILTER (kappa >= 0.003) AS curve,
+              avg(CASE WHEN abs(err) > 0.1 THEN 100.0 ELSE 0 END) AS o10, avg(CASE WHEN abs(err) > 0.2 THEN 100.0 ELSE 0 END) AS o20, avg(CASE WHEN abs(err) > 0.3 THEN 100.0 ELSE 0 END) AS o30
+              FROM f WHERE is_auto AND status IN (3, 7) AND sd <= 0.2 GROUP BY drive_id HAVING count(*) >= 10)""",
+        "k",
+        {f"lane_error_{n}": (f"{c} * 100", "cm") for n, c in (("mean", "mean"), ("p95", "p95"), ("max", "most"), ("straight", "straight"), ("curve", "curve"))} | {f"lane_over_{x}cm": (f"o{x}", "%") for x in (10, 20, 30)},
+    ),
+}
+
+
 def _program(name: str):
     def build(spark, sf_dir):
         return _rounded(plans.PROGRAMS[name][0](telemetry(spark, sf_dir)).metrics)
 
     build.__name__ = f"metrics_{name}"
-    return query()(build)
+    return query(PROGRAM_SQL.get(name))(build)
 
 
 for _name in plans.PROGRAMS:
@@ -71,7 +138,7 @@ def all_events(spark, sf_dir):
     """Every program's events with the scene of their start."""
     from ..plans.scene import annotate
 
-    tel = telemetry(spark, sf_dir)
+    tel = telemetry(spark, sf_dir).shared()
     parts = [r.events for r in (build(tel) for build, _ in plans.PROGRAMS.values()) if r.events is not None]
     return annotate(reduce(DataFrame.unionByName, parts), tel).select("drive_id", "family", F.round("start_ts", 5).alias("start_ts"), F.round("end_ts", 5).alias("end_ts"), "frame_count", F.round("peak", 5).alias("peak"), "lane", "turn", "junction")
 
@@ -92,3 +159,11 @@ def savitzky_golay(spark, sf_dir):
     from .base import events
 
     return by_series(events(spark, sf_dir).select("event_id", "drive_id", "t", "value"), "drive_id", "t", "value", "smooth", lambda t, x: savgol(x, 7, 3))
+
+
+@query()
+def curvature_geojson(spark, sf_dir):
+    """Vehicle and path points of the autonomous frames, and the lines between them, as GeoJSON features."""
+    from ..plans.curvature import map_features
+
+    return map_features(telemetry(spark, sf_dir), 51)

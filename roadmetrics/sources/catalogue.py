@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,3 +43,14 @@ def load_or_build(spark, path: str, mark: str, build) -> DataFrame:
     build().write.mode("overwrite").parquet(f"{path}/data")
     spark.createDataFrame([(mark,)], "mark string").coalesce(1).write.mode("overwrite").text(f"{path}/_mark")
     return spark.read.parquet(f"{path}/data")
+
+
+def recordings(spark: SparkSession, folder: str, pattern: str = "*.db3", depth: int = 3) -> DataFrame:
+    """The recording files below folder, at most depth folders deep and not in hidden ones: path, bag (their folder),
+    bytes, modified. Contents are not read; Spark lists no empty files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    inside = F.split(F.regexp_replace("path", "^.*?" + re.escape(folder.rstrip("/").split(":", 1)[-1]) + "/", ""), "/")
+    folders = F.slice(inside, 1, F.size(inside) - 1)
+    found = files.select("path", F.regexp_extract("path", "([^/]+)/[^/]*$", 1).alias("bag"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), folders.alias("_in"))
+    fits = (F.size("_in") <= depth) & ~F.exists("_in", lambda x: x.startswith("."))
+    return found.filter(fits).drop("_in")
