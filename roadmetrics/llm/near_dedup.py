@@ -258,20 +258,23 @@ def find_links(nodes: DataFrame, kmers: DataFrame, similarity: float, task_rows:
     if (sizes.agg(F.max("n")).first()[0] or 0) <= task_rows:
         return links
     large = materialize(members.filter("cuts > 1").drop("cuts"), "near-large")
-    return links.unionByName(verified(rest_tasks(large, components(links), task_rows)))
+    return links.unionByName(verified(rest_tasks(large, components(links, early=3), task_rows)))
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, root for all linked nodes, by alternating large-star and small-star rounds."""
+def components(links: DataFrame, most_rounds: int = 60, early: int = 0) -> DataFrame:
+    """node, root for all linked nodes, by alternating large-star and small-star rounds. With early, what so many rounds
+    have joined: nodes of one root are connected, but a class may still have several roots."""
     edges = materialize(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-edges")
     state = None
-    for _ in range(most_rounds):
+    for done in range(1, most_rounds + 1):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).filter("u != v").distinct()
         edges = materialize(small, "near-edges")
+        if done == early:
+            return edges.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("root"))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
