@@ -47,6 +47,18 @@ def area_counts(area: str) -> dict[str, Column]:
     return {f"{area}_total": count(lambda o: o[area]), f"{area}_static": count(lambda o: o[area] & o["still"]), f"{area}_moving": count(lambda o: o[area] & ~o["still"])}
 
 
+def near_scenes(telemetry: Telemetry, most: int = 20, below_m: float = 3.0) -> DataFrame:
+    """The ``most`` frames with the nearest obstacles, if nearer than below_m: rank, drive_id, t, distance, track_id, type,
+    direction, obstacles (how many the frame has) and level (1 below a metre, 2 below danger_m, 3 below two, 4 beyond)."""
+    c = telemetry.config
+    nearest = F.array_min(F.transform("seen", lambda o, i: F.struct(o["distance"].alias("distance"), i.alias("i"), o["track_id"].alias("track_id"), o["type"].alias("type"), o["direction"].alias("direction"))))
+    found = measured(telemetry).select("drive_id", "t", nearest.alias("n"), F.size("seen").alias("obstacles")).filter(F.col("n.distance") < below_m)
+    top = found.orderBy("n.distance", "t", "drive_id").limit(most)
+    level = F.when(F.col("distance") < 1.0, 1).when(F.col("distance") < c.danger_m, 2).when(F.col("distance") < 2.0, 3).otherwise(4)
+    flat = top.select("drive_id", "t", "n.distance", "n.track_id", "n.type", "n.direction", "obstacles").withColumn("level", level)
+    return flat.withColumn("rank", F.row_number().over(Window.orderBy("distance", "t", "drive_id")))
+
+
 @program("roi")
 def roi(telemetry: Telemetry) -> Result:
     c, frames = telemetry.config, measured(telemetry)

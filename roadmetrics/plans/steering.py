@@ -60,6 +60,45 @@ def rms_windows(telemetry: Telemetry, rows: DataFrame) -> DataFrame:
     return full.select("drive_id", "segment", "t", "speed", F.sqrt(F.greatest(F.col("end_sum") - F.col("upto"), F.lit(0.0)) / F.col("size")).alias("rms"))
 
 
+def flip_windows(telemetry: Telemetry, rows: DataFrame) -> DataFrame:
+    """One row per full window of a segment: its centre t, the sign changes a second of the rates that reach
+    flip_min_rate (flips, 0 if fewer than two rates do), the mean speed.
+
+    Windows are counted in rows as in rms_windows. A window's sign changes are a difference of running counts, from its
+    first rate that reaches the least one to its last, so no frame width has to be a constant.
+    """
+    c, w = telemetry.config, Window.partitionBy("segment").orderBy("t")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    rate = ops.median_step(rows, ["drive_id"]).select("drive_id", F.floor(F.col("rate") * c.steer_window_s).alias("size"), F.greatest(F.floor(F.col("rate") * c.steer_step_s), F.lit(1)).alias("step"))
+    high = F.abs("rate") >= c.flip_min_rate
+    signed = rows.withColumns({"row": F.row_number().over(w), "sign": F.when(high, F.signum("rate")), "v": F.sum("speed").over(so_far)})
+    before = F.last("sign", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    counted = signed.withColumn("flip", F.coalesce((F.col("sign") != before).cast("int"), F.lit(0))).withColumn("upto", F.sum("flip").over(so_far))
+    own = counted.withColumn("own", F.when(F.col("sign").isNotNull(), F.struct("t", "upto")))
+    later = Window.partitionBy("segment").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
+    ends = own.withColumns({"last": F.last("own", ignorenulls=True).over(so_far), "first": F.last("own", ignorenulls=True).over(later)}).join(rate, "drive_id")
+    starts = ends.filter("(row - 1) % step = 0").select("drive_id", "segment", "row", "size", "first", (F.col("v") - F.col("speed")).alias("v0"))
+    upto = ends.select("segment", (F.col("row") - F.col("size") + 1).alias("row"), "last", F.col("v").alias("v1"))
+    centre = ends.select("segment", (F.col("row") - F.floor(F.col("size") / 2)).alias("row"), "t")
+    full = starts.join(upto, ["segment", "row"]).join(centre, ["segment", "row"])
+    span = F.col("last.t") - F.col("first.t")
+    flips = F.when(span > 0, (F.col("last.upto") - F.col("first.upto")) / span).otherwise(0.0)
+    return full.select("drive_id", "segment", "t", F.coalesce(flips, F.lit(0.0)).alias("flips"), ((F.col("v1") - F.col("v0")) / F.col("size")).alias("speed"))
+
+
+def flip_events(telemetry: Telemetry, rows: DataFrame, per_drive: DataFrame, most: int = 20) -> DataFrame:
+    """The peak windows of neighbouring windows that flip too often, the first ``most`` of each drive whose own flip rate
+    (flips, speed of per_drive) is beyond its limit."""
+    c = telemetry.config
+    limit = lambda: by_band(F.col("speed"), limits.STEER_FLIP_FAIL, 0)
+    bad = per_drive.filter((limit() > 0) & (F.col("flips") > limit())).select("drive_id")
+    over = flip_windows(telemetry, rows).filter((limit() > 0) & (F.col("flips") > limit())).join(bad, "drive_id", "left_semi")
+    merged = merge_events(over.withColumns({"start_ts": F.col("t"), "end_ts": F.col("t")}), ["drive_id"], 2 * c.steer_step_s)
+    peaks = merged.groupBy("drive_id", "merged").agg(F.max_by(F.struct("t", "flips"), F.struct("flips", -F.col("t"))).alias("p"), F.count(F.lit(1)).alias("frame_count"))
+    peaks = peaks.select("drive_id", F.col("p.t").alias("start_ts"), F.col("p.t").alias("end_ts"), "frame_count", F.col("p.flips").alias("peak"))
+    return peaks.withColumn("_k", F.row_number().over(Window.partitionBy("drive_id").orderBy("start_ts"))).filter(F.col("_k") <= most).drop("_k")
+
+
 @program("steering")
 def steering(telemetry: Telemetry) -> Result:
     c, rows = telemetry.config, rates(telemetry)
@@ -79,5 +118,7 @@ def steering(telemetry: Telemetry) -> Result:
     rms_events = merged.groupBy("drive_id", "merged").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.count(F.lit(1)).alias("frame_count"), F.max("rms").alias("peak"))
     fast = size > by_band(F.col("speed"), limits.STEER_P95_FAIL, 1e9)
     rate_runs = summarise(runs(rows, ["drive_id"], ["t"], fast), ["drive_id"], F.col("rate"), "t", "abs_max", F.avg("speed").alias("v")).filter(f"v >= {c.steer_event_kmh}")
-    events = event_rows(rms_events, "steering_rms").unionByName(event_rows(rate_runs, "steering_rate"))
+    speeds = rows.groupBy("drive_id").agg(F.avg("speed").alias("speed"))
+    flipping = flip_events(telemetry, rows, flip_rate.join(speeds, "drive_id"))
+    events = event_rows(rms_events, "steering_rms").unionByName(event_rows(rate_runs, "steering_rate")).unionByName(event_rows(flipping, "steering_flip"))
     return Result(metric_rows(joined, {k: (F.col(v), u) for k, (v, u) in metrics.items()}).unionByName(by_bin), events)

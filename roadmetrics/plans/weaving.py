@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as limits
 from ..config import Config
+from ..functions.bands import valid_position
 from ..functions.filters import lowpass
 from ..operators.kernels import segments
 from ..operators.stats import km_per_event, per_100
+from ..sources.reports import features
 from . import mileage
 from .base import Result, Telemetry, event_rows, metric_rows, program
 
@@ -131,6 +133,30 @@ def detect(rows: DataFrame, c: Config) -> DataFrame:
     return rows.groupBy("segment").applyInArrow(_detect(c), schema)
 
 
+def event_features(events: DataFrame, telemetry: Telemetry) -> DataFrame:
+    """GeoJSON features of events (drive_id, start_ts, end_ts) with at least two positions: the line that the vehicle drove
+    and its points, each with its steering rate and the share of the event's largest.
+
+    Events last weaving_max_s at most, so one of them is a handful of rows; positions meet them by time bucket.
+    """
+    span = telemetry.config.weaving_max_s
+    bucket = lambda t: F.floor(t / span)
+    f = telemetry.frames().filter(valid_position(F.col("localization.lat"), F.col("localization.lon")))
+    places = f.select("drive_id", "t", bucket(F.col("t")).alias("bucket"), F.col("localization.lat").alias("lat"), F.col("localization.lon").alias("lon"), F.coalesce("chassis.steering_rate", F.lit(0.0)).alias("rate"))
+    spread = events.select("drive_id", "start_ts", "end_ts", F.explode(F.sequence(bucket(F.col("start_ts")), bucket(F.col("end_ts")))).alias("bucket"))
+    w = Window.partitionBy("drive_id", "start_ts", "end_ts")
+    placed = places.join(spread, ["drive_id", "bucket"]).filter((F.col("t") >= F.col("start_ts")) & (F.col("t") <= F.col("end_ts")))
+    placed = placed.withColumns({"index": F.row_number().over(w.orderBy("t", "lat", "lon", "rate")) - 1, "n": F.count(F.lit(1)).over(w), "most": F.max(F.abs("rate")).over(w)}).filter("n >= 2")
+    share = F.round(F.coalesce(F.try_divide(F.abs("rate"), F.col("most")), F.lit(0.0)), 3)
+    columns = ["kind", "drive_id", "start_ts", "index", "geojson"]
+    points = placed.select(F.lit("point").alias("kind"), "drive_id", "start_ts", "index", F.round("rate", 1).alias("steering_rate"), share.alias("share"), "t", "lon", "lat")
+    line = F.transform(F.array_sort(F.collect_list(F.struct("index", "lon", "lat"))), lambda p: F.array(p["lon"], p["lat"]))
+    shape = F.struct(F.lit("LineString").alias("type"), line.alias("coordinates"))
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(F.first("drive_id").alias("drive_id"), F.first("start_ts").alias("start_ts"), F.first("end_ts").alias("end_ts")).alias("properties")))
+    lines = placed.groupBy("drive_id", "start_ts", "end_ts").agg(feature.alias("geojson")).select(F.lit("line").alias("kind"), "drive_id", "start_ts", F.lit(None).cast("int").alias("index"), "geojson")
+    return features(points, "Point").select(columns).unionByName(lines)
+
+
 @program("weaving", needs=("mileage",))
 def weaving(telemetry: Telemetry) -> Result:
     c = telemetry.config

@@ -76,6 +76,29 @@ def _sql(parts: str, source: str, metrics: dict[str, tuple[str, ...]]) -> str:
     return f"WITH {_FRAMES}{', ' if parts else ''}{parts} " + " UNION ALL ".join(rows)
 
 
+#: The obstacles of the nearest frame within 0.3 s, measured, and per frame the nearest and the first to be hit.
+_SEEN = """o AS (SELECT DISTINCT l_orderkey AS k, 'd' || CAST(floor((l_orderkey - 1) / 500) AS BIGINT) AS drive_id, 1700000000.0::DOUBLE + CAST((l_orderkey - 1) % 500 AS DOUBLE) / 10 AS t FROM lineitem),
+    n AS (SELECT f.drive_id, f.t, f.speed / 3.6::DOUBLE AS ego, o.k FROM f LEFT JOIN o ON o.drive_id = f.drive_id AND abs(o.t - f.t) <= 0.3::DOUBLE QUALIFY row_number() OVER (PARTITION BY f.drive_id, f.t ORDER BY abs(o.t - f.t), o.t) = 1),
+    ob AS (SELECT l_orderkey AS k, l_partkey AS track_id, l_quantity - 15 AS x, l_discount * 100 - 5 AS y, l_tax * 100 AS vx, 0.5 + l_tax * 50 AS len, 0.5 + l_linenumber * 0.3::DOUBLE AS wid, l_extendedprice / 10000 AS heading,
+        CASE WHEN l_returnflag = 'A' THEN 3 ELSE 1 END AS motion, l_linenumber % 6 * 30 AS type FROM lineitem),
+    bx AS (SELECT *, (len * abs(cos(heading)) + wid * abs(sin(heading))) / 2 AS hx, (len * abs(sin(heading)) + wid * abs(cos(heading))) / 2 AS hy, row_number() OVER (PARTITION BY k ORDER BY track_id, x, y, vx, len, wid, heading, motion, type) AS i FROM ob),
+    xy AS (SELECT *, x - hx AS x0, x + hx AS x1, y - hy AS y0, y + hy AS y1 FROM bx),
+    seen AS (SELECT n.drive_id, n.t, n.ego, xy.*, sqrt(pow(greatest(-1.0 - x1, x0 - 3.8, 0.0), 2) + pow(greatest(-0.95 - y1, y0 - 0.95, 0.0), 2)) AS distance,
+        x * x + y * y < 25 OR pow(greatest(x0, least(0.0, x1)), 2) + pow(greatest(y0, least(0.0, y1)), 2) <= 25 AS near, NOT (x1 < -6.0 OR x0 > 13.8 OR y1 < -3.95 OR y0 > 3.95) AS mid, NOT (x1 < -11.0 OR x0 > 53.8 OR y1 < -5.95 OR y0 > 5.95) AS far,
+        CASE WHEN x0 > 3.8 AND y0 <= 1.25 AND y1 >= -1.25 AND ego > 0.5 AND ego - vx > 0.1 AND (x0 - 3.8) / (ego - vx) < 30 THEN (x0 - 3.8) / (ego - vx) END AS ttc FROM n LEFT JOIN xy ON n.k = xy.k),
+    fr AS (SELECT drive_id, t, count(x0) AS obstacles, min(distance) AS distance, min(ttc) AS ttc, first(type ORDER BY distance, i) AS near_type, first(type ORDER BY ttc, i) FILTER (ttc IS NOT NULL) AS ttc_type, first(track_id ORDER BY distance, i) AS track_id,
+        __COUNTS__ FROM seen GROUP BY drive_id, t)""".replace(
+    "__COUNTS__", ", ".join(f"count(*) FILTER ({a}) AS {a}_total, count(*) FILTER ({a} AND motion = 3) AS {a}_static, count(*) FILTER ({a} AND motion <> 3) AS {a}_moving" for a in ("near", "mid", "far"))
+)
+_AREAS = [f"{a}_{k}" for a in ("near", "mid", "far") for k in ("total", "static", "moving")]
+
+
+def _typed_sql(value: str, kind: str, unit: str) -> str:
+    """The low percentile of a value by obstacle type, or its minimum over fewer than 20 frames."""
+    return f"""SELECT drive_id, '{value}_p5_type_' || {kind} AS metric, round(CASE WHEN count(*) >= 20 THEN quantile_cont({value}, 0.05) ELSE min({value}) END, 5) AS value, CAST(NULL AS VARCHAR) AS value_text, '{unit}' AS unit
+        FROM fr WHERE {value} IS NOT NULL GROUP BY drive_id, {kind}"""
+
+
 _PER = ("CASE WHEN auto_km > 0 THEN n * 100.0 / auto_km ELSE 0 END", "1/100 km")
 _KM = ("CASE WHEN n > 0 THEN auto_km / n END", "km", "CASE WHEN n = 0 THEN 'inf' END")
 PROGRAM_SQL = {
@@ -120,6 +143,18 @@ PROGRAM_SQL = {
     ),
 }
 
+PROGRAM_SQL["quality"] = _sql(
+    f"""{_SEEN.split("    ob AS")[0].rstrip().rstrip(",")}, q AS (SELECT drive_id, avg(CASE WHEN k IS NOT NULL THEN 100.0 ELSE 0 END) AS seen FROM n GROUP BY drive_id)""",
+    "q",
+    {f"coverage_{t}": ("100", "%") for t in ("localization", "chassis", "trajectory", "control_debug")} | {"coverage_obstacles": ("seen", "%"), "coverage_low_topics": ("CASE WHEN seen < 80 THEN 1 ELSE 0 END", "")},
+)
+PROGRAM_SQL["roi"] = _sql(
+    f"""{_SEEN}, g AS (SELECT drive_id, {", ".join(f"avg({a}) AS {a}" for a in _AREAS)}, max(near_total) AS near_max, quantile_cont(near_total, 0.95) AS near_p95, quantile_cont(distance, 0.05) AS nearest_p5,
+        avg(CASE WHEN distance < 1.5 THEN 100.0 ELSE 0 END) AS danger, quantile_cont(ttc, 0.05) AS ttc_p5 FROM fr GROUP BY drive_id)""",
+    "g",
+    {a: (a, "") for a in [*_AREAS, "near_max", "near_p95"]} | {"nearest_p5": ("nearest_p5", "m"), "danger_pct": ("danger", "%"), "ttc_p5": ("ttc_p5", "s")},
+) + " UNION ALL " + _typed_sql("distance", "near_type", "m") + " UNION ALL " + _typed_sql("ttc", "ttc_type", "s")
+
 
 def _program(name: str):
     def build(spark, sf_dir):
@@ -133,6 +168,29 @@ for _name in plans.PROGRAMS:
     _program(_name)
 
 
+@query(f"""WITH {_FRAMES}, {_SEEN} SELECT drive_id, round(t, 5) AS t, round(distance, 5) AS distance, track_id, near_type AS type, obstacles, CASE WHEN distance < 1 THEN 1 WHEN distance < 1.5 THEN 2 WHEN distance < 2 THEN 3 ELSE 4 END AS level,
+    row_number() OVER (ORDER BY distance, t, drive_id) AS rank FROM fr WHERE distance < 3 ORDER BY rank LIMIT 20""")
+def near_scenes(spark, sf_dir):
+    """The twenty frames with the nearest obstacles (a top-k report)."""
+    from ..plans.roi import near_scenes as scenes
+
+    return scenes(telemetry(spark, sf_dir)).select("drive_id", F.round("t", 5).alias("t"), F.round("distance", 5).alias("distance"), "track_id", "type", F.col("obstacles").cast("bigint").alias("obstacles"), "level", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(f"""WITH {_FRAMES}, a AS (SELECT drive_id, t, speed, sin(2 * 3.141592653589793 * (t - 1700000000.0::DOUBLE) / 7) * 3 + noise * 2 AS acc FROM f JOIN b USING (drive_id, t) WHERE is_auto),
+    o AS (SELECT *, acc < CASE WHEN speed >= 0 AND speed < 10 THEN -4.0 WHEN speed >= 10 AND speed < 30 THEN -3.5 WHEN speed >= 60 AND speed < 999 THEN -2.5 ELSE -3.0 END AS hard FROM a),
+    g AS (SELECT *, lag(hard) OVER w AS hard0, t - lag(t) OVER w AS dt FROM o WINDOW w AS (PARTITION BY drive_id ORDER BY t)),
+    i AS (SELECT *, sum(CASE WHEN hard0 IS NULL OR hard0 <> hard OR dt > 0.5 THEN 1 ELSE 0 END) OVER (PARTITION BY drive_id ORDER BY t) AS island FROM g)
+    SELECT drive_id, round(min(t), 5) AS start_ts, round(max(t), 5) AS end_ts, count(*) AS frame_count, round(min(acc), 5) AS peak, round(avg(acc), 5) AS mean_value, round(avg(speed), 5) AS speed FROM i WHERE hard GROUP BY drive_id, island HAVING max(t) - min(t) >= 0.1""")
+def hard_braking_events(spark, sf_dir):
+    """Runs of autonomous rows that brake harder than the limit at their speed."""
+    from ..plans import comfort, emergency
+
+    tel = telemetry(spark, sf_dir)
+    found = emergency.hard_braking(comfort.accelerations(tel), tel.config.run_gap_s, tel.config.brake_min_s)
+    return found.select("drive_id", *[F.round(c, 5).alias(c) for c in ("start_ts", "end_ts")], "frame_count", *[F.round(c, 5).alias(c) for c in ("peak", "mean_value", "speed")])
+
+
 @query()
 def all_events(spark, sf_dir):
     """Every program's events with the scene of their start."""
