@@ -59,20 +59,28 @@ def crossings(rate: np.ndarray, speed: np.ndarray, step: float) -> np.ndarray:
 
 
 def flags(t: np.ndarray, angle: np.ndarray, rate: np.ndarray, speed: np.ndarray, crossed: np.ndarray, step: float, c: Config) -> np.ndarray:
-    """Rows whose trailing window (without the row itself) oscillates."""
-    width = max(int(c.weaving_window_s / step), 10)
-    out = np.zeros(len(t), bool)
-    upto = np.concatenate([[0], np.cumsum(crossed)])
-    for i in range(width, len(t)):
-        if upto[i] - upto[i - width] < c.weaving_crossings:
-            continue
-        s = slice(i - width, i)
-        v, a = speed[s], angle[s]
-        mean = float(v.mean())
-        if (np.diff(t[s]) > c.run_gap_s).any() or mean < 8.0 or (v >= 5.0).mean() < 0.8 or np.ptp(a) < c.weaving_amplitude:
-            continue
-        rising = (np.diff(a) > 0).mean()
-        out[i] = np.sqrt((rate[s] ** 2).mean()) >= 0.8 * _limit(mean) and 0.3 <= rising <= 0.7 and abs(a[-1] - a[0]) <= 15.0
+    """Rows whose trailing window (without the row itself) oscillates. Sums over windows are differences of running sums."""
+    width, n = max(int(c.weaving_window_s / step), 10), len(t)
+    out = np.zeros(n, bool)
+    if n <= width:
+        return out
+    hi = np.arange(width, n)
+    lo = hi - width
+
+    def total(x: np.ndarray, skip: int = 0) -> np.ndarray:
+        """Sums over each window; of values between rows (skip 1) those within it."""
+        upto = np.concatenate([[0], np.cumsum(x)])
+        return upto[hi - skip] - upto[lo]
+
+    mean = total(speed) / width
+    least = 0.8 * np.select([mean < top for top, _ in limits.WEAVING_RATE], [v for _, v in limits.WEAVING_RATE], limits.WEAVING_RATE_FAST)
+    rising = total(np.diff(angle) > 0, 1) / (width - 1)
+    wide = np.lib.stride_tricks.sliding_window_view(angle[:-1], width)
+    out[width:] = (
+        (total(crossed) >= c.weaving_crossings) & (total(np.diff(t) > c.run_gap_s, 1) == 0) & (mean >= 8.0) & (total(speed >= 5.0) >= 0.8 * width)
+        & (wide.max(axis=1) - wide.min(axis=1) >= c.weaving_amplitude) & (np.sqrt(np.maximum(total(rate**2), 0) / width) >= least)
+        & (rising >= 0.3) & (rising <= 0.7) & (np.abs(angle[hi - 1] - angle[lo]) <= 15.0)
+    )
     return out
 
 
