@@ -24,17 +24,18 @@ def haversine_steps(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", F.round(d, 4).alias("d")).filter("d IS NOT NULL")
 
 
-def _utm_sql() -> str:
+def utm_steps(source: str) -> str:
+    """Common table expressions that end in utm: the rows of source (with lat, lon) and their easting and northing in zone 51."""
     e = 2 * geo._N**0.5 / (1 + geo._N)
     east = " + ".join(f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(geo._ALPHA, 1))
     north = " + ".join(f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(geo._ALPHA, 1))
     k = geo._K0 * geo._RECTIFYING
-    return f"""WITH {EV}, a AS (SELECT event_id, sinh(atanh(sin(radians(lat))) - {e!r} * atanh({e!r} * sin(radians(lat)))) AS tt, radians(lon) - radians(CAST(123 AS DOUBLE)) AS lam FROM ev),
-        b AS (SELECT event_id, atan2(tt, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + tt * tt)) AS eta FROM a)
-        SELECT event_id, round(500000.0 + {k!r} * (eta + {east}), 3) AS easting, round({k!r} * (xi + {north}), 3) AS northing FROM b"""
+    return f"""ua AS (SELECT *, sinh(atanh(sin(radians(lat))) - {e!r} * atanh({e!r} * sin(radians(lat)))) AS tt, radians(lon) - radians(CAST(123 AS DOUBLE)) AS lam FROM {source}),
+        ub AS (SELECT *, atan2(tt, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + tt * tt)) AS eta FROM ua),
+        utm AS (SELECT *, 500000.0 + {k!r} * (eta + {east}) AS easting, {k!r} * (xi + {north}) AS northing FROM ub)"""
 
 
-@query(_utm_sql())
+@query(f"WITH {EV}, {utm_steps('ev')} SELECT event_id, round(easting, 3) AS easting, round(northing, 3) AS northing FROM utm")
 def utm_forward(spark, sf_dir):
     x, y = geo.utm_forward(F.col("lat"), F.col("lon"), 51)
     return events(spark, sf_dir).select("event_id", F.round(x, 3).alias("easting"), F.round(y, 3).alias("northing"))

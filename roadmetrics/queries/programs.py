@@ -12,6 +12,7 @@ from ..config import Config
 from ..operators.islands import merge_events  # noqa: F401  (part of the public surface of the queries)
 from ..plans.base import Telemetry
 from .base import query, table
+from .geometry import utm_steps
 
 #: Rows of orders and lineitem become 10 Hz and 50 Hz samples: a drive is 500 consecutive samples.
 PER_DRIVE = 500
@@ -154,6 +155,20 @@ PROGRAM_SQL["roi"] = _sql(
     "g",
     {a: (a, "") for a in [*_AREAS, "near_max", "near_p95"]} | {"nearest_p5": ("nearest_p5", "m"), "danger_pct": ("danger", "%"), "ttc_p5": ("ttc_p5", "s")},
 ) + " UNION ALL " + _typed_sql("distance", "near_type", "m") + " UNION ALL " + _typed_sql("ttc", "ttc_type", "s")
+#: The path point nearest to the vehicle, and the shorter perpendicular on the two segments that meet there.
+PROGRAM_SQL["curvature"] = _sql(
+    f"""au AS (SELECT drive_id, t, lat, lon, t - 1700000000.0::DOUBLE AS phase FROM f WHERE is_auto), {utm_steps("au")},
+        pt AS (SELECT drive_id, t, easting, northing, i, 309000.0::DOUBLE + i * 5 + phase * 5 AS x, 3431000.0::DOUBLE + phase * 11 + i * 2 AS y, sin(2 * 3.141592653589793 * phase / 7) * 0.01 + i * 1e-4 AS k FROM utm, generate_series(0, 9) g(i)),
+        nx AS (SELECT *, lead(x) OVER w - x AS dx, lead(y) OVER w - y AS dy, (k + lead(k) OVER w) / 2 AS k2, row_number() OVER (PARTITION BY drive_id, t ORDER BY pow(x - easting, 2) + pow(y - northing, 2), i) AS place FROM pt WINDOW w AS (PARTITION BY drive_id, t ORDER BY i)),
+        sh AS (SELECT *, dx * dx + dy * dy AS l2, greatest(0.0, least(1.0, ((easting - x) * dx + (northing - y) * dy) / (dx * dx + dy * dy))) AS share FROM nx),
+        sg AS (SELECT *, sqrt(pow(easting - x - share * dx, 2) + pow(northing - y - share * dy, 2)) AS d FROM sh),
+        lg AS (SELECT *, lag(i) OVER w AS i1, lag(d) OVER w AS d1, lag(k2) OVER w AS bend1, lag(l2) OVER w AS l1 FROM sg WINDOW w AS (PARTITION BY drive_id, t ORDER BY i)),
+        bt AS (SELECT drive_id, abs(k) AS k, coalesce(l1, l2) AS l, CASE WHEN i1 IS NULL OR (i < 9 AND d < d1) THEN d ELSE d1 END AS d, abs(CASE WHEN i1 IS NULL OR (i < 9 AND d < d1) THEN k2 ELSE bend1 END) AS bend FROM lg WHERE place = 1),
+        g AS (SELECT drive_id, avg(k) AS kappa, stddev_pop(k) AS std, avg(CASE WHEN k < 0.003 THEN 100.0 ELSE 0 END) AS straight, avg(CASE WHEN k >= 0.003 THEN 100.0 ELSE 0 END) AS curve,
+              avg(CASE WHEN k >= 0.003 AND k < 0.02 THEN 100.0 ELSE 0 END) AS small, avg(CASE WHEN k >= 0.02 THEN 100.0 ELSE 0 END) AS large, avg(greatest(0.0, d - CASE WHEN bend > 0.003 THEN l * bend / 8 * 0.5 ELSE 0 END)) AS distance FROM bt GROUP BY drive_id)""",
+    "g",
+    {"kappa_mean": ("kappa", "1/m"), "kappa_std": ("std", "1/m"), "straight_pct": ("straight", "%"), "curve_pct": ("curve", "%"), "small_curve_pct": ("small", "%"), "large_curve_pct": ("large", "%"), "match_distance": ("distance", "m")},
+)
 
 
 def _program(name: str):
