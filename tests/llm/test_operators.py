@@ -195,7 +195,7 @@ def tree_by_brute_force(texts, held, divergence, test=0.7):
     return out
 
 
-@pytest.mark.parametrize("divergence,heavy,parts", [(20.0, 1 << 20, 90), (3.0, 1 << 20, 7), (3.0, 60, 90), (6.0, 5, 3)])
+@pytest.mark.parametrize("divergence,heavy,parts", [(20.0, 1 << 20, 90), (3.0, 1 << 20, 7), (3.0, 60, 90), (6.0, 5, 3), (suffix_tree_lm.DIVERGENCE, 60, 7)])
 def test_suffix_tree_against_brute_force(spark, monkeypatch, divergence, heavy, parts):
     """Down to one document a partition, so that contexts are frequent in all but rare, or without gain, in each block;
     with no, some and nearly all words heavy."""
