@@ -60,3 +60,24 @@ def moving_average(w: WindowSpec, value: str, rows: int) -> Column:
 def exponential_average(values: Column, alpha: float) -> Column:
     """The last value of the recursive exponential average over an ordered array."""
     return F.aggregate(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), F.get(values, 0), lambda a, x: a * (1 - alpha) + x * alpha)
+
+
+def polynomial_smoothing(w: WindowSpec, value: str, window: int, order: int = 3) -> Column:
+    """Savitzky-Golay smoothing: the value of the least-squares polynomial over the rows around each row; the ends take
+    the polynomial of the first and last full window. Shorter series keep their values; a null among a window's values
+    gives null. Rows are weighed by constants, so nothing leaves the JVM."""
+    import numpy as np
+
+    window += 1 - window % 2
+    own, half, reach = F.col(value).cast("double"), window // 2, window - 1
+    if window <= order:
+        return own
+    powers = np.vander(np.arange(window) - half, order + 1, increasing=True)
+    weights = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in powers @ np.linalg.pinv(powers)])
+    around = F.collect_list(F.struct(own.alias("x"))).over(w.rowsBetween(-reach, reach))
+    behind, ahead = F.count(F.lit(1)).over(w.rowsBetween(-reach, -1)), F.count(F.lit(1)).over(w.rowsBetween(1, reach))
+    # The row's place in its window: the middle, or less or more towards the ends.
+    place = F.when(behind < half, behind).when(ahead < half, reach - ahead).otherwise(half).cast("int")
+    rows = F.slice(around, (behind - place + 1).cast("int"), F.lit(window))
+    smooth = F.aggregate(F.zip_with(rows, F.get(weights, place), lambda r, k: r["x"] * k), F.lit(0.0), lambda a, x: a + x)
+    return F.when(behind + ahead < reach, own).otherwise(smooth)

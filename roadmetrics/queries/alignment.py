@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.asof import Right, align, interpolate, neighbours
+from ..operators.intervals import locate
 from .base import EV, events, query, table
 
 DAY = 86_400.0
@@ -101,10 +102,7 @@ _IV = f"""iv AS (SELECT drive_id, drive_id || '-' || CAST(floor(t / {5 * DAY}) A
 def _contained(spark, sf_dir):
     ev = events(spark, sf_dir)
     at = ev.filter("topic = 'error'").select("event_id", "drive_id", "t")
-    first = F.min(F.when(F.col("t").between(F.col("start_ts"), F.col("end_ts")), F.struct("start_ts", "name")))["name"]
-    away = F.least(F.abs(F.col("t") - F.col("start_ts")), F.abs(F.col("t") - F.col("end_ts")))
-    near = F.min(F.when(F.col("name").isNotNull(), F.struct(away.alias("away"), "start_ts", "name")))["name"]
-    return at.join(_intervals(ev), "drive_id", "left").groupBy("event_id").agg(first.alias("inside"), near.alias("nearest"))
+    return locate(at, _intervals(ev), DAY)
 
 
 @query(f"""WITH {EV}, {_IV} SELECT e.event_id, arg_min(name, start_ts) AS inside FROM (SELECT * FROM ev WHERE topic = 'error') e

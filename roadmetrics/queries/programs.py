@@ -11,7 +11,7 @@ from .. import plans
 from ..config import Config
 from ..operators.islands import merge_events  # noqa: F401  (part of the public surface of the queries)
 from ..plans.base import Telemetry
-from .base import query, table
+from .base import EV, SQL_BY_TIME, query, table
 from .geometry import utm_steps
 
 #: Rows of orders and lineitem become 10 Hz and 50 Hz samples: a drive is 500 consecutive samples.
@@ -225,13 +225,20 @@ def low_pass_filter(spark, sf_dir):
     return by_series(events(spark, sf_dir).select("event_id", "drive_id", "t", "value"), "drive_id", "t", "value", "smooth", lambda t, x: lowpass(x, 4.0, 20.0))
 
 
-@query()
+#: Weights of a cubic fit over seven rows, for its first to its last row.
+_CUBIC_7 = """[[39, 8, -4, -4, 1, 4, -2], [8, 19, 16, 6, -4, -7, 4], [-4, 16, 19, 12, 2, -4, 1], [-4, 6, 12, 14, 12, 6, -4],
+    [1, -4, 2, 12, 19, 16, -4], [4, -7, -4, 6, 16, 19, 8], [-2, 4, 1, -4, -4, 8, 39]]"""
+
+
+@query(f"""WITH {EV}, n AS (SELECT event_id, drive_id, value, row_number() OVER {SQL_BY_TIME} AS i, count(*) OVER (PARTITION BY drive_id) AS n FROM ev),
+    p AS (SELECT *, greatest(1, least(i - 3, n - 6)) AS first FROM n),
+    s AS (SELECT p.event_id, sum(o.value * list_extract(list_extract({_CUBIC_7}, p.i - p.first + 1), o.i - p.first + 1)) / 42 AS smooth FROM p JOIN n o ON o.drive_id = p.drive_id AND o.i BETWEEN p.first AND p.first + 6 GROUP BY p.event_id)
+    SELECT p.event_id, round(CASE WHEN p.n < 7 THEN p.value ELSE s.smooth END, 6) AS smooth FROM p JOIN s USING (event_id)""")
 def savitzky_golay(spark, sf_dir):
-    from ..functions.filters import savgol
-    from ..operators.kernels import by_series
-    from .base import events
+    from ..operators.windows import polynomial_smoothing
+    from .base import by_time, events
 
-    return by_series(events(spark, sf_dir).select("event_id", "drive_id", "t", "value"), "drive_id", "t", "value", "smooth", lambda t, x: savgol(x, 7, 3))
+    return events(spark, sf_dir).select("event_id", F.round(polynomial_smoothing(by_time(), "value", 7, 3), 6).alias("smooth"))
 
 
 @query()
