@@ -46,7 +46,7 @@ DEPTH = 3
 END = np.uint64(0x5851F42D4C957F2D)
 BLOCK_BYTES = 10 << 20
 WORD_BUCKET_BYTES = 64 << 20
-GRAM_BUCKET_BYTES = 8 << 20
+GRAM_BUCKET_BYTES = 6 << 20
 #: A word is heavy from so many occurrences on: as many sequences a task holds at most besides its bucket's share.
 HEAVY_FROM = 1 << 22
 TEST_DISCOUNT = 0.7
@@ -157,6 +157,7 @@ class Tokens:
     """A block's documents and words; with the answers also the words' numbers, training counts and which are heavy."""
 
     def __init__(self, row: dict):
+        pa.default_memory_pool().release_unused()  # what the worker's earlier blocks held
         self.block, self.ids, self.lengths = row["block"], row["ids"], np.array(row["tokens"], np.int64)
         self.vocabulary, self.word = sums_of(from_bytes(row["vocabulary"])), from_bytes(row["words"]).astype(np.int32)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
@@ -333,6 +334,7 @@ def _answer_grams(model: Model):
     """Adds up the sequences of a bucket and depth, tests their contexts, and answers each block."""
 
     def run(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the worker's earlier groups held
         parts, depth = table.to_pylist(), table["depth"][0].as_py()
         columns: dict[str, list] = {c: [] for c in ("front", "back", "n", "q", "p")}
         for part in parts:
