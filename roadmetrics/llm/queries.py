@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, quality, suffix_tree_lm, toxicity, url_filter
+from . import chat_format, decontaminate, exact_dedup, line_dedup, mixing, near_dedup, ngram_jaccard, quality, resampling, spelling, suffix_tree_lm, toxicity, url_filter
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -60,6 +60,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -71,8 +83,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_format_chat": op9_format_chat,
     "op10_url_filter": op10_url_filter,
+    "op11_resample": op11_resample,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op13_spelling": op13_spelling,
 }
 
+#: CRC-32 of the rows of a table `strings` (column x) as a table `crc` (x, c): the byte table by the polynomial's rule, then byte by byte.
+CRC = """
+        bit(i, k, v) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL
+                         SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bit WHERE k < 8),
+        byte AS (SELECT i, v FROM bit WHERE k = 8),
+        state(x, hx, p, c) AS (SELECT x, hex(encode(x)), 0, CAST(4294967295 AS BIGINT) FROM strings UNION ALL
+                               SELECT x, hx, p + 1, xor(c >> 8, v) FROM state JOIN byte ON i = xor(c, CAST('0x' || substr(hx, 2 * p + 1, 2) AS BIGINT)) & 255
+                               WHERE 2 * p < length(hx)),
+        crc AS (SELECT x, xor(c, 4294967295) AS c FROM state WHERE 2 * p = length(hx))"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {LOWER} AS content FROM documents)
@@ -132,4 +157,50 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, sort_text NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(3 + sum(length(shown) + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 4 ELSE 17 + length(role) END) AS BIGINT) AS formatted_chars
         FROM r GROUP BY conv_id""",
+    "op11_resample": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        dw AS (SELECT r, unnest(w) AS x FROM d),
+        bw AS (SELECT unnest(regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM benchmark),
+        strings AS (SELECT x FROM dw UNION SELECT x FROM bw),__CRC__,
+        n AS (SELECT r, x, count(*) AS n FROM dw GROUP BY r, x),
+        s AS (SELECT c % 10000 AS b, sum(n) AS s FROM n JOIN crc USING (x) GROUP BY 1),
+        t AS (SELECT c % 10000 AS b, count(*) AS t FROM bw JOIN crc USING (x) GROUP BY 1),
+        gain AS (SELECT b, CAST(floor(CAST(1000 AS DOUBLE) * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST((SELECT count(*) FROM dw) AS DOUBLE) + 10000)
+                                        / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (CAST((SELECT count(*) FROM bw) AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+                 FROM s FULL JOIN t USING (b)),
+        weights AS (SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight FROM n JOIN crc USING (x) JOIN gain ON b = c % 10000 GROUP BY r),
+        scored AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                          coalesce(weight, 0) + CAST(floor(CAST(-1000 AS DOUBLE) * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+                   FROM d LEFT JOIN weights USING (r)),
+        ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM ranked) * 10 // 100 THEN rank END AS rank
+        FROM scored LEFT JOIN ranked USING (r)""".replace("__LOWER__", LOWER).replace("__CRC__", CRC),
+    "op12_ngram_jaccard": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(__LOWER__, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sh AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS k, least(len(w), 4) AS words
+               FROM (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+        size AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+        overlap AS (SELECT a.r AS r1, b.r AS r2, count(*) AS o FROM sh a JOIN sh b ON a.k = b.k AND a.words = b.words AND a.r < b.r GROUP BY 1, 2),
+        link AS (SELECT r1, r2 FROM overlap JOIN size x ON x.r = r1 JOIN size y ON y.r = r2 WHERE 100 * o >= 85 * (x.n + y.n - o)),
+        edge AS (SELECT r1 AS u, r2 AS v FROM link UNION ALL SELECT r2, r1 FROM link),
+        reach(r, other) AS (SELECT r, r FROM d UNION SELECT reach.r, edge.v FROM reach JOIN edge ON edge.u = reach.other)
+        SELECT x.doc_id, coalesce(size.n, 0) AS n_shingles, min(y.doc_id) AS component_id
+        FROM reach JOIN d x ON x.r = reach.r JOIN d y ON y.r = reach.other LEFT JOIN size ON size.r = x.r
+        GROUP BY x.r, x.doc_id, size.n""".replace("__LOWER__", LOWER),
+    "op13_spelling": r"""
+        WITH RECURSIVE t AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(__LOWER__, '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+        counted AS (SELECT id, run, count(*) AS n, id || ':' || run AS x FROM t WHERE length(run) >= 7 GROUP BY id, run),
+        strings AS (SELECT DISTINCT x FROM counted),__CRC__,
+        slipped AS (SELECT CASE WHEN c % 31 = 0 THEN substr(run, 1, CAST(c % length(run) AS BIGINT)) || substr(run, CAST(c % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM counted JOIN crc USING (x)),
+        w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        p AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM w)),
+        near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM p a JOIN p b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+                 UNION SELECT a.word, b.word, b.n FROM p a JOIN w b ON a.head || a.tail = b.word
+                 UNION SELECT b.word, a.word, a.n FROM p a JOIN w b ON a.head || a.tail = b.word),
+        best AS (SELECT word, near, near_n, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, hex(encode(near))) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+        f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+              FROM w LEFT JOIN best ON best.word = w.word AND k = 1),
+        chain(word, root) AS (SELECT word, word FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n FROM f JOIN chain ON chain.word = f.word
+        JOIN f e ON e.word = chain.root AND e.form IS NULL""".replace("__LOWER__", LOWER).replace("__CRC__", CRC),
 }
