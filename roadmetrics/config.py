@@ -59,6 +59,8 @@ class Config:
     speeding_min_kmh: float = 50.0
     speeding_min_s: float = 1.0
     compat: bool = False
+    #: Seconds of a drive that one task works on; None leaves drives whole.
+    chunk_s: float | None = 1800.0
     extra: dict = field(default_factory=dict)
 
 

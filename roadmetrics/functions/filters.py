@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 
+#: Values by which a series is extended at each end before it is filtered.
+PAD = 9
 
 def butter2(cutoff: float) -> tuple[np.ndarray, np.ndarray]:
     """Second-order Butterworth low-pass for a cutoff in units of the Nyquist rate, by the bilinear transform."""
@@ -15,17 +17,50 @@ def butter2(cutoff: float) -> tuple[np.ndarray, np.ndarray]:
     return b, np.array([1.0, 2 * (w * w - 1) / norm, (1 - math.sqrt(2) * w + w * w) / norm])
 
 
+def steady_state(b: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The filter's two states, per unit of a value that has always been the same."""
+    second = b[2] - a[2] * b.sum() / a.sum()
+    return np.array([b[1] - a[1] * b.sum() / a.sum() + second, second])
+
+
+def block_pass(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the filter makes of x from a state, and the state after it.
+
+    A block of rows maps the state before it to the state after it by an affine map. x is laid out as about as many
+    blocks as a block has rows: all blocks are run at once from the zero state, the maps are composed over the blocks, and
+    each block's answer to the state before it is added, so no loop is longer than the root of the length.
+    """
+    n = len(x)
+    if not n:
+        return np.empty(0), np.asarray(state, float)
+    step = np.array([[-a[1], 1.0], [-a[2], 0.0]])
+    width = math.isqrt(n - 1) + 1
+    blocks = -(-n // width)
+    rows = np.zeros((blocks, width))
+    rows.ravel()[:n] = x
+    left = n - (blocks - 1) * width  # rows in the last block
+    out, z, answer = np.empty_like(rows), np.zeros((blocks, 2)), np.empty((width, 2))
+    power, last_power = np.eye(2), None
+    for i in range(width):
+        answer[i] = power[0]
+        v = rows[:, i]
+        y = b[0] * v + z[:, 0]
+        out[:, i] = y
+        z = np.column_stack([b[1] * v - a[1] * y + z[:, 1], b[2] * v - a[2] * y])
+        power = step @ power
+        if i + 1 == left:
+            last, last_power = z[-1].copy(), power
+    before = np.empty((blocks, 2))
+    at = np.asarray(state, float)
+    for k in range(blocks):
+        before[k] = at
+        at = power @ at + z[k]
+    return (out + before @ answer.T).ravel()[:n], last_power @ before[-1] + last
+
+
 def _pass(b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """One pass that starts in the steady state of the first value."""
-    z2 = (b[2] - a[2] * b.sum() / a.sum()) * x[0]
-    z1 = (b[1] - a[1] * b.sum() / a.sum()) * x[0] + z2
-    out = np.empty_like(x)
-    b0, b1, b2, a1, a2 = *b, a[1], a[2]
-    for i, v in enumerate(x.tolist()):
-        y = b0 * v + z1
-        z1, z2 = b1 * v - a1 * y + z2, b2 * v - a2 * y
-        out[i] = y
-    return out
+    return block_pass(b, a, x, steady_state(b, a) * x[0])[0]
 
 
 def lowpass(x: np.ndarray, cutoff_hz: float, rate_hz: float, least: int = 10) -> np.ndarray:
@@ -36,9 +71,8 @@ def lowpass(x: np.ndarray, cutoff_hz: float, rate_hz: float, least: int = 10) ->
     if len(x) < max(least, 10) or cutoff >= 1 or cutoff <= 0:
         return x
     b, a = butter2(cutoff)
-    pad = 9
-    wide = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2 : -pad - 2 : -1]])
-    return _pass(b, a, _pass(b, a, wide)[::-1])[::-1][pad:-pad]
+    wide = np.concatenate([2 * x[0] - x[PAD:0:-1], x, 2 * x[-1] - x[-2 : -PAD - 2 : -1]])
+    return _pass(b, a, _pass(b, a, wide)[::-1])[::-1][PAD:-PAD]
 
 
 def savgol(x: np.ndarray, window: int, order: int = 3) -> np.ndarray:

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .chunked import CHUNK, Series
+
 
 @dataclass
 class Right:
@@ -41,26 +43,53 @@ def _both_ways(keys: list[str], on: str) -> tuple[WindowSpec, WindowSpec]:
     return ahead, back
 
 
-def align(base: DataFrame, rights: list[Right], on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id", chunk: float | None = None) -> DataFrame:
-    """base plus, per right side, a struct column of its nearest row (null beyond the tolerance or if there is none).
-
-    key is a column of both that orders rows of equal time. With ``chunk``, series are cut into pieces of that many
-    seconds and each right row is copied to the pieces that its tolerance reaches (all tolerances must be set), so one
-    very long series is shared by many tasks.
-    """
-    keys = [*by] + (["_chunk"] if chunk else [])
-    struct = lambda df: F.struct(*df.columns)
+def _carried(base: DataFrame, right: DataFrame, on: str, by: tuple[str, ...], key: str, chunk: float) -> DataFrame:
+    """right's rows for the chunks of base that they reach without a bound: for each chunk that holds base rows the last
+    right row of the chunks before it and the first of those after it, with the chunk's number. Only each chunk's
+    first and last right rows are compared, never a series' rows."""
+    s = Series(by, (on,), chunk)
+    place, row = F.struct(on, key), F.struct(*[F.col(f"`{c}`") for c in right.columns])
+    ends = s.cut(right).groupBy(*s.keys).agg(F.min_by(row, place).alias("_first"), F.max_by(row, place).alias("_last"))
+    none = [F.lit(None).cast(ends.schema["_first"].dataType).alias(c) for c in ("_first", "_last")]
+    wanted = s.cut(base.select(*by, on)).select(*s.keys).distinct().select("*", *none, F.lit(1).alias("_wanted"))
+    both = ends.withColumn("_wanted", F.lit(0)).unionByName(wanted)
+    chunks = both.groupBy(*s.keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("_first", "_last")], F.max("_wanted").alias("_wanted"))
+    before = F.last("_last", ignorenulls=True).over(s.chunks().rowsBetween(Window.unboundedPreceding, -1))
+    later = Window.partitionBy(*by).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    found = chunks.select(*s.keys, "_wanted", before.alias("_p"), F.last("_first", ignorenulls=True).over(later).alias("_n")).filter("_wanted = 1")
+    return found.select(CHUNK, F.explode(F.array("_p", "_n")).alias("_r")).filter("_r IS NOT NULL").select("_r.*", CHUNK)
+
+
+def _tagged(base: DataFrame, rights: list[Right], on: str, by: tuple[str, ...], key: str, chunk: float | None) -> DataFrame:
+    """base's rows (tag 0) and all right rows (tag 1), each right side in a struct column of its own; with chunk, right rows
+    stand in all the chunks whose base rows they can be nearest to."""
+    struct = lambda df: F.struct(*[F.col(f"`{c}`") for c in df.columns if c != CHUNK])
     empty = [F.lit(None).cast(r.rows.select(struct(r.rows).alias("s")).schema["s"].dataType).alias(f"_{r.name}") for r in rights]
     rows = base.select(*by, on, F.col(key).alias("_key"), F.lit(0).alias("_tag"), struct(base).alias("_base"), *empty)
     if chunk:
-        rows = rows.withColumn("_chunk", F.floor(F.col(on) / chunk))
+        rows = rows.withColumn(CHUNK, F.floor(F.col(on) / chunk))
     none = F.lit(None).cast(rows.schema["_base"].dataType).alias("_base")
     for i, r in enumerate(rights):
-        own = r.rows.select(*by, on, F.col(key).alias("_key"), F.lit(1).alias("_tag"), none, *[struct(r.rows).alias(f"_{r.name}") if j == i else empty[j] for j in range(len(rights))])
-        if chunk:
+        own = r.rows
+        if chunk and r.tolerance is not None and r.tolerance <= chunk:
             reach = F.sequence(F.floor((F.col(on) - r.tolerance) / chunk), F.floor((F.col(on) + r.tolerance) / chunk))
-            own = own.withColumn("_chunk", F.explode(reach))
-        rows = rows.unionByName(own)
+            own = own.withColumn(CHUNK, F.explode(reach))
+        elif chunk:
+            own = own.withColumn(CHUNK, F.floor(F.col(on) / chunk)).unionByName(_carried(base, own, on, by, key, chunk))
+        rows = rows.unionByName(own.select(*by, on, F.col(key).alias("_key"), F.lit(1).alias("_tag"), none, *[struct(own).alias(f"_{r.name}") if j == i else empty[j] for j in range(len(rights))], *([CHUNK] if chunk else [])))
+    return rows
+
+
+def align(base: DataFrame, rights: list[Right], on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id", chunk: float | None = None) -> DataFrame:
+    """base plus, per right side, a struct column of its nearest row (null beyond the tolerance or if there is none).
+
+    key is a column of both that orders rows of equal time. With ``chunk``, series are cut into pieces of that many
+    seconds, so one very long series is shared by many tasks. A right row is copied to the pieces that its tolerance
+    reaches; where there is no tolerance, or a longer one than a piece, each piece gets the last right row before it and the
+    first one after it from a scan over the pieces' ends.
+    """
+    keys = [*by] + ([CHUNK] if chunk else [])
+    rows = _tagged(base, rights, on, by, key, chunk)
     past, future = _both_ways(keys, on)
     out = rows.select("*", *[F.last(f"_{r.name}", ignorenulls=True).over(past).alias(f"_{r.name}_p") for r in rights])
     out = out.select("*", *[F.last(f"_{r.name}", ignorenulls=True).over(future).alias(f"_{r.name}_n") for r in rights])
@@ -68,26 +97,17 @@ def align(base: DataFrame, rights: list[Right], on: str = "t", by: tuple[str, ..
     return out.filter("_tag = 0").select("_base.*", *picks)
 
 
-def neighbours(base: DataFrame, right: DataFrame, on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id") -> DataFrame:
-    """base plus structs prev (last right row before it) and next (first at or after it)."""
-    before = Right(right, "prev")
-    return align_both(base, before, on, by, key)
-
-
-def align_both(base: DataFrame, right: Right, on: str, by: tuple[str, ...], key: str) -> DataFrame:
-    columns = F.struct(*right.rows.columns)
-    kind = right.rows.select(columns.alias("s")).schema["s"].dataType
-    rows = base.select(*by, on, F.col(key).alias("_key"), F.lit(0).alias("_tag"), F.struct(*base.columns).alias("_base"), F.lit(None).cast(kind).alias("_r"))
-    none = F.lit(None).cast(rows.schema["_base"].dataType).alias("_base")
-    rows = rows.unionByName(right.rows.select(*by, on, F.col(key).alias("_key"), F.lit(1).alias("_tag"), none, columns.alias("_r")))
-    past, future = _both_ways(list(by), on)
+def neighbours(base: DataFrame, right: DataFrame, on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id", chunk: float | None = None) -> DataFrame:
+    """base plus structs prev (last right row before it) and next (first at or after it). chunk: see align."""
+    rows = _tagged(base, [Right(right, "r")], on, by, key, chunk)
+    past, future = _both_ways([*by] + ([CHUNK] if chunk else []), on)
     out = rows.select("*", F.last("_r", ignorenulls=True).over(past).alias("prev"), F.last("_r", ignorenulls=True).over(future).alias("next"))
     return out.filter("_tag = 0").select("_base.*", "prev", "next")
 
 
-def interpolate(base: DataFrame, right: DataFrame, value: str, name: str, on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id") -> DataFrame:
-    """base plus the linear interpolation of right's value at base's times, clamped at both ends."""
-    both = neighbours(base, right.select(*by, on, key, value), on, by, key)
+def interpolate(base: DataFrame, right: DataFrame, value: str, name: str, on: str = "t", by: tuple[str, ...] = ("drive_id",), key: str = "event_id", chunk: float | None = None) -> DataFrame:
+    """base plus the linear interpolation of right's value at base's times, clamped at both ends. chunk: see align."""
+    both = neighbours(base, right.select(*by, on, key, value), on, by, key, chunk)
     p, n, t = F.col("prev"), F.col("next"), F.col(on)
     share = F.try_divide(t - p[on], n[on] - p[on])
     lerp = F.when(p.isNull(), n[value]).when(n.isNull(), p[value]).when(n[on] == t, n[value]).otherwise(p[value] + (n[value] - p[value]) * share)

@@ -11,6 +11,11 @@ def gap(w: WindowSpec, on: str = "t") -> Column:
     return F.col(on) - F.lag(on).over(w)
 
 
+def change(w: WindowSpec, value: str) -> Column:
+    """The value's difference from the row before."""
+    return F.col(value) - F.lag(value).over(w)
+
+
 def derivative(w: WindowSpec, value: str, on: str = "t", max_dt: float = 1.0) -> tuple[Column, Column]:
     """Difference quotient to the previous row where 0 < dt <= max_dt (else null), and the step's middle time."""
     dt = gap(w, on)
@@ -40,18 +45,6 @@ def sliding_rms(w: WindowSpec, value: str, rows: int) -> Column:
     return F.when(F.count(F.lit(1)).over(frame) == rows, F.sqrt(F.avg(F.col(value) * F.col(value)).over(frame)))
 
 
-def sign_filled(w: WindowSpec, value: str) -> Column:
-    """Sign of the value; zeros take the last sign before them (0 if there is none)."""
-    sign = F.signum(value)
-    return F.coalesce(F.last(F.when(sign != 0, sign), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))
-
-
-def carried_over_jumps(w: WindowSpec, value: str, most: float) -> Column:
-    """The value, where it jumps by more than most from the row before replaced by the last value without a jump."""
-    jump = F.coalesce(F.abs(F.col(value) - F.lag(value).over(w)) > most, F.lit(False))
-    return F.last(F.when(~jump, F.col(value)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-
-
 def moving_average(w: WindowSpec, value: str, rows: int) -> Column:
     """Centred average with zeros beyond the ends, always divided by rows."""
     return F.sum(value).over(w.rowsBetween(-(rows // 2), rows - 1 - rows // 2)) / rows

@@ -55,7 +55,7 @@ class Telemetry:
                     rights.append(Right(by_content(self.topic(name).drop("bag")), name, SYNC_TOLERANCE))
             if "control_debug" in self.tables:
                 rights.append(Right(by_content(self.topic("control_debug").drop("bag")), "control_debug", 0.05))
-            joined = align(base, rights, key="key").drop("key")
+            joined = align(base, rights, key="key", chunk=self.config.chunk_s).drop("key")
             return joined.withColumn("is_auto", F.col("operator_type") == self.config.auto_operator)
 
         return self._once("frames", build)
@@ -64,7 +64,7 @@ class Telemetry:
         """High-frequency rows with the driving mode of the nearest function message, however far (ties: the later)."""
         rows = self.topic(name).select("drive_id", "t", *columns).withColumn("key", F.lit(0).cast("bigint"))
         state = by_content(self.topic("function_manager").select("drive_id", "t", "operator_type"))
-        joined = align(rows, [Right(state, "fm", None, "later")], key="key")
+        joined = align(rows, [Right(state, "fm", None, "later")], key="key", chunk=self.config.chunk_s)
         auto = F.coalesce(F.col("fm.operator_type") == self.config.auto_operator, F.lit(False))
         return joined.withColumn("is_auto", auto).drop("key", "fm")
 

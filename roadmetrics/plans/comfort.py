@@ -19,7 +19,7 @@ def accelerations(telemetry: Telemetry) -> DataFrame:
     """Autonomous control rows (drive_id, t, acc) with the chassis speed interpolated to their times."""
     control = telemetry.control_hf().filter("is_auto AND target_lon_acc IS NOT NULL").select("drive_id", "t", F.col("target_lon_acc").alias("acc")).withColumn("key", F.lit(0).cast("bigint"))
     chassis = telemetry.topic("chassis").select("drive_id", "t", "speed").withColumn("key", F.lit(0).cast("bigint"))
-    return interpolate(control, chassis, "speed", "speed", key="key").drop("key").fillna(0.0, ["speed"])
+    return interpolate(control, chassis, "speed", "speed", key="key", chunk=telemetry.config.chunk_s).drop("key").fillna(0.0, ["speed"])
 
 
 def jerks(rows: DataFrame, telemetry: Telemetry) -> DataFrame:
@@ -55,7 +55,7 @@ def comfort(telemetry: Telemetry) -> Result:
         F.max(down).alias("dec"), F.avg(F.when(down.isNotNull(), F.when(down > by_band(v, limits.DEC_WARN, 3.0), 100.0).otherwise(0.0))).alias("dec_over"),
     ).filter("n >= 10")
     windows = rms_1s(rows).groupBy("drive_id").agg(F.max("rms").alias("rms_max"), F.percentile("rms", F.lit(0.95)).alias("rms_p95"))
-    events = summarise(sparse_runs(rows, ["drive_id"], ["t"], jerk > peak, max_gap=c.comfort_gap_s), ["drive_id"], F.col("jerk"))
+    events = summarise(sparse_runs(rows, ["drive_id"], ["t"], jerk > peak, max_gap=c.comfort_gap_s, chunk=c.chunk_s), ["drive_id"], F.col("jerk"))
     metrics = {
         "jerk_mean": ("mean", "m/s3"), "jerk_p95": ("p95", "m/s3"), "jerk_rms_max": ("rms_max", "m/s3"), "jerk_rms_p95": ("rms_p95", "m/s3"), "jerk_over_pct": ("over", "%"),
         "acc_peak": ("acc", "m/s2"), "acc_over_pct": ("acc_over", "%"), "dec_peak": ("dec", "m/s2"), "dec_over_pct": ("dec_over", "%"),

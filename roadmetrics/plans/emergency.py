@@ -14,15 +14,15 @@ from . import comfort, mileage, steering
 from .base import Result, Telemetry, event_rows, metric_rows, program
 
 
-def hard_braking(rows: DataFrame, gap: float, least: float) -> DataFrame:
+def hard_braking(rows: DataFrame, gap: float, least: float, chunk: float | None = None) -> DataFrame:
     over = F.col("acc") < by_band(F.col("speed"), limits.DEC_FAIL, -3.0)
-    found = summarise(runs(rows, ["drive_id"], ["t"], over, max_gap=gap), ["drive_id"], F.col("acc"), "t", "min", F.avg("speed").alias("speed"))
+    found = summarise(runs(rows, ["drive_id"], ["t"], over, max_gap=gap, chunk=chunk), ["drive_id"], F.col("acc"), "t", "min", F.avg("speed").alias("speed"))
     return found.filter(F.col("duration") >= least)
 
 
-def jerk_events(rows: DataFrame, gap: float, least: float, merge: float) -> DataFrame:
+def jerk_events(rows: DataFrame, gap: float, least: float, merge: float, chunk: float | None = None) -> DataFrame:
     over = F.abs("jerk") > by_band(F.col("speed"), limits.JERK_PEAK, 2.5)
-    flagged = runs(rows.filter("jerk IS NOT NULL"), ["drive_id"], ["t"], over, max_gap=gap)
+    flagged = runs(rows.filter("jerk IS NOT NULL"), ["drive_id"], ["t"], over, max_gap=gap, chunk=chunk)
     series = F.sort_array(F.collect_list(F.struct("t", "jerk"))).alias("series")
     found = summarise(flagged, ["drive_id"], F.col("jerk"), "t", "abs_max", series).filter(F.col("duration") >= least)
     merged = merge_events(found, ["drive_id"], merge)
@@ -31,14 +31,14 @@ def jerk_events(rows: DataFrame, gap: float, least: float, merge: float) -> Data
     )
 
 
-def lateral_events(rows: DataFrame, gap: float, least: float, merge: float) -> DataFrame:
+def lateral_events(rows: DataFrame, gap: float, least: float, merge: float, chunk: float | None = None) -> DataFrame:
     """Runs of high steering rate and of high steering acceleration, merged; speed is the running pairwise mean."""
     w = Window.partitionBy("segment").orderBy("t")
     acc, middle = ops.derivative(w, "rate")
     accs = rows.withColumns({"acc": acc, "middle": middle}).filter("acc IS NOT NULL").select("drive_id", F.col("middle").alias("t"), "speed", "acc")
     kinds = []
     for kind, df, value, limit in (("rate", rows, "rate", by_floor(F.col("speed"), limits.LATERAL_RATE, 200)), ("acc", accs, "acc", by_floor(F.col("speed"), limits.LATERAL_ACC, 600, strict=True))):
-        found = summarise(runs(df, ["drive_id"], ["t"], F.abs(value) > limit, max_gap=gap), ["drive_id"], F.col(value), "t", "abs_max", F.avg("speed").alias("speed"))
+        found = summarise(runs(df, ["drive_id"], ["t"], F.abs(value) > limit, max_gap=gap, chunk=chunk), ["drive_id"], F.col(value), "t", "abs_max", F.avg("speed").alias("speed"))
         kinds.append(found.filter(F.col("duration") >= least).select("drive_id", "start_ts", "end_ts", "frame_count", F.abs("peak").alias("peak"), "speed", F.lit(kind).alias("kind")))
     merged = merge_events(kinds[0].unionByName(kinds[1]), ["drive_id"], merge)
     ordered = F.array_sort(F.collect_list(F.struct("start_ts", "end_ts", "speed")))
@@ -54,9 +54,9 @@ def lateral_events(rows: DataFrame, gap: float, least: float, merge: float) -> D
 def emergency(telemetry: Telemetry) -> Result:
     c = telemetry.config
     rows = comfort.accelerations(telemetry)
-    brakes = hard_braking(rows, c.run_gap_s, c.brake_min_s)
-    jerk = jerk_events(comfort.jerks(rows, telemetry), c.run_gap_s, c.jerk_min_s, c.jerk_merge_s)
-    lateral = lateral_events(steering.rates(telemetry), c.run_gap_s, c.lateral_min_s, c.lateral_merge_s)
+    brakes = hard_braking(rows, c.run_gap_s, c.brake_min_s, c.chunk_s)
+    jerk = jerk_events(comfort.jerks(rows, telemetry), c.run_gap_s, c.jerk_min_s, c.jerk_merge_s, c.chunk_s)
+    lateral = lateral_events(steering.rates(telemetry), c.run_gap_s, c.lateral_min_s, c.lateral_merge_s, c.chunk_s)
     joined = mileage.per_drive(telemetry)
     for name, events in (("brakes", brakes), ("jerks", jerk), ("laterals", lateral)):
         joined = joined.join(events.groupBy("drive_id").agg(F.count(F.lit(1)).alias(name)), "drive_id", "left")

@@ -24,6 +24,6 @@ def lane_keeping(telemetry: Telemetry) -> Result:
         F.avg(F.when(straight, size)).alias("straight"), F.avg(F.when(~straight, size)).alias("curve"), *[stats.rate(size > x / 100).alias(f"over_{x}") for x in (10, 20, 30)],
     ).filter(f"n >= {LEAST_ROWS}")
     cm = lambda name: (F.col(name) * 100, "cm")
-    events = summarise(sparse_runs(rows, ["drive_id"], ["t"], size > c.lane_event_m, max_rows=3, max_gap=c.run_gap_s), ["drive_id"], err)
+    events = summarise(sparse_runs(rows, ["drive_id"], ["t"], size > c.lane_event_m, max_rows=3, max_gap=c.run_gap_s, chunk=c.chunk_s), ["drive_id"], err)
     metrics = {"lane_error_mean": cm("mean"), "lane_error_p95": cm("p95"), "lane_error_max": cm("most"), "lane_error_straight": cm("straight"), "lane_error_curve": cm("curve")}
     return Result(metric_rows(per, metrics | {f"lane_over_{x}cm": (F.col(f"over_{x}"), "%") for x in (10, 20, 30)}), event_rows(events, "lane_error"))

@@ -18,6 +18,6 @@ def localization(telemetry: Telemetry) -> Result:
     per = rows.groupBy("drive_id").agg(
         *[stats.rate(is_class(n)).alias(n) for n in ("normal", "drift", "possible", "waiting", "unknown")], F.avg("sd").alias("sd"), F.count_if(is_class("drift")).alias("high"), F.count_if(is_class("possible")).alias("mid")
     )
-    flagged = sparse_runs(rows, ["drive_id"], ["t"], is_class("drift") | is_class("possible"), max_rows=3, max_gap=c.run_gap_s, same=["class"])
+    flagged = sparse_runs(rows, ["drive_id"], ["t"], is_class("drift") | is_class("possible"), max_rows=3, max_gap=c.run_gap_s, same=["class"], chunk=c.chunk_s)
     metrics = {f"loc_{n}": (F.col(n), "%") for n in ("normal", "drift", "possible")} | {"loc_sd": (F.col("sd"), "m"), "loc_high_frames": (F.col("high"), ""), "loc_mid_frames": (F.col("mid"), "")}
     return Result(metric_rows(per, metrics), event_rows(summarise(flagged, ["drive_id"], F.col("sd"), "t", "max"), "localization"))

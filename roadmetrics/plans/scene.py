@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.asof import Right, align
+from ..operators.chunked import Series, over_chunks
 from ..operators.islands import number_islands
 from ..schemas import TURNS
 from .base import Result, Telemetry, by_content, metric_rows, program
@@ -25,19 +26,23 @@ def tagged(rows: DataFrame, telemetry: Telemetry) -> DataFrame:
     """rows (drive_id, t, key) with lane, turn and junction of the nearest trajectory and map snapshot."""
     trajectory = by_content(telemetry.topic("trajectory").select("drive_id", "t", current_lane(F.col("lane_id")).alias("lane")))
     snapshots = telemetry.topic("map").select("drive_id", "t", "lanes").withColumn("key", F.xxhash64(F.map_keys("lanes"), F.map_values("lanes")))
-    out = align(rows, [Right(trajectory, "traj", None, "later"), Right(snapshots, "map", None, "earlier")], key="key")
+    out = align(rows, [Right(trajectory, "traj", None, "later"), Right(snapshots, "map", None, "earlier")], key="key", chunk=telemetry.config.chunk_s)
     lane = F.try_element_at("map.lanes", F.col("traj.lane"))
     turn = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in TURNS.items() for x in kv]), lane["turn"]), F.lit("unknown"))
     junction = F.when(lane["junction_id"] != "", lane["junction_id"])
     return out.withColumns({"lane": F.col("traj.lane"), "turn": turn, "junction": junction}).drop("traj", "map")
 
 
-def occupancy(rows: DataFrame, junction: str, order: tuple[str, ...] = ("t",), *more: Column) -> DataFrame:
-    """Intervals in which a drive is in one junction: enter_ts, exit_ts (the first row after it, null at the end)."""
-    w = Window.partitionBy("drive_id").orderBy(*order)
-    staged = rows.withColumns({"_b": ~F.lag(junction).over(w).eqNullSafe(F.col(junction)) | F.lag("t").over(w).isNull(), "_next_t": F.lead("t").over(w)})
-    inside = number_islands(staged, ["drive_id"], list(order), F.col("_b")).filter(F.col(junction).isNotNull())
-    return inside.groupBy("drive_id", F.col(junction).alias("junction"), "island").agg(F.min("t").alias("enter_ts"), F.max(F.coalesce("_next_t", "t")).alias("_last"), F.max("_next_t").alias("exit_ts"), *more).drop("_last", "island")
+def occupancy(rows: DataFrame, junction: str, order: tuple[str, ...] = ("t",), *more: Column, chunk: float | None = None) -> DataFrame:
+    """Intervals in which a drive is in one junction: enter_ts, exit_ts (the first row after it, null at the end). With
+    chunk, drives are cut into pieces of that many seconds."""
+
+    def neighbours(df, w):
+        return df.withColumns({"_b": ~F.lag(junction).over(w).eqNullSafe(F.col(junction)) | F.lag("t").over(w).isNull(), "_next_t": F.lead("t").over(w)})
+
+    staged = over_chunks(rows, Series(("drive_id",), order, chunk), neighbours, 1, 1)
+    inside = number_islands(staged, ["drive_id"], list(order), F.col("_b"), chunk=chunk).filter(F.col(junction).isNotNull())
+    return inside.groupBy("drive_id", F.col(junction).alias("junction"), "island").agg(F.min("t").alias("enter_ts"), F.max("_next_t").alias("exit_ts"), *more).drop("island")
 
 
 def annotate(events: DataFrame, telemetry: Telemetry) -> DataFrame:
@@ -51,7 +56,7 @@ def passages(telemetry: Telemetry, events: DataFrame) -> DataFrame:
     rows = telemetry.frames().filter("is_auto").select("drive_id", "t").withColumn("key", F.lit(0).cast("bigint"))
     seen = tagged(rows, telemetry)
     turn = F.coalesce(F.max_by("turn", F.when((F.col("turn") != "straight") & (F.col("turn") != "unknown"), F.col("t"))), F.lit("straight")).alias("turn")
-    intervals = occupancy(seen, "junction", ("t", "key"), turn, F.max("t").alias("last_ts")).withColumn("until", F.coalesce("exit_ts", "last_ts"))
+    intervals = occupancy(seen, "junction", ("t", "key"), turn, F.max("t").alias("last_ts"), chunk=telemetry.config.chunk_s).withColumn("until", F.coalesce("exit_ts", "last_ts"))
     bad = events.filter(F.col("family").isin(*FAILURES)).select("drive_id", F.col("start_ts").alias("bad_t"))
     days = lambda a, b: F.explode(F.sequence(F.floor(a / 600), F.floor(b / 600)))
     spread = intervals.withColumn("bucket", days(F.col("enter_ts") - SLACK, F.col("until") + SLACK))

@@ -20,7 +20,7 @@ def speeding(telemetry: Telemetry) -> Result:
     step = haversine(F.lag("lat").over(w), F.lag("lon").over(w), F.col("lat"), F.col("lon"))
     f = f.withColumn("step", F.when(F.lag("is_auto").over(w) & (step < 100), step))
     fast = F.col("is_auto") & (F.col("limit") > 0) & (F.col("speed") > c.speeding_factor * F.col("limit")) & (F.col("speed") > c.speeding_min_kmh)
-    rows = runs(f, ["drive_id"], ["t"], fast)
+    rows = runs(f, ["drive_id"], ["t"], fast, chunk=c.chunk_s)
     first = Window.partitionBy("drive_id", "island").orderBy("t")
     rows = rows.withColumn("inside", F.when(F.row_number().over(first) > 1, F.col("step")))
     events = rows.groupBy("drive_id", "island").agg(F.min("t").alias("start_ts"), F.max("t").alias("end_ts"), F.count(F.lit(1)).alias("frame_count"), F.max(F.col("speed") / F.col("limit")).alias("peak"), F.coalesce(F.sum("inside"), F.lit(0.0)).alias("m"))

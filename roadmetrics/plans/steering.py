@@ -117,7 +117,7 @@ def steering(telemetry: Telemetry) -> Result:
     merged = merge_events(over.select("drive_id", F.col("t").alias("start_ts"), F.col("t").alias("end_ts"), "rms"), ["drive_id"], 1.0)
     rms_events = merged.groupBy("drive_id", "merged").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.count(F.lit(1)).alias("frame_count"), F.max("rms").alias("peak"))
     fast = size > by_band(F.col("speed"), limits.STEER_P95_FAIL, 1e9)
-    rate_runs = summarise(runs(rows, ["drive_id"], ["t"], fast), ["drive_id"], F.col("rate"), "t", "abs_max", F.avg("speed").alias("v")).filter(f"v >= {c.steer_event_kmh}")
+    rate_runs = summarise(runs(rows, ["drive_id"], ["t"], fast, chunk=c.chunk_s), ["drive_id"], F.col("rate"), "t", "abs_max", F.avg("speed").alias("v")).filter(f"v >= {c.steer_event_kmh}")
     speeds = rows.groupBy("drive_id").agg(F.avg("speed").alias("speed"))
     flipping = flip_events(telemetry, rows, flip_rate.join(speeds, "drive_id"))
     events = event_rows(rms_events, "steering_rms").unionByName(event_rows(rate_runs, "steering_rate")).unionByName(event_rows(flipping, "steering_flip"))

@@ -33,6 +33,26 @@ def query(sql: str | None = None):
     return register
 
 
+def query_in_chunks(sql: str, *seconds: float):
+    """Registers build(spark, sf_dir, chunk) without chunks, and once more in chunks of each of the given lengths, which cut
+    through the runs and windows of the data; all give the same rows."""
+
+    def register(build):
+        def registered(name, chunk):
+            def at(spark, sf_dir):
+                return build(spark, sf_dir, chunk)
+
+            at.__name__ = name
+            query(sql)(at)
+
+        registered(build.__name__, None)
+        for i, x in enumerate(seconds):
+            registered(f"{build.__name__}_chunked" + (f"_{i + 1}" if i else ""), x)
+        return build
+
+    return register
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

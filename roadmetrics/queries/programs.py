@@ -11,7 +11,7 @@ from .. import plans
 from ..config import Config
 from ..operators.islands import merge_events  # noqa: F401  (part of the public surface of the queries)
 from ..plans.base import Telemetry
-from .base import EV, SQL_BY_TIME, query, table
+from .base import EV, SQL_BY_TIME, query, query_in_chunks, table
 from .geometry import utm_steps
 
 #: Rows of orders and lineitem become 10 Hz and 50 Hz samples: a drive is 500 consecutive samples.
@@ -216,13 +216,33 @@ def all_events(spark, sf_dir):
     return annotate(reduce(DataFrame.unionByName, parts), tel).select("drive_id", "family", F.round("start_ts", 5).alias("start_ts"), F.round("end_ts", 5).alias("end_ts"), "frame_count", F.round("peak", 5).alias("peak"), "lane", "turn", "junction")
 
 
-@query()
-def low_pass_filter(spark, sf_dir):
-    from ..functions.filters import lowpass
-    from ..operators.kernels import by_series
+def _low_pass_sql(cutoff_hz: float, rate_hz: float) -> str:
+    """A recursive pass over each series with odd extensions of nine rows, and one from the other end over its result. The
+    coefficients are those of the second-order Butterworth filter by the bilinear transform, worked out in SQL."""
+    turn = lambda name, source, value, order: f"""{name}(drive_id, i, y, z1, z2) AS (
+        SELECT drive_id, i, b0 * {value} + s1 * {value}, b1 * {value} - a1 * (b0 + s1) * {value} + s2 * {value}, b2 * {value} - a2 * (b0 + s1) * {value} FROM {source}, co WHERE i = {order[0]}
+        UNION ALL SELECT x.drive_id, x.i, b0 * x.{value} + p.z1, b1 * x.{value} - a1 * (b0 * x.{value} + p.z1) + p.z2, b2 * x.{value} - a2 * (b0 * x.{value} + p.z1)
+        FROM {name} p JOIN {source} x ON x.drive_id = p.drive_id AND x.i = p.i {order[1]} 1, co)"""
+    return f"""WITH RECURSIVE {EV}, n AS (SELECT event_id, drive_id, value, row_number() OVER {SQL_BY_TIME} AS i, count(*) OVER (PARTITION BY drive_id) AS n FROM ev),
+    w AS (SELECT tan(pi() * {cutoff_hz / (rate_hz / 2)!r}::DOUBLE / 2) AS w), k AS (SELECT w * w / (1 + sqrt(2) * w + w * w) AS g, 2 * (w * w - 1) / (1 + sqrt(2) * w + w * w) AS a1, (1 - sqrt(2) * w + w * w) / (1 + sqrt(2) * w + w * w) AS a2 FROM w),
+    co AS (SELECT g AS b0, 2 * g AS b1, g AS b2, a1, a2, 2 * g - a1 * 4 * g / (1 + a1 + a2) + g - a2 * 4 * g / (1 + a1 + a2) AS s1, g - a2 * 4 * g / (1 + a1 + a2) AS s2 FROM k),
+    long AS (SELECT * FROM n WHERE n >= 10),
+    x AS (SELECT drive_id, i, n, value AS v FROM long
+        UNION ALL SELECT o.drive_id, 2 - o.i, o.n, 2 * f.value - o.value FROM long o JOIN long f ON f.drive_id = o.drive_id AND f.i = 1 WHERE o.i BETWEEN 2 AND 10
+        UNION ALL SELECT o.drive_id, 2 * o.n - o.i, o.n, 2 * f.value - o.value FROM long o JOIN long f ON f.drive_id = o.drive_id AND f.i = f.n WHERE o.i BETWEEN o.n - 9 AND o.n - 1),
+    {turn("fw", "x", "v", ("-8", "+"))}, m AS (SELECT fw.drive_id, fw.i, fw.y AS v, max(fw.i) OVER (PARTITION BY fw.drive_id) AS top FROM fw),
+    {turn("bw", "m", "v", ("top", "-"))}
+    SELECT n.event_id, round(coalesce(bw.y, n.value), 6) AS smooth FROM n LEFT JOIN bw ON bw.drive_id = n.drive_id AND bw.i = n.i"""
+
+
+@query_in_chunks(_low_pass_sql(4.0, 20.0), 86_400.0)
+def low_pass_filter(spark, sf_dir, chunk=None):
+    """Zero-phase low-pass of each series in the order of time; a series is one chunk unless chunks are given."""
+    from ..operators.recurrence import lowpass_series
     from .base import events
 
-    return by_series(events(spark, sf_dir).select("event_id", "drive_id", "t", "value"), "drive_id", "t", "value", "smooth", lambda t, x: lowpass(x, 4.0, 20.0))
+    out = lowpass_series(events(spark, sf_dir).select("event_id", "drive_id", "t", "value"), "drive_id", "t", "value", "smooth", 4.0, 20.0, chunk or 1e12, ("event_id",))
+    return out.select("event_id", F.round("smooth", 6).alias("smooth"))
 
 
 #: Weights of a cubic fit over seven rows, for its first to its last row.

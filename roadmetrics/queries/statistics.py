@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands
 from ..operators import sampling, stats
-from .base import EV, OB, events, obstacles, query, table
+from .base import EV, OB, events, obstacles, query, query_in_chunks, table
 
 
 @query(f"""WITH {EV} SELECT topic, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, min(value) AS min_value, max(value) AS max_value, round(median(value), 6) AS median,
@@ -106,12 +106,12 @@ def decimate_bucket(spark, sf_dir):
     return sampling.decimate(events(spark, sf_dir), ["drive_id"], "t", 86_400.0).select("event_id", "t")
 
 
-@query(f"""WITH RECURSIVE {EV}, n AS (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY t) AS rn FROM ev),
+@query_in_chunks(f"""WITH RECURSIVE {EV}, n AS (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY t) AS rn FROM ev),
     g AS (SELECT drive_id, rn, event_id, t AS kept, true AS keep FROM n WHERE rn = 1 UNION ALL
           SELECT n.drive_id, n.rn, n.event_id, CASE WHEN n.t - g.kept >= 86400 THEN n.t ELSE g.kept END, n.t - g.kept >= 86400 FROM g JOIN n ON n.drive_id = g.drive_id AND n.rn = g.rn + 1)
-    SELECT event_id FROM g WHERE keep""")
-def decimate_greedy(spark, sf_dir):
-    return sampling.decimate_greedy(events(spark, sf_dir).select("event_id", "drive_id", "t"), "drive_id", "t", 86_400.0).select("event_id")
+    SELECT event_id FROM g WHERE keep""", 200_000.0, 7 * 86_400.0)
+def decimate_greedy(spark, sf_dir, chunk=None):
+    return sampling.decimate_greedy(events(spark, sf_dir).select("event_id", "drive_id", "t"), "drive_id", "t", 86_400.0, ("event_id",), chunk).select("event_id")
 
 
 @query(f"""WITH {EV}, r AS (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY t, event_id) AS k FROM ev WHERE value > 30) SELECT event_id, drive_id, k FROM r WHERE k <= 20""")
