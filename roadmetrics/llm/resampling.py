@@ -1,11 +1,11 @@
 """Importance resampling towards a target distribution, over an integer word dictionary.
 
 Texts (lower-cased A-Z, words of digits, letters and bytes beyond ASCII) are cut into blocks of a few MB of text; a block
-holds its own list of distinct words and, for every word of its rows, the place in that list. The blocks' words
-are counted together and each distinct word gets an integer id; the ids go back to the blocks, which form their
-n-grams as tuples of ids and count the distinct ones. Counts are summed by tuple, each distinct tuple's words are joined
-back and its bytes hashed once, and the buckets' counts of all documents and of the target give each bucket's gain. The
-gains are joined back by tuple, so a block can add up its rows' weights.
+holds its own list of distinct words with their counts and, for every word of its rows, the place in that list. Each
+distinct word of all blocks gets an integer id, which is the tuple of its unigram; for longer n-grams the ids go back to
+the blocks, which form their tuples of ids and count the distinct ones. Counts are summed by tuple, each distinct tuple's
+words are joined back and its bytes hashed once, and the buckets' counts of all documents and of the target give each
+bucket's gain. The gains are joined back by tuple, so a block can add up its rows' weights.
 
 What crosses the network for a word or a tuple is one row for each block that holds it: a word that is a third of all
 words is as many rows as there are blocks, in joins that Spark splits when they are skewed. The gains' table has
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, no_clash, runs, steps, utf8_bytes
 
 BLOCK_BYTES = 8 << 20
-_BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("places", pa.binary()), ("words", pa.list_(pa.string()))])
+_BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("places", pa.binary()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
 
 def _as_blocks(block_bytes: int):
@@ -50,6 +50,7 @@ def _as_blocks(block_bytes: int):
             letters = data[inside]  # nothing but the words, one after the other
             words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(where), pa.py_buffer(letters)).dictionary_encode()
             places = words.indices.to_numpy(zero_copy_only=False)
+            counts = np.bincount(places, minlength=len(words.dictionary)).astype(np.int64)
             places = places.astype(np.uint16 if len(words.dictionary) <= 1 << 16 else np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -58,6 +59,7 @@ def _as_blocks(block_bytes: int):
                     pa.array([np.diff(of_row).astype(np.int32)], pa.list_(pa.int32())),
                     pa.array([places.tobytes()], pa.binary()),
                     pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary.cast(pa.string())),
+                    pa.array([counts], pa.list_(pa.int64())),
                 ],
                 schema=_BLOCKS,
             )
@@ -90,6 +92,8 @@ def _block_of(columns: dict, i: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _count_grams(longest: int):
+    """The distinct n-grams of two words or more of each block, numbered on from its words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = dict(zip(batch.schema.names, batch.columns))
@@ -98,6 +102,9 @@ def _count_grams(longest: int):
                 ids = np.array(columns["word_ids"][i].as_py() or [], np.int64)
                 first = 0
                 for code, _, tuples in _grams(places, sizes, n_words, longest):
+                    if tuples.shape[1] == 1:
+                        first = len(tuples)
+                        continue
                     count = np.bincount(code, minlength=len(tuples))
                     named = ids[tuples]
                     offsets = np.arange(len(tuples) + 1, dtype=np.int32) * tuples.shape[1]
@@ -143,16 +150,19 @@ def _collected(rows: DataFrame, place: str, value: str, name: str) -> DataFrame:
 
 def weigh(docs: DataFrame, target: DataFrame, longest: int = 1, buckets: int = 10_000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_features, weight of every document."""
-    shape = "block bigint, ids array<bigint>, sizes array<int>, places binary, words array<string>"
+    shape = "block bigint, ids array<bigint>, sizes array<int>, places binary, words array<string>, counts array<bigint>"
     cut = lambda df: no_clash(df, "doc_id", "text").mapInArrow(_as_blocks(block_bytes), shape)
     raw = cut(docs).withColumn("target", F.lit(False))
     aim = cut(target.select(F.lit(0).cast("bigint").alias("doc_id"), "text")).withColumns({"target": F.lit(True), "block": -1 - F.col("block")})
     blocks = materialize(raw.unionByName(aim), "resampling-blocks")
-    listed = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    listed = blocks.select("block", "target", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select("block", "target", "place", "w.words", F.col("w.counts").alias("n")).withColumnRenamed("words", "word")
     dictionary = materialize(listed.select("word").distinct().withColumn("id", F.monotonically_increasing_id()), "resampling-dictionary")
-    word_ids = _collected(listed.join(dictionary, "word"), "place", "id", "word_ids")
-    with_ids = blocks.select("block", "target", "sizes", "places").join(word_ids, "block")
-    grams = materialize(with_ids.mapInArrow(_count_grams(longest), "block bigint, target boolean, number bigint, gram array<bigint>, n bigint"), "resampling-grams")
+    known = listed.join(dictionary, "word")
+    grams = known.select("block", "target", F.col("place").cast("bigint").alias("number"), F.array("id").alias("gram"), "n")
+    if longest > 1:
+        with_ids = blocks.select("block", "target", "sizes", "places").join(_collected(known, "place", "id", "word_ids"), "block")
+        grams = grams.unionByName(with_ids.mapInArrow(_count_grams(longest), "block bigint, target boolean, number bigint, gram array<bigint>, n bigint"))
+    grams = materialize(grams, "resampling-grams")
     counts = materialize(grams.groupBy("gram").agg(F.sum(F.when(~F.col("target"), F.col("n")).otherwise(0)).alias("s"), F.sum(F.when(F.col("target"), F.col("n")).otherwise(0)).alias("t")), "resampling-counts")
     spelt = counts.select("gram", F.posexplode("gram").alias("p", "id")).join(dictionary, "id").groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("p", "word"))).alias("all"))
     text = F.concat_ws(" ", F.transform("all", lambda x: x["word"]))
