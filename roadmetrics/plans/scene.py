@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import Right, align
 from ..operators.chunked import Series, over_chunks
+from ..operators.intervals import meet
 from ..operators.islands import number_islands
 from ..schemas import TURNS
 from .base import Result, Telemetry, by_content, metric_rows, program
@@ -58,9 +59,8 @@ def passages(telemetry: Telemetry, events: DataFrame) -> DataFrame:
     turn = F.coalesce(F.max_by("turn", F.when((F.col("turn") != "straight") & (F.col("turn") != "unknown"), F.col("t"))), F.lit("straight")).alias("turn")
     intervals = occupancy(seen, "junction", ("t", "key"), turn, F.max("t").alias("last_ts"), chunk=telemetry.config.chunk_s).withColumn("until", F.coalesce("exit_ts", "last_ts"))
     bad = events.filter(F.col("family").isin(*FAILURES)).select("drive_id", F.col("start_ts").alias("bad_t"))
-    days = lambda a, b: F.explode(F.sequence(F.floor(a / 600), F.floor(b / 600)))
-    spread = intervals.withColumn("bucket", days(F.col("enter_ts") - SLACK, F.col("until") + SLACK))
-    hit = spread.join(bad.withColumn("bucket", F.floor(F.col("bad_t") / 600)), ["drive_id", "bucket"]).filter((F.col("bad_t") >= F.col("enter_ts") - SLACK) & (F.col("bad_t") <= F.col("until") + SLACK))
+    reach = intervals.withColumns({"_from": F.col("enter_ts") - SLACK, "_to": F.col("until") + SLACK})
+    hit = meet(bad, reach, 60.0, "bad_t", start="_from", end="_to")
     failed = hit.select("drive_id", "enter_ts").distinct().withColumn("failed", F.lit(True))
     return intervals.join(failed, ["drive_id", "enter_ts"], "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.asof import Right, align, interpolate, neighbours
-from ..operators.intervals import locate
-from .base import EV, events, query, table
+from ..operators.intervals import locate, meet
+from .base import EV, events, query, query_in_chunks, table
 
 DAY = 86_400.0
 
@@ -39,10 +39,11 @@ def asof_nearest_chunked(spark, sf_dir):
     return out.select("event_id", F.col("near.event_id").alias("near_id"), F.col("near.value").alias("near_value"))
 
 
-@query(_nearest_sql(None, "later"))
-def asof_nearest_unbounded_tie_later(spark, sf_dir):
+@query_in_chunks(_nearest_sql(None, "later"), DAY, 3600.0)
+def asof_nearest_unbounded_tie_later(spark, sf_dir, chunk=None):
+    """In chunks of an hour most chunks hold no row of either side, so what is carried comes from many chunks away."""
     ev = events(spark, sf_dir)
-    out = align(_topic(ev, "view"), [Right(_topic(ev, "click"), "near", None, "later")])
+    out = align(_topic(ev, "view"), [Right(_topic(ev, "click"), "near", None, "later")], chunk=chunk)
     return out.select("event_id", F.col("near.event_id").alias("near_id"), F.col("near.value").alias("near_value"))
 
 
@@ -79,13 +80,13 @@ def sync_coverage(spark, sf_dir):
     return _synced(spark, sf_dir).agg(F.count(F.lit(1)).alias("frames"), *[F.round(pct(n), 6).alias(f"{n}_pct") for n in ("loc", "chassis", "control")], (pct("loc") < 80).alias("loc_flagged"))
 
 
-@query(f"""WITH {EV}, b AS (SELECT * FROM ev WHERE topic = 'view'), r AS (SELECT * FROM ev WHERE topic = 'click'),
+@query_in_chunks(f"""WITH {EV}, b AS (SELECT * FROM ev WHERE topic = 'view'), r AS (SELECT * FROM ev WHERE topic = 'click'),
     p AS (SELECT b.event_id, b.drive_id, b.t, r.t AS pt, r.value AS pv FROM b ASOF LEFT JOIN r ON b.drive_id = r.drive_id AND b.t > r.t),
     n AS (SELECT p.*, r.t AS nt, r.value AS nv FROM p ASOF LEFT JOIN r ON p.drive_id = r.drive_id AND p.t <= r.t)
-    SELECT event_id, CASE WHEN pt IS NULL THEN nv WHEN nt IS NULL THEN pv WHEN nt = t THEN nv ELSE pv + (nv - pv) * ((t - pt) / (nt - pt)) END AS value_at FROM n""")
-def interp_linear(spark, sf_dir):
+    SELECT event_id, CASE WHEN pt IS NULL THEN nv WHEN nt IS NULL THEN pv WHEN nt = t THEN nv ELSE pv + (nv - pv) * ((t - pt) / (nt - pt)) END AS value_at FROM n""", DAY)
+def interp_linear(spark, sf_dir, chunk=None):
     ev = events(spark, sf_dir)
-    return interpolate(_topic(ev, "view"), _topic(ev, "click"), "value", "value_at").select("event_id", "value_at")
+    return interpolate(_topic(ev, "view"), _topic(ev, "click"), "value", "value_at", chunk=chunk).select("event_id", "value_at")
 
 
 def _intervals(ev):
@@ -118,13 +119,44 @@ def interval_nearest_fallback(spark, sf_dir):
     return _contained(spark, sf_dir).select("event_id", F.coalesce("inside", "nearest").alias("bag"))
 
 
+#: Intervals from a minute to the whole month of a drive.
+_UNEVEN = f"""{_IV}, un AS (SELECT drive_id, name, start_ts, end_ts FROM iv UNION ALL SELECT drive_id, 'all-' || drive_id, min(t), max(t) FROM ev GROUP BY drive_id
+    UNION ALL SELECT drive_id, 'minute-' || event_id, t, t + 60 FROM ev WHERE topic = 'purchase' UNION ALL SELECT drive_id, 'day-' || event_id, t - {DAY}, t + {DAY} FROM ev WHERE topic = 'signup')"""
+
+
+def _uneven(ev):
+    around = lambda topic, name, before, after: ev.filter(F.col("topic") == topic).select("drive_id", F.concat(F.lit(name), "event_id").alias("name"), (F.col("t") - before).alias("start_ts"), (F.col("t") + after).alias("end_ts"))
+    whole = ev.groupBy("drive_id").agg(F.concat(F.lit("all-"), F.first("drive_id")).alias("name"), F.min("t").alias("start_ts"), F.max("t").alias("end_ts"))
+    return _intervals(ev).unionByName(whole).unionByName(around("purchase", "minute-", 0, 60)).unionByName(around("signup", "day-", DAY, DAY))
+
+
+@query(f"""WITH {EV}, {_UNEVEN} SELECT e.event_id, count(name) AS held, min(name) AS least, max(end_ts - start_ts) AS longest FROM (SELECT * FROM ev WHERE topic = 'error') e
+    LEFT JOIN un ON e.drive_id = un.drive_id AND e.t BETWEEN start_ts AND end_ts GROUP BY e.event_id""")
+def interval_contain_uneven(spark, sf_dir):
+    """All intervals that hold a point, where some last a minute and some a month."""
+    ev = events(spark, sf_dir)
+    at = ev.filter("topic = 'error'").select("event_id", "drive_id", "t")
+    held = meet(at, _uneven(ev), 60.0).groupBy("event_id").agg(F.count(F.lit(1)).alias("held"), F.min("name").alias("least"), F.max(F.col("end_ts") - F.col("start_ts")).alias("longest"))
+    return at.select("event_id").join(held, "event_id", "left").fillna(0, ["held"])
+
+
+@query(f"""WITH {EV}, {_UNEVEN}, c AS (SELECT e.event_id, name, row_number() OVER (PARTITION BY e.event_id ORDER BY CASE WHEN e.t BETWEEN start_ts AND end_ts THEN 0 ELSE 1 END,
+    CASE WHEN e.t BETWEEN start_ts AND end_ts THEN 0 ELSE least(abs(e.t - start_ts), abs(e.t - end_ts)) END, start_ts, name) AS k
+    FROM (SELECT * FROM ev WHERE topic = 'error') e LEFT JOIN (SELECT * FROM un WHERE name NOT LIKE 'all-%') un ON e.drive_id = un.drive_id) SELECT event_id, name AS bag FROM c WHERE k = 1""")
+def interval_nearest_uneven(spark, sf_dir):
+    """The first interval that holds a point, else the nearest, in chunks of a day."""
+    ev = events(spark, sf_dir)
+    at = ev.filter("topic = 'error'").select("event_id", "drive_id", "t")
+    found = locate(at, _uneven(ev).filter("name NOT LIKE 'all-%'"), 60.0, chunk=DAY)
+    return found.select("event_id", F.coalesce("inside", "nearest").alias("bag"))
+
+
 def _band(spark, sf_dir, how):
     ev = events(spark, sf_dir)
     iv = _intervals(ev)
-    bad = ev.filter((F.col("topic") == "error") & (F.col("value") > 60)).select("drive_id", F.col("t").alias("bad_t"), F.floor(F.col("t") / DAY).alias("day"))
-    # Band join by day buckets: an interval is copied to the days it reaches, so this is an equi-join, not a nested loop.
-    days = F.explode(F.sequence(F.floor((F.col("start_ts") - 600) / DAY), F.floor((F.col("end_ts") + 600) / DAY)))
-    hit = iv.withColumn("day", days).join(bad, ["drive_id", "day"]).filter("bad_t BETWEEN start_ts - 600 AND end_ts + 600").select("name").distinct()
+    bad = ev.filter((F.col("topic") == "error") & (F.col("value") > 60)).select("drive_id", F.col("t").alias("bad_t"))
+    reach = iv.select("drive_id", "name", (F.col("start_ts") - 600).alias("from_t"), (F.col("end_ts") + 600).alias("to_t"))
+    hit = meet(bad, reach, 600.0, "bad_t", start="from_t", end="to_t").select("name").distinct()
     return iv.select("name", "start_ts").join(hit, "name", how)
 
 

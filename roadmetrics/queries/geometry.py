@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes, geo
@@ -121,9 +122,41 @@ def steering_curvature(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", F.round(kappa, 9).alias("kappa"), road_class(kappa).alias("road"))
 
 
-@query()
+#: The corners and edges of obstacles and of the vehicle, all distances of corners from edges, and the projections on the
+#: normals of all edges.
+_POLYGONS = f"""{OB}, o AS (SELECT *, row_number() OVER () AS r FROM ob), q(k, i, j) AS (VALUES (0, -1, -1), (1, -1, 1), (2, 1, 1), (3, 1, -1)),
+    c AS (SELECT r, k, x + i * length / 2 * cos(heading) - j * width / 2 * sin(heading) AS x, y + i * length / 2 * sin(heading) + j * width / 2 * cos(heading) AS y FROM o, q),
+    g AS (SELECT k, 1.4::DOUBLE + i * 2.4::DOUBLE AS x, j * 0.95::DOUBLE AS y FROM q),
+    ce AS (SELECT a.r, a.x AS ax, a.y AS ay, b.x - a.x AS dx, b.y - a.y AS dy FROM c a JOIN c b ON a.r = b.r AND b.k = (a.k + 1) % 4),
+    ge AS (SELECT a.x AS ax, a.y AS ay, b.x - a.x AS dx, b.y - a.y AS dy FROM g a JOIN g b ON b.k = (a.k + 1) % 4),
+    ps AS (SELECT r, c.x AS px, c.y AS py, ax, ay, dx, dy FROM c, ge UNION ALL SELECT r, g.x, g.y, ax, ay, dx, dy FROM ce, g),
+    sh AS (SELECT *, greatest(0.0, least(1.0, ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy))) AS u FROM ps),
+    reach AS (SELECT r, min(sqrt(pow(px - ax - u * dx, 2) + pow(py - ay - u * dy, 2))) AS d FROM sh GROUP BY r),
+    ax AS (SELECT r, dy AS nx, -dx AS ny FROM ce UNION ALL SELECT o.r, dy, -dx FROM o, ge),
+    pr AS (SELECT ax.r, nx, ny, min(nx * c.x + ny * c.y) AS lo, max(nx * c.x + ny * c.y) AS hi FROM ax JOIN c ON c.r = ax.r GROUP BY ax.r, nx, ny),
+    pg AS (SELECT pr.r, pr.lo, pr.hi, min(nx * g.x + ny * g.y) AS glo, max(nx * g.x + ny * g.y) AS ghi FROM pr, g GROUP BY pr.r, nx, ny, pr.lo, pr.hi),
+    apart AS (SELECT r, bool_or(hi < glo OR ghi < lo) AS apart FROM pg GROUP BY r),
+    pd AS (SELECT frame_id, track_id, CASE WHEN apart THEN d ELSE 0 END AS distance FROM o JOIN reach USING (r) JOIN apart USING (r))"""
+
+
+def _turned(ob):
+    return boxes.Turned(*[F.col(n) for n in ("x", "y", "length", "width", "heading")])
+
+
+@query(f"WITH {_POLYGONS} SELECT frame_id, track_id, round(distance, 6) AS distance FROM pd")
 def polygon_distance(spark, sf_dir):
-    ob, _ = _boxed(spark, sf_dir)
-    own = boxes.corners(*[F.col(n) for n in ("x", "y", "length", "width", "heading")])
-    ego = boxes.corners(F.lit(1.4), F.lit(0.0), F.lit(4.8), F.lit(1.9), F.lit(0.0))
-    return ob.select("frame_id", "track_id", F.round(boxes.polygon_distance(own, ego), 6).alias("distance"))
+    ob = obstacles(spark, sf_dir)
+    return ob.select("frame_id", "track_id", F.round(boxes.turned_distance(_turned(ob), boxes.as_turned()), 6).alias("distance"))
+
+
+@query(f"WITH {_POLYGONS} SELECT frame_id, round(min(distance), 6) AS distance FROM pd GROUP BY frame_id")
+def nearest_polygon_per_frame(spark, sf_dir):
+    """Filter and refine: an obstacle's bounds are no further than it is, and its nearest corner is no nearer, so the exact
+    distance is worked out only for those whose bounds are as near as the frame's nearest corner."""
+    ob, box = _boxed(spark, sf_dir)
+    turned = _turned(ob)
+    reach = F.least(*[boxes.point_box_distance(x, y) for x, y in turned.corners()])
+    bounded = ob.withColumns({"least": boxes.box_distance(box), "most": reach})
+    nearest = bounded.withColumn("best", F.min("most").over(Window.partitionBy("frame_id")))
+    open_ = nearest.filter(F.col("least") <= F.col("best") + 1e-9)
+    return open_.groupBy("frame_id").agg(F.round(F.min(boxes.turned_distance(turned, boxes.as_turned())), 6).alias("distance"))
