@@ -15,11 +15,12 @@ their union. What is computed of the product:
    links join most copies into classes.
 4. Of all buckets, what stays open are pairs of different classes. Where few rows stand outside the largest class of a
    bucket (``loose``), their pairs are counted over all columns; a pair goes if its count and what the rows hold
-   beyond their first columns stay below its bound, and the rest is verified pair by pair. Where many do, chunks of different
+   beyond their first columns stay below its bound, and the rest are tasks of two rows. Where many do, chunks of different
    classes meet in tasks as in the first round. (A bucket with many rows of many classes costs its size times its number
    of chunks.) No pair that links is lost, and copies are never expanded into all pairs.
 
-Only rows with a partner in some bucket are sent to be verified. Shingles are compared by 64-bit hashes. Node tables,
+Only rows that a task asks for are sent to be verified: texts are read again for it, and what tasks ask for is broadcast
+if it has been counted to hold at most ``most_broadcast`` rows, else joined by exchange. Shingles are compared by 64-bit hashes. Node tables,
 tasks, links and rounds are written to the shared folder.
 
 Edge cases: null text or text without words is an empty row, linked with nothing and its own component; a text of fewer
@@ -76,26 +77,22 @@ def _nodes(h: np.ndarray, where: np.ndarray) -> list[bytes | None]:
 
 
 def _rows(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            h, where = shingle_sets(batch.column("text"), n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_nodes(h, where), pa.binary()), pa.array(np.diff(where))], names=["doc_id", "node", "n_shingles"])
-
-    return run
+    """A row for each document, and for each task one for each chunk of the counters."""
 
-
-def _slots(n: int):
-    """Per task one row for each chunk of the counters."""
+    def row(doc_id, node, size, chunk=None, counts=None):
+        none = lambda x, kind: pa.nulls(len(size), kind) if x is None else x
+        return pa.RecordBatch.from_arrays([none(doc_id, pa.int64()), none(node, pa.binary()), size, none(chunk, pa.int32()), none(counts, pa.binary())], names=["doc_id", "node", "n_shingles", "chunk", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in steps(batches):
-            h, _ = shingle_sets(batch.column("text"), n)
+            h, where = shingle_sets(batch.column("text"), n)
             total += np.bincount((h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(total))
+            yield row(batch.column("doc_id"), pa.array(_nodes(h, where), pa.binary()), pa.array(np.diff(where)))
         if total.any():
             parts = total.reshape(SLOT_CHUNKS, -1)
-            small = parts.max() < 1 << 32
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLOT_CHUNKS), pa.int32()), pa.array([p.astype(np.uint32 if small else np.uint64).tobytes() for p in parts])], names=["chunk", "counts"])
+            kind = np.uint32 if parts.max() < 1 << 32 else np.uint64
+            yield row(None, None, pa.nulls(SLOT_CHUNKS, pa.int64()), pa.array(range(SLOT_CHUNKS), pa.int32()), pa.array([x.astype(kind).tobytes() for x in parts], pa.binary()))
 
     return run
 
@@ -112,9 +109,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.ceil(np.log2(x + 1)).astype(np.uint8).tobytes() for x in total.values()])], names=["chunk", "counts"])
 
 
-def column_levels(docs: DataFrame, n: int = N) -> np.ndarray:
+def column_levels(slots: DataFrame) -> np.ndarray:
     """How frequent the columns of each slot are together, as a power of two: 1 MB, whatever the input's size."""
-    parts = docs.mapInArrow(_slots(n), "chunk int, counts binary").repartition(SLOT_CHUNKS, "chunk").mapInArrow(_summed, "chunk int, counts binary").collect()
+    parts = slots.repartition(SLOT_CHUNKS, "chunk").mapInArrow(_summed, "chunk int, counts binary").collect()
     levels = np.zeros((SLOT_CHUNKS, (1 << SLOT_BITS) // SLOT_CHUNKS), np.uint8)
     for r in parts:
         levels[r.chunk] = np.frombuffer(r.counts, np.uint8)
@@ -147,12 +144,18 @@ def _prefixes(n: int, percent: int, levels):
 
 
 def _sets(n: int):
+    """node, columns: each node once in what a task has read."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in steps(batches):
             h, where = shingle_sets(batch.column("text"), n)
             nodes = _nodes(h, where)
-            fresh = {x: i for i, x in reversed(list(enumerate(nodes)))}
-            own = [i for i, x in enumerate(nodes) if x is not None and fresh[x] == i]
+            own = []
+            for i, x in enumerate(nodes):
+                if x is not None and x not in seen:
+                    seen.add(x)
+                    own.append(i)
             yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in own], pa.binary()), pa.array([h[where[i] : where[i + 1]].tobytes() for i in own], pa.binary())], names=["node", "columns"])
 
     return run
@@ -161,6 +164,11 @@ def _sets(n: int):
 def linked_pairs(rows: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """The pairs of rows (sorted distinct columns) that link, by blocks of the product of the incidence matrix with its
     transpose."""
+    if len(rows) == 2:
+        both = len(np.intersect1d(*rows, assume_unique=True))
+        if 100 * both >= percent * (len(rows[0]) + len(rows[1]) - both):
+            yield 0, 1
+        return
     sizes = np.array([len(r) for r in rows])
     by_size = np.argsort(sizes, kind="stable")
     sizes = sizes[by_size]
@@ -211,7 +219,8 @@ def _forest(rows: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _verify_tasks(percent: int):
-    """a, b: a spanning forest of the links within each task; the rows of a task stand one after the other."""
+    """a, b: a spanning forest of the links within each task; the rows of a task stand one after the other, and a row that
+    several tasks have read counts once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, nodes, rows = None, [], []
@@ -225,6 +234,8 @@ def _verify_tasks(percent: int):
                 if t.as_py() != task:
                     yield from close()
                     task, nodes, rows = t.as_py(), [], []
+                if nodes and nodes[-1] == node.as_py():
+                    continue
                 nodes.append(node.as_py())
                 rows.append(np.frombuffer(columns.as_py(), np.uint64))
         yield from close()
@@ -232,39 +243,23 @@ def _verify_tasks(percent: int):
     return run
 
 
-def _verify_pairs(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("columns_a"), batch.column("columns_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def _cuts(n: Column, task_rows: int) -> Column:
     return F.ceil(n / task_rows).cast("int")
 
 
-def find_links(docs: DataFrame, n: int, percent: int, task_rows: int, loose: int, seeds: int = 2) -> DataFrame:
+def find_links(docs: DataFrame, slots: DataFrame, n: int, percent: int, task_rows: int, loose: int, seeds: int = 2, most_broadcast: int = 1_000_000) -> DataFrame:
     """a, b: links that connect whatever the join connects."""
     spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(column_levels(docs, n))
+    levels = spark.sparkContext.broadcast(column_levels(slots))
     index = docs.mapInArrow(_prefixes(n, percent, levels), "key bigint, node binary, size bigint, rest bigint, place bigint")
     index = index.repartition("key").dropDuplicates(["key", "node"])
     shared = index.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).filter("n > 1")
     members = materialize(shared.withColumns({"band": F.lit(0)}), "jaccard-members")
 
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = bounded_broadcast(materialize(nodes.distinct(), "jaccard-wanted"), 1_000_000)
-        return docs.mapInArrow(_sets(n), "node binary, columns binary").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-
     def verified(tasks: DataFrame) -> DataFrame:
         tasks = materialize(tasks, "jaccard-tasks")
-        rows = tasks.join(sets_of(tasks.select("node")), "node").repartition("task").sortWithinPartitions("task", "node")
+        sets, few = docs.mapInArrow(_sets(n), "node binary, columns binary"), bounded_broadcast(tasks, most_broadcast)
+        rows = (sets if few is not tasks else sets.dropDuplicates(["node"])).join(few, "node").repartition("task").sortWithinPartitions("task", "node")
         return materialize(rows.mapInArrow(_verify_tasks(percent), "a binary, b binary"), "jaccard-links")
 
     rare = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("n", "place", "key"))), 1, seeds).alias("first"))
@@ -286,22 +281,19 @@ def find_links(docs: DataFrame, n: int, percent: int, task_rows: int, loose: int
     ends = [F.when(a_first, F.col("node_a")).otherwise(F.col("node_b")).alias("a"), F.when(a_first, F.col("node_b")).otherwise(F.col("node_a")).alias("b")]
     counted = pairs.groupBy(*ends).agg(F.count(F.lit(1)).alias("count"), F.max(F.greatest("rest_a", "rest_b")).alias("most_rest"), F.max(F.col("size_a") + F.col("size_b")).alias("sizes"))
     likely = counted.filter((F.col("count") + F.col("most_rest")) * (100 + percent) >= F.col("sizes") * percent).select("a", "b")
-    likely = materialize(likely, "jaccard-pairs")
-    sets = sets_of(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))))
-    both = likely.join(sets.select(F.col("node").alias("a"), F.col("columns").alias("columns_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("columns").alias("columns_b")), "b")
-    links = links.unionByName(materialize(both.mapInArrow(_verify_pairs(percent), "a binary, b binary"), "jaccard-links"))
-
+    tasks = likely.select(F.md5(F.concat("a", "b")).alias("task"), F.explode(F.array("a", "b")).alias("node"))
     many = open_.filter(F.col("outside") > loose).select("band", "key", "node")
     if many.head(1):
-        links = links.unionByName(verified(rest_tasks(many, roots, task_rows)))
-    return links
+        tasks = tasks.unionByName(rest_tasks(many, roots, task_rows).select("task", "node"))
+    return links.unionByName(verified(tasks))
 
 
 def jaccard_classes(docs: DataFrame, n: int = N, percent: int = PERCENT, task_rows: int = 1024, loose: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id of all that links connect with the document, its own included)."""
     text = no_clash(docs, "doc_id", "text")
-    table = materialize(text.mapInArrow(_rows(n), "doc_id bigint, node binary, n_shingles bigint"), "jaccard-rows")
-    roots = components(find_links(text.select("text"), n, percent, task_rows, loose))
+    read = materialize(text.mapInArrow(_rows(n), "doc_id bigint, node binary, n_shingles bigint, chunk int, counts binary"), "jaccard-rows")
+    table, slots = read.filter("chunk IS NULL").select("doc_id", "node", "n_shingles"), read.filter("chunk IS NOT NULL").select("chunk", "counts")
+    roots = components(find_links(text.select("text"), slots, n, percent, task_rows, loose))
     own = table.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     placed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
