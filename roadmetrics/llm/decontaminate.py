@@ -13,7 +13,8 @@ rows with hits before the next block is read, and hits are merged per document.
 Words are runs of digits, a-z (after lower-casing A-Z) and bytes beyond ASCII; they are compared by a 64-bit hash.
 
 Edge cases: null and word-less texts have no words and are never hit; an item without words has no window; items that
-repeat an item_id count once; a null item_id is no item; repeated rows are judged alike; empty tables give empty or
+repeat an item_id count once; words that an item with a null item_id holds are hit, but it is not listed or counted;
+of equally long matches the first in the document is given; repeated rows are judged alike; empty tables give empty or
 clean results; further columns are carried by ``remove_contaminated`` and ignored elsewhere.
 """
 
@@ -52,11 +53,11 @@ class TestBlock:
     numbers: np.ndarray
     left: np.ndarray  # words from each place to the end of its item
     item: np.ndarray  # number of the item of each place
-    names: list[str]
+    names: list[str | None]
     starts: dict[int, np.ndarray]  # per window length the places where windows start
 
 
-def make_block(items: list[tuple[str, np.ndarray]], window: int) -> TestBlock:
+def make_block(items: list[tuple[str | None, np.ndarray]], window: int) -> TestBlock:
     vocabulary = np.unique(np.concatenate([w for _, w in items])) if items else np.zeros(0, np.uint64)
     zero, starts, at = np.zeros(1, np.int64), {}, 0
     for _, words in items:
@@ -146,7 +147,7 @@ def occurrences(block: TestBlock, words: np.ndarray, of_row: np.ndarray, with_lo
             at.append(array[low[u] : high[u]])
             lengths.append(np.full(high[u] - low[u], length))
             windows.append(np.full(high[u] - low[u], len(items)))
-            items.append(sorted({block.names[i] for i in block.item[starts[of_start == u]]}))
+            items.append(sorted({block.names[i] for i in block.item[starts[of_start == u]]} - {None}))
     at = np.concatenate(at)
     longest = longest_item = np.zeros(len(at), np.int64)
     if len(at) and with_longest:
@@ -202,14 +203,15 @@ def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             s, e = (np.array([x for part in r[c] for x in part], np.int64) for c in ("starts", "ends"))
             s, e = merged(s, e)
-            rows.append({"doc_id": r["doc_id"], "digest": r["digest"], "n_words": r["n_words"], "hit_start": s.tolist(), "hit_end": e.tolist(), "items": sorted({x for part in r["parts"] for x in part}), **max(r["longest"], key=lambda x: x["longest_words"])})
+            longest = min(r["longest"], key=lambda x: (-x["longest_words"], x["longest_at"], x["longest_item"] or ""))
+            rows.append({"doc_id": r["doc_id"], "digest": r["digest"], "n_words": r["n_words"], "hit_start": s.tolist(), "hit_end": e.tolist(), "items": sorted({x for part in r["parts"] for x in part}), **longest})
         yield pa.RecordBatch.from_pylist(rows, schema=_HITS)
 
 
 def test_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[TestBlock]:
     """The test set, read item by item and handed out in blocks of at most block_words words (or one longer item)."""
     block, words = [], 0
-    for r in no_clash(benchmark, "item_id", "text").filter("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
+    for r in no_clash(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
         hashes, _ = word_hashes(pa.array([r.text], pa.string()))
         if block and words + len(hashes) > block_words:
             yield make_block(block, window)

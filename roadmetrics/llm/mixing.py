@@ -7,8 +7,12 @@ never sorted. Thresholds are nested: a larger budget takes a superset.
 
 A source whose target exceeds its size is taken whole floor(target / size) times and by threshold for the rest.
 
-Edge cases: null text has size 0; null is a source of its own, ordered last; documents of the same source with the same id and
-text share a hash and are taken or left together; a source of size 0 has target 0; an empty table gives an empty result;
+Rows of a source that share their id and text are told apart by an occurrence number, from which all but the first get a
+hash of their own. The numbers are given within what each task has read, from sums over the tasks before it, so that a row
+that is repeated in a third of the table is numbered by many tasks; which of equal rows gets which number doesn't matter.
+
+Edge cases: null text has size 0; null is a source of its own, ordered last; repeated rows are units of their own, of which
+any may be taken; a source of size 0 has target 0; an empty table gives an empty result;
 further columns of the input are ignored.
 """
 
@@ -69,17 +73,40 @@ def _with(rows: DataFrame, per_source: DataFrame, most_sources: int, *more: str)
     return rows.join(small, condition).drop("_source", *[f"_{c}" for c in more])
 
 
+def _told_apart(sized: DataFrame, most_sources: int) -> DataFrame:
+    """sized with hashes of their own for the second and later of rows that share source, doc_id and text."""
+    keys = ["source", "doc_id", "hash"]
+    per_task = sized.groupBy(*keys, "task").agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(per_task.groupBy(*keys).agg(F.sum("n").alias("copies")).filter("copies > 1").drop("copies"), "mixing-repeated")
+    if not repeated.head(1):
+        return sized.drop("task")
+    few = bounded_broadcast(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]), most_sources)
+    same = F.col("hash") == F.col("_hash")
+    for k in keys[:2]:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    within = lambda df: df.join(few, same, "left_semi")
+    upto = Window.partitionBy(*keys).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = within(per_task).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("task").alias("_task"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*keys, "task").orderBy("task")) - 1
+    copies = within(sized).withColumn("_own", own).join(before, same & (F.col("task") == F.col("_task")))
+    number = F.col("_before") + F.col("_own")
+    apart = F.conv(F.substring(F.md5(F.concat_ws("\n", F.col("hash"), number).cast("binary")), 1, 15), 16, 10).cast("bigint")
+    renamed = copies.withColumn("hash", F.when(number == 0, F.col("hash")).otherwise(apart))
+    return sized.join(few, same, "left_anti").drop("task").unionByName(renamed.select(*[c for c in sized.columns if c != "task"]))
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_repeats: int = 3, most_sources: int = 50_000) -> DataFrame:
     """Per document: doc_id, size, source_size, target (of its source), taken (words, repeats counted), epochs.
 
     Tables with one row per source are broadcast if counted to hold at most most_sources rows, else joined by shuffle.
     """
-    sized = materialize(
+    read = materialize(
         no_clash(docs, "doc_id", "source", "text")
-        .select("doc_id", "source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("hash"))
-        .withColumns({f"b{i}": F.shiftright("hash", HASH_BITS - bits) for i, bits in enumerate(LEVELS)}),
-        "mixing-sizes",
+        .select("doc_id", "source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("hash"), F.spark_partition_id().alias("task")),
+        "mixing-rows",
     )
+    cells = {f"b{i}": F.shiftright("hash", HASH_BITS - bits) for i, bits in enumerate(LEVELS)}
+    sized = materialize(_told_apart(read, most_sources).withColumns(cells), "mixing-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.greatest("source_size", F.lit(1))), F.lit(most_repeats))).otherwise(0).cast("bigint")
     targets = materialize(

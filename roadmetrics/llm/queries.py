@@ -106,9 +106,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM n WINDOW w AS (PARTITION BY content)""",
     "op5_mix_sources": r"""
         WITH d AS (
-            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-                   CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 15)) AS BIGINT) AS h
-            FROM documents),
+            SELECT doc_id, source, size, CASE WHEN k = 1 THEN h0 ELSE CAST(('0x' || substr(md5(h0 || chr(10) || (k - 1)), 1, 15)) AS BIGINT) END AS h FROM (
+                SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                       row_number() OVER (PARTITION BY source, doc_id, coalesce(text, '')) AS k,
+                       CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 15)) AS BIGINT) AS h0
+                FROM documents)),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
         w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
         c AS (SELECT *, source_size * 3 AS cap FROM w),
@@ -129,7 +131,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_decontaminate": r"""
         WITH RECURSIVE dw AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-        bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+        bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(__LOWER__, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
         win AS (SELECT DISTINCT item, array_to_string(w[i:i + 12], ' ') AS k, least(len(w), 13) AS n
                 FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS i FROM bw WHERE len(w) > 0)),
         sizes AS (SELECT DISTINCT n FROM win),
@@ -137,7 +139,7 @@ ORACLE_SQL: dict[str, str] = {
                 FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM dw, sizes WHERE len(w) >= n)),
         hit AS (SELECT pos.r, pos.i, pos.n, win.item FROM pos JOIN win ON pos.k = win.k AND pos.n = win.n),
         words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY r),
-        its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+        its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN words USING (r) LEFT JOIN its USING (r)""".replace("__LOWER__", LOWER),

@@ -81,3 +81,15 @@ def test_very_long_texts(spark):
     text = " ".join(prose(6, 400_000) + w + w * 300)
     row = decontaminate.contamination(docs(spark, [text]), spark.createDataFrame([("a", " ".join(w))], ITEMS)).first()
     assert (row.n_words, row.longest_words, row.longest_at) == (460_200, 200, 400_000) and row.n_hit >= 60_200
+
+
+def test_an_item_without_an_id_hits_but_is_not_listed(spark):
+    text = " ".join(prose(77, 30))
+    rows = spark.createDataFrame([(1, text), (2, "before " + text[: len(text) // 2])], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, text)], "item_id bigint, text string")
+    for more in (items, items.unionByName(spark.createDataFrame([(5, text)], items.schema))):
+        got = {r.doc_id: r for r in decontaminate.contamination(rows, more).collect()}
+        assert got[1].n_hit == 30 and got[1].contaminated and got[1].n_items == more.count() - 1
+        assert decontaminate.remove_contaminated(rows, more).count() == 0
+    several = decontaminate.contamination(rows, items, block_words=5).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in several} == {r: (got[r].n_hit, 0) for r in got}

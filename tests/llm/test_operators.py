@@ -300,3 +300,17 @@ def test_shared_folder_is_asked_for_on_a_cluster():
     context = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_folder(SimpleNamespace(sparkContext=context))
+
+
+def test_mixing_of_repeated_rows(spark, tmp_path):
+    """300 rows without an id and with one text are units of their own: the source comes near its target."""
+    from tests.oracle import connect, rows_of
+
+    rows = spark.createDataFrame([(None, "one two three", "a")] * 300 + [(i, f"w{i} x y", "b") for i in range(300)] + [(7, "w7 x y", "b")] * 40 + [(7, "w7 x y", None)] * 3, "doc_id bigint, text string, source string").repartition(5)
+    got = mixing.mix_sources(rows)
+    for r in got.groupBy("target", "source_size").agg(F.sum("taken").alias("taken")).collect():
+        assert abs(r.taken - r.target) <= 3
+    rows.write.parquet(f"{tmp_path}/documents")
+    con = connect()
+    con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    assert rows_of(got.toPandas()) == rows_of(con.execute(ORACLE_SQL["op5_mix_sources"]).df())
