@@ -52,3 +52,17 @@ def _in_batches(name: str):
 
 for _name in partial.STATES:
     _in_batches(_name)
+
+
+@query(f"WITH {EV} SELECT event_id, drive_id, topic, value, CAST(round(t * 1000000) AS BIGINT) * 1000 AS timestamp FROM ev WHERE topic IN ('click', 'error') AND round(t * 1000000) * 1000 >= 1704672000000000000")
+def bags_round_trip(spark, sf_dir):
+    """Events written as bag files, a file for each task's drives, and read back by topic and time."""
+    from ..sources.bags import register
+
+    folder = _own_folder(spark, "bags")
+    ev = events(spark, sf_dir)
+    at = (F.round(F.col("t") * 1_000_000).cast("bigint") * 1000).alias("timestamp")
+    register(spark)
+    ev.select("topic", at, F.struct("event_id", "drive_id", "value").alias("message")).repartition(8, "topic").write.format("bags").mode("append").save(folder)
+    back = spark.read.format("bags").option("topics", "click,error").option("from", 1_704_672_000_000_000_000).load(folder)
+    return back.select("message.event_id", "message.drive_id", "topic", "message.value", "timestamp")
