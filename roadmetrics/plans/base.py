@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,7 @@ class Telemetry:
     config: Config = field(default_factory=Config)
     keep: bool = False
     _made: dict[str, DataFrame] = field(default_factory=dict)
+    _results: dict[str, Result] = field(default_factory=dict)
 
     def topic(self, name: str) -> DataFrame:
         if name not in self.tables:
@@ -37,13 +41,26 @@ class Telemetry:
     def shared(self) -> Telemetry:
         """The same telemetry whose aligned tables are written to the shared folder when first asked for, so that several
         programs read them instead of aligning again."""
-        return replace(self, keep=True, _made={})
+        return replace(self, keep=True, _made={}, _results={})
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._made:
             self._made[name] = written(build(), name) if self.keep else build()
         return self._made[name]
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several programs rest on, by its name: written when first asked for if results are shared."""
+        return self._once(name, build)
+
+    def result(self, name: str) -> Result:
+        """Another program's result; if results are shared, it is built and written once."""
+        if name not in self._results:
+            found = PROGRAMS[name][0](self)
+            if self.keep:
+                found = Result(written(found.metrics, f"{name}-metrics"), written(found.events, f"{name}-events") if found.events is not None else None)
+            self._results[name] = found
+        return self._results[name]
+
     def frames(self) -> DataFrame:
         """One row per function message with the nearest message of the other topics (structs), within 0.3 s; one exchange."""
 
@@ -133,7 +150,7 @@ def run(telemetry: Telemetry, names: list[str] | None = None) -> tuple[DataFrame
     metrics, events, failed, telemetry = [], [], {}, telemetry.shared()
     for name in closure(names or list(PROGRAMS)):
         try:
-            result = PROGRAMS[name][0](telemetry)
+            result = telemetry.result(name)
         except MissingTopic as missing:
             failed[name] = f"no topic {missing}"
             continue
@@ -142,3 +159,56 @@ def run(telemetry: Telemetry, names: list[str] | None = None) -> tuple[DataFrame
             events.append(result.events)
     union = lambda parts: None if not parts else parts[0] if len(parts) == 1 else union([parts[0].unionByName(parts[1]), *parts[2:]])
     return union(metrics), union(events), failed
+
+
+def _cause(broken: Exception) -> str:
+    """The innermost cause that Spark names, else the first line."""
+    lines = [x.strip() for x in str(broken).splitlines() if x.strip()] or [type(broken).__name__]
+    return next((x for x in reversed(lines) if x.startswith("Caused by:")), next((x for x in lines if "Exception:" in x), lines[0]))[:500]
+
+
+LEDGER = "program string, status string, reason string, seconds double, rows bigint"
+
+
+def run_each(telemetry: Telemetry, to: str, names: list[str] | None = None, again: bool = False) -> DataFrame:
+    """Run the programs one by one and write each one's metrics and events in folders of its own; return (and write) the
+    ledger: per program done, failed (with the reason) or skipped (a program that it needs failed).
+
+    A program that fails, be it in a task, leaves the others' results; what it had begun to write is not left behind as
+    a result, as Spark commits a folder as a whole. Programs that an earlier ledger in the same place has as done are not run
+    again, unless ``again`` is set.
+    """
+    spark = next(iter(telemetry.tables.values())).sparkSession
+    telemetry, rows, done = telemetry.shared(), [], {}
+    if not again:
+        try:
+            done = {r.program: r for r in spark.read.schema(LEDGER).parquet(f"{to}/ledger").collect() if r.status == "done"}  # a row for each program
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    failed: set[str] = set()
+    for name in closure(names or list(PROGRAMS)):
+        began, status, reason, n = time.time(), "done", None, None
+        lacking = sorted(failed & set(PROGRAMS[name][1]))
+        if name in done:
+            rows.append(tuple(done[name]))
+            continue
+        if lacking:
+            status, reason = "skipped", "needs " + ", ".join(lacking)
+        else:
+            try:
+                result = telemetry.result(name)
+                result.metrics.write.mode("overwrite").parquet(f"{to}/metrics/program={name}")
+                if result.events is not None:
+                    result.events.write.mode("overwrite").parquet(f"{to}/events/program={name}")
+                n = spark.read.parquet(f"{to}/metrics/program={name}").count()
+            except MissingTopic as missing:
+                status, reason = "failed", f"no topic {missing}"
+            except (PySparkException, Py4JJavaError) as broken:
+                status, reason = "failed", _cause(broken)
+        if status != "done":
+            failed.add(name)
+        rows.append((name, status, reason, time.time() - began, n))
+    ledger = spark.createDataFrame(rows, LEDGER)
+    ledger.coalesce(1).write.mode("overwrite").parquet(f"{to}/ledger")
+    return ledger

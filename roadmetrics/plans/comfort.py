@@ -17,9 +17,13 @@ from .base import Result, Telemetry, event_rows, metric_rows, program
 
 def accelerations(telemetry: Telemetry) -> DataFrame:
     """Autonomous control rows (drive_id, t, acc) with the chassis speed interpolated to their times."""
-    control = telemetry.control_hf().filter("is_auto AND target_lon_acc IS NOT NULL").select("drive_id", "t", F.col("target_lon_acc").alias("acc")).withColumn("key", F.lit(0).cast("bigint"))
-    chassis = telemetry.topic("chassis").select("drive_id", "t", "speed").withColumn("key", F.lit(0).cast("bigint"))
-    return interpolate(control, chassis, "speed", "speed", key="key", chunk=telemetry.config.chunk_s).drop("key").fillna(0.0, ["speed"])
+
+    def build():
+        control = telemetry.control_hf().filter("is_auto AND target_lon_acc IS NOT NULL").select("drive_id", "t", F.col("target_lon_acc").alias("acc")).withColumn("key", F.lit(0).cast("bigint"))
+        chassis = telemetry.topic("chassis").select("drive_id", "t", "speed").withColumn("key", F.lit(0).cast("bigint"))
+        return interpolate(control, chassis, "speed", "speed", key="key", chunk=telemetry.config.chunk_s).drop("key").fillna(0.0, ["speed"])
+
+    return telemetry.once("accelerations", build)
 
 
 def jerks(rows: DataFrame, telemetry: Telemetry) -> DataFrame:

@@ -37,8 +37,8 @@ def totals() -> list[Column]:
 def per_drive(telemetry: Telemetry) -> DataFrame:
     """km and seconds by mode, one row per drive."""
     c = telemetry.config
-    s = steps(positions(telemetry.frames()), c.max_step_s, c.max_speed_kmh, chunk=c.chunk_s)
-    return s.groupBy("drive_id").agg(*totals())
+    s = lambda: steps(positions(telemetry.frames()), c.max_step_s, c.max_speed_kmh, chunk=c.chunk_s)
+    return telemetry.once("mileage-per-drive", lambda: s().groupBy("drive_id").agg(*totals()))
 
 
 def report(m: DataFrame) -> DataFrame:

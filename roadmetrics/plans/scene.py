@@ -74,10 +74,7 @@ def pass_rate(passed: DataFrame) -> DataFrame:
 
 @program("junctions", needs=("takeover", "emergency"))
 def junctions(telemetry: Telemetry) -> Result:
-    from .emergency import emergency
-    from .takeover import takeover
-
-    events = takeover(telemetry).events.unionByName(emergency(telemetry).events)
+    events = telemetry.result("takeover").events.unionByName(telemetry.result("emergency").events)
     rates = pass_rate(passages(telemetry, events)).groupBy("drive_id").agg(
         F.max(F.when(F.col("turn") == "all", F.col("total"))).alias("total"), F.max(F.when(F.col("turn") == "all", F.col("passed"))).alias("passed"), F.max(F.when(F.col("turn") == "all", F.col("rate"))).alias("rate"),
         *[F.max(F.when(F.col("turn") == x, F.col("rate"))).alias(x) for x in TURNS.values()],

@@ -22,6 +22,10 @@ def rates(telemetry: Telemetry) -> DataFrame:
 
     Filters run per continuous segment; in compat mode over the whole autonomous series of the drive.
     """
+    return telemetry.once("steering-rates", lambda: _rates(telemetry))
+
+
+def _rates(telemetry: Telemetry) -> DataFrame:
     import numpy as np
 
     c = telemetry.config

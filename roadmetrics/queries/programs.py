@@ -212,7 +212,7 @@ def all_events(spark, sf_dir):
     from ..plans.scene import annotate
 
     tel = telemetry(spark, sf_dir).shared()
-    parts = [r.events for r in (build(tel) for build, _ in plans.PROGRAMS.values()) if r.events is not None]
+    parts = [r.events for r in map(tel.result, plans.PROGRAMS) if r.events is not None]
     return annotate(reduce(DataFrame.unionByName, parts), tel).select("drive_id", "family", F.round("start_ts", 5).alias("start_ts"), F.round("end_ts", 5).alias("end_ts"), "frame_count", F.round("peak", 5).alias("peak"), "lane", "turn", "junction")
 
 

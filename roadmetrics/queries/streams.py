@@ -66,3 +66,27 @@ def bags_round_trip(spark, sf_dir):
     ev.select("topic", at, F.struct("event_id", "drive_id", "value").alias("message")).repartition(8, "topic").write.format("bags").mode("append").save(folder)
     back = spark.read.format("bags").option("topics", "click,error").option("from", 1_704_672_000_000_000_000).load(folder)
     return back.select("message.event_id", "message.drive_id", "topic", "message.value", "timestamp")
+
+
+@query(f"WITH {EV} SELECT event_id, topic, value, drive_id % 5 AS bag, CASE WHEN drive_id % 5 = 2 THEN 2 ELSE 1 END AS data_build FROM ev WHERE drive_id % 5 <> 4")
+def incremental_rebuild(spark, sf_dir):
+    """A table over five bags, of which one gets more rows and one goes: only the changed bag is read and written again."""
+    from ..sources.catalogue import recordings
+    from ..sources.incremental import current, refresh
+
+    folder = _own_folder(spark, "incremental")
+    ev = events(spark, sf_dir).select("event_id", "topic", "value", (F.col("drive_id") % 5).alias("bag"))
+    put = lambda name, rows: rows.drop("bag").coalesce(1).write.mode("overwrite").parquet(f"{folder}/in/{name}")
+    listed = lambda *names: recordings(spark, f"{folder}/in", "*.parquet").filter(F.col("bag").isin(*names))
+
+    def read(files):
+        paths = [r.path for r in files.select("path").collect()]
+        rows = spark.read.parquet(*paths) if paths else ev.drop("bag").limit(0)
+        return rows.withColumn("bag", F.regexp_extract(F.input_file_name(), "/([^/]+)/[^/]*$", 1))
+
+    for bag in range(5):
+        put(bag, ev.filter((F.col("bag") == bag) & ((F.col("bag") != 2) | (F.col("topic") != "error"))))
+    refresh(spark, listed(*"01234"), read, f"{folder}/table")
+    put(2, ev.filter("bag = 2"))
+    refresh(spark, listed(*"0123"), read, f"{folder}/table")
+    return current(spark, f"{folder}/table").select("event_id", "topic", "value", F.col("bag").cast("bigint").alias("bag"), "data_build")

@@ -49,7 +49,8 @@ def recordings(spark: SparkSession, folder: str, pattern: str = "*.db3", depth:
     """The recording files below folder, at most depth folders deep and not in hidden ones: path, bag (their folder),
     bytes, modified. Contents are not read; Spark lists no empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    inside = F.split(F.regexp_replace("path", "^.*?" + re.escape(folder.rstrip("/").split(":", 1)[-1]) + "/", ""), "/")
+    below = re.sub("^/+", "/", folder.rstrip("/").split(":", 1)[-1])  # Spark writes file:/// as file:/
+    inside = F.split(F.regexp_replace("path", "^.*?" + re.escape(below) + "/", ""), "/")
     folders = F.slice(inside, 1, F.size(inside) - 1)
     found = files.select("path", F.regexp_extract("path", "([^/]+)/[^/]*$", 1).alias("bag"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), folders.alias("_in"))
     fits = (F.size("_in") <= depth) & ~F.exists("_in", lambda x: x.startswith("."))
