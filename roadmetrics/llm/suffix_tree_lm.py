@@ -44,7 +44,7 @@ from .common import UPPER_TO_LOWER, VISIBLE_BYTE, bounded_broadcast, materialize
 
 DEPTH = 3
 END = np.uint64(0x5851F42D4C957F2D)
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 9 << 20
 WORD_BUCKET_BYTES = 64 << 20
 GRAM_BUCKET_BYTES = 4 << 20
 #: A word is heavy from so many occurrences on: as many sequences a task holds at most besides its bucket's share.
