@@ -102,7 +102,7 @@ def resample(t: np.ndarray, x: np.ndarray, rate_hz: float) -> tuple[np.ndarray,
 
 def robust_jerk(t: np.ndarray, acc: np.ndarray, cutoff_hz: float = 3.0, most: float = 15.0, gap: float = 1.0) -> np.ndarray:
     """Jerk of a filtered acceleration series: central differences with the median step; zero around time gaps; values
-    beyond most are NaN."""
+    beyond most are NaN. The cutoff is kept below 99 % of the Nyquist rate."""
     t, acc = np.asarray(t, float), np.asarray(acc, float)
     if len(t) <= 2:
         return np.zeros(len(t))
@@ -110,7 +110,7 @@ def robust_jerk(t: np.ndarray, acc: np.ndarray, cutoff_hz: float = 3.0, most: fl
     step = float(np.median(dt[dt > 0])) if (dt > 0).any() else 0.0
     if step <= 0:
         return np.zeros(len(t))
-    jerk = np.gradient(lowpass(acc, cutoff_hz, 1 / step), step)
+    jerk = np.gradient(lowpass(acc, min(cutoff_hz, 0.99 / (2 * step)), 1 / step), step)
     for i in np.flatnonzero(dt > gap):
         jerk[max(0, i - 2) : i + 3] = 0.0
     return np.where(np.abs(jerk) > most, np.nan, jerk)

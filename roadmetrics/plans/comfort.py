@@ -9,6 +9,7 @@ from .. import config as limits
 from ..functions.bands import by_band
 from ..functions.filters import robust_jerk
 from ..operators import stats
+from ..operators import windows as ops
 from ..operators.asof import interpolate
 from ..operators.islands import sparse_runs, summarise
 from ..operators.kernels import by_series, segments
@@ -39,11 +40,18 @@ def moving(rows: DataFrame, least_kmh: float, least_rows: int = 10) -> DataFrame
 
 
 def rms_1s(rows: DataFrame) -> DataFrame:
-    """RMS of the jerk over windows of a second that start every half second; windows with a missing jerk are left out."""
-    half = F.floor((F.col("t") - F.min("t").over(Window.partitionBy("segment"))) * 2)
-    placed = rows.withColumn("half", half).select("drive_id", "segment", "jerk", F.explode(F.array(F.col("half"), F.col("half") - 1)).alias("window")).filter("window >= 0")
-    full = placed.groupBy("drive_id", "segment", "window").agg(F.sqrt(F.avg(F.col("jerk") * F.col("jerk"))).alias("rms"), F.count(F.lit(1)).alias("n"), F.count("jerk").alias("seen"))
-    return full.filter("n = seen AND n > 1")
+    """RMS of the jerk (drive_id, segment, window, rms) over windows of as many rows as make a second at the drive's median
+    step, which start every half window; windows that aren't full or lack a jerk are left out, and a drive of which no window
+    is left has its overall RMS (window -1)."""
+    width = F.greatest(F.lit(1), F.round(F.col("rate")).cast("int"))
+    sized = rows.join(ops.median_step(rows, ["drive_id"]).select("drive_id", width.alias("width")), "drive_id", "left").fillna(1, ["width"])
+    numbered = sized.withColumn("row", F.row_number().over(Window.partitionBy("segment").orderBy("t")) - 1).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("width") / 2)))
+    first = F.greatest(F.lit(0), F.ceil((F.col("row") - F.col("width") + 1) / F.col("step")))
+    placed = numbered.withColumn("window", F.explode(F.sequence(first, F.floor(F.col("row") / F.col("step")))))
+    rms = F.sqrt(F.avg(F.col("jerk") * F.col("jerk"))).alias("rms")
+    full = placed.groupBy("drive_id", "segment", "window").agg(rms, F.count("jerk").alias("seen"), F.first("width").alias("width")).filter("seen = width").drop("seen", "width")
+    whole = rows.filter("jerk IS NOT NULL").groupBy("drive_id").agg(rms).join(full.select("drive_id").distinct(), "drive_id", "left_anti")
+    return full.unionByName(whole.select("drive_id", F.col("drive_id").alias("segment"), F.lit(-1).cast("bigint").alias("window"), "rms"))
 
 
 @program("comfort")

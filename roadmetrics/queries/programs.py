@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import config as limits
 from .. import plans
 from ..config import Config
 from ..operators.islands import merge_events  # noqa: F401  (part of the public surface of the queries)
@@ -74,7 +75,7 @@ _FRAMES = """b AS (SELECT 'd' || CAST(floor((o_orderkey - 1) / 500) AS BIGINT) A
 def _sql(parts: str, source: str, metrics: dict[str, tuple[str, ...]]) -> str:
     """One SELECT per metric: (value, unit) or (value, unit, text)."""
     rows = [f"SELECT drive_id, '{name}' AS metric, round(CAST({m[0]} AS DOUBLE), 5) AS value, CAST({m[2] if len(m) > 2 else 'NULL'} AS VARCHAR) AS value_text, '{m[1]}' AS unit FROM {source}" for name, m in metrics.items()]
-    return f"WITH {_FRAMES}{', ' if parts else ''}{parts} " + " UNION ALL ".join(rows)
+    return f"WITH RECURSIVE {_FRAMES}{', ' if parts else ''}{parts} " + " UNION ALL ".join(rows)
 
 
 #: The obstacles of the nearest frame within 0.3 s, measured, and per frame the nearest and the first to be hit.
@@ -100,6 +101,33 @@ def _typed_sql(value: str, kind: str, unit: str) -> str:
         FROM fr WHERE {value} IS NOT NULL GROUP BY drive_id, {kind}"""
 
 
+def low_pass_ctes(name: str, source: str) -> str:
+    """Table expressions up to one of the given name (sid, i, y), the zero-phase low-pass of source (sid, i from 1 to n, n, v,
+    cut in units of the Nyquist rate): a recursive pass over each series with odd extensions of nine rows, and one from
+    the other end over its result. The coefficients of the second-order Butterworth filter are worked out by the bilinear
+    transform. Series of fewer than ten rows, and cutoffs beyond the Nyquist rate, pass unchanged."""
+
+    def turn(to: str, rows: str, first: str, sign: str) -> str:
+        return f"""{to}(sid, i, y, z1, z2) AS (
+            SELECT x.sid, x.i, b0 * v + s1 * v, b1 * v - a1 * (b0 + s1) * v + s2 * v, b2 * v - a2 * (b0 + s1) * v FROM {rows} x JOIN {name}_co c ON c.sid = x.sid WHERE x.i = {first}
+            UNION ALL SELECT x.sid, x.i, b0 * x.v + p.z1, b1 * x.v - a1 * (b0 * x.v + p.z1) + p.z2, b2 * x.v - a2 * (b0 * x.v + p.z1)
+            FROM {to} p JOIN {rows} x ON x.sid = p.sid AND x.i = p.i {sign} 1 JOIN {name}_co c ON c.sid = x.sid)"""
+
+    return f"""{name}_w AS (SELECT DISTINCT sid, tan(pi() * cut / 2) AS w FROM {source} WHERE n >= 10 AND cut > 0 AND cut < 1),
+        {name}_k AS (SELECT sid, w * w / (1 + sqrt(2) * w + w * w) AS g, 2 * (w * w - 1) / (1 + sqrt(2) * w + w * w) AS a1, (1 - sqrt(2) * w + w * w) / (1 + sqrt(2) * w + w * w) AS a2 FROM {name}_w),
+        {name}_co AS (SELECT sid, g AS b0, 2 * g AS b1, g AS b2, a1, a2, 2 * g - a1 * 4 * g / (1 + a1 + a2) + g - a2 * 4 * g / (1 + a1 + a2) AS s1, g - a2 * 4 * g / (1 + a1 + a2) AS s2 FROM {name}_k),
+        {name}_x AS (SELECT sid, i, v FROM {source} WHERE sid IN (SELECT sid FROM {name}_co)
+            UNION ALL SELECT o.sid, 2 - o.i, 2 * e.v - o.v FROM {source} o JOIN {source} e ON e.sid = o.sid AND e.i = 1 WHERE o.i BETWEEN 2 AND 10 AND o.n >= 10
+            UNION ALL SELECT o.sid, 2 * o.n - o.i, 2 * e.v - o.v FROM {source} o JOIN {source} e ON e.sid = o.sid AND e.i = e.n WHERE o.i BETWEEN o.n - 9 AND o.n - 1 AND o.n >= 10),
+        {turn(f"{name}_f", f"{name}_x", "-8", "+")}, {name}_m AS (SELECT sid, i, y AS v, max(i) OVER (PARTITION BY sid) AS top FROM {name}_f),
+        {turn(f"{name}_b", f"{name}_m", "top", "-")},
+        {name} AS (SELECT s.sid, s.i, coalesce(y, v) AS y FROM {source} s LEFT JOIN {name}_b b ON b.sid = s.sid AND b.i = s.i)"""
+
+
+def _band_sql(speed: str, bands: list[tuple[float, float, float]], default: float) -> str:
+    return "CASE " + " ".join(f"WHEN {speed} >= {lo} AND {speed} < {hi} THEN {float(v)}" for lo, hi, v in bands) + f" ELSE {float(default)} END"
+
+
 _PER = ("CASE WHEN auto_km > 0 THEN n * 100.0 / auto_km ELSE 0 END", "1/100 km")
 _KM = ("CASE WHEN n > 0 THEN auto_km / n END", "km", "CASE WHEN n = 0 THEN 'inf' END")
 PROGRAM_SQL = {
@@ -171,6 +199,128 @@ PROGRAM_SQL["curvature"] = _sql(
 )
 
 
+#: Autonomous accelerations by continuous segment, and their jerk: central differences of the low-passed series.
+_JERK = f"""ac AS (SELECT f.drive_id, f.t, f.speed, sin(2 * 3.141592653589793 * (f.t - 1700000000.0::DOUBLE) / 7) * 3 + b.noise * 2 AS acc FROM f JOIN b USING (drive_id, t) WHERE is_auto),
+    br AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY drive_id ORDER BY t) > 1 THEN 1 ELSE 0 END AS brk FROM __ROWS__),
+    sg AS (SELECT *, drive_id || '-' || CAST(sum(brk) OVER (PARTITION BY drive_id ORDER BY t) AS BIGINT) AS sid FROM br),
+    nu AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY t) AS i, count(*) OVER (PARTITION BY sid) AS n, t - lag(t) OVER (PARTITION BY sid ORDER BY t) AS dt FROM sg),
+    sp AS (SELECT sid, median(dt) AS step FROM nu WHERE dt > 0 GROUP BY sid),
+    ja AS (SELECT nu.sid, i, n, acc AS v, least(10.0::DOUBLE, 0.99::DOUBLE / (2 * step)) / (1 / step / 2) AS cut FROM nu JOIN sp USING (sid)),
+    {low_pass_ctes("jl", "ja")},
+    jd AS (SELECT nu.*, step, y, lag(y) OVER w AS y0, lead(y) OVER w AS y1 FROM nu LEFT JOIN sp USING (sid) LEFT JOIN jl ON jl.sid = nu.sid AND jl.i = nu.i WINDOW w AS (PARTITION BY nu.sid ORDER BY nu.i)),
+    jr AS (SELECT drive_id, sid, t, speed, acc, i, n, CASE WHEN n <= 2 OR step IS NULL THEN 0.0 WHEN i = 1 THEN (y1 - y) / step WHEN i = n THEN (y - y0) / step ELSE (y1 - y0) / (2 * step) END AS raw FROM jd),
+    jk AS (SELECT *, CASE WHEN abs(raw) <= 15 THEN raw END AS jerk FROM jr)"""
+
+PROGRAM_SQL["comfort"] = _sql(
+    _JERK.replace("__ROWS__", "(SELECT * FROM ac QUALIFY count(*) FILTER (speed >= 5) OVER (PARTITION BY drive_id) < 10 OR speed >= 5)") + f""",
+    pk AS (SELECT *, abs(jerk) > {_band_sql("speed", limits.JERK_PEAK, 3.0)} AS high FROM jk),
+    per AS (SELECT drive_id, count(*) AS n, avg(abs(jerk)) AS mean, quantile_cont(abs(jerk), 0.95) AS p95, quantile_cont(abs(jerk), 0.99) AS p99, avg(speed) AS v, avg(CASE WHEN high THEN 100.0 WHEN NOT high THEN 0 END) AS over,
+        max(acc) FILTER (acc > 0) AS up, avg(CASE WHEN acc > {_band_sql("speed", limits.ACC_WARN, 3.0)} THEN 100.0 ELSE 0 END) FILTER (acc > 0) AS up_over,
+        max(-acc) FILTER (acc < 0) AS down, avg(CASE WHEN -acc > {_band_sql("speed", limits.DEC_WARN, 3.0)} THEN 100.0 ELSE 0 END) FILTER (acc < 0) AS down_over FROM pk GROUP BY drive_id HAVING count(*) >= 10),
+    wd AS (SELECT drive_id, CAST(greatest(1, round(least(greatest(1 / median(dt), 1.0), 100.0))) AS BIGINT) AS width FROM (SELECT drive_id, t - lag(t) OVER (PARTITION BY drive_id ORDER BY t) AS dt FROM jk) WHERE dt > 0 GROUP BY drive_id),
+    wn AS (SELECT drive_id, sid, jerk, width, greatest(1, width // 2) AS hop, unnest(generate_series(greatest(0, CAST(ceil((i - width) / CAST(greatest(1, width // 2) AS DOUBLE)) AS BIGINT)), (i - 1) // greatest(1, width // 2))) AS k FROM jk JOIN wd USING (drive_id)),
+    wf AS (SELECT drive_id, sqrt(avg(jerk * jerk)) AS rms FROM wn GROUP BY drive_id, sid, k, width HAVING count(jerk) = width),
+    wa AS (SELECT * FROM wf UNION ALL SELECT drive_id, sqrt(avg(jerk * jerk)) FROM jk WHERE jerk IS NOT NULL AND drive_id NOT IN (SELECT drive_id FROM wf) GROUP BY drive_id),
+    wr AS (SELECT drive_id, max(rms) AS rms_max, quantile_cont(rms, 0.95) AS rms_p95 FROM wa GROUP BY drive_id),
+    ev AS (SELECT drive_id, count(*) AS events FROM (SELECT drive_id, t - lag(t) OVER (PARTITION BY drive_id ORDER BY t) AS dt FROM pk WHERE high) WHERE dt IS NULL OR dt > 2 GROUP BY drive_id),
+    al AS (SELECT per.*, rms_max, rms_p95, coalesce(events, 0) AS events, {_band_sql("v", limits.JERK_RMS, 1.5)} AS rms_limit, {_band_sql("v", limits.JERK_PEAK, 3.0)} AS peak_limit FROM per LEFT JOIN wr USING (drive_id) LEFT JOIN ev USING (drive_id)),
+    k AS (SELECT *, greatest(0.0, least(100.0, 100 - coalesce(least(40.0, greatest(0.0, (rms_max - rms_limit) * 10)), 0) - coalesce(least(30.0, greatest(0.0, (p99 - peak_limit) * 5)), 0) - coalesce(least(20.0, greatest(0.0, mean * 10 - rms_limit * 5)), 0))) AS score FROM al)""",
+    "k",
+    {"jerk_mean": ("mean", "m/s3"), "jerk_p95": ("p95", "m/s3"), "jerk_rms_max": ("rms_max", "m/s3"), "jerk_rms_p95": ("rms_p95", "m/s3"), "jerk_over_pct": ("over", "%"), "acc_peak": ("up", "m/s2"), "acc_over_pct": ("up_over", "%"),
+     "dec_peak": ("down", "m/s2"), "dec_over_pct": ("down_over", "%"), "jerk_events": ("events", ""), "comfort_score": ("score", "", "CASE WHEN score >= 90 THEN 'A' WHEN score >= 75 THEN 'B' WHEN score >= 60 THEN 'C' ELSE 'D' END")},
+)
+
+
+def _floor_sql(speed: str, steps: dict[float, float], default: float, strict: bool = False) -> str:
+    return "CASE " + " ".join(f"WHEN {speed} {'>' if strict else '>='} {key} THEN {float(steps[key])}" for key in sorted(steps, reverse=True)) + f" ELSE {float(default)} END"
+
+
+def _runs_sql(name: str, source: str, flag: str, gap: float | None, least: float, more: str = "") -> str:
+    """Runs of flagged rows of a drive as a table (drive_id, start_ts, end_ts and more)."""
+    far = f" OR apart > {gap}" if gap is not None else ""
+    return f"""{name}_g AS (SELECT *, t - lag(t) OVER w AS apart, coalesce({flag}, false) AS flagged, lag(coalesce({flag}, false)) OVER w AS before FROM {source} WINDOW w AS (PARTITION BY drive_id ORDER BY t)),
+        {name}_i AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> flagged{far} THEN 1 ELSE 0 END) OVER (PARTITION BY drive_id ORDER BY t) AS island FROM {name}_g),
+        {name} AS (SELECT drive_id, min(t) AS start_ts, max(t) AS end_ts{more} FROM {name}_i WHERE flagged GROUP BY drive_id, island HAVING max(t) - min(t) >= {least})"""
+
+
+def _merged_sql(name: str, source: str, gap: float, more: str = "") -> str:
+    """Events of a drive merged where the next starts at most gap after the one before it ends."""
+    return f"""{name}_m AS (SELECT *, sum(CASE WHEN start_ts - upto <= {gap} THEN 0 ELSE 1 END) OVER (PARTITION BY drive_id ORDER BY start_ts, end_ts ROWS UNBOUNDED PRECEDING) AS merged
+            FROM (SELECT *, lag(end_ts) OVER (PARTITION BY drive_id ORDER BY start_ts, end_ts) AS upto FROM {source})),
+        {name} AS (SELECT drive_id, min(start_ts) AS start_ts, max(end_ts) AS end_ts{more} FROM {name}_m GROUP BY drive_id, merged)"""
+
+
+def _cut_sql(hz: float, step: str) -> str:
+    """A cutoff in units of the Nyquist rate, at least 0.1 Hz below it."""
+    rate = f"least(100.0, greatest(1.0, 1 / {step}))"
+    return f"least({hz}::DOUBLE, {rate} / 2 - 0.1) / ({rate} / 2)"
+
+
+#: Filtered steering rates by continuous segment: the angle is low-passed, differentiated at the steps' middle times, and
+#: low-passed again.
+_STEERING = f"""sa AS (SELECT f.drive_id, f.t, f.speed, sin(2 * 3.141592653589793 * (f.t - 1700000000.0::DOUBLE) / 2) * 35 + b.noise AS angle FROM f JOIN b USING (drive_id, t) WHERE is_auto AND speed >= 1),
+    sb AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY drive_id ORDER BY t) > 1 THEN 1 ELSE 0 END AS brk FROM sa),
+    ss AS (SELECT *, drive_id || '-' || CAST(sum(brk) OVER (PARTITION BY drive_id ORDER BY t) AS BIGINT) AS sid FROM sb),
+    sn AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY t) AS i, count(*) OVER (PARTITION BY sid) AS n, t - lag(t) OVER (PARTITION BY sid ORDER BY t) AS dt FROM ss),
+    s1 AS (SELECT sid, coalesce(median(dt), 0.02) AS step FROM sn GROUP BY sid),
+    sv AS (SELECT sn.sid, i, n, angle AS v, {_cut_sql(10.0, "step")} AS cut FROM sn JOIN s1 USING (sid)), {low_pass_ctes("sl", "sv")},
+    sd AS (SELECT drive_id, sn.sid, speed, CASE WHEN dt > 0 AND dt <= 1 THEN (y - lag(y) OVER (PARTITION BY sn.sid ORDER BY sn.i)) / dt END AS raw, t - dt / 2 AS mid, (t + lag(t) OVER (PARTITION BY sn.sid ORDER BY sn.i)) / 2 AS t FROM sn JOIN sl ON sl.sid = sn.sid AND sl.i = sn.i),
+    sm AS (SELECT drive_id, sid, speed, raw AS v, t, row_number() OVER (PARTITION BY sid ORDER BY t) AS i, count(*) OVER (PARTITION BY sid) AS n, t - lag(t) OVER (PARTITION BY sid ORDER BY t) AS dt FROM sd WHERE raw IS NOT NULL),
+    s2 AS (SELECT sid, coalesce(median(dt), 0.02) AS step FROM sm GROUP BY sid), sw AS (SELECT sm.*, {_cut_sql(15.0, "step")} AS cut FROM sm JOIN s2 USING (sid)), {low_pass_ctes("sf", "sw")},
+    sr AS (SELECT drive_id, sw.sid, sw.i, n, t, speed, y AS rate FROM sw JOIN sf ON sf.sid = sw.sid AND sf.i = sw.i)"""
+
+_BIN = "CASE WHEN speed < 10 THEN 0 WHEN speed < 20 THEN 1 WHEN speed < 30 THEN 2 WHEN speed < 40 THEN 3 WHEN speed < 50 THEN 4 WHEN speed < 60 THEN 5 WHEN speed < 80 THEN 6 ELSE 7 END"
+PROGRAM_SQL["steering"] = _sql(
+    _STEERING + f""", z AS (SELECT drive_id, CAST(floor(rate * 1.0) AS BIGINT) AS size, CAST(greatest(floor(rate * 0.1), 1) AS BIGINT) AS hop FROM (SELECT drive_id, least(greatest(1 / median(dt), 1.0), 100.0) AS rate FROM (SELECT drive_id, t - lag(t) OVER (PARTITION BY drive_id ORDER BY t) AS dt FROM sr) WHERE dt > 0 GROUP BY drive_id)),
+    wi AS (SELECT drive_id, sid, size, unnest(generate_series(0, max(n) - size, hop)) AS first FROM sr JOIN z USING (drive_id) GROUP BY drive_id, sid, size, hop HAVING max(n) >= size),
+    wr AS (SELECT wi.drive_id, wi.sid, first, sqrt(avg(rate * rate)) AS rms FROM wi JOIN sr ON sr.sid = wi.sid AND sr.i BETWEEN first + 1 AND first + size GROUP BY wi.drive_id, wi.sid, first),
+    hi AS (SELECT drive_id, t, sign(rate) AS s, lag(sign(rate)) OVER (PARTITION BY drive_id ORDER BY t) AS s0 FROM sr WHERE abs(rate) >= 5),
+    fl AS (SELECT drive_id, coalesce(sum(CASE WHEN s <> s0 THEN 1 ELSE 0 END) / nullif(max(t) - min(t), 0), 0) AS flips FROM hi GROUP BY drive_id),
+    ta AS (SELECT drive_id, quantile_cont(abs(rate), 0.95) AS rate_p95 FROM sr GROUP BY drive_id),
+    k AS (SELECT drive_id, avg(rms) AS mean, max(rms) AS most, quantile_cont(rms, 0.95) AS p95, any_value(rate_p95) AS rate_p95, any_value(flips) AS flips FROM wr LEFT JOIN ta USING (drive_id) LEFT JOIN fl USING (drive_id) GROUP BY drive_id)""",
+    "k",
+    {"steering_rms_mean": ("mean", "deg/s"), "steering_rms_max": ("most", "deg/s"), "steering_rms_p95": ("p95", "deg/s"), "steering_rate_p95": ("rate_p95", "deg/s"), "steering_flip_rate": ("flips", "1/s")},
+) + "".join(
+    f""" UNION ALL SELECT drive_id, 'steering_{n}_bin' || {_BIN} AS metric, round({v}, 5) AS value, CAST(NULL AS VARCHAR) AS value_text, 'deg/s' AS unit FROM sr GROUP BY drive_id, {_BIN}"""
+    for n, v in (("rms", "sqrt(avg(rate * rate))"), ("p95", "quantile_cont(abs(rate), 0.95)"))
+)
+PROGRAM_SQL["emergency"] = _sql(
+    _JERK.replace("__ROWS__", "ac") + ", " + _STEERING + ", " + _runs_sql("hb", "ac", "acc < " + _band_sql("speed", limits.DEC_FAIL, -3.0), 0.5, 0.1) + ", "
+    + "jn AS (SELECT * FROM jk WHERE jerk IS NOT NULL), " + _runs_sql("jv", "jn", "abs(jerk) > " + _band_sql("speed", limits.JERK_PEAK, 2.5), 0.5, 0.2) + ", " + _merged_sql("je", "jv", 0.4) + ", "
+    + "sc AS (SELECT drive_id, speed, (t + t0) / 2 AS t, (rate - rate0) / (t - t0) AS acc FROM (SELECT *, lag(t) OVER w AS t0, lag(rate) OVER w AS rate0 FROM sr WINDOW w AS (PARTITION BY sid ORDER BY i)) WHERE t - t0 > 0 AND t - t0 <= 1), "
+    + _runs_sql("lr", "sr", "abs(rate) > " + _floor_sql("speed", limits.LATERAL_RATE, 200), 0.5, 0.1) + ", " + _runs_sql("la", "sc", "abs(acc) > " + _floor_sql("speed", limits.LATERAL_ACC, 600, True), 0.5, 0.1) + ", "
+    + "lb AS (SELECT *, 'rate' AS kind FROM lr UNION ALL SELECT *, 'acc' FROM la), " + _merged_sql("lt", "lb", 0.3, ", CASE WHEN count(DISTINCT kind) > 1 THEN 'both' ELSE min(kind) END AS kind") + """,
+    k AS (SELECT mileage.*, coalesce((SELECT count(*) FROM hb WHERE hb.drive_id = mileage.drive_id), 0) AS brakes, coalesce((SELECT count(*) FROM je WHERE je.drive_id = mileage.drive_id), 0) AS jerks, coalesce((SELECT count(*) FROM lt WHERE lt.drive_id = mileage.drive_id), 0) AS laterals,
+        coalesce((SELECT count(*) FROM lt WHERE lt.drive_id = mileage.drive_id AND kind <> 'acc'), 0) AS lateral_rate, coalesce((SELECT count(*) FROM lt WHERE lt.drive_id = mileage.drive_id AND kind <> 'rate'), 0) AS lateral_acc FROM mileage)""",
+    "k",
+    {n: (n, "") for n in ("brakes", "jerks", "laterals", "lateral_rate", "lateral_acc")}
+    | {f"{n}_per_100km": (_PER[0].replace("n * 100.0", f"{n} * 100.0"), _PER[1]) for n in ("brakes", "jerks")}
+    | {f"km_per_{n}": (f"CASE WHEN {n} > 0 THEN auto_km / {n} END", "km", f"CASE WHEN {n} = 0 THEN 'inf' END") for n in ("brakes", "jerks")},
+)
+
+
+_BRAKES = _runs_sql("hb", "ac", "acc < " + _band_sql("speed", limits.DEC_FAIL, -3.0), 0.5, 0.1) + ", jn AS (SELECT * FROM jk WHERE jerk IS NOT NULL), " + _runs_sql("jv", "jn", "abs(jerk) > " + _band_sql("speed", limits.JERK_PEAK, 2.5), 0.5, 0.2) + ", " + _merged_sql("je", "jv", 0.4)
+_TAKEN = """i AS (SELECT *, sum(CASE WHEN auto0 IS NULL OR auto0 <> is_auto OR dt > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY drive_id ORDER BY t) AS island FROM d),
+    tg AS (SELECT drive_id, min(t) AS began, max(t) AS ended, arg_max_null(auto1, t) AS auto1, arg_max_null(t1, t) AS stop FROM i WHERE is_auto GROUP BY drive_id, island),
+    te AS (SELECT drive_id, stop AS start_ts FROM tg WHERE NOT auto1 AND stop - ended <= 1 AND ended - began >= 1)"""
+#: Junction intervals of autonomous frames: the lanes of a drive with a map change every five seconds, in turn without a
+#: junction, left in j1, straight in j1, right in j2.
+PROGRAM_SQL["junctions"] = _sql(
+    _JERK.replace("__ROWS__", "ac") + ", " + _BRAKES + ", " + _TAKEN + """,
+    mp AS (SELECT DISTINCT drive_id FROM p WHERE phase % 10 = 0),
+    jf AS (SELECT drive_id, t, CAST(floor((t - 1700000000.0::DOUBLE) / 5) AS BIGINT) % 4 AS lane, drive_id IN (SELECT drive_id FROM mp) AS mapped FROM f WHERE is_auto),
+    jw AS (SELECT drive_id, t, CASE WHEN mapped AND lane IN (1, 2) THEN 'j1' WHEN mapped AND lane = 3 THEN 'j2' END AS junction, CASE WHEN mapped AND lane = 1 THEN 'left' WHEN mapped AND lane = 3 THEN 'right' END AS turn FROM jf),
+    jx AS (SELECT *, lag(junction) OVER w IS DISTINCT FROM junction OR lag(t) OVER w IS NULL AS brk, lead(t) OVER w AS next_t FROM jw WINDOW w AS (PARTITION BY drive_id ORDER BY t)),
+    jy AS (SELECT *, sum(CASE WHEN brk THEN 1 ELSE 0 END) OVER (PARTITION BY drive_id ORDER BY t) AS island FROM jx),
+    jz AS (SELECT drive_id, island, min(t) AS enter_ts, coalesce(max(next_t), max(t)) AS until, coalesce(arg_max(turn, t) FILTER (turn IS NOT NULL), 'straight') AS turn FROM jy WHERE junction IS NOT NULL GROUP BY drive_id, junction, island),
+    bad AS (SELECT drive_id, start_ts FROM te UNION ALL SELECT drive_id, start_ts FROM hb UNION ALL SELECT drive_id, start_ts FROM je),
+    pa AS (SELECT jz.drive_id, turn, EXISTS (SELECT 1 FROM bad WHERE bad.drive_id = jz.drive_id AND start_ts >= enter_ts - 0.5 AND start_ts <= until + 0.5) AS failed FROM jz),
+    k AS (SELECT drive_id, count(*) AS total, count(*) FILTER (NOT failed) AS passed, """ + ", ".join(f"count(*) FILTER (turn = '{x}') AS n_{x}, count(*) FILTER (turn = '{x}' AND NOT failed) AS ok_{x}" for x in ("straight", "left", "right", "u_turn")) + " FROM pa GROUP BY drive_id)",
+    "k",
+    {"junctions": ("total", ""), "junctions_passed": ("passed", ""), "junction_pass_rate": ("passed * 100.0 / total", "%")} | {f"junction_pass_rate_{x}": (f"CASE WHEN n_{x} > 0 THEN ok_{x} * 100.0 / n_{x} END", "%") for x in ("straight", "left", "right", "u_turn")},
+)
+
+
 def _program(name: str):
     def build(spark, sf_dir):
         return _rounded(plans.PROGRAMS[name][0](telemetry(spark, sf_dir)).metrics)
@@ -216,26 +366,11 @@ def all_events(spark, sf_dir):
     return annotate(reduce(DataFrame.unionByName, parts), tel).select("drive_id", "family", F.round("start_ts", 5).alias("start_ts"), F.round("end_ts", 5).alias("end_ts"), "frame_count", F.round("peak", 5).alias("peak"), "lane", "turn", "junction")
 
 
-def _low_pass_sql(cutoff_hz: float, rate_hz: float) -> str:
-    """A recursive pass over each series with odd extensions of nine rows, and one from the other end over its result. The
-    coefficients are those of the second-order Butterworth filter by the bilinear transform, worked out in SQL."""
-    turn = lambda name, source, value, order: f"""{name}(drive_id, i, y, z1, z2) AS (
-        SELECT drive_id, i, b0 * {value} + s1 * {value}, b1 * {value} - a1 * (b0 + s1) * {value} + s2 * {value}, b2 * {value} - a2 * (b0 + s1) * {value} FROM {source}, co WHERE i = {order[0]}
-        UNION ALL SELECT x.drive_id, x.i, b0 * x.{value} + p.z1, b1 * x.{value} - a1 * (b0 * x.{value} + p.z1) + p.z2, b2 * x.{value} - a2 * (b0 * x.{value} + p.z1)
-        FROM {name} p JOIN {source} x ON x.drive_id = p.drive_id AND x.i = p.i {order[1]} 1, co)"""
-    return f"""WITH RECURSIVE {EV}, n AS (SELECT event_id, drive_id, value, row_number() OVER {SQL_BY_TIME} AS i, count(*) OVER (PARTITION BY drive_id) AS n FROM ev),
-    w AS (SELECT tan(pi() * {cutoff_hz / (rate_hz / 2)!r}::DOUBLE / 2) AS w), k AS (SELECT w * w / (1 + sqrt(2) * w + w * w) AS g, 2 * (w * w - 1) / (1 + sqrt(2) * w + w * w) AS a1, (1 - sqrt(2) * w + w * w) / (1 + sqrt(2) * w + w * w) AS a2 FROM w),
-    co AS (SELECT g AS b0, 2 * g AS b1, g AS b2, a1, a2, 2 * g - a1 * 4 * g / (1 + a1 + a2) + g - a2 * 4 * g / (1 + a1 + a2) AS s1, g - a2 * 4 * g / (1 + a1 + a2) AS s2 FROM k),
-    long AS (SELECT * FROM n WHERE n >= 10),
-    x AS (SELECT drive_id, i, n, value AS v FROM long
-        UNION ALL SELECT o.drive_id, 2 - o.i, o.n, 2 * f.value - o.value FROM long o JOIN long f ON f.drive_id = o.drive_id AND f.i = 1 WHERE o.i BETWEEN 2 AND 10
-        UNION ALL SELECT o.drive_id, 2 * o.n - o.i, o.n, 2 * f.value - o.value FROM long o JOIN long f ON f.drive_id = o.drive_id AND f.i = f.n WHERE o.i BETWEEN o.n - 9 AND o.n - 1),
-    {turn("fw", "x", "v", ("-8", "+"))}, m AS (SELECT fw.drive_id, fw.i, fw.y AS v, max(fw.i) OVER (PARTITION BY fw.drive_id) AS top FROM fw),
-    {turn("bw", "m", "v", ("top", "-"))}
-    SELECT n.event_id, round(coalesce(bw.y, n.value), 6) AS smooth FROM n LEFT JOIN bw ON bw.drive_id = n.drive_id AND bw.i = n.i"""
-
-
-@query_in_chunks(_low_pass_sql(4.0, 20.0), 86_400.0)
+_LOW_PASS = f"""WITH RECURSIVE {EV}, series AS (SELECT event_id, drive_id AS sid, value AS v, 4.0::DOUBLE / 10 AS cut, row_number() OVER {SQL_BY_TIME} AS i, count(*) OVER (PARTITION BY drive_id) AS n FROM ev),
+    {low_pass_ctes("lp", "series")} SELECT event_id, round(y, 6) AS smooth FROM series JOIN lp USING (sid, i)"""
+
+
+@query_in_chunks(_LOW_PASS, 86_400.0)
 def low_pass_filter(spark, sf_dir, chunk=None):
     """Zero-phase low-pass of each series in the order of time; a series is one chunk unless chunks are given."""
     from ..operators.recurrence import lowpass_series
