@@ -34,12 +34,15 @@ def decimate(df: DataFrame, by: list[str], on: str, interval: float) -> DataFram
 
 
 def _successors(t: np.ndarray, interval: float) -> np.ndarray:
-    """For each row of ordered times the first one at least interval after it; the last place, len(t), stands for none."""
-    after = np.searchsorted(t, t + interval)
-    for _ in range(2):  # a sum may be rounded to the other side of what the difference of two times is
-        after -= (after > 0) & (t[np.maximum(after - 1, 0)] - t >= interval)
-    after += (after < len(t)) & (t[np.minimum(after, len(t) - 1)] - t < interval)
-    return after
+    """For each row of ordered times the first later one at least interval after it, by binary search on the difference
+    itself (a sum of time and interval may be rounded to its other side); the last place, len(t), stands for none."""
+    low, high = np.arange(1, len(t) + 1), np.full(len(t), len(t))
+    while (low < high).any():
+        middle = np.minimum((low + high) // 2, len(t) - 1)
+        far = (t[middle] - t >= interval) & (low < high)
+        high = np.where(far, middle, high)
+        low = np.where(far | (low >= high), low, middle + 1)
+    return high
 
 
 def _doublings(n: int) -> range:
@@ -92,7 +95,7 @@ def decimate_greedy(df: DataFrame, by: str, on: str, interval: float, order: tup
         out = []
         for x, k in zip(t, number):
             x = np.asarray(x, float)
-            n = min(len(x), int(np.searchsorted(x, k * chunk + interval)) + 2)
+            n = min(len(x), int(np.searchsorted(x, k * chunk + 1.001 * interval)) + 1)
             out.append((x[:n], x[_chain_ends(x, interval)[:n]]))
         return pd.DataFrame(out, columns=["t", "last"])
 

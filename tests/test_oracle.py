@@ -9,6 +9,6 @@ def test_query_equals_sql(spark, name):
     check(spark, QUERIES[name], ORACLE_SQL[name])
 
 
-@pytest.mark.parametrize("name", ["metrics_takeover", "metrics_roi", "metrics_comfort", "all_events", "low_pass_filter"])
+@pytest.mark.parametrize("name", ["metrics_takeover", "metrics_roi", "metrics_weaving", "all_events"])
 def test_program_gives_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
