@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.windows import median_step
-from ..schemas import RATES
+from ..schemas import RATES, TOPICS
+from ..sources.catalogue import bag_spans
 from .base import Result, Telemetry, metric_rows, program
 
 
@@ -43,3 +44,18 @@ def quality(telemetry: Telemetry) -> Result:
     covered = coverage(telemetry)
     topics = [c for c in covered.columns if c != "drive_id"]
     return Result(metric_rows(covered, {f"coverage_{t}": (F.col(t), "%") for t in topics} | {"coverage_low_topics": (sum((F.when(F.col(t) < 80, 1).otherwise(0) for t in topics), F.lit(0)), "")}))
+
+
+@program("recordings")
+def recordings(telemetry: Telemetry) -> Result:
+    """Gaps between a drive's bags, the measured rate of each topic, topics below their rate, and topics that are missing."""
+    gaps = bag_gaps(bag_spans(telemetry.topic("function_manager")))
+    found = gaps.groupBy("drive_id").agg(F.count(F.lit(1)).alias("gaps"), F.count_if("flagged").alias("long"), F.sum("gap").alias("seconds"))
+    measured = rates(telemetry)
+    low = measured.groupBy("drive_id").agg(F.count_if("low").alias("low"))
+    drives = telemetry.topic("function_manager").select("drive_id").distinct()
+    lacking = sorted(set(TOPICS) - set(telemetry.tables))
+    joined = drives.join(found, "drive_id", "left").join(low, "drive_id", "left").fillna(0, ["gaps", "long", "seconds", "low"])
+    metrics = {"bag_gaps": (F.col("gaps"), ""), "bag_gaps_long": (F.col("long"), ""), "bag_gap_s": (F.col("seconds"), "s"), "rate_low_topics": (F.col("low"), ""), "topics_missing": (F.lit(len(lacking)), "")}
+    per_topic = measured.select("drive_id", F.concat(F.lit("rate_"), "topic").alias("metric"), F.col("rate").alias("value"), F.lit(None).cast("string").alias("value_text"), F.lit("Hz").alias("unit"))
+    return Result(metric_rows(joined, metrics, {"topics_missing": F.lit(", ".join(lacking))}).unionByName(per_topic))

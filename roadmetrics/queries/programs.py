@@ -33,7 +33,7 @@ def telemetry(spark, sf_dir, config: Config = Config()) -> Telemetry:
     base = o.select("drive_id", "t", F.lit("bag").alias("bag"), "o_orderkey", price.alias("price"), phase.alias("phase"), noise.alias("noise"), wave(7.0).alias("w7"), wave(2.0).alias("w2"), (F.col("o_custkey") % 7).alias("cust"))
     lat, lon = 31.0 + F.col("phase") * 1e-4, 121.0 + F.col("phase") * 5e-5
     tables = {
-        "function_manager": base.select("drive_id", "bag", "t", F.when((F.floor(F.col("phase") / 8) % 3) < 2, 2).otherwise(0).alias("operator_type")),
+        "function_manager": base.select("drive_id", F.concat("bag", F.floor(F.col("phase") / 20)).alias("bag"), "t", F.when((F.floor(F.col("phase") / 8) % 3) < 2, 2).otherwise(0).alias("operator_type")),
         "localization": base.select("drive_id", "bag", "t", lat.alias("lat"), lon.alias("lon"), F.abs("noise").alias("sd_east"), (F.abs("noise") / 3).alias("sd_north"), F.when(F.col("cust") == 0, 2).when(F.col("cust") == 1, 7).otherwise(3).alias("status"), F.lit(12.0).alias("velocity_x")),
         "chassis": base.select("drive_id", "bag", "t", (F.col("w2") * 35 + F.col("noise")).alias("steering_angle"), (F.col("w7") * 10).alias("steering_rate"), (F.lit(45.0) + F.col("w7") * 30).alias("speed"), F.col("noise").alias("lon_acc"), (F.col("w2") * 1.2).alias("lat_acc")),
         "control": base.select("drive_id", "bag", "t", (F.col("w7") * 3 + F.col("noise") * 2).alias("target_lon_acc")),
@@ -321,6 +321,23 @@ PROGRAM_SQL["junctions"] = _sql(
 )
 
 
+def _rate_sql(topic: str, rows: str) -> str:
+    return f"SELECT drive_id, '{topic}' AS topic, 1 / median(dt) AS rate FROM (SELECT drive_id, t - lag(t) OVER (PARTITION BY drive_id ORDER BY t) AS dt FROM {rows}) WHERE dt > 0 AND dt < 1 GROUP BY drive_id"
+
+
+_FAST = ("localization", "chassis", "control", "control_debug")
+PROGRAM_SQL["recordings"] = _sql(
+    _SEEN.split("n AS (SELECT f.drive_id")[0].rstrip().rstrip(",") + ", rt AS (" + " UNION ALL ".join(_rate_sql(t, "o" if t == "obstacles" else "f") for t in ("function_manager", *_FAST, "trajectory", "obstacles")) + f"""),
+    bg AS (SELECT drive_id, min(t) AS a, max(t) AS z FROM f GROUP BY drive_id, CAST(floor((t - 1700000000.0::DOUBLE) / 20) AS BIGINT)),
+    gp AS (SELECT drive_id, lead(a) OVER (PARTITION BY drive_id ORDER BY a) - z AS gap FROM bg),
+    gs AS (SELECT drive_id, count(*) AS gaps, count(*) FILTER (gap > 1) AS long, sum(gap) AS seconds FROM gp WHERE gap > 0 GROUP BY drive_id),
+    lo AS (SELECT drive_id, count(*) FILTER (rate < CASE WHEN topic IN {_FAST} THEN 20 ELSE 5 END) AS low FROM rt GROUP BY drive_id),
+    k AS (SELECT dr.drive_id, coalesce(gaps, 0) AS gaps, coalesce(long, 0) AS long, coalesce(seconds, 0) AS seconds, coalesce(low, 0) AS low FROM (SELECT DISTINCT drive_id FROM f) dr LEFT JOIN gs USING (drive_id) LEFT JOIN lo USING (drive_id))""",
+    "k",
+    {"bag_gaps": ("gaps", ""), "bag_gaps_long": ("long", ""), "bag_gap_s": ("seconds", "s"), "rate_low_topics": ("low", ""), "topics_missing": ("1", "", "'planning_debug'")},
+) + " UNION ALL SELECT drive_id, 'rate_' || topic, round(rate, 5), CAST(NULL AS VARCHAR), 'Hz' FROM rt"
+
+
 def _program(name: str):
     def build(spark, sf_dir):
         return _rounded(plans.PROGRAMS[name][0](telemetry(spark, sf_dir)).metrics)
