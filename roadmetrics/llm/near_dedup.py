@@ -2,13 +2,19 @@
 
 A text's words (lower-cased A-Z, runs of digits, letters and bytes beyond ASCII) are read as k-mers of five words, each
 labelled with its occurrence number. An Order MinHash sketch samples the two labelled k-mers of least hash and retains
-their order in the text. Pairs of sketches make bands; texts that agree in a band are candidates. Candidates are
-verified: the labelled k-mers that both texts hold, within a band around the diagonal, are aligned in text order (labels
-are unique in a text, so the alignment is a longest increasing run of places), and the pair is linked if the aligned
-k-mers make up at least ``similarity`` of all k-mers of the two. Classes are the connected components of the links.
-
-With two k-mers a sketch, two sketches a band and 20 bands, a pair at similarity 0.8 is missed as a candidate with a
-chance of about 3e-5, and more similar pairs more rarely.
+their order in the text. Texts that agree in one of the sketches (bands) are candidates. Candidates are verified by
+alignment: the labelled k-mers that both texts hold, within a band around the diagonal, are aligned in text order (labels
+are unique in a text, so the alignment is a longest increasing run of places), and what lies between them is aligned word
+by word. A pair is linked if the aligned k-mers make up at least ``similarity`` of all k-mers of the two, or if the
+words inserted, deleted or replaced are at most 1 - ``edit`` of the longer text's words: five k-mers hang on each word,
+so that texts with one changed word in ten share fewer than half of them. Classes are the connected components of the
+links.
+
+With two k-mers a sketch and 20 bands, a pair of one changed word in ten at equal distances (edit similarity 0.9, 0.42
+of the k-mers common) is missed as a candidate with a chance of about 2 %, one of one word in twenty with 4e-5, one at
+k-mer similarity 0.8 with 1e-9. The words counted are those of one alignment, so never fewer than the least possible; a
+gap without a common k-mer that is longer than ``GAP`` words on a side is compared place by place, and may then count
+more.
 
 What keeps groups bounded: texts with the same words are one node from the start, whatever their number; a bucket
 becomes a task of at most about ``task_rows`` nodes. A larger bucket is cut into chunks. First each chunk meets the
@@ -19,8 +25,8 @@ Inside a task the pairs' overlaps are found by sparse counting in blocks, and on
 leaves it. Node tables, tasks, links and each round of the components are written to the shared folder.
 
 Edge cases: null text is empty; texts without words are one class; texts of fewer than five words are alike only if
-they have the same words; k-mers are compared by 32 bits in the alignment, so two unlike ones pass for equal with a chance of
-2^-32; null doc_ids never name a class unless the whole class has none; repeated rows share their
+they have the same words; words and k-mers are compared by 32 bits in the alignment, so two unlike ones pass for equal
+with a chance of 2^-32; null doc_ids never name a class unless the whole class has none; repeated rows share their
 class; an empty table gives an empty result; further columns are kept by ``near_dedup``.
 """
 
@@ -37,8 +43,8 @@ from pyspark.sql import functions as F
 
 from .common import UPPER_TO_LOWER, WORD_BYTE, materialize, mix, no_clash, rows_of_texts, runs, span_hashes, steps, utf8_bytes
 
-KMER, BANDS, SKETCHES_PER_BAND = 5, 20, 2
-_NODES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.binary()), ("kmers", pa.binary()), ("bands", pa.list_(pa.int64()))])
+KMER, BANDS, SKETCHES_PER_BAND, GAP = 5, 20, 1, 4096
+_NODES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.binary()), ("words", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def kmer_labels(words: np.ndarray, of_row: np.ndarray, k: int = KMER) -> tuple[np.ndarray, np.ndarray]:
@@ -105,14 +111,14 @@ def _nodes(bands: int):
                 keep = np.repeat(np.diff(of_row) >= KMER, np.diff(where))
                 counts = np.diff(where)[full]
                 keys[full] = order_minhash(labels[keep], np.concatenate([[0], np.cumsum(counts)]), bands).view(np.int64)
-            short = labels.astype(np.uint32)
+            short = words.astype(np.uint32)
             sent = [fresh[n] == i and of_row[i + 1] - of_row[i] >= KMER for i, n in enumerate(node)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("text_hash"),
                     pa.array(node, pa.binary()),
-                    pa.array([short[where[i] : where[i + 1]].tobytes() if s else None for i, s in enumerate(sent)], pa.binary()),
+                    pa.array([short[of_row[i] : of_row[i + 1]].tobytes() if s else None for i, s in enumerate(sent)], pa.binary()),
                     pa.array([keys[i] if s else None for i, s in enumerate(sent)], pa.list_(pa.int64())),
                 ],
                 schema=_NODES,
@@ -121,29 +127,88 @@ def _nodes(bands: int):
     return run
 
 
-def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether the k-mers that align in order within the band are at least that share of all k-mers of a and b."""
-    _, i, j = np.intersect1d(a, b, return_indices=True)
-    total, n = len(a) + len(b), len(i)
-    if n < similarity * (total - n):
-        return False
-    band = int(total * (1 - similarity) / (1 + similarity)) + 2  # no pair at the threshold strays further
+def _increasing(places: np.ndarray) -> np.ndarray:
+    """Which of the places make a longest strictly increasing run."""
+    if len(places) < 2 or (np.diff(places) > 0).all():
+        return np.arange(len(places))
+    tails: list[int] = []
+    at: list[int] = []
+    before = np.full(len(places), -1)
+    for n, p in enumerate(places.tolist()):
+        k = bisect_left(tails, p)
+        tails[k : k + 1], at[k : k + 1] = [p], [n]
+        if k:
+            before[n] = at[k - 1]
+    run = [at[-1]]
+    while before[run[-1]] >= 0:
+        run.append(before[run[-1]])
+    return np.array(run[::-1])
+
+
+def gap_cost(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """Words to insert, delete or replace between a and b; where it is more than most, some number above most."""
+    short = min(len(a), len(b))
+    unlike = np.flatnonzero(a[:short] != b[:short])
+    head = int(unlike[0]) if len(unlike) else short
+    a, b, short = a[head:], b[head:], short - head
+    unlike = np.flatnonzero(a[::-1][:short] != b[::-1][:short])
+    tail = int(unlike[0]) if len(unlike) else short
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < 2:
+        return len(b) - (len(a) == 1 and bool((b == a[0]).any()))
+    if len(b) - len(a) > most:
+        return most + 1
+    if len(b) > GAP:
+        return len(b) - int((a == b[: len(a)]).sum())
+    step = np.arange(len(b) + 1)
+    row = step
+    for n, word in enumerate(a, 1):
+        new = np.empty_like(row)
+        new[0] = n
+        np.minimum(row[1:] + 1, row[:-1] + (b != word), out=new[1:])
+        row = np.minimum.accumulate(new - step) + step
+        if row.min() > most:
+            return most + 1
+    return int(row[-1])
+
+
+def edit_cost(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, most: int) -> int:
+    """Words to insert, delete or replace between a and b where their k-mers at places i and j are held together; where it
+    is more than most, some number above most."""
+    cuts = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1))
+    cost = x = y = 0
+    if len(i):
+        for s, e in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(i) - 1]):
+            over = max(0, x - int(i[s]), y - int(j[s]))  # k-mers of two diagonals may share words; the first keeps them
+            if i[s] + over >= i[e] + KMER:
+                continue
+            cost += gap_cost(a[x : i[s] + over], b[y : j[s] + over], most - cost)
+            if cost > most:
+                return cost
+            x, y = int(i[e]) + KMER, int(j[e]) + KMER
+    return cost + gap_cost(a[x:], b[y:], most - cost)
+
+
+def aligned(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, similarity: float, edit: float) -> bool:
+    """Whether a and b (words) with the labels of_a and of_b (k-mers) are linked: by k-mers that align in order within the
+    band, or by the words that differ."""
+    _, i, j = np.intersect1d(of_a, of_b, assume_unique=True, return_indices=True)
+    total = len(of_a) + len(of_b)
+    most = int((1 - edit) * max(len(a), len(b)) + 1e-9)
+    band = max(most, int(total * (1 - similarity) / (1 + similarity)) + 2)  # no pair at the thresholds strays further
     near = np.abs(i - j) <= band
-    order = np.argsort(i[near])
-    places = j[near][order]
-    if len(places) > 1 and (np.diff(places) <= 0).any():
-        tails: list[int] = []
-        for p in places.tolist():
-            k = bisect_left(tails, p)
-            tails[k : k + 1] = [p]
-        n = len(tails)
-    else:
-        n = len(places)
-    return n >= similarity * (total - n)
+    i, j = i[near], j[near]
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    run = _increasing(j)
+    n = len(run)
+    return n >= similarity * (total - n) or edit_cost(a, b, i[run], j[run], most) <= most
 
 
-def task_links(rows: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the rows of one task."""
+def task_links(rows: list[np.ndarray], similarity: float, edit: float) -> list[tuple[int, int]]:
+    """A spanning forest of the links among the rows (words) of one task."""
     parent = list(range(len(rows)))
 
     def find(x):
@@ -151,11 +216,13 @@ def task_links(rows: list[np.ndarray], similarity: float) -> list[tuple[int, int
             parent[x] = x = parent[parent[x]]
         return x
 
+    labels, where = kmer_labels(np.concatenate(rows).astype(np.uint64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
+    sizes = np.diff(where)
+    kmers = np.split(labels, where[1:-1])
     if len(rows) == 2:
         pairs = [(0, 1)]
     else:
-        sizes = np.array([len(r) for r in rows])
-        values, column = np.unique(np.concatenate(rows), return_inverse=True)
+        values, column = np.unique(labels, return_inverse=True)
         often = np.bincount(column, minlength=len(values)) > 1
         number = np.where(often, np.cumsum(often) - 1, -1)[column]
         owner = np.repeat(np.arange(len(rows)), sizes)
@@ -169,34 +236,36 @@ def task_links(rows: list[np.ndarray], similarity: float) -> list[tuple[int, int
             holds = np.zeros((len(rows), width), np.float32)
             holds[owner[x:y], number[x:y] - lo] = 1
             both += holds @ holds.T
-        i, j = np.nonzero(np.triu(both >= similarity * (sizes[:, None] + sizes - both) - 1e-3, 1))
+        longer = np.maximum(sizes[:, None], sizes)  # a word that differs costs each of the two at most KMER k-mers
+        by_words = longer - KMER * np.floor((1 - edit) * (longer + KMER - 1) + 1e-9)
+        i, j = np.nonzero(np.triu(both >= np.minimum(similarity * (sizes[:, None] + sizes - both), by_words) - 1e-3, 1))
         best = np.argsort(-both[i, j], kind="stable")
         pairs = zip(i[best].tolist(), j[best].tolist())
     links = []
     for i, j in pairs:
         x, y = find(i), find(j)
-        if x != y and aligned(rows[i], rows[j], similarity):
+        if x != y and aligned(rows[i], rows[j], kmers[i], kmers[j], similarity, edit):
             parent[max(x, y)] = min(x, y)
             links.append((i, j))
     return links
 
 
-def _verify(similarity: float):
+def _verify(similarity: float, edit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, nodes, rows = None, [], []
         found: list[tuple[bytes, bytes]] = []
 
         def close():
-            found.extend((nodes[i], nodes[j]) for i, j in task_links(rows, similarity))
+            found.extend((nodes[i], nodes[j]) for i, j in task_links(rows, similarity, edit))
 
         for batch in batches:
-            for t, n, k in zip(*(batch.column(c).to_pylist() for c in ("task", "node", "kmers"))):
+            for t, n, w in zip(*(batch.column(c).to_pylist() for c in ("task", "node", "words"))):
                 if t != task:
                     if len(rows) > 1:
                         close()
                     task, nodes, rows = t, [], []
                 nodes.append(n)
-                rows.append(np.frombuffer(k, np.uint32))
+                rows.append(np.frombuffer(w, np.uint32))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], names=["a", "b"])
                 found.clear()
@@ -244,12 +313,12 @@ def rest_tasks(large: DataFrame, roots: DataFrame, task_rows: int) -> DataFrame:
     return _as_tasks(pairs.unionByName(chunks.filter("class IS NULL AND size(nodes) > 1").select("nodes")))
 
 
-def find_links(nodes: DataFrame, kmers: DataFrame, similarity: float, task_rows: int) -> DataFrame:
+def find_links(nodes: DataFrame, words: DataFrame, similarity: float, edit: float, task_rows: int) -> DataFrame:
     """a, b: links that connect all classes of the candidates."""
 
     def verified(tasks: DataFrame) -> DataFrame:
-        rows = tasks.join(kmers, "node").repartition("task").sortWithinPartitions("task", "node")
-        return materialize(rows.mapInArrow(_verify(similarity), "a binary, b binary"), "near-links")
+        rows = tasks.join(words, "node").repartition("task").sortWithinPartitions("task", "node")
+        return materialize(rows.mapInArrow(_verify(similarity, edit), "a binary, b binary"), "near-links")
 
     bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -284,13 +353,13 @@ def components(links: DataFrame, most_rounds: int = 60, early: int = 0) -> DataF
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _classes(docs: DataFrame, similarity: float, bands: int, task_rows: int) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, similarity: float, edit: float, bands: int, task_rows: int) -> tuple[DataFrame, DataFrame]:
     """Per row its node; per node its class, and of that the doc_id and text_hash of the row that stays (the least id,
     null last)."""
     text = no_clash(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    table = materialize(text.mapInArrow(_nodes(bands), "doc_id bigint, text_hash bigint, node binary, kmers binary, bands array<bigint>"), "near-nodes")
+    table = materialize(text.mapInArrow(_nodes(bands), "doc_id bigint, text_hash bigint, node binary, words binary, bands array<bigint>"), "near-nodes")
     nodes = table.filter("bands IS NOT NULL")
-    links = find_links(nodes.select("node", "bands").dropDuplicates(["node"]), nodes.select("node", "kmers").dropDuplicates(["node"]), similarity, task_rows)
+    links = find_links(nodes.select("node", "bands").dropDuplicates(["node"]), nodes.select("node", "words").dropDuplicates(["node"]), similarity, edit, task_rows)
     roots = components(links)
     first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     own = table.groupBy("node").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
@@ -299,17 +368,17 @@ def _classes(docs: DataFrame, similarity: float, bands: int, task_rows: int) ->
     return table, placed.join(classes, "root").select("root", "node", "copies", "stays", "class_size")
 
 
-def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
+def near_classes(docs: DataFrame, similarity: float = 0.8, edit: float = 0.9, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of the class), class_size (documents), copies (documents with the same
     words), kept (whether it is the one of its class that stays)."""
-    table, of_node = _classes(docs, similarity, bands, task_rows)
+    table, of_node = _classes(docs, similarity, edit, bands, task_rows)
     of_node = of_node.select("node", "copies", F.col("stays.doc_id").alias("class_id"), "class_size")
     return table.select("doc_id", "node").join(of_node, "node").select(
         "doc_id", "class_id", "class_size", "copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
     )
 
 
-def near_dedup(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
+def near_dedup(docs: DataFrame, similarity: float = 0.8, edit: float = 0.9, bands: int = BANDS, task_rows: int = 1024) -> DataFrame:
     """One row of docs of each class, with all its columns."""
-    _, of_node = _classes(docs, similarity, bands, task_rows)
+    _, of_node = _classes(docs, similarity, edit, bands, task_rows)
     return rows_of_texts(docs, of_node.select("stays.doc_id", "stays.text_hash"), F.xxhash64("text"))

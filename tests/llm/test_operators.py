@@ -51,28 +51,44 @@ def shingles(words):
     return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def test_near_dedup_against_brute_force(spark):
+def edits(a, b, most=10**9):
+    """The edit distance of two lists by the usual table; above most, some number above it."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    row = list(range(len(b) + 1))
+    for n, x in enumerate(a, 1):
+        before, row[0] = row[0], n
+        for m in range(1, len(row)):
+            before, row[m] = row[m], min(before + (x != b[m - 1]), row[m] + 1, row[m - 1] + 1)
+        if min(row) > most:
+            return most + 1
+    return row[-1]
+
+
+@pytest.mark.parametrize("edit", [1.0, 0.9])
+def test_near_dedup_against_brute_force(spark, edit):
     texts = []
     for k in range(25):
         base = prose(k, 120 + k)
         texts.append(base)
         changed = list(base)
-        for at in ([10], [10, 11], [60, 64], [3, 20, 40, 60, 80, 100])[k % 4]:
+        for at in ([10], [10, 11], [60, 64], [3, 20, 40, 60, 80, 100], range(0, len(base), 8))[k % 5]:
             changed[at] = "changed"
         texts.append(changed)
     rows = docs(spark, [*(" ".join(t) for t in texts), *["a b c d e f g h"] * 4])
-    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(rows).collect()}
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(rows, edit=edit).collect()}
     everything = [*texts, *["a b c d e f g h".split()] * 4]
     root = list(range(len(everything)))
     for i, a in enumerate(everything):
         for j in range(i):
             x, y = shingles(a), shingles(everything[j])
             both = sum((x & y).values())
-            if both >= 0.8 * (sum(x.values()) + sum(y.values()) - both):
+            most = max(len(a), len(everything[j])) * (1 - edit) + 1e-9
+            if both >= 0.8 * (sum(x.values()) + sum(y.values()) - both) or (most >= 1 and edits(a, everything[j], most) <= most):
                 low, high = sorted((root[i], root[j]))
                 root = [low if r == high else r for r in root]
     assert got == dict(enumerate(root))
-    stay = near_dedup.near_dedup(rows)
+    stay = near_dedup.near_dedup(rows, edit=edit)
     assert stay.columns == rows.columns and stay.count() == len(set(root))
 
 
