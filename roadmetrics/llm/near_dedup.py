@@ -197,6 +197,8 @@ def aligned(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, si
     _, i, j = np.intersect1d(of_a, of_b, assume_unique=True, return_indices=True)
     total = len(of_a) + len(of_b)
     most = int((1 - edit) * max(len(a), len(b)) + 1e-9)
+    if len(i) < min(similarity * (total - len(i)), max(len(a), len(b)) - KMER + 1 - KMER * most):
+        return False
     band = max(most, int(total * (1 - similarity) / (1 + similarity)) + 2)  # no pair at the thresholds strays further
     near = np.abs(i - j) <= band
     i, j = i[near], j[near]
@@ -207,6 +209,18 @@ def aligned(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, si
     return n >= similarity * (total - n) or edit_cost(a, b, i[run], j[run], most) <= most
 
 
+def common_pairs(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray, cells: int = 1 << 22) -> np.ndarray:
+    """Of each pair of rows i, j no fewer pairs of neighbouring words than they have in common, counted by hash: what
+    shares one long passage only is told from near copies without an alignment."""
+    width = 1 << max(6, min(int(4 * np.median([len(r) for r in rows])), 2 * cells // len(rows)).bit_length() - 1)
+    counts = np.zeros((len(rows), width), np.uint32)
+    for n, r in enumerate(rows):
+        both = mix(r[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + r[1:].astype(np.uint64))
+        counts[n] = np.bincount((both & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    step = max(1, cells // width)
+    return np.concatenate([np.minimum(counts[i[k : k + step]], counts[j[k : k + step]]).sum(1, dtype=np.int64) for k in range(0, len(i), step)] or [np.zeros(0, np.int64)])
+
+
 def task_links(rows: list[np.ndarray], similarity: float, edit: float) -> list[tuple[int, int]]:
     """A spanning forest of the links among the rows (words) of one task."""
     parent = list(range(len(rows)))
@@ -236,9 +250,14 @@ def task_links(rows: list[np.ndarray], similarity: float, edit: float) -> list[t
             holds = np.zeros((len(rows), width), np.float32)
             holds[owner[x:y], number[x:y] - lo] = 1
             both += holds @ holds.T
-        longer = np.maximum(sizes[:, None], sizes)  # a word that differs costs each of the two at most KMER k-mers
-        by_words = longer - KMER * np.floor((1 - edit) * (longer + KMER - 1) + 1e-9)
-        i, j = np.nonzero(np.triu(both >= np.minimum(similarity * (sizes[:, None] + sizes - both), by_words) - 1e-3, 1))
+        close = both >= similarity * (sizes[:, None] + sizes - both) - 1e-3
+        longer = np.maximum(sizes[:, None], sizes) + KMER - 1
+        most = np.floor((1 - edit) * longer + 1e-9)  # a word that differs costs at most KMER k-mers and two pairs
+        i, j = np.nonzero(np.triu(close | (both >= longer - KMER + 1 - KMER * most), 1))
+        unsure = np.flatnonzero(~close[i, j])
+        x, y = i[unsure], j[unsure]
+        far = unsure[common_pairs(rows, x, y) < longer[x, y] - 1 - 2 * most[x, y]]
+        i, j = np.delete(i, far), np.delete(j, far)
         best = np.argsort(-both[i, j], kind="stable")
         pairs = zip(i[best].tolist(), j[best].tolist())
     links = []
