@@ -209,15 +209,20 @@ def aligned(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, si
     return n >= similarity * (total - n) or edit_cost(a, b, i[run], j[run], most) <= most
 
 
-def common_pairs(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray, cells: int = 1 << 22) -> np.ndarray:
-    """Of each pair of rows i, j no fewer pairs of neighbouring words than they have in common, counted by hash: what
-    shares one long passage only is told from near copies without an alignment."""
-    width = 1 << max(6, min(int(4 * np.median([len(r) for r in rows])), 2 * cells // len(rows)).bit_length() - 1)
+def pair_counts(rows: list[np.ndarray], cells: int = 1 << 23) -> np.ndarray:
+    """Each row's pairs of neighbouring words, counted by hash: rows x buckets."""
+    width = 1 << max(6, min(int(4 * np.median([len(r) for r in rows])), cells // len(rows)).bit_length() - 1)
     counts = np.zeros((len(rows), width), np.uint32)
     for n, r in enumerate(rows):
         both = mix(r[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + r[1:].astype(np.uint64))
         counts[n] = np.bincount((both & np.uint64(width - 1)).astype(np.int64), minlength=width)
-    step = max(1, cells // width)
+    return counts
+
+
+def common_pairs(counts: np.ndarray, i: np.ndarray, j: np.ndarray, cells: int = 1 << 20) -> np.ndarray:
+    """Of rows i and j each no fewer pairs of words than they have in common: what shares one long passage only is told
+    from near copies without an alignment."""
+    step = max(1, cells // counts.shape[1])
     return np.concatenate([np.minimum(counts[i[k : k + step]], counts[j[k : k + step]]).sum(1, dtype=np.int64) for k in range(0, len(i), step)] or [np.zeros(0, np.int64)])
 
 
@@ -233,39 +238,54 @@ def task_links(rows: list[np.ndarray], similarity: float, edit: float) -> list[t
     labels, where = kmer_labels(np.concatenate(rows).astype(np.uint64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
     sizes = np.diff(where)
     kmers = np.split(labels, where[1:-1])
-    if len(rows) == 2:
-        pairs = [(0, 1)]
-    else:
-        values, column = np.unique(labels, return_inverse=True)
-        often = np.bincount(column, minlength=len(values)) > 1
-        number = np.where(often, np.cumsum(often) - 1, -1)[column]
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        owner, number = owner[number >= 0], number[number >= 0]
-        both = np.zeros((len(rows), len(rows)), np.float32)
-        order = np.argsort(number, kind="stable")
-        owner, number = owner[order], number[order]
-        width = 4096
-        for lo in range(0, int(often.sum()), width):
-            x, y = np.searchsorted(number, [lo, lo + width])
-            holds = np.zeros((len(rows), width), np.float32)
-            holds[owner[x:y], number[x:y] - lo] = 1
-            both += holds @ holds.T
-        close = both >= similarity * (sizes[:, None] + sizes - both) - 1e-3
-        longer = np.maximum(sizes[:, None], sizes) + KMER - 1
-        most = np.floor((1 - edit) * longer + 1e-9)  # a word that differs costs at most KMER k-mers and two pairs
-        i, j = np.nonzero(np.triu(close | (both >= longer - KMER + 1 - KMER * most), 1))
-        unsure = np.flatnonzero(~close[i, j])
-        x, y = i[unsure], j[unsure]
-        far = unsure[common_pairs(rows, x, y) < longer[x, y] - 1 - 2 * most[x, y]]
-        i, j = np.delete(i, far), np.delete(j, far)
-        best = np.argsort(-both[i, j], kind="stable")
-        pairs = zip(i[best].tolist(), j[best].tolist())
     links = []
-    for i, j in pairs:
-        x, y = find(i), find(j)
-        if x != y and aligned(rows[i], rows[j], kmers[i], kmers[j], similarity, edit):
-            parent[max(x, y)] = min(x, y)
-            links.append((i, j))
+
+    def link(i, j):
+        """Verify these pairs in order, but those that are in one class by then."""
+        for i, j in zip(i.tolist(), j.tolist()):
+            x, y = find(i), find(j)
+            if x != y and aligned(rows[i], rows[j], kmers[i], kmers[j], similarity, edit):
+                parent[max(x, y)] = min(x, y)
+                links.append((i, j))
+
+    if len(rows) == 2:
+        link(np.array([0]), np.array([1]))
+        return links
+    values, column = np.unique(labels, return_inverse=True)
+    often = np.bincount(column, minlength=len(values)) > 1
+    number = np.where(often, np.cumsum(often) - 1, -1)[column]
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    owner, number = owner[number >= 0], number[number >= 0]
+    both = np.zeros((len(rows), len(rows)), np.float32)
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    width = 4096
+    for lo in range(0, int(often.sum()), width):
+        x, y = np.searchsorted(number, [lo, lo + width])
+        holds = np.zeros((len(rows), width), np.float32)
+        holds[owner[x:y], number[x:y] - lo] = 1
+        both += holds @ holds.T
+    close = both >= similarity * (sizes[:, None] + sizes - both) - 1e-3
+    longer = np.maximum(sizes[:, None], sizes) + KMER - 1
+    most = np.floor((1 - edit) * longer + 1e-9)  # a word that differs costs at most KMER k-mers and two pairs of words
+    unsure = ~close & (both >= longer - KMER + 1 - KMER * most)
+    i, j = np.nonzero(np.triu(close, 1))
+    best = np.argsort(-both[i, j], kind="stable")
+    link(i[best], j[best])
+    i, j = np.nonzero(np.triu(unsure, 1))
+    best = np.argsort(-both[i, j], kind="stable")
+    i, j, counts, block = i[best], j[best], None, 1 << 14
+    while len(i):
+        root = np.array([find(n) for n in range(len(rows))])
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+        if counts is None and len(i):
+            counts = pair_counts(rows)
+        x, y = i[:block], j[:block]
+        if len(x):
+            may = common_pairs(counts, x, y) >= longer[x, y] - 1 - 2 * most[x, y]
+            link(x[may], y[may])
+        i, j = i[block:], j[block:]
     return links
 
 
