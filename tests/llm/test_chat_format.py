@@ -35,3 +35,35 @@ def test_very_long_text_and_conversation(spark):
     rows = [(1, i, "user" if i % 2 else "assistant", "x" * (3_000_000 if i == 7 else 5), "s", "n") for i in range(5000)]
     row = chat_format.read_back(chat_format.format_conversations(spark.createDataFrame(rows, TALKS))).first()
     assert (row.n_turns, row.loss_chars, row.formatted_chars) == (5000, 2500 * 5, 3 + 2500 * 4 + 2500 * 15 + 4999 * 5 + 3_000_000)
+
+
+def test_whole_prefixes_whatever_a_template_states(monkeypatch):
+    """A template that numbers its turns but states that it is local; the query doesn't rely on such statements."""
+    from roadmetrics.llm import queries
+
+    lengths = []
+
+    def numbered(turns):
+        lengths.append(len(turns))
+        return "".join(f"{i}{r}:{t};" for i, (r, t) in enumerate(turns))
+
+    numbered.reach = 0
+    state = chat_format.Incremental(numbered, whole=True)
+    assert [state.add("user", f"t{i}")[0] for i in range(3)] == ["0user:t0;", "1user:t1;", "2user:t2;"] and max(lengths) == 3
+    given = {}
+    monkeypatch.setattr(chat_format, "format_conversations", lambda rows, *a, **k: given.update(k) or rows)
+    monkeypatch.setattr(chat_format, "read_back", lambda rows: rows)
+    monkeypatch.setattr(queries, "_table", lambda spark, d, n: spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string"))
+
+    class Frame:
+        def select(self, *a):
+            return self
+
+        unionByName = select  # noqa: N815
+
+    class Session:
+        def createDataFrame(self, *a):  # noqa: N802
+            return Frame()
+
+    queries.op9_format_chat(Session(), "")
+    assert given == {"whole": True}
