@@ -18,28 +18,32 @@ from ..functions.filters import PAD, block_pass, butter2, steady_state
 _SUMMARY = "n int, first double, last double, z1 double, z2 double"
 
 
-def _compose(summaries: list, b: np.ndarray, a: np.ndarray) -> list[tuple[float, float]]:
-    """The states before each chunk, from the first on; the first starts in the steady state of its first value."""
+def _compose(n: np.ndarray, first: float, z: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The states before each chunk (chunks x 2) from the chunks' rows n and the states z that they make of the zero state;
+    the first starts in the steady state of the first value."""
     step = np.array([[-a[1], 1.0], [-a[2], 0.0]])
-    state, before = None, []
-    for s in summaries:
-        state = steady_state(b, a) * s["first"] if state is None else state
-        before.append(tuple(state))
-        state = np.linalg.matrix_power(step, s["n"]) @ state + (s["z1"], s["z2"])
+    state, before = steady_state(b, a) * first, np.empty((len(n), 2))
+    for i, rows in enumerate(n.tolist()):
+        before[i] = state
+        state = np.linalg.matrix_power(step, rows) @ state + z[i]
     return before
 
 
 def _scan(chunks: DataFrame, summary: Column, b: np.ndarray, a: np.ndarray, forward: bool) -> DataFrame:
-    """_by, _chunk, _z1, _z2: the states before each chunk in the pass's direction."""
+    """_by, _chunk, _z1, _z2: the states before each chunk in the pass's direction. Python gets plain arrays, a few bytes for
+    each chunk and not an object."""
 
-    @F.pandas_udf("array<struct<_z1: double, _z2: double>>")
-    def states(all_: pd.Series) -> pd.Series:
-        return all_.map(lambda rows: [{"_z1": x, "_z2": y} for x, y in _compose([r["s"] for r in rows], b, a)])
+    @F.pandas_udf("_z1 array<double>, _z2 array<double>")
+    def states(n: pd.Series, first: pd.Series, z1: pd.Series, z2: pd.Series) -> pd.DataFrame:
+        found = [_compose(np.asarray(k), x, np.column_stack([p, q]), b, a) for k, x, p, q in zip(n, first, z1, z2)]
+        return pd.DataFrame({"_z1": [z[:, 0] for z in found], "_z2": [z[:, 1] for z in found]})
 
     place = F.col("_chunk") if forward else -F.col("_chunk")
     per = chunks.groupBy("_by").agg(F.array_sort(F.collect_list(F.struct(place.alias("p"), "_chunk", summary.alias("s")))).alias("all"))
-    zipped = F.arrays_zip(F.transform("all", lambda x: x["_chunk"]).alias("_chunk"), states("all").alias("_z"))
-    return per.select("_by", F.explode(zipped).alias("r")).select("_by", "r._chunk", "r._z.*")
+    one = lambda name: F.col(f"all.s.{name}")
+    made = per.select("_by", F.col("all._chunk").alias("_chunk"), states(one("n"), F.get(one("first"), 0), one("z1"), one("z2")).alias("_z"))
+    zipped = F.arrays_zip("_chunk", F.col("_z._z1").alias("_z1"), F.col("_z._z2").alias("_z2"))
+    return made.select("_by", F.explode(zipped).alias("r")).select("_by", "r._chunk", "r._z1", "r._z2")
 
 
 def lowpass_series(df: DataFrame, by: str, on: str, value: str, out: str, cutoff_hz: float, rate_hz: float, chunk: float, order: tuple[str, ...] = (), least: int = 10) -> DataFrame:

@@ -32,6 +32,19 @@ def test_a_block_is_an_affine_map_of_its_states():
     assert block_pass(b, a, np.full(40, 2.5), steady_state(b, a) * 2.5)[0] == pytest.approx(np.full(40, 2.5))
 
 
+def test_states_before_chunks_take_plain_arrays():
+    """Thousands of chunks of many series stand in one batch of a task: arrays hold them, not an object for each."""
+    from roadmetrics.operators.recurrence import _compose
+
+    (b, a), x = butter2(0.3), np.random.default_rng(3).normal(size=100)
+    parts = np.split(x, [7, 30, 31])
+    ends = np.array([block_pass(b, a, p, np.zeros(2))[1] for p in parts])
+    got, state = _compose(np.array([len(p) for p in parts]), x[0], ends, b, a), steady_state(b, a) * x[0]
+    for i, p in enumerate(parts):
+        assert got[i] == pytest.approx(state, rel=1e-9, abs=1e-12)
+        state = block_pass(b, a, p, state)[1]
+
+
 @pytest.fixture(scope="module")
 def series(spark):
     """Drives of very different lengths with bursts and pauses, some rows at the same time, and one without a name."""
