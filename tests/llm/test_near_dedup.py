@@ -66,6 +66,27 @@ def test_cost_of_a_gap_is_the_edit_distance():
         assert got == want if want <= most else got > most
 
 
+def test_long_gaps_cost_the_edit_distance():
+    r = random.Random(8)
+    for n in range(60):
+        a, b = ([r.randrange(6) for _ in range(r.randrange(1, 150))] for _ in range(2))
+        want, most = edits(a, b), r.randrange(120)
+        got = near_dedup.edit_distance(a, b, most)
+        assert got == want if want <= most else got > most
+
+
+def test_a_common_passage_needs_no_alignments(monkeypatch):
+    """Texts with one long passage in common and tails of their own: enough pairs of words are common, too few words."""
+    r, calls, aligned = random.Random(3), [], near_dedup.aligned
+    monkeypatch.setattr(near_dedup, "aligned", lambda *a: calls.append(1) or aligned(*a))
+    passage = [r.randrange(1 << 32) for _ in range(300)]
+    rows = [np.array(passage + [r.randrange(1 << 32) for _ in range(60 + i % 10)], np.uint32) for i in range(60)]
+    rows.append(rows[7].copy())
+    rows[-1][::40] = 0
+    assert near_dedup.task_links(rows, 0.8, 0.9) == [(7, 60)]
+    assert len(calls) < 20
+
+
 def test_cost_between_kmers_is_near_the_edit_distance():
     """Never below it; equal for scattered changes of texts whose words vary."""
     r, exact = random.Random(6), 0
