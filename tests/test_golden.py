@@ -100,3 +100,14 @@ def test_reports(spark, tmp_path):
         write_report(metrics, str(tmp_path / kind), kind)
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1
     assert spark.read.json(str(tmp_path / "json")).first()["value"] == 1.5
+
+
+def test_alignment_sorts_once(spark):
+    """Rows before and after are read off one order, for rows of equal time and for long stretches without a right row too."""
+    left = series(spark, [(float(t), 0.0) for t in (0, 1, 1, 5, 9)])
+    right = series(spark, [(1.0, 1.0), (4.0, 4.0), (4.0, 4.0), (8.0, 8.0)])
+    out = align(left, [Right(right, "near", 9.0), Right(right.filter("t = 8"), "far", 9.0, fields=("t",))])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    out = align(left, [Right(right, "near"), Right(right.filter("t = 8"), "far", fields=("t",))], chunk=3.0)
+    got = [(r.t, r.near.asDict().keys() >= {"drive_id", "t", "v", "event_id"}, r.near.t, r.far.asDict()) for r in out.orderBy("t").collect()]
+    assert got == [(t, True, n, {"t": 8.0}) for t, n in ((0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (5.0, 4.0), (9.0, 8.0))]
