@@ -265,7 +265,8 @@ def find_links(docs: DataFrame, slots: DataFrame, n: int, percent: int, task_row
     rare = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("n", "place", "key"))), 1, seeds).alias("first"))
     seeded = rare.select("node", F.explode("first").alias("f")).select(F.lit(0).alias("band"), F.col("f.key").alias("key"), "node")
     seeded = materialize(seeded.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).filter("n > 1").withColumn("cuts", _cuts(F.col("n"), task_rows)).drop("n"), "jaccard-seeds")
-    links = verified(first_tasks(seeded, task_rows))
+    seed_tasks, _ = first_tasks(seeded, task_rows)  # larger buckets are met again with all others below
+    links = verified(seed_tasks)
 
     roots = materialize(components(links, early=3), "jaccard-roots")
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -57,6 +57,16 @@ def test_against_all_pairs(spark, task_rows, loose, seeds, monkeypatch):
     assert 20 < len(set(root)) < len(texts) - 40
 
 
+def test_buckets_of_copies_larger_than_a_task(spark):
+    """Near copies that share their rarest columns fill buckets of many chunks, which the first round must deal out as tasks."""
+    base = prose(1, 80)
+    texts = [" ".join([*base, f"end{i}"]) for i in range(60)] + [" ".join([*base[:40], *prose(2, 80), f"end{i}"]) for i in range(7)]
+    sizes, root = components(texts)
+    assert len(set(root)) == 2
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_classes(docs(spark, texts), task_rows=8, loose=4).collect()}
+    assert got == {i: (n, c) for i, (n, c) in enumerate(zip(sizes, root))}
+
+
 def test_odd_rows(spark):
     got = sorted(ngram_jaccard.jaccard_classes(docs(spark, ODD)).collect(), key=str)
     assert [r for r in got if r.doc_id == 3] and len(got) == len(ODD)
