@@ -83,3 +83,53 @@ def test_product_in_blocks_equals_sets(monkeypatch):
     for percent in (50, 85, 100):
         want = {(i, j) for j in range(len(rows)) for i in range(j) if 100 * len(np.intersect1d(rows[i], rows[j])) >= percent * len(np.union1d(rows[i], rows[j]))}
         assert {tuple(sorted(p)) for p in ngram_jaccard.linked_pairs(rows, percent)} == want
+
+
+def test_signatures_leave_no_linked_pair():
+    """Rows of all sizes, among them pairs on both sides of a doubling of the words, at several thresholds."""
+    r = np.random.default_rng(7)
+    rows = []
+    for size in (1, 2, 5, 30, 120, 127, 128, 129, 140, 250, 256, 257, 270, 1000, 1030):
+        base = r.integers(0, 1 << 63, size).astype(np.uint64)
+        for change in (0, 1, size // 12, size // 6, size // 2):
+            rows.append(np.unique(np.concatenate([base[change:], r.integers(0, 1 << 63, r.integers(0, change + 1)).astype(np.uint64)])))
+    rows = [x for x in rows if len(x)]
+    where = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    words, start = ngram_jaccard.signatures(np.concatenate(rows), where)
+    signs = [words[a:b].view(np.uint64) for a, b in zip(start[:-1], start[1:])]
+    assert {len(x) for x in signs} == {1, 2, 4, 8, 16}
+    for percent in (30, 60, 85, 100):
+        like = ngram_jaccard.like_pairs(np.diff(where), signs, percent, cells=64)
+        links = [(i, j) for j in range(len(rows)) for i in range(j) if 100 * len(np.intersect1d(rows[i], rows[j])) >= percent * len(np.union1d(rows[i], rows[j]))]
+        assert links and all(like[i, j] and like[j, i] for i, j in links) and not like.diagonal().any()
+    assert like.sum() < 4 * len(links) + 20
+
+
+def test_rows_that_are_alike_by_chance_are_not_sent(spark, monkeypatch):
+    """Texts of few different words share columns with many others; only near copies may be sent to be verified, each row
+    once or twice, also where all that tasks ask for is too much to broadcast."""
+    r = random.Random(5)
+    common = ["the", "of", "and", "to", "in"]
+    texts = [" ".join(w for _ in range(60) for w in ([*r.choices(common, k=5), f"x{r.randrange(10**6)}"])) for _ in range(150)]
+    texts += [t.replace("x", "y", 1) for t in texts[:5]]
+    sizes, root = components(texts)
+    sent, write, find = [], ngram_jaccard.materialize, ngram_jaccard.find_links
+
+    def kept(df, name):
+        out = write(df, name)
+        if name == "jaccard-tasks":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_jaccard, "materialize", kept)
+    monkeypatch.setattr(ngram_jaccard, "find_links", lambda *a: find(*a, most_broadcast=0))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_classes(docs(spark, texts)).collect()}
+    assert got == {i: (n, c) for i, (n, c) in enumerate(zip(sizes, root))} and len(set(root)) == 150
+    assert 10 <= sum(sent) <= 20
+
+
+def test_map_of_wanted_nodes(spark):
+    nodes = [bytes([i, 255 - i, 7 * i % 256, 3 * i % 256]) * 4 for i in range(256)]
+    bits = ngram_jaccard.wanted_map(spark.createDataFrame([(bytearray(x),) for x in nodes[::2]], "node binary"))
+    slot = ngram_jaccard._slots(nodes)
+    assert [bool(bits[s >> 3] & 128 >> (s & 7)) for s in slot.tolist()] == [i % 2 == 0 for i in range(256)]
