@@ -106,11 +106,11 @@ def test_signatures_leave_no_linked_pair():
 
 
 def test_rows_that_are_alike_by_chance_are_not_sent(spark, monkeypatch):
-    """Texts of few different words share columns with many others; only near copies may be sent to be verified, each row
-    once or twice, also where all that tasks ask for is too much to broadcast."""
+    """Nearly all columns of each text are in some other text, but no two texts share many; only near copies may be sent to
+    be verified, each row once or twice, also where all that tasks ask for is too much to broadcast."""
     r = random.Random(5)
-    common = ["the", "of", "and", "to", "in"]
-    texts = [" ".join(w for _ in range(60) for w in ([*r.choices(common, k=5), f"x{r.randrange(10**6)}"])) for _ in range(150)]
+    passages = [[f"x{r.randrange(10**6)}" for _ in range(40)] for _ in range(300)]
+    texts = [" ".join(w for k in r.sample(range(300), 10) for w in passages[k]) for _ in range(150)]
     texts += [t.replace("x", "y", 1) for t in texts[:5]]
     sizes, root = components(texts)
     sent, write, find = [], ngram_jaccard.materialize, ngram_jaccard.find_links
